@@ -57,9 +57,12 @@ def check_staging(stg: DataFrame, keys, not_null=(), widths: dict | None = None)
     )
 
 
-def _batch_keys(stg: DataFrame, keys, max_broadcast: int) -> DataFrame:
-    k, _ = checked_broadcast(stg.select(*_list(keys)).distinct(), max_broadcast)
-    return k
+def _batch_keys(stg: DataFrame, keys, max_broadcast: int) -> tuple[DataFrame, bool]:
+    return checked_broadcast(stg.select(*_list(keys)).distinct(), max_broadcast)
+
+
+def _hint(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df
 
 
 def upsert_replace(prod: DataFrame, stg: DataFrame, keys, max_broadcast: int = MAX_BROADCAST_KEYS) -> DataFrame:
@@ -69,7 +72,8 @@ def upsert_replace(prod: DataFrame, stg: DataFrame, keys, max_broadcast: int = M
     upsert(upsert(p, s), s) == upsert(p, s).
     """
     ks = _list(keys)
-    kept = prod.join(_batch_keys(stg, ks, max_broadcast), ks, "left_anti")
+    batch_keys, _ = _batch_keys(stg, ks, max_broadcast)
+    kept = prod.join(batch_keys, ks, "left_anti")
     return kept.unionByName(stg.select(*prod.columns))
 
 
@@ -80,15 +84,15 @@ def upsert_protect(prod: DataFrame, stg: DataFrame, keys, locked, max_broadcast:
     `locked` is a Column over prod (e.g. ``participants IS NOT NULL``: an empty
     array still locks, NULL does not). Plan: semi-join prod to the batch keys
     reading only key + lock columns, keep the locked keys, drop those from the
-    batch, then J3 with what is left.
+    batch, then J3 with what is left. The batch keys are counted once: every
+    later key set is a subset of them, so the same size bound holds.
     """
     ks = _list(keys)
-    batch_keys = _batch_keys(stg, ks, max_broadcast)
+    batch_keys, small = _batch_keys(stg, ks, max_broadcast)
     hit = prod.select(*ks, locked.alias("_locked")).join(batch_keys, ks, "left_semi")
     locked_keys = hit.where("_locked").select(*ks)
-    lk, _ = checked_broadcast(locked_keys, max_broadcast)
-    accepted = stg.join(lk, ks, "left_anti")
-    kept = prod.join(_batch_keys(accepted, ks, max_broadcast), ks, "left_anti")
+    accepted = stg.join(_hint(locked_keys, small), ks, "left_anti")
+    kept = prod.join(_hint(accepted.select(*ks), small), ks, "left_anti")
     return kept.unionByName(accepted.select(*prod.columns))
 
 
