@@ -51,3 +51,18 @@ def tokens(c, lower_case: bool = False) -> Column:
     if lower_case:
         t = F.lower(t)
     return split_ws(t)
+
+
+def explode_rows(df, keep: list, arr, names):
+    """`select(*keep, explode(arr))` without evaluating `arr` twice.
+
+    For a plain `explode`, Catalyst infers the filter `size(arr) > 0` and
+    pushes it towards the scan; when `arr` is an expensive expression (a word
+    map, an in-row dedupe) it is then computed once for the filter and again
+    for the generator. `explode_outer` infers nothing; the rows it adds for
+    NULL / empty input (first output NULL) are dropped right after, so the
+    result equals `explode`'s. Elements themselves must not be NULL.
+    """
+    names = [names] if isinstance(names, str) else list(names)
+    out = df.select(*keep, F.explode_outer(arr).alias(*names))
+    return out.where(F.col(names[0]).isNotNull())

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from threadmill.functions.text import _c
+from threadmill.functions.text import _c, explode_rows
 from threadmill.functions import scalars as S
 from threadmill.operators.wordcount import let
 from threadmill.schemas import PARTICIPANT
@@ -75,7 +75,7 @@ def explode_participants(threads: DataFrame, key: str = "thread_id", participant
     arr = F.col(participants)
     if dedupe:
         arr = keep_last_in_array(arr, COMMENT_KEY)
-    rows = threads.where(F.col(participants).isNotNull()).select(F.col(key), F.explode(arr).alias("_p"))
+    rows = explode_rows(threads.where(F.col(participants).isNotNull()), [F.col(key)], arr, "_p")
     cols = [F.col(key)] + [F.col(f"_p.{f}").alias(f) for f in PARTICIPANT_FIELDS]
     out = rows.select(*cols)
     if parse_created_at:
@@ -86,12 +86,13 @@ def explode_participants(threads: DataFrame, key: str = "thread_id", participant
 def explode_positions(df: DataFrame, keys, arr: str, pos: str = "pos", value: str = "value") -> DataFrame:
     """posexplode with the parent keys first (N1's general form)."""
     ks = [keys] if isinstance(keys, str) else list(keys)
-    return df.select(*ks, F.posexplode(arr).alias(pos, value))
+    out = df.select(*ks, F.posexplode_outer(arr).alias(pos, value))
+    return out.where(F.col(pos).isNotNull())
 
 
 def explode_status(threads: DataFrame, key: str = "thread_id", status: str = "status") -> DataFrame:
     """One (thread_id, status) row per label."""
-    return threads.select(key, F.explode(status).alias("status"))
+    return explode_rows(threads, [key], F.col(status), "status")
 
 
 def flatten_lists(c) -> Column:

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadmill.functions.text import _c, tokens
+from threadmill.functions.text import _c, explode_rows, tokens
 
 
 def _keys(key) -> list[str]:
@@ -89,13 +89,16 @@ def text_word_count(df: DataFrame, text: str, out: str = "word_count", lower_cas
     return df.withColumn(out, count_map(tokens(text, lower_case)))
 
 
+def text_word_rows(df: DataFrame, key, text: str, lower_case: bool = False) -> DataFrame:
+    """In-row counts as `(key..., word, n)` rows: the map of each row, exploded.
+    No shuffle: every row is counted where it was read."""
+    return explode_rows(df, _keys(key), count_map(tokens(text, lower_case)), ["word", "n"])
+
+
 def ordered_counts(df: DataFrame, key, word_count: str = "word_count") -> DataFrame:
     """Map column -> `(key, word, n)` rows, most frequent first, ties by word."""
     ks = _keys(key)
-    return (
-        df.select(*ks, F.explode(word_count).alias("word", "n"))
-        .orderBy(*ks, F.desc("n"), "word")
-    )
+    return explode_rows(df, ks, F.col(word_count), ["word", "n"]).orderBy(*ks, F.desc("n"), "word")
 
 
 # --------------------------------------------------------------------------- grouped
@@ -105,7 +108,7 @@ def word_counts(df: DataFrame, key, text: str, lower_case: bool = False) -> Data
     """`(key..., word, n)` for texts spread over many rows per key."""
     ks = _keys(key)
     return (
-        df.select(*ks, F.explode(tokens(text, lower_case)).alias("word"))
+        explode_rows(df, ks, tokens(text, lower_case), "word")
         .groupBy(*ks, "word")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -144,7 +147,7 @@ def keyword_stats(facts: DataFrame, dims: DataFrame, key: str, title: str, measu
         F.count(F.lit(1)).alias("_n"),
         *[F.sum(F.col(c).cast("decimal(38,4)")).alias(f"_s_{name}") for name, c in measures.items()],
     )
-    words = dims.select(F.col(key), F.explode(F.array_distinct(tokens(title, lower_case))).alias("word"))
+    words = explode_rows(dims, [F.col(key)], F.array_distinct(tokens(title, lower_case)), "word")
     joined = per_key.join(words, key, "inner")
     agg = joined.groupBy("word").agg(
         F.sum("_n").alias("n_rows"),

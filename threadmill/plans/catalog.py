@@ -15,9 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadmill.functions import scalars as S
-from threadmill.functions.text import PUNCTUATION
+from threadmill.functions.text import PUNCTUATION, explode_rows
 from threadmill.operators import dedupe, joins, listing, nested, upsert, wordcount
 from threadmill.plans import html as H
+from threadmill.session import spread
 from threadmill.sources import extract
 
 WATERMARK_TS = "2024-01-20 00:00:00"
@@ -28,16 +29,23 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _wide(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+    """A table feeding CPU-heavy per-row work: pruned first, then spread over
+    the cores if the scan alone would not be (see `session.spread`)."""
+    df = _t(spark, sf_dir, name)
+    return spread(df.select(*cols) if cols else df)
+
+
 # ------------------------------------------------------------------ word counts
 
 
 def q_word_count(spark, sf):
-    conv = _t(spark, sf, "conversations")
+    conv = _wide(spark, sf, "conversations", "conv_id", "text")
     return wordcount.word_counts(conv, "conv_id", "text")
 
 
 def q_word_count_map(spark, sf):
-    conv = _t(spark, sf, "conversations")
+    conv = _wide(spark, sf, "conversations", "conv_id", "text")
     m = wordcount.word_count_map(conv, "conv_id", "text")
     return m.select(
         "conv_id",
@@ -47,13 +55,12 @@ def q_word_count_map(spark, sf):
 
 
 def q_doc_word_count(spark, sf):
-    docs = _t(spark, sf, "documents").select("doc_id", "text")
-    m = wordcount.text_word_count(docs, "text")
-    return m.select("doc_id", F.explode("word_count").alias("word", "n"))
+    docs = _wide(spark, sf, "documents", "doc_id", "text")
+    return wordcount.text_word_rows(docs, "doc_id", "text")
 
 
 def q_top_words(spark, sf):
-    conv = _t(spark, sf, "conversations")
+    conv = _wide(spark, sf, "conversations", "conv_id", "text")
     busiest = (
         conv.groupBy("conv_id").agg(F.count(F.lit(1)).alias("turns"))
         .orderBy(F.desc("turns"), F.asc("conv_id")).limit(20).select("conv_id")
@@ -88,20 +95,20 @@ def q_watermark_advance(spark, sf):
 
 
 def _doc_lines(spark, sf):
-    docs = _t(spark, sf, "documents").select("doc_id", "text")
+    docs = _wide(spark, sf, "documents", "doc_id", "text")
     lines = F.transform(F.split("text", "\n"), lambda l, i: F.struct(l.alias("line"), i.alias("pos")))
     return docs.select("doc_id", lines.alias("lines")).where(F.col("lines").isNotNull())
 
 
 def q_explode_nested(spark, sf):
     d = _doc_lines(spark, sf)
-    return d.select("doc_id", F.explode("lines").alias("l")).select("doc_id", "l.pos", "l.line")
+    return explode_rows(d, ["doc_id"], F.col("lines"), "l").select("doc_id", "l.pos", "l.line")
 
 
 def q_keep_last_nested(spark, sf):
     d = _doc_lines(spark, sf)
     kept = nested.keep_last_in_array("lines", ["line"])
-    return d.select("doc_id", F.explode(kept).alias("l")).select("doc_id", "l.pos", "l.line")
+    return explode_rows(d, ["doc_id"], kept, "l").select("doc_id", "l.pos", "l.line")
 
 
 def q_json_records(spark, sf):
@@ -269,7 +276,7 @@ def q_truncate_trim(spark, sf):
 
 
 def q_html_links(spark, sf):
-    pages = _t(spark, sf, "pages").select("page_id", "html")
+    pages = _wide(spark, sf, "pages", "page_id", "html")
     return H.links(pages)
 
 

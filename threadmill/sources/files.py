@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from threadmill.functions.text import explode_rows
+
 # Fixed values (must equal the reference's): landing layout
 # files/{entity}/{raw|clean}/{yyyyMMddHHmmss}.{csv|json}.gz
 RUN_STAMP_FORMAT = "%Y%m%d%H%M%S"
@@ -49,7 +51,7 @@ def read_legacy_concatenated_json(spark: SparkSession, path: str, schema: T.Stru
     """
     boundary = r'(?<=\})(?=\{"' + first_key + r'":)'
     lines = spark.read.text(path)
-    objs = lines.select(F.explode(F.split("value", boundary)).alias("j")).where(F.length("j") > 0)
+    objs = explode_rows(lines, [], F.split("value", boundary), "j").where(F.length("j") > 0)
     return objs.select(F.from_json("j", schema).alias("r")).select("r.*")
 
 
