@@ -1,0 +1,121 @@
+"""End-to-end: two incremental batches through the threads/participants and
+users steps; a rerun changes nothing; streaming ingest equals the batch."""
+
+import datetime as dt
+import os
+import tempfile
+
+from pyspark.sql import functions as F
+
+from threadmill.plans import etl
+from threadmill.schemas import THREADS_RAW, USERS_RAW, WATERMARK
+from threadmill.sources import extract, files, tables
+from threadmill.streaming import ingest
+
+D1, D2, D3 = dt.datetime(2022, 6, 19, 8), dt.datetime(2022, 6, 20, 8), dt.datetime(2022, 6, 21, 8)
+
+
+def _p(uid, reply, ts):
+    return (uid, f"u{uid}", reply, ts, 0, 0)
+
+
+def _threads(spark, rows):
+    return spark.createDataFrame(rows, THREADS_RAW)
+
+
+def _roots():
+    d = tempfile.mkdtemp(prefix="tm-etl-", dir="/tmp")
+    return etl.Roots(*(os.path.join(d, n) for n in ("state", "threads", "users", "participants", "rejects", "staging")))
+
+
+def test_threads_two_batches_and_rerun(spark):
+    roots = _roots()
+    a = [
+        (1, "Review of a keyboard", "an", 7, "12K", "3M",
+         [_p(7, "good, good keyboard!", "Jun 12, 2022 3:04 PM"), _p(8, "Good.", "Jun 12, 2022 3:05 PM"),
+          _p(7, "again", "Jun 12, 2022 3:04 PM")],
+         "Jun 12, 2022 at 3:04 PM", D1, 33, ["Sticky"]),
+        (2, "Review of a keyboard", "bo", 8, None, "45", None, "Jun 13, 2022 at 1:00 AM", D1, 33, None),
+        (3, "Empty", "cy", 9, "1.5K", "0", [], "bad", D2, 33, ["Locked"]),
+    ]
+    src1 = _threads(spark, a)
+    run1 = dt.datetime(2022, 6, 21, 9)
+    etl.threads_and_participants(spark, src1, roots, run1)
+    th = {r["thread_id"]: r for r in tables.read(spark, roots.threads).collect()}
+    assert set(th) == {1, 2, 3}
+    assert th[1]["reply_count"] == 12000 and th[1]["view_count"] == 3000000
+    # word counts run over every reply of the thread (keep-last is for the participants table only)
+    assert th[1]["word_count"] == {"good": 2, "keyboard": 1, "Good": 1, "again": 1}
+    assert th[2]["word_count"] is None and th[2]["reply_count"] is None
+    assert th[3]["word_count"] == {} and th[3]["reply_count"] == 1500 and th[3]["created_at"] is None
+    assert th[1]["status"] == ["Sticky", "Open"] and th[2]["status"] == ["Open"] and th[3]["status"] == ["Locked"]
+    parts = tables.read_appended(spark, roots.participants, etl.PARTICIPANTS_CLEAN).collect()
+    assert sorted((r["thread_id"], r["user_id"], r["reply"]) for r in parts) == [(1, 7, "again"), (1, 8, "Good.")]
+    wm = extract.read_watermark(tables.read(spark, roots.state, WATERMARK), "threads")
+    assert wm == D2
+
+    # batch 2: the source now also has an updated thread 2 and a new thread 4; rows at the watermark are old
+    b = a[:2] + [
+        (3, "Empty", "cy", 9, "1.5K", "0", [], "bad", D2, 33, ["Locked"]),
+        (2, "Review of a keyboard", "bo", 8, "50", "46", [_p(9, "hi there", "Jun 20, 2022 1:00 AM")],
+         "Jun 13, 2022 at 1:00 AM", D3, 33, None),
+        (4, "New", "dy", 10, "1", "2", None, "Jun 21, 2022 at 1:00 AM", D3, 33, None),
+    ]
+    src2 = _threads(spark, b).where(~((F.col("thread_id") == 2) & (F.col("updated_at") == D1)))
+    run2 = dt.datetime(2022, 6, 22, 9)
+    etl.threads_and_participants(spark, src2, roots, run2)
+    th = {r["thread_id"]: r for r in tables.read(spark, roots.threads).collect()}
+    assert set(th) == {1, 2, 3, 4} and th[2]["reply_count"] == 50 and th[2]["word_count"] == {"hi": 1, "there": 1}
+    snapshot = sorted(map(str, tables.read(spark, roots.threads).collect()))
+    n_parts = len(tables.read_appended(spark, roots.participants, etl.PARTICIPANTS_CLEAN).collect())
+    assert n_parts == 3
+
+    # rerun of batch 2 with the inclusive comparison: tables unchanged, no duplicate participants
+    etl.threads_and_participants(spark, src2, roots, run2, inclusive=True)
+    assert sorted(map(str, tables.read(spark, roots.threads).collect())) == snapshot
+    assert len(tables.read_appended(spark, roots.participants, etl.PARTICIPANTS_CLEAN).collect()) == n_parts
+
+
+def test_users_step_rejects_duplicates_and_fills_location(spark):
+    roots = _roots()
+    rows = [
+        (1, "an", "Member", None, "Jun 2, 2022", "Jun 12, 2022 3:04 PM", 1, 2, 3, "Jun 12, 2022 03:04 PM", D1),
+        (2, "bo", "Member", "NA", "Jun 3, 2022", None, 0, 0, 0, None, D1),
+        (3, "cy", "Member", "  ", "Jun 4, 2022", None, 0, 0, 0, None, D1),
+        (4, "dy", "Member", "Ha Noi", "Jun 5, 2022", None, 0, 0, 0, None, D1),
+        (4, "dy2", "Member", "Ha Noi", "Jun 5, 2022", None, 0, 0, 0, None, D1),
+        (5, "ey", "x" * 150, "Ha Noi", "Jun 5, 2022", None, 0, 0, 0, None, D1),
+    ]
+    etl.users(spark, spark.createDataFrame(rows, USERS_RAW), roots, dt.datetime(2022, 6, 21))
+    us = {r["user_id"]: r for r in tables.read(spark, roots.users).collect()}
+    assert set(us) == {1, 2, 3, 5}
+    assert us[1]["location"] == "Namek" and us[2]["location"] == "NA" and us[3]["location"] == "Namek"
+    assert us[1]["join_date"] == dt.date(2022, 6, 2) and us[1]["last_seen"] == dt.datetime(2022, 6, 12, 15, 4)
+    assert len(us[5]["title"]) == 100
+    rej = spark.read.parquet(roots.rejects).collect()
+    assert sorted((r["user_id"], r["reject_reason"]) for r in rej) == [(4, "duplicate key"), (4, "duplicate key")]
+
+
+def test_streaming_ingest_equals_batch_and_is_once_only(spark):
+    d = tempfile.mkdtemp(prefix="tm-stream-", dir="/tmp")
+    landing, archive, ckpt, target = (os.path.join(d, n) for n in ("landing", "archive", "ckpt", "target"))
+    schema = "c_custkey long, c_name string, c_acctbal double"
+    cust = spark.read.parquet("/root/testdata/sf0.001/customer.parquet").select("c_custkey", "c_name", "c_acctbal")
+    files.write_tsv(cust.where("c_custkey % 2 = 0"), os.path.join(landing, "b1"), mode="overwrite")
+    files.write_tsv(cust.withColumn("c_acctbal", F.col("c_acctbal") + 1).where("c_custkey < 50"),
+                    os.path.join(landing, "b2"), mode="overwrite")
+    from pyspark.sql import types as T
+
+    st = T.StructType.fromDDL(schema) if hasattr(T.StructType, "fromDDL") else spark.createDataFrame([], schema).schema
+    stream = ingest.landing_stream(spark, landing + "/*", st, "tsv", archive_dir=archive, max_files_per_trigger=1)
+    ingest.run_available_now(stream, ingest.upsert_batches(target, "c_custkey"), ckpt)
+    got = {r["c_custkey"]: r["c_acctbal"] for r in tables.read(spark, target).collect()}
+    # batch equivalent: b1, then b2 replacing by key
+    want = {r["c_custkey"]: r["c_acctbal"] for r in cust.where("c_custkey % 2 = 0").collect()}
+    want.update({r["c_custkey"]: r["c_acctbal"] + 1 for r in cust.where("c_custkey < 50").collect()})
+    assert got == want
+    v = tables.current_version(spark, target)
+    # second run: nothing new, no batch, no new version
+    stream2 = ingest.landing_stream(spark, landing + "/*", st, "tsv", archive_dir=archive)
+    ingest.run_available_now(stream2, ingest.upsert_batches(target, "c_custkey"), ckpt)
+    assert tables.current_version(spark, target) == v
