@@ -272,6 +272,69 @@ def q_truncate_trim(spark, sf):
     return docs.select("doc_id", S.truncate_trim("text", 100).alias("head"))
 
 
+# ------------------------------------------------------------------ more inventory items
+
+
+def q_word_count_lower(spark, sf):
+    conv = _wide(spark, sf, "conversations", "conv_id", "text")
+    return wordcount.word_counts(conv, "conv_id", "text", lower_case=True)
+
+
+def _order_labels():
+    return (
+        F.when(F.col("o_orderstatus") == "F", F.array(F.lit("Locked")))
+        .when(F.col("o_orderstatus") == "P", F.array(F.lit("Sticky")))
+        .otherwise(F.array().cast("array<string>"))
+    )
+
+
+def q_status_rows(spark, sf):
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    threads = o.select(F.col("o_orderkey"), S.status_array(_order_labels()).alias("status"))
+    return nested.explode_status(threads, key="o_orderkey")
+
+
+def q_flag_first_n(spark, sf):
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    out = listing.flag_first_n(o, 10, [F.desc("o_totalprice"), F.asc("o_orderkey")], "o_orderkey")
+    return out.select("o_orderkey", "enriched")
+
+
+def q_number_separators(spark, sf):
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    txt = F.format_number(F.floor("o_totalprice").cast("bigint"), 0)
+    return o.select("o_orderkey", txt.alias("txt"), S.int_with_separators(txt).alias("n"))
+
+
+def q_text_after_marker(spark, sf):
+    pages = _t(spark, sf, "pages").select("page_id", "url")
+    return pages.select("page_id", S.text_after_marker("url", "/", "none").alias("tail"))
+
+
+def q_nested_to_json(spark, sf):
+    ev = _t(spark, sf, "events").select("event_id", "event_type", "user_id")
+    return ev.select("event_id", nested.to_json_text(F.struct("event_id", "event_type", "user_id")).alias("j"))
+
+
+def q_invalid_chars(spark, sf):
+    pages = _wide(spark, sf, "pages", "page_id", "html")
+    return pages.select("page_id", F.length(S.replace_invalid_utf8(F.col("html").cast("binary"))).alias("n_chars"))
+
+
+def q_repr_cells(spark, sf):
+    from pyspark.sql import types as T
+
+    ev = _t(spark, sf, "events").select("event_id", "props")
+    cell = F.concat(F.lit("["), F.regexp_replace("props", '"', "'"), F.lit("]"))
+    elem = T.StructType([T.StructField("k", T.IntegerType())])
+    return explode_rows(ev, ["event_id"], nested.decode_repr_cell(cell, elem), "r").select("event_id", "r.k")
+
+
+def q_keep_last_turn(spark, sf):
+    conv = _t(spark, sf, "conversations")
+    return dedupe.keep_last(conv, ["conv_id", "role"], "turn")
+
+
 # ------------------------------------------------------------------ HTML
 
 
@@ -311,6 +374,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "id_from_url": q_id_from_url,
     "truncate_trim": q_truncate_trim,
     "html_links": q_html_links,
+    "word_count_lower": q_word_count_lower,
+    "status_rows": q_status_rows,
+    "flag_first_n": q_flag_first_n,
+    "number_separators": q_number_separators,
+    "text_after_marker": q_text_after_marker,
+    "nested_to_json": q_nested_to_json,
+    "invalid_chars": q_invalid_chars,
+    "repr_cells": q_repr_cells,
+    "keep_last_turn": q_keep_last_turn,
 }
 
 
@@ -447,4 +519,30 @@ ORACLE_SQL: dict[str, str] = {
         SELECT page_id, CAST(pos AS INTEGER) AS pos, href FROM (
           SELECT page_id, unnest(range(0, len(regexp_extract_all(html, '<a href="([^"]*)"', 1)))) AS pos,
                  unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages)""",
+    "word_count_lower": f"""
+        SELECT conv_id, word, count(*) AS n
+        FROM (SELECT conv_id, unnest(string_split_regex(lower(translate(text, '{_P}', '')), '\\s+')) AS word
+              FROM conversations)
+        WHERE word <> '' GROUP BY conv_id, word""",
+    "status_rows": """
+        SELECT o_orderkey, unnest(CASE o_orderstatus WHEN 'F' THEN ['Locked'] WHEN 'P' THEN ['Sticky', 'Open']
+                                                     ELSE ['Open'] END) AS status FROM orders""",
+    "flag_first_n": """
+        SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) <= 10 AS enriched
+        FROM orders""",
+    "number_separators": """
+        SELECT o_orderkey, txt, CAST(replace(txt, ',', '') AS INTEGER) AS n FROM (
+          SELECT o_orderkey, format('{:,}', CAST(floor(o_totalprice) AS BIGINT)) AS txt FROM orders)""",
+    "text_after_marker": """
+        SELECT page_id, CASE WHEN contains(url, '/') THEN trim(string_split(url, '/')[-1]) ELSE 'none' END AS tail
+        FROM pages""",
+    "nested_to_json": """
+        SELECT event_id, CAST(json_object('event_id', event_id, 'event_type', event_type, 'user_id', user_id)
+                              AS VARCHAR) AS j FROM events""",
+    "invalid_chars": "SELECT page_id, CAST(length(html) AS INTEGER) AS n_chars FROM pages",
+    "repr_cells": "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events",
+    "keep_last_turn": """
+        SELECT conv_id, turn, role, text FROM (
+          SELECT *, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn DESC) AS rn FROM conversations)
+        WHERE rn = 1""",
 }
