@@ -15,6 +15,10 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     from threadmill.session import get_spark
 
-    s = get_spark("threadmill-tests", master="local[*]", shuffle_partitions=8)
+    import tempfile
+
+    warehouse = tempfile.mkdtemp(prefix="tm-warehouse-", dir="/tmp")
+    s = get_spark("threadmill-tests", master="local[*]", shuffle_partitions=8,
+                  extra={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()

@@ -53,12 +53,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     On a cluster this is whatever the deployment put in
-    ``spark.checkpoint.dir`` (a shared file system). Only when the setting is
-    absent (tests, local runs) is a scratch folder created and set.
+    ``spark.checkpoint.dir`` (a shared file system); it is read, never
+    invented. Only a local-mode session without the setting (tests, local
+    runs) gets a scratch folder.
     """
     sc = spark.sparkContext
     path = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: point it at a shared folder (HDFS, object store)")
         path = tempfile.mkdtemp(prefix="threadmill-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
