@@ -41,7 +41,7 @@ def test_threads_two_batches_and_rerun(spark):
     src1 = _threads(spark, a)
     run1 = dt.datetime(2022, 6, 21, 9)
     etl.threads_and_participants(spark, src1, roots, run1)
-    th = {r["thread_id"]: r for r in tables.read(spark, roots.threads).collect()}
+    th = {r["thread_id"]: r for r in tables.read_partitioned(spark, roots.threads).collect()}
     assert set(th) == {1, 2, 3}
     assert th[1]["reply_count"] == 12000 and th[1]["view_count"] == 3000000
     # word counts run over every reply of the thread (keep-last is for the participants table only)
@@ -64,15 +64,15 @@ def test_threads_two_batches_and_rerun(spark):
     src2 = _threads(spark, b).where(~((F.col("thread_id") == 2) & (F.col("updated_at") == D1)))
     run2 = dt.datetime(2022, 6, 22, 9)
     etl.threads_and_participants(spark, src2, roots, run2)
-    th = {r["thread_id"]: r for r in tables.read(spark, roots.threads).collect()}
+    th = {r["thread_id"]: r for r in tables.read_partitioned(spark, roots.threads).collect()}
     assert set(th) == {1, 2, 3, 4} and th[2]["reply_count"] == 50 and th[2]["word_count"] == {"hi": 1, "there": 1}
-    snapshot = sorted(map(str, tables.read(spark, roots.threads).collect()))
+    snapshot = sorted(map(str, tables.read_partitioned(spark, roots.threads).collect()))
     n_parts = len(tables.read_appended(spark, roots.participants, etl.PARTICIPANTS_CLEAN).collect())
     assert n_parts == 3
 
     # rerun of batch 2 with the inclusive comparison: tables unchanged, no duplicate participants
     etl.threads_and_participants(spark, src2, roots, run2, inclusive=True)
-    assert sorted(map(str, tables.read(spark, roots.threads).collect())) == snapshot
+    assert sorted(map(str, tables.read_partitioned(spark, roots.threads).collect())) == snapshot
     assert len(tables.read_appended(spark, roots.participants, etl.PARTICIPANTS_CLEAN).collect()) == n_parts
 
 
@@ -87,7 +87,7 @@ def test_users_step_rejects_duplicates_and_fills_location(spark):
         (5, "ey", "x" * 150, "Ha Noi", "Jun 5, 2022", None, 0, 0, 0, None, D1),
     ]
     etl.users(spark, spark.createDataFrame(rows, USERS_RAW), roots, dt.datetime(2022, 6, 21))
-    us = {r["user_id"]: r for r in tables.read(spark, roots.users).collect()}
+    us = {r["user_id"]: r for r in tables.read_partitioned(spark, roots.users).collect()}
     assert set(us) == {1, 2, 3, 5}
     assert us[1]["location"] == "Namek" and us[2]["location"] == "NA" and us[3]["location"] == "Namek"
     assert us[1]["join_date"] == dt.date(2022, 6, 2) and us[1]["last_seen"] == dt.datetime(2022, 6, 12, 15, 4)
@@ -119,3 +119,28 @@ def test_streaming_ingest_equals_batch_and_is_once_only(spark):
     stream2 = ingest.landing_stream(spark, landing + "/*", st, "tsv", archive_dir=archive)
     ingest.run_available_now(stream2, ingest.upsert_batches(target, "c_custkey"), ckpt)
     assert tables.current_version(spark, target) == v
+
+
+def test_partitioned_upsert_rewrites_only_touched_buckets(spark):
+    from threadmill.operators import upsert
+
+    root = tempfile.mkdtemp(prefix="tm-part-", dir="/tmp") + "/t"
+    rule = lambda p, s: upsert.upsert_replace(p, s, "id")
+    base = spark.range(0, 1000).withColumn("v", F.lit("old"))
+    assert tables.upsert_partitioned(base, root, "id", 100, rule) == 10
+    files_before = {b: sorted(os.listdir(os.path.join(root, f"key_bucket={b}"))) for b in range(10)}
+    stg = spark.range(150, 260).withColumn("v", F.lit("new")).unionByName(
+        spark.range(5000, 5003).withColumn("v", F.lit("new")))
+    assert tables.upsert_partitioned(stg, root, "id", 100, rule) == 3  # buckets 1, 2 and 50
+    t = tables.read_partitioned(spark, root)
+    assert t.count() == 1003 and t.where("v = 'new'").count() == 113
+    ids = [r["id"] for r in t.select("id").collect()]
+    assert len(ids) == len(set(ids))
+    # buckets 0 and 3..9 keep their files; 1, 2 are rewritten; 50 is new
+    for b in [0] + list(range(3, 10)):
+        assert sorted(os.listdir(os.path.join(root, f"key_bucket={b}"))) == files_before[b]
+    assert sorted(os.listdir(os.path.join(root, "key_bucket=1"))) != files_before[1]
+    # rerun of the same batch changes nothing
+    snap = sorted(map(tuple, t.collect()))
+    tables.upsert_partitioned(stg, root, "id", 100, rule)
+    assert sorted(map(tuple, tables.read_partitioned(spark, root).collect())) == snap

@@ -19,8 +19,7 @@ from pyspark.sql import functions as F
 from threadmill.functions import scalars as S
 from threadmill.operators import dedupe, joins, nested, upsert, wordcount
 from threadmill.plans import html as H
-from threadmill.schemas import (KEYS, NOT_NULL, PARTICIPANTS_CLEAN, THREADS_CLEAN, USERS_CLEAN, WATERMARK,
-                                WIDTHS, columns)
+from threadmill.schemas import KEYS, NOT_NULL, PARTICIPANTS_CLEAN, WATERMARK, WIDTHS, columns
 from threadmill.sources import extract, tables
 
 
@@ -29,11 +28,12 @@ class Roots:
     """Where the tables of one deployment live (shared storage)."""
 
     state: str          # watermarks: versioned table of (entity, updated_at)
-    threads: str        # versioned warehouse threads
-    users: str          # versioned warehouse users
+    threads: str        # warehouse threads, partitioned by key range (upserts rewrite touched ranges)
+    users: str          # warehouse users, partitioned by key range
     participants: str   # append-only warehouse participants
     rejects: str        # staging rows refused by the checks (append-only)
     staging: str        # run-scoped staging area (lineage cut between steps)
+    key_width: int = 100_000  # ids per partition of the warehouse tables
 
 
 # ----------------------------------------------------------------------------- transforms
@@ -91,14 +91,19 @@ def _stage(df: DataFrame, root: str, name: str, run_ts: _dt.datetime) -> DataFra
     return df.sparkSession.read.parquet(path)
 
 
-def _upsert_into(spark: SparkSession, stg: DataFrame, root: str, entity: str, schema, rejects_root: str,
-                 protect=None) -> int:
+def _upsert_into(spark: SparkSession, stg: DataFrame, root: str, entity: str, roots: Roots, protect=None) -> int:
+    """Check the batch (rejects kept aside), then merge it into the touched key
+    ranges of the warehouse table (J3, or J4 with `protect`)."""
     checked = upsert.check_staging(stg, KEYS[entity], NOT_NULL.get(entity, ()), None)
-    tables.append(checked.rejects.withColumn("entity", F.lit(entity)), rejects_root)
-    prod = tables.read(spark, root, schema)
-    merged = (upsert.upsert_protect(prod, checked.good, KEYS[entity], protect) if protect is not None
-              else upsert.upsert_replace(prod, checked.good, KEYS[entity]))
-    return tables.write_version(merged, root, key=KEYS[entity])
+    tables.append(checked.rejects.withColumn("entity", F.lit(entity)), roots.rejects)
+    keys = KEYS[entity]
+
+    def merge(prod, batch):
+        if protect is not None:
+            return upsert.upsert_protect(prod, batch, keys, protect)
+        return upsert.upsert_replace(prod, batch, keys)
+
+    return tables.upsert_partitioned(checked.good, root, keys, roots.key_width, merge)
 
 
 def threads_and_participants(spark: SparkSession, source: DataFrame, roots: Roots, run_ts: _dt.datetime,
@@ -110,7 +115,7 @@ def threads_and_participants(spark: SparkSession, source: DataFrame, roots: Root
     wm = extract.read_watermark(state, "threads")
     batch = _stage(extract.incremental(source, "updated_at", wm, inclusive), roots.staging, "threads_raw", run_ts)
 
-    v_threads = _upsert_into(spark, clean_threads(batch), roots.threads, "threads", THREADS_CLEAN, roots.rejects)
+    touched = _upsert_into(spark, clean_threads(batch), roots.threads, "threads", roots)
 
     parts = clean_participants(batch)
     seen = tables.read_appended(spark, roots.participants, PARTICIPANTS_CLEAN)
@@ -122,7 +127,7 @@ def threads_and_participants(spark: SparkSession, source: DataFrame, roots: Root
 
     new_wm = extract.next_watermark(batch, "updated_at", "threads")
     v_state = tables.write_version(extract.merge_watermarks(state, new_wm), roots.state)
-    return {"threads_version": v_threads, "state_version": v_state}
+    return {"threads_buckets": touched, "state_version": v_state}
 
 
 def users(spark: SparkSession, source: DataFrame, roots: Roots, run_ts: _dt.datetime,
@@ -131,10 +136,10 @@ def users(spark: SparkSession, source: DataFrame, roots: Roots, run_ts: _dt.date
     state = tables.read(spark, roots.state, WATERMARK)
     wm = extract.read_watermark(state, "users")
     batch = _stage(extract.incremental(source, "updated_at", wm, inclusive), roots.staging, "users_raw", run_ts)
-    v = _upsert_into(spark, clean_users(batch, default_location), roots.users, "users", USERS_CLEAN, roots.rejects)
+    touched = _upsert_into(spark, clean_users(batch, default_location), roots.users, "users", roots)
     new_wm = extract.next_watermark(batch, "updated_at", "users")
     v_state = tables.write_version(extract.merge_watermarks(state, new_wm), roots.state)
-    return {"users_version": v, "state_version": v_state}
+    return {"users_buckets": touched, "state_version": v_state}
 
 
 # ----------------------------------------------------------------------------- collection loads

@@ -7,9 +7,11 @@ marks. `trigger(availableNow=True)` turns the stream into an incremental
 batch job: it takes everything new, in bounded micro-batches, then stops; a
 second run with no new file runs no batch.
 
-Each micro-batch is merged into a versioned table (`foreachBatch`). The merge
-is idempotent by batch id: the id is stored in the table's commit record and a
-replayed batch (after a failure between commit and checkpoint) is skipped.
+Each micro-batch is merged into a keyed table (`foreachBatch`): either a
+partitioned upsert table (only touched key ranges rewritten; the rules are
+idempotent, so a replayed batch changes nothing) or a versioned table, where
+the batch id is stored in the commit record and a replayed batch (after a
+failure between commit and checkpoint) is skipped.
 """
 
 from __future__ import annotations
@@ -42,19 +44,31 @@ def landing_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: st
 
 
 def upsert_batches(target_root: str, keys, transform: Callable[[DataFrame], DataFrame] | None = None,
-                   locked=None) -> Callable[[DataFrame, int], None]:
+                   locked=None, key_width: int | None = None) -> Callable[[DataFrame, int], None]:
     """A `foreachBatch` body merging each micro-batch into `target_root`
-    (J3, or J4 when `locked` is given), skipping batch ids already committed."""
+    (J3, or J4 when `locked` is given).
+
+    With `key_width` the target is a partitioned upsert table and only the key
+    ranges a batch touches are rewritten; a replayed batch is harmless there,
+    as both rules are idempotent. Without it the target is a versioned table
+    and batch ids already committed are skipped.
+    """
+
+    def rule(prod: DataFrame, stg: DataFrame) -> DataFrame:
+        if locked is not None:
+            return upsert.upsert_protect(prod, stg, keys, locked)
+        return upsert.upsert_replace(prod, stg, keys)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        stg = transform(batch) if transform else batch
+        if key_width is not None:
+            tables.upsert_partitioned(stg, target_root, keys, key_width, rule)
+            return
         if batch_id in tables.committed_batches(spark, target_root):
             return
-        stg = transform(batch) if transform else batch
         prod = tables.read(spark, target_root, stg.schema)
-        merged = (upsert.upsert_protect(prod, stg, keys, locked) if locked is not None
-                  else upsert.upsert_replace(prod, stg, keys))
-        tables.write_version(merged, target_root, key=keys, batch_id=batch_id)
+        tables.write_version(rule(prod, stg), target_root, key=keys, batch_id=batch_id)
 
     return merge
 
