@@ -49,7 +49,7 @@ def test_threads_two_batches_and_rerun(spark):
     assert th[2]["word_count"] is None and th[2]["reply_count"] is None
     assert th[3]["word_count"] == {} and th[3]["reply_count"] == 1500 and th[3]["created_at"] is None
     assert th[1]["status"] == ["Sticky", "Open"] and th[2]["status"] == ["Open"] and th[3]["status"] == ["Locked"]
-    parts = tables.read_appended(spark, roots.participants, etl.PARTICIPANTS_CLEAN).collect()
+    parts = tables.read_partitioned(spark, roots.participants).collect()
     assert sorted((r["thread_id"], r["user_id"], r["reply"]) for r in parts) == [(1, 7, "again"), (1, 8, "Good.")]
     wm = extract.read_watermark(tables.read(spark, roots.state, WATERMARK), "threads")
     assert wm == D2
@@ -67,13 +67,13 @@ def test_threads_two_batches_and_rerun(spark):
     th = {r["thread_id"]: r for r in tables.read_partitioned(spark, roots.threads).collect()}
     assert set(th) == {1, 2, 3, 4} and th[2]["reply_count"] == 50 and th[2]["word_count"] == {"hi": 1, "there": 1}
     snapshot = sorted(map(str, tables.read_partitioned(spark, roots.threads).collect()))
-    n_parts = len(tables.read_appended(spark, roots.participants, etl.PARTICIPANTS_CLEAN).collect())
+    n_parts = len(tables.read_partitioned(spark, roots.participants).collect())
     assert n_parts == 3
 
     # rerun of batch 2 with the inclusive comparison: tables unchanged, no duplicate participants
     etl.threads_and_participants(spark, src2, roots, run2, inclusive=True)
     assert sorted(map(str, tables.read_partitioned(spark, roots.threads).collect())) == snapshot
-    assert len(tables.read_appended(spark, roots.participants, etl.PARTICIPANTS_CLEAN).collect()) == n_parts
+    assert len(tables.read_partitioned(spark, roots.participants).collect()) == n_parts
 
 
 def test_users_step_rejects_duplicates_and_fills_location(spark):

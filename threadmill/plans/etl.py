@@ -30,7 +30,7 @@ class Roots:
     state: str          # watermarks: versioned table of (entity, updated_at)
     threads: str        # warehouse threads, partitioned by key range (upserts rewrite touched ranges)
     users: str          # warehouse users, partitioned by key range
-    participants: str   # append-only warehouse participants
+    participants: str   # append-only warehouse participants, partitioned by thread range
     rejects: str        # staging rows refused by the checks (append-only)
     staging: str        # run-scoped staging area (lineage cut between steps)
     key_width: int = 100_000  # ids per partition of the warehouse tables
@@ -117,13 +117,10 @@ def threads_and_participants(spark: SparkSession, source: DataFrame, roots: Root
 
     touched = _upsert_into(spark, clean_threads(batch), roots.threads, "threads", roots)
 
-    parts = clean_participants(batch)
-    seen = tables.read_appended(spark, roots.participants, PARTICIPANTS_CLEAN)
-    key = KEYS["participants"]
-    # null-safe anti join on the comment key, so a rerun appends nothing twice
-    cond = [parts[k].eqNullSafe(seen[k]) for k in key]
-    new_parts = parts.join(seen.select(*key), cond, "left_anti")
-    tables.append(new_parts, roots.participants, key="thread_id")
+    # Append only comments not stored yet (null-safe on the comment key),
+    # comparing against the touched thread ranges only: a rerun appends nothing
+    tables.append_new_partitioned(clean_participants(batch), roots.participants, KEYS["participants"],
+                                  roots.key_width)
 
     new_wm = extract.next_watermark(batch, "updated_at", "threads")
     v_state = tables.write_version(extract.merge_watermarks(state, new_wm), roots.state)

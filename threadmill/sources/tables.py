@@ -183,3 +183,32 @@ def upsert_partitioned(stg: DataFrame, root: str, keys, width: int, merge) -> in
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET).parquet(root))
     return len(touched)
+
+
+def append_new_partitioned(rows: DataFrame, root: str, keys, width: int, max_broadcast: int | None = None) -> int:
+    """B10 + D15 for a large append-only table partitioned like the upsert
+    tables: append only rows whose (null-safe) key is not stored yet.
+
+    Stored rows are read from the touched buckets only and narrowed to the
+    batch's first-key values (checked broadcast) before the anti join, so the
+    work follows the batch, not the table. Returns the touched bucket count.
+    """
+    from threadmill.operators.joins import MAX_BROADCAST_KEYS, checked_broadcast
+
+    spark = rows.sparkSession
+    ks = [keys] if isinstance(keys, str) else list(keys)
+    staged = rows.withColumn(BUCKET, bucket_column(ks[0], width))
+    touched = [r[0] for r in staged.select(BUCKET).distinct().collect()]
+    if not touched:
+        return 0
+    new = staged
+    try:
+        stored = spark.read.parquet(root).where(F.col(BUCKET).isin(touched)).select(*ks)
+        first, _ = checked_broadcast(staged.select(ks[0]).distinct(), max_broadcast or MAX_BROADCAST_KEYS)
+        stored = stored.join(first, ks[0], "left_semi")
+        cond = [staged[k].eqNullSafe(stored[k]) for k in ks]
+        new = staged.join(stored, cond, "left_anti")
+    except AnalysisException:
+        pass
+    new.repartition(BUCKET).sortWithinPartitions(*ks).write.mode("append").partitionBy(BUCKET).parquet(root)
+    return len(touched)
