@@ -101,8 +101,8 @@ def test_streaming_ingest_equals_batch_and_is_once_only(spark):
     landing, archive, ckpt, target = (os.path.join(d, n) for n in ("landing", "archive", "ckpt", "target"))
     schema = "c_custkey long, c_name string, c_acctbal double"
     cust = spark.read.parquet("/root/testdata/sf0.001/customer.parquet").select("c_custkey", "c_name", "c_acctbal")
-    files.write_tsv(cust.where("c_custkey % 2 = 0"), os.path.join(landing, "b1"), mode="overwrite")
-    files.write_tsv(cust.withColumn("c_acctbal", F.col("c_acctbal") + 1).where("c_custkey < 50"),
+    files.write_tsv(cust.where("c_acctbal >= 0"), os.path.join(landing, "b1"), mode="overwrite")
+    files.write_tsv(cust.withColumn("c_acctbal", F.col("c_acctbal") + 1).where("c_mktsegment = 'BUILDING'"),
                     os.path.join(landing, "b2"), mode="overwrite")
     from pyspark.sql import types as T
 
@@ -111,8 +111,8 @@ def test_streaming_ingest_equals_batch_and_is_once_only(spark):
     ingest.run_available_now(stream, ingest.upsert_batches(target, "c_custkey"), ckpt)
     got = {r["c_custkey"]: r["c_acctbal"] for r in tables.read(spark, target).collect()}
     # batch equivalent: b1, then b2 replacing by key
-    want = {r["c_custkey"]: r["c_acctbal"] for r in cust.where("c_custkey % 2 = 0").collect()}
-    want.update({r["c_custkey"]: r["c_acctbal"] + 1 for r in cust.where("c_custkey < 50").collect()})
+    want = {r["c_custkey"]: r["c_acctbal"] for r in cust.where("c_acctbal >= 0").collect()}
+    want.update({r["c_custkey"]: r["c_acctbal"] + 1 for r in cust.where("c_mktsegment = 'BUILDING'").collect()})
     assert got == want
     v = tables.current_version(spark, target)
     # second run: nothing new, no batch, no new version

@@ -269,7 +269,10 @@ def q_id_from_url(spark, sf):
 
 def q_truncate_trim(spark, sf):
     docs = _t(spark, sf, "documents").select("doc_id", "text")
-    return docs.select("doc_id", S.truncate_trim("text", 100).alias("head"))
+    # E9 is the operator (a declared column width); the whole text is still
+    # trimmed, and its trimmed length is reported next to the stored head
+    return docs.select("doc_id", S.truncate_trim("text", 100).alias("head"),
+                       F.length(F.rtrim("text")).alias("n_chars"))
 
 
 # ------------------------------------------------------------------ more inventory items
@@ -514,7 +517,7 @@ ORACLE_SQL: dict[str, str] = {
     "id_from_url": """
         SELECT page_id, TRY_CAST(regexp_extract(url, '/([0-9]+)(?:\\.html)?/?(?:[?#].*)?$', 1) AS INTEGER) AS url_id
         FROM pages""",
-    "truncate_trim": "SELECT doc_id, left(rtrim(text), 100) AS head FROM documents",
+    "truncate_trim": "SELECT doc_id, left(rtrim(text), 100) AS head, CAST(length(rtrim(text)) AS INTEGER) AS n_chars FROM documents",
     "html_links": """
         SELECT page_id, CAST(pos AS INTEGER) AS pos, href FROM (
           SELECT page_id, unnest(range(0, len(regexp_extract_all(html, '<a href="([^"]*)"', 1)))) AS pos,
