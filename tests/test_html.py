@@ -128,3 +128,37 @@ def test_online_members_keep_last(spark):
     pages = _pages(spark, [(1, "https://f.example/online/page-1", CARD), (2, "https://f.example/online/page-2", later)])
     rows = H.online_members(pages, run).collect()
     assert len(rows) == 1 and rows[0]["title"] == "Veteran" and rows[0]["updated_at"] == run
+
+
+def test_collect_threads_and_protected_upsert(spark):
+    from pyspark.sql import functions as F
+
+    from threadmill.operators import upsert
+    from threadmill.plans import etl
+
+    run = dt.datetime(2024, 1, 2, 3, 4)
+    listing = _pages(spark, [(1, "https://f.example/f/33/page-1", LISTING)])
+    comments = _pages(spark, [(10, "https://f.example/t/review-of-a-keyboard.1001/", COMMENTS),
+                              (11, "https://f.example/t/review-of-a-keyboard.1001/page-2", COMMENTS)])
+    stored = spark.createDataFrame([(1003,)], "thread_id int")
+    batch = etl.collect_threads(listing, comments, stored, run, f=33, exclude_words=("locked",))
+    rows = {r["thread_id"]: r for r in batch.collect()}
+    assert set(rows) == {1001}  # 1003 already stored (J5), 1002 excluded by keyword (C5)
+    r = rows[1001]
+    assert r["f"] == 33 and r["updated_at"] == run and r["reply_count"] == "12K"
+    assert [p["reply"] for p in r["participants"]] == ["xgood,good keyboard!kept", "opening post", "xgood,good keyboard!kept"]
+    assert r["participants"][0]["created_at"] == "Jun 12, 2022 03:10 PM"
+
+    # The stored row of 1001 already has comments, so the staged row is discarded
+    prod = batch.withColumn("title", F.lit("stored")).withColumn("participants", F.array().cast(batch.schema["participants"].dataType))
+    merged = upsert.upsert_protect(prod, batch, "thread_id", F.col("participants").isNotNull())
+    assert [x["title"] for x in merged.collect()] == ["stored"]
+
+
+def test_collect_users_clears_escape_cell(spark):
+    from threadmill.plans import etl
+
+    run = dt.datetime(2024, 1, 2, 3, 4)
+    card = CARD.replace("Dev From  Ha Noi", "Dev From \\./")
+    rows = etl.collect_users(_pages(spark, [(1, "https://f.example/online/page-1", card)]), run).collect()
+    assert len(rows) == 1 and rows[0]["location"] == "" and rows[0]["user_id"] == 42

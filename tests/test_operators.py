@@ -155,3 +155,16 @@ def test_json_recordset(spark):
 
 def test_schema_fields():
     assert [f.name for f in THREADS_RAW.fields][6] == "participants"
+
+
+def test_ordered_counts_and_flatten(spark):
+    df = spark.createDataFrame([(1, "b a b c a b")], "k int, text string")
+    rows = wordcount.ordered_counts(wordcount.text_word_count(df, "text"), "k").collect()
+    assert [(r["word"], r["n"]) for r in rows] == [("b", 3), ("a", 2), ("c", 1)]
+    ll = spark.createDataFrame([([[1, 2], [3]],)], "x array<array<int>>")
+    assert ll.select(nested.flatten_lists("x").alias("f")).first()["f"] == [1, 2, 3]
+
+
+def test_explode_status_rows(spark):
+    df = spark.createDataFrame([(1, ["Sticky", "Open"]), (2, []), (3, None)], "thread_id int, status array<string>")
+    assert sorted(tuple(r) for r in nested.explode_status(df).collect()) == [(1, "Open"), (1, "Sticky")]

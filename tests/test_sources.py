@@ -109,3 +109,12 @@ def test_incremental_filter_is_pushed_to_parquet(spark):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(ts), GreaterThan(ts," in plan
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in plan
+
+
+def test_read_landing_keeps_run_stamp(spark):
+    root = _tmp()
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("v", T.StringType())])
+    for i, ts in enumerate([dt.datetime(2024, 1, 1, 0, 0, 1), dt.datetime(2024, 1, 8, 0, 0, 2)]):
+        files.write_tsv(spark.createDataFrame([(i, f"r{i}")], "id int, v string"), files.landing_path(root, "users", ts))
+    got = sorted((r["id"], r["run_stamp"]) for r in files.read_landing(spark, root, "users", schema).collect())
+    assert got == [(0, "20240101000001"), (1, "20240108000002")]
