@@ -108,3 +108,16 @@ def test_tokens_match_python_split(spark):
     got = [r["r"] for r in df.select(tokens("v").alias("r")).collect()]
     want = [None if t is None else t.translate(str.maketrans("", "", string.punctuation)).split() for t in texts]
     assert got == want
+
+
+def test_parsing_ignores_session_time_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        # 02:30 on this day does not exist in that zone (daylight-saving gap)
+        assert one(spark, S.parse_forum_ts, "Mar 10, 2024 2:30 AM") == dt.datetime(2024, 3, 10, 2, 30)
+        assert one(spark, S.parse_forum_date, "Mar 10, 2024") == dt.date(2024, 3, 10)
+        run = dt.datetime(2024, 3, 10, 2, 30)
+        got = spark.range(1).select(S.coalesce_run_time(F.lit(None).cast("timestamp_ntz"), run).alias("r")).first()["r"]
+        assert got == run
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

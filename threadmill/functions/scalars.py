@@ -57,20 +57,29 @@ def normalise_forum_text(c) -> Column:
     return F.trim(F.regexp_replace(_c(c), r"\s+at\s+|\s+", " "))
 
 
+def _parse_ntz(t: Column, fmt: str) -> Column:
+    # try_to_timestamp validates; to_timestamp_ntz parses straight to wall-clock
+    # time, so no session time zone (or daylight-saving gap) is involved.
+    return F.when(F.try_to_timestamp(t, F.lit(fmt)).isNotNull(), F.to_timestamp_ntz(t, F.lit(fmt)))
+
+
 def parse_forum_ts(c) -> Column:
     """E7: 'Jun 12, 2022 at 3:04 PM' / 'Jun 12, 2022  3:04 PM' -> timestamp_ntz.
 
     An optional ':ss' is accepted; anything else is NULL.
     """
     t = normalise_forum_text(c)
-    ts = F.coalesce(F.try_to_timestamp(t, F.lit(FORUM_TS_FORMAT)), F.try_to_timestamp(t, F.lit(FORUM_TS_FORMAT_SECONDS)))
-    return ts.cast("timestamp_ntz")
+    return F.coalesce(_parse_ntz(t, FORUM_TS_FORMAT), _parse_ntz(t, FORUM_TS_FORMAT_SECONDS))
 
 
 def parse_forum_date(c) -> Column:
     """E8: 'Jun 2, 2022' -> date; NULL when malformed."""
-    t = normalise_forum_text(c)
-    return F.try_to_timestamp(t, F.lit(FORUM_DATE_FORMAT)).cast("date")
+    return F.try_to_date(normalise_forum_text(c), FORUM_DATE_FORMAT)
+
+
+def ntz_literal(value: _dt.datetime) -> Column:
+    """A wall-clock timestamp literal (built from text: no time zone applies)."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def truncate_trim(c, width: int) -> Column:
@@ -129,7 +138,7 @@ def status_array(c) -> Column:
 
 def coalesce_run_time(c, run_ts: _dt.datetime) -> Column:
     """Missing value -> the run's timestamp (a parameter, so reruns agree)."""
-    return F.coalesce(_c(c), F.lit(run_ts).cast("timestamp_ntz"))
+    return F.coalesce(_c(c), ntz_literal(run_ts))
 
 
 def role_suffix(title, banner, is_moderator) -> Column:

@@ -182,7 +182,7 @@ def collect_threads(listing_pages: DataFrame, thread_pages: DataFrame, stored_th
         first = listed.orderBy("page_no", "pos").limit(enrich_first).select("thread_id").withColumn("_e", F.lit(True))
         enriched = enriched.join(F.broadcast(first), "thread_id", "left").withColumn(
             "participants", F.when(F.col("_e"), F.col("participants"))).drop("_e")
-    run = F.lit(run_ts).cast("timestamp_ntz")
+    run = S.ntz_literal(run_ts)
     return enriched.select(
         "thread_id", "title", "author_name", "author_id",
         F.col("reply_count").cast("string").alias("reply_count"),

@@ -360,7 +360,7 @@ def member_cards(pages: DataFrame, run_ts: _dt.datetime) -> DataFrame:
     """H4 (+E8, E13, E15, E18): member cards -> users rows. A page without a
     card gives no row; `run_ts` fills a missing last_seen and created_at."""
     raw = pages.select("page_id", "html").mapInPandas(_batches(_cards, CARD_RAW.names), CARD_RAW)
-    run = F.lit(run_ts).cast("timestamp_ntz")
+    run = S.ntz_literal(run_ts)
     return raw.select(
         "page_id", "pos",
         F.col("user_id").try_cast("int").alias("user_id"),
@@ -464,5 +464,5 @@ def online_members(pages: DataFrame, run_ts: _dt.datetime) -> DataFrame:
     order = pages.select("page_id", _page_no("url").alias("page_no"))
     ranked = cards.join(order, "page_id")
     last = keep_last(ranked, "user_id", ["page_no", "pos"])
-    return last.drop("page_id", "pos", "page_no").withColumn("updated_at", F.lit(run_ts).cast("timestamp_ntz"))
+    return last.drop("page_id", "pos", "page_no").withColumn("updated_at", S.ntz_literal(run_ts))
 

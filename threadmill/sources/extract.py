@@ -12,6 +12,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from threadmill.functions.scalars import ntz_literal
 from threadmill.schemas import WATERMARK
 
 
@@ -25,7 +26,7 @@ def incremental(table: DataFrame, ts_col: str, watermark, inclusive: bool = Fals
     """
     if watermark is None:
         return table
-    wm = watermark if isinstance(watermark, Column) else F.lit(watermark).cast("timestamp_ntz")
+    wm = watermark if isinstance(watermark, Column) else ntz_literal(watermark)
     c = F.col(ts_col)
     return table.where(c >= wm if inclusive else c > wm)
 
