@@ -123,18 +123,28 @@ def _text(n: Node | None):
 
 
 def _batches(fn, columns):
-    """Wrap a per-page function (row -> list of dicts) as a mapInPandas body."""
+    """Wrap a per-page function (row -> list of dicts) as a mapInPandas body.
+    The page's `url` is copied onto every record, so fields derived from it
+    (thread id, page number) are computed afterwards without a join."""
 
     def run(it):
         for pdf in it:
             rows = []
             for rec in pdf.to_dict("records"):
-                rows.extend(fn(rec))
+                for out in fn(rec):
+                    out.setdefault("url", rec.get("url"))
+                    rows.append(out)
             yield pd.DataFrame(rows, columns=columns)
 
     return run
 
 
+def _run(pages: DataFrame, fn, schema: T.StructType) -> DataFrame:
+    """One narrow mapInPandas job over (page_id, url, html)."""
+    full = T.StructType(list(schema.fields) + [T.StructField("url", T.StringType())])
+    return pages.select("page_id", "url", "html").mapInPandas(_batches(fn, full.names), full)
+
+
 # ----------------------------------------------------------------------------- links
 
 
@@ -153,7 +163,8 @@ def _links(rec):
 
 def links(pages: DataFrame) -> DataFrame:
     """Harness job: every `<a href>` of every page, in document order."""
-    return pages.select("page_id", "html").mapInPandas(_batches(_links, LINK_SCHEMA.names), LINK_SCHEMA)
+    return _run(pages.withColumn("url", F.lit(None).cast("string")) if "url" not in pages.columns else pages,
+                _links, LINK_SCHEMA).drop("url")
 
 
 # ----------------------------------------------------------------------------- H1
@@ -207,10 +218,9 @@ def thread_listing(pages: DataFrame, per_page: int | None = None) -> DataFrame:
     """H1: listing pages -> threads (page_no, pos, thread_id, title, author_name,
     author_id, reply_count, view_count, created_at, status). Counts stay raw
     text here (E1 runs in the threads transform), timestamps are parsed (E7)."""
-    raw = pages.select("page_id", "html").mapInPandas(_batches(_listing, LISTING_RAW.names), LISTING_RAW)
-    page_no = pages.select("page_id", _page_no("url").alias("page_no"))
-    out = raw.join(page_no, "page_id").select(
-        "page_no", "pos",
+    raw = _run(pages, _listing, LISTING_RAW)
+    out = raw.select(
+        _page_no("url").alias("page_no"), "pos",
         S.id_from_link("href").alias("thread_id"),
         S.strip("title").alias("title"),
         "author_name",
@@ -275,13 +285,12 @@ def thread_comments(pages: DataFrame) -> DataFrame:
     """H2 (+C8, E7, E12): thread pages -> comments (thread_id, page_no, pos,
     user_id, username, reply, created_at, love, brick). The first comment of
     page 1 is the opening post and is skipped."""
-    raw = pages.select("page_id", "html").mapInPandas(_batches(_comments, COMMENT_RAW.names), COMMENT_RAW)
-    meta = pages.select(
-        "page_id",
+    raw = _run(pages, _comments, COMMENT_RAW).select(
+        "*",
         F.regexp_extract("url", r"/t/(?:[^/]*\.)?(\d+)/", 1).try_cast("int").alias("thread_id"),
         _page_no("url").alias("page_no"),
     )
-    out = raw.join(meta, "page_id").where(~((F.col("page_no") == 1) & (F.col("pos") == 0)))
+    out = raw.where(~((F.col("page_no") == 1) & (F.col("pos") == 0)))
     return out.select(
         "thread_id", "page_no", "pos",
         S.id_from_link("user_href").alias("user_id"),
@@ -308,7 +317,7 @@ def _reactions(rec):
 
 def reaction_counts(overlays: DataFrame) -> DataFrame:
     """H3: reaction overlay markup -> (page_id, love, brick), default 0."""
-    raw = overlays.select("page_id", "html").mapInPandas(_batches(_reactions, REACTIONS_RAW.names), REACTIONS_RAW)
+    raw = _run(overlays, _reactions, REACTIONS_RAW)
     return raw.select("page_id", S.digits_or_zero("love").alias("love"), S.digits_or_zero("brick").alias("brick"))
 
 
@@ -359,10 +368,10 @@ def _cards(rec):
 def member_cards(pages: DataFrame, run_ts: _dt.datetime) -> DataFrame:
     """H4 (+E8, E13, E15, E18): member cards -> users rows. A page without a
     card gives no row; `run_ts` fills a missing last_seen and created_at."""
-    raw = pages.select("page_id", "html").mapInPandas(_batches(_cards, CARD_RAW.names), CARD_RAW)
+    raw = _run(pages, _cards, CARD_RAW)
     run = S.ntz_literal(run_ts)
     return raw.select(
-        "page_id", "pos",
+        "page_id", "pos", _page_no("url").alias("page_no"),
         F.col("user_id").try_cast("int").alias("user_id"),
         S.strip("username").alias("username"),
         "title",
@@ -436,16 +445,10 @@ def _profile(rec):
 def member_profiles(pages: DataFrame) -> DataFrame:
     """H5 (+E19): profile pages -> text fields; error/login pages -> blanks.
     The user id comes from the page url (`/u/<id>` or `/members/<name>.<id>/`)."""
-    raw = pages.select("page_id", "html").mapInPandas(_batches(_profile, PROFILE_RAW.names), PROFILE_RAW)
-    ids = pages.select(
-        "page_id",
-        F.coalesce(
-            F.regexp_extract("url", r"/u/(\d+)", 1).try_cast("int"),
-            S.id_from_link("url"),
-        ).alias("user_id"),
-    )
-    return raw.join(ids, "page_id").select(
-        "page_id", "user_id", "username", "location",
+    raw = _run(pages, _profile, PROFILE_RAW)
+    user_id = F.coalesce(F.regexp_extract("url", r"/u/(\d+)", 1).try_cast("int"), S.id_from_link("url"))
+    return raw.select(
+        "page_id", user_id.alias("user_id"), "username", "location",
         S.role_suffix("title", "banner", "is_moderator").alias("title"),
         "last_seen", "join_date", "message", "reaction", "point",
     )
@@ -461,8 +464,6 @@ def online_members(pages: DataFrame, run_ts: _dt.datetime) -> DataFrame:
     from threadmill.operators.dedupe import keep_last
 
     cards = member_cards(pages, run_ts).where(F.col("user_id").isNotNull())
-    order = pages.select("page_id", _page_no("url").alias("page_no"))
-    ranked = cards.join(order, "page_id")
-    last = keep_last(ranked, "user_id", ["page_no", "pos"])
+    last = keep_last(cards, "user_id", ["page_no", "pos"])
     return last.drop("page_id", "pos", "page_no").withColumn("updated_at", S.ntz_literal(run_ts))
 
