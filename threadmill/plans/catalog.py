@@ -95,9 +95,9 @@ def q_watermark_advance(spark, sf):
 
 
 def _doc_lines(spark, sf):
-    docs = _wide(spark, sf, "documents", "doc_id", "text")
+    docs = _wide(spark, sf, "documents", "doc_id", "text").where(F.col("text").isNotNull())
     lines = F.transform(F.split("text", "\n"), lambda l, i: F.struct(l.alias("line"), i.alias("pos")))
-    return docs.select("doc_id", lines.alias("lines")).where(F.col("lines").isNotNull())
+    return docs.select("doc_id", lines.alias("lines"))
 
 
 def q_explode_nested(spark, sf):
