@@ -127,11 +127,13 @@ def test_partitioned_upsert_rewrites_only_touched_buckets(spark):
     root = tempfile.mkdtemp(prefix="tm-part-", dir="/tmp") + "/t"
     rule = lambda p, s: upsert.upsert_replace(p, s, "id")
     base = spark.range(0, 1000).withColumn("v", F.lit("old"))
-    assert tables.upsert_partitioned(base, root, "id", 100, rule) == 10
+    m = tables.upsert_partitioned(base, root, "id", 100, rule)
+    assert (m["buckets"], m["rows_before"], m["rows_after"], m["delta"]) == (10, 0, 1000, 1000)
     files_before = {b: sorted(os.listdir(os.path.join(root, f"key_bucket={b}"))) for b in range(10)}
     stg = spark.range(150, 260).withColumn("v", F.lit("new")).unionByName(
         spark.range(5000, 5003).withColumn("v", F.lit("new")))
-    assert tables.upsert_partitioned(stg, root, "id", 100, rule) == 3  # buckets 1, 2 and 50
+    m = tables.upsert_partitioned(stg, root, "id", 100, rule)  # buckets 1, 2 and 50
+    assert (m["buckets"], m["rows_before"], m["rows_after"], m["delta"]) == (3, 200, 203, 3)
     t = tables.read_partitioned(spark, root)
     assert t.count() == 1003 and t.where("v = 'new'").count() == 113
     ids = [r["id"] for r in t.select("id").collect()]

@@ -91,7 +91,7 @@ def _stage(df: DataFrame, root: str, name: str, run_ts: _dt.datetime) -> DataFra
     return df.sparkSession.read.parquet(path)
 
 
-def _upsert_into(spark: SparkSession, stg: DataFrame, root: str, entity: str, roots: Roots, protect=None) -> int:
+def _upsert_into(spark: SparkSession, stg: DataFrame, root: str, entity: str, roots: Roots, protect=None) -> dict:
     """Check the batch (rejects kept aside), then merge it into the touched key
     ranges of the warehouse table (J3, or J4 with `protect`)."""
     checked = upsert.check_staging(stg, KEYS[entity], NOT_NULL.get(entity, ()), None)
@@ -124,7 +124,7 @@ def threads_and_participants(spark: SparkSession, source: DataFrame, roots: Root
 
     new_wm = extract.next_watermark(batch, "updated_at", "threads")
     v_state = tables.write_version(extract.merge_watermarks(state, new_wm), roots.state)
-    return {"threads_buckets": touched, "state_version": v_state}
+    return {"threads": touched, "state_version": v_state}
 
 
 def users(spark: SparkSession, source: DataFrame, roots: Roots, run_ts: _dt.datetime,
@@ -136,7 +136,7 @@ def users(spark: SparkSession, source: DataFrame, roots: Roots, run_ts: _dt.date
     touched = _upsert_into(spark, clean_users(batch, default_location), roots.users, "users", roots)
     new_wm = extract.next_watermark(batch, "updated_at", "users")
     v_state = tables.write_version(extract.merge_watermarks(state, new_wm), roots.state)
-    return {"users_buckets": touched, "state_version": v_state}
+    return {"users": touched, "state_version": v_state}
 
 
 # ----------------------------------------------------------------------------- collection loads

@@ -158,31 +158,40 @@ def read_partitioned(spark: SparkSession, root: str, schema: T.StructType | None
         return spark.createDataFrame([], schema) if schema is not None else None
 
 
-def upsert_partitioned(stg: DataFrame, root: str, keys, width: int, merge) -> int:
+def upsert_partitioned(stg: DataFrame, root: str, keys, width: int, merge) -> dict:
     """Merge a staged batch into the partitioned table at `root`.
 
     `merge(prod_part, stg)` is an upsert rule (`upsert_replace` or
     `upsert_protect`, partially applied) evaluated on the touched buckets only.
-    The key's first column defines the bucket. Returns the number of touched
-    buckets. The bucket list is the only value brought to the driver; it is
-    bounded by the table's partition count.
+    The key's first column defines the bucket. The bucket list is the only
+    value brought to the driver; it is bounded by the table's partition count.
+
+    Returns {"buckets", "rows_before", "rows_after", "delta"} for the touched
+    buckets (G-A3). The counts are observed metrics of the write job itself
+    (`DataFrame.observe`), not extra scans.
     """
+    from pyspark.sql import Observation
+
     spark = stg.sparkSession
     ks = [keys] if isinstance(keys, str) else list(keys)
     staged = stg.withColumn(BUCKET, bucket_column(ks[0], width))
     touched = [r[0] for r in staged.select(BUCKET).distinct().collect()]
     if not touched:
-        return 0
+        return {"buckets": 0, "rows_before": 0, "rows_after": 0, "delta": 0}
+    before, after = Observation("rows_before"), Observation("rows_after")
     try:
         prod = spark.read.parquet(root)
         prod = prod.where(F.col(BUCKET).isin(touched))  # partition pruning
     except AnalysisException:
         prod = spark.createDataFrame([], staged.schema)
-    merged = merge(prod, staged)
+    prod = prod.observe(before, F.count(F.lit(1)).alias("n"))
+    merged = merge(prod, staged).observe(after, F.count(F.lit(1)).alias("n"))
     out = merged.repartition(BUCKET, *ks).sortWithinPartitions(BUCKET, *ks)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET).parquet(root))
-    return len(touched)
+    n_before = int(before.get.get("n", 0) or 0)
+    n_after = int(after.get.get("n", 0) or 0)
+    return {"buckets": len(touched), "rows_before": n_before, "rows_after": n_after, "delta": n_after - n_before}
 
 
 def append_new_partitioned(rows: DataFrame, root: str, keys, width: int, max_broadcast: int | None = None) -> int:
