@@ -21,12 +21,25 @@ def _list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
+def _materialise(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared checkpoint folder (cuts lineage, so
+    the count and every later broadcast read the same stored keys instead of
+    recomputing the batch); unchanged when no checkpoint folder is set."""
+    try:
+        if df.sparkSession.sparkContext.getCheckpointDir():
+            return df.checkpoint(eager=True)
+    except Exception:  # no SparkContext API available: recompute instead
+        pass
+    return df
+
+
 def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_KEYS) -> tuple[DataFrame, bool]:
     """Broadcast `df` if it has at most `max_rows` rows; returns (df, broadcast?).
 
-    Counting is one job over `df`; callers pass small, already materialised
-    frames (staging batches, key lists).
+    The frame (a key list of a staged batch) is checkpointed first, then
+    counted from the checkpoint; callers pass small frames of keys.
     """
+    df = _materialise(df)
     n = df.limit(max_rows + 1).count()
     if n <= max_rows:
         return F.broadcast(df), True
