@@ -115,11 +115,24 @@ def test_streaming_ingest_equals_batch_and_is_once_only(spark):
     want.update({r["c_custkey"]: r["c_acctbal"] + 1 for r in cust.where("c_mktsegment = 'BUILDING'").collect()})
     assert got == want
     v = tables.current_version(spark, target)
+    # consumed files of all but the newest batch have been moved to the archive
+    archived = [f for _, _, fs in os.walk(archive) for f in fs if f.endswith(".csv.gz")]
+    assert len(archived) >= 1
     # second run: nothing new, no batch, no new version
     stream2 = ingest.landing_stream(spark, landing + "/*", st, "tsv", archive_dir=archive)
     ingest.run_available_now(stream2, ingest.upsert_batches(target, "c_custkey"), ckpt)
     assert tables.current_version(spark, target) == v
 
+    # the same batches streamed into a partitioned upsert table give the same rows
+    land2, ptarget, pckpt = (os.path.join(d, n) for n in ("landing2", "ptarget", "pckpt"))
+    files.write_tsv(cust.where("c_acctbal >= 0"), os.path.join(land2, "b1"), mode="overwrite")
+    files.write_tsv(cust.withColumn("c_acctbal", F.col("c_acctbal") + 1).where("c_mktsegment = 'BUILDING'"),
+                    os.path.join(land2, "b2"), mode="overwrite")
+    stream3 = ingest.landing_stream(spark, land2 + "/*", st, "tsv", max_files_per_trigger=1)
+    ingest.run_available_now(stream3, ingest.upsert_batches(ptarget, "c_custkey", key_width=100), pckpt)
+    got = {r["c_custkey"]: r["c_acctbal"] for r in tables.read_partitioned(spark, ptarget).collect()}
+    assert got == want
+
 
 def test_partitioned_upsert_rewrites_only_touched_buckets(spark):
     from threadmill.operators import upsert

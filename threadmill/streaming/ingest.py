@@ -3,7 +3,9 @@
 The landing zone is a file source: each file is processed once (the stream's
 checkpoint remembers it), and with `cleanSource=archive` processed files are
 moved to an archive folder, which replaces the reference's rename-to-`_read`
-marks. `trigger(availableNow=True)` turns the stream into an incremental
+marks. Spark archives a batch's files when it plans the following batch, so
+the newest batch's files stay in place until a later run; the checkpoint, not
+the archive, is what guarantees once-only processing. `trigger(availableNow=True)` turns the stream into an incremental
 batch job: it takes everything new, in bounded micro-batches, then stops; a
 second run with no new file runs no batch.
 
