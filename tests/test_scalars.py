@@ -121,3 +121,15 @@ def test_parsing_ignores_session_time_zone(spark):
         assert got == run
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_split_matches_python_for_every_space_character(spark):
+    # every code point Python's str.split() breaks on, up to U+3000, plus
+    # look-alikes it does not break on (zero-width space, Mongolian separator)
+    spaces = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+    others = ["\u200b", "\u180e", "\u2060", "\ufeff"]
+    texts = [f"a{s}b" for s in spaces + others] + ["".join(spaces) + "x" + "".join(spaces)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, v string")
+    got = {r["i"]: r["r"] for r in df.select("i", tokens("v").alias("r")).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == t.split(), (i, [hex(ord(ch)) for ch in t])
