@@ -159,3 +159,15 @@ def test_partitioned_upsert_rewrites_only_touched_buckets(spark):
     snap = sorted(map(tuple, t.collect()))
     tables.upsert_partitioned(stg, root, "id", 100, rule)
     assert sorted(map(tuple, tables.read_partitioned(spark, root).collect())) == snap
+
+
+def test_run_etl_runs_both_steps_with_own_watermarks(spark):
+    roots = _roots()
+    th = _threads(spark, [(1, "t", "an", 7, "1", "2", None, "Jun 12, 2022 at 3:04 PM", D1, 33, None)])
+    us = spark.createDataFrame(
+        [(1, "an", "Member", None, "Jun 2, 2022", None, 0, 0, 0, None, D3)], USERS_RAW)
+    out = etl.run_etl(spark, th, us, roots, dt.datetime(2022, 6, 22))
+    assert out["threads"]["threads"]["rows_after"] == 1 and out["users"]["users"]["rows_after"] == 1
+    state = tables.read(spark, roots.state, WATERMARK)
+    assert extract.read_watermark(state, "threads") == D1
+    assert extract.read_watermark(state, "users") == D3

@@ -139,6 +139,19 @@ def users(spark: SparkSession, source: DataFrame, roots: Roots, run_ts: _dt.date
     return {"users": touched, "state_version": v_state}
 
 
+def run_etl(spark: SparkSession, threads_source: DataFrame, users_source: DataFrame, roots: Roots,
+            run_ts: _dt.datetime, inclusive: bool = False) -> dict:
+    """The scheduled job: threads + participants (P1, P3), then users.
+
+    Each step commits its own watermark after its tables, so a failure in the
+    users step leaves the finished threads step in place and the next run
+    redoes only what did not commit.
+    """
+    out = {"threads": threads_and_participants(spark, threads_source, roots, run_ts, inclusive)}
+    out["users"] = users(spark, users_source, roots, run_ts, inclusive)
+    return out
+
+
 # ----------------------------------------------------------------------------- collection loads
 
 
