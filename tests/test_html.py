@@ -162,3 +162,30 @@ def test_collect_users_clears_escape_cell(spark):
     card = CARD.replace("Dev From  Ha Noi", "Dev From \\./")
     rows = etl.collect_users(_pages(spark, [(1, "https://f.example/online/page-1", card)]), run).collect()
     assert len(rows) == 1 and rows[0]["location"] == "" and rows[0]["user_id"] == 42
+
+
+def test_collected_loads_protect_enriched_threads(spark):
+    import os
+    import tempfile
+
+    from threadmill.plans import etl
+    from threadmill.sources import tables
+
+    d = tempfile.mkdtemp(prefix="tm-p4-", dir="/tmp")
+    root, rej, uroot = os.path.join(d, "threads"), os.path.join(d, "rejects"), os.path.join(d, "users")
+    listing = _pages(spark, [(1, "https://f.example/f/33/page-1", LISTING)])
+    comments = _pages(spark, [(10, "https://f.example/t/review-of-a-keyboard.1001/", COMMENTS)])
+    run1, run2 = dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 9)
+    # run 1: 1001 collected with comments, 1002 and 1003 without
+    b1 = etl.collect_threads(listing, comments, None, run1, f=33)
+    etl.load_collected_threads(spark, b1, root, rej)
+    # run 2: everything listed again, no comment pages this time
+    no_comments = _pages(spark, [(11, "https://f.example/t/x.1/", "<html></html>")])
+    b2 = etl.collect_threads(listing, no_comments, None, run2, f=33)
+    m = etl.load_collected_threads(spark, b2, root, rej)
+    rows = {r["thread_id"]: r for r in tables.read_partitioned(spark, root).collect()}
+    assert m["rows_before"] == 3 and m["rows_after"] == 3
+    assert rows[1001]["updated_at"] == run1 and rows[1001]["participants"] is not None  # protected (J4)
+    assert rows[1002]["updated_at"] == run2 and rows[1003]["updated_at"] == run2      # replaced
+    users = etl.collect_users(_pages(spark, [(1, "https://f.example/online/page-1", CARD)]), run2)
+    assert etl.load_collected_users(spark, users, uroot, rej)["rows_after"] == 1

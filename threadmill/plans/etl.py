@@ -213,3 +213,24 @@ def collect_users(card_pages: DataFrame, run_ts: _dt.datetime) -> DataFrame:
     cell cleared (E20), ready for `upsert.upsert_replace` on user_id (J3)."""
     u = H.online_members(card_pages, run_ts)
     return u.withColumn("location", S.replace_escape_cell("location"))
+
+
+def load_collected_threads(spark: SparkSession, batch: DataFrame, root: str, rejects_root: str,
+                           key_width: int = 100_000) -> dict:
+    """P4 load: staged threads into the operational threads table with J4 - a
+    stored thread that already has comments (`participants` not NULL, even
+    empty) keeps its row; others are replaced or inserted."""
+    checked = upsert.check_staging(batch, KEYS["threads"], NOT_NULL["threads"], None)
+    tables.append(checked.rejects.withColumn("entity", F.lit("threads")), rejects_root)
+    rule = lambda prod, stg: upsert.upsert_protect(prod, stg, KEYS["threads"], F.col("participants").isNotNull())
+    return tables.upsert_partitioned(checked.good, root, KEYS["threads"], key_width, rule)
+
+
+def load_collected_users(spark: SparkSession, batch: DataFrame, root: str, rejects_root: str,
+                         key_width: int = 100_000) -> dict:
+    """P5/P6 load: collected members into the operational users table."""
+    checked = upsert.check_staging(batch, KEYS["users"], ["user_id", "username", "title"], None)
+    tables.append(checked.rejects.withColumn("entity", F.lit("users")), rejects_root)
+    rule = lambda prod, stg: upsert.upsert_replace(prod, stg, KEYS["users"])
+    return tables.upsert_partitioned(checked.good, root, KEYS["users"], key_width, rule)
+
