@@ -36,8 +36,10 @@ def _materialise(df: DataFrame) -> DataFrame:
 def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_KEYS) -> tuple[DataFrame, bool]:
     """Broadcast `df` if it has at most `max_rows` rows; returns (df, broadcast?).
 
-    The frame (a key list of a staged batch) is checkpointed first, then
-    counted from the checkpoint; callers pass small frames of keys.
+    The frame (a key list of a staged batch) is checkpointed first and counted
+    from the checkpoint, so the bound is proven on exactly the rows that are
+    then broadcast (even if the batch's plan were not deterministic), and the
+    batch is not recomputed for each join. Callers pass frames of keys.
     """
     df = _materialise(df)
     n = df.limit(max_rows + 1).count()

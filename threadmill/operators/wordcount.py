@@ -62,7 +62,9 @@ def count_map(words) -> Column:
 
         return F.when(n == 0, empty).otherwise(let(starts, with_starts))
 
-    return F.when(words.isNull(), F.lit(None).cast("map<string,bigint>")).otherwise(let(F.array_sort(words), with_sorted))
+    null_map = F.lit(None).cast("map<string,bigint>")
+    # the token array itself is bound once too (tokenising is the costly part)
+    return let(words, lambda w: F.when(w.isNull(), null_map).otherwise(let(F.array_sort(w), with_sorted)))
 
 
 def reply_tokens(participants, lower_case: bool = False) -> Column:
