@@ -133,7 +133,7 @@ def word_count_map(df: DataFrame, key, text: str, lower_case: bool = False) -> D
 
 
 def keyword_stats(facts: DataFrame, dims: DataFrame, key: str, title: str, measures: dict[str, str],
-                  lower_case: bool = True) -> DataFrame:
+                  lower_case: bool = True, scale: int = 2) -> DataFrame:
     """Q1: do words in a title go with larger measures?
 
     ``facts`` carries the measures per row and a foreign key into ``dims``
@@ -142,12 +142,16 @@ def keyword_stats(facts: DataFrame, dims: DataFrame, key: str, title: str, measu
     fact rows to distinct keys); titles are tokenised once per key; then sums
     and counts are re-aggregated per word. Averages are sum / count.
 
-    ``measures`` maps output name -> fact column. Sums are exact: they run on
-    decimal(38,4) and are converted to double at the end.
+    ``measures`` maps output name -> fact column. Sums are exact and
+    independent of summation order for values with at most ``scale`` decimals
+    (reply/view counts: 0; prices: 2): they run on integers scaled by
+    10^scale (hash-aggregated longs, not decimals) and are converted to
+    double once at the end.
     """
+    unit = float(10 ** scale)
     per_key = facts.groupBy(key).agg(
         F.count(F.lit(1)).alias("_n"),
-        *[F.sum(F.col(c).cast("decimal(38,4)")).alias(f"_s_{name}") for name, c in measures.items()],
+        *[F.sum(F.rint(F.col(c) * unit).cast("long")).alias(f"_s_{name}") for name, c in measures.items()],
     )
     words = explode_rows(dims, [F.col(key)], F.array_distinct(tokens(title, lower_case)), "word")
     joined = per_key.join(words, key, "inner")
@@ -157,8 +161,9 @@ def keyword_stats(facts: DataFrame, dims: DataFrame, key: str, title: str, measu
     )
     out = [F.col("word"), F.col("n_rows")]
     for name in measures:
-        out.append(F.col(f"_t_{name}").cast("double").alias(f"sum_{name}"))
-        out.append((F.col(f"_t_{name}").cast("double") / F.col("n_rows")).alias(f"avg_{name}"))
+        total = F.col(f"_t_{name}").cast("double") / F.lit(unit)
+        out.append(total.alias(f"sum_{name}"))
+        out.append((total / F.col("n_rows")).alias(f"avg_{name}"))
     return agg.select(*out)
 
 
