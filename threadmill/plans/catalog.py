@@ -59,6 +59,16 @@ def q_doc_word_count(spark, sf):
     return wordcount.text_word_rows(docs, "doc_id", "text")
 
 
+def q_thread_word_count(spark, sf):
+    # G-A1 in its nested form: each document is a thread whose lines are the
+    # replies (an array of reply structs built per row, no grouping)
+    docs = _wide(spark, sf, "documents", "doc_id", "text").where(F.col("text").isNotNull())
+    replies = F.transform(F.split("text", "\n"), lambda l: F.struct(l.alias("reply")))
+    threads = docs.select("doc_id", replies.alias("participants"))
+    counted = wordcount.thread_word_count(threads)
+    return explode_rows(counted, ["doc_id"], F.col("word_count"), ["word", "n"])
+
+
 def q_top_words(spark, sf):
     conv = _wide(spark, sf, "conversations", "conv_id", "text")
     busiest = (
@@ -350,6 +360,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "word_count": q_word_count,
     "word_count_map": q_word_count_map,
     "doc_word_count": q_doc_word_count,
+    "thread_word_count": q_thread_word_count,
     "top_words": q_top_words,
     "title_keywords": q_title_keywords,
     "incremental_extract": q_incremental_extract,
@@ -422,6 +433,10 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, word, count(*) AS n
         FROM (SELECT doc_id, unnest({_WORDS}) AS word FROM documents)
         WHERE word <> '' GROUP BY doc_id, word""",
+    "thread_word_count": f"""
+        SELECT doc_id, word, count(*) AS n
+        FROM (SELECT doc_id, unnest({_WORDS}) AS word FROM documents)
+        WHERE word <> '' GROUP BY doc_id, word""",
     "top_words": f"""
         WITH busiest AS (SELECT conv_id FROM conversations GROUP BY conv_id
                          ORDER BY count(*) DESC, conv_id LIMIT 20)
