@@ -245,14 +245,17 @@ def q_default_fill(spark, sf):
     return ev.select("event_id", S.fill_default(blanked, "unknown").alias("event_type"))
 
 
-def q_status_array(spark, sf):
-    o = _t(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
-    labels = (
+def _order_labels():
+    return (
         F.when(F.col("o_orderstatus") == "F", F.array(F.lit("Locked")))
         .when(F.col("o_orderstatus") == "P", F.array(F.lit("Sticky")))
         .otherwise(F.array().cast("array<string>"))
     )
-    return o.select("o_orderkey", F.array_join(S.status_array(labels), ",").alias("status"))
+
+
+def q_status_array(spark, sf):
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    return o.select("o_orderkey", F.array_join(S.status_array(_order_labels()), ",").alias("status"))
 
 
 def q_parse_stamp(spark, sf):
@@ -293,14 +296,6 @@ def q_word_count_lower(spark, sf):
     return wordcount.word_counts(conv, "conv_id", "text", lower_case=True)
 
 
-def _order_labels():
-    return (
-        F.when(F.col("o_orderstatus") == "F", F.array(F.lit("Locked")))
-        .when(F.col("o_orderstatus") == "P", F.array(F.lit("Sticky")))
-        .otherwise(F.array().cast("array<string>"))
-    )
-
-
 def q_status_rows(spark, sf):
     o = _t(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
     threads = o.select(F.col("o_orderkey"), S.status_array(_order_labels()).alias("status"))
