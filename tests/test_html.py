@@ -130,29 +130,25 @@ def test_online_members_keep_last(spark):
     assert len(rows) == 1 and rows[0]["title"] == "Veteran" and rows[0]["updated_at"] == run
 
 
-def test_collect_threads_and_protected_upsert(spark):
-    from pyspark.sql import functions as F
-
-    from threadmill.operators import upsert
+def test_collect_threads_flat_comments(spark):
     from threadmill.plans import etl
 
     run = dt.datetime(2024, 1, 2, 3, 4)
     listing = _pages(spark, [(1, "https://f.example/f/33/page-1", LISTING)])
     comments = _pages(spark, [(10, "https://f.example/t/review-of-a-keyboard.1001/", COMMENTS),
-                              (11, "https://f.example/t/review-of-a-keyboard.1001/page-2", COMMENTS)])
-    stored = spark.createDataFrame([(1003,)], "thread_id int")
-    batch = etl.collect_threads(listing, comments, stored, run, f=33, exclude_words=("locked",))
-    rows = {r["thread_id"]: r for r in batch.collect()}
-    assert set(rows) == {1001}  # 1003 already stored (J5), 1002 excluded by keyword (C5)
+                              (11, "https://f.example/t/review-of-a-keyboard.1001/page-2", COMMENTS),
+                              (12, "https://f.example/t/plain.1003/", "<html><body></body></html>")])
+    stored = spark.createDataFrame([(1002,)], "thread_id int")
+    got = etl.collect_threads(listing, comments, stored, run, f=33)
+    rows = {r["thread_id"]: r for r in got.threads.collect()}
+    assert set(rows) == {1001, 1003}  # 1002 already stored (J5)
     r = rows[1001]
-    assert r["f"] == 33 and r["updated_at"] == run and r["reply_count"] == "12K"
-    assert [p["reply"] for p in r["participants"]] == ["xgood,good keyboard!kept", "opening post", "xgood,good keyboard!kept"]
-    assert r["participants"][0]["created_at"] == "Jun 12, 2022 03:10 PM"
-
-    # The stored row of 1001 already has comments, so the staged row is discarded
-    prod = batch.withColumn("title", F.lit("stored")).withColumn("participants", F.array().cast(batch.schema["participants"].dataType))
-    merged = upsert.upsert_protect(prod, batch, "thread_id", F.col("participants").isNotNull())
-    assert [x["title"] for x in merged.collect()] == ["stored"]
+    assert r["f"] == 33 and r["updated_at"] == run and r["reply_count"] == "12K" and r["n_comments"] == 3
+    assert rows[1003]["n_comments"] == 0  # collected, no comments: still counts as enriched
+    c = sorted((x["page_no"], x["pos"], x["reply"]) for x in got.comments.collect())
+    assert c == [(1, 1, "xgood,good keyboard!kept"), (2, 0, "opening post"), (2, 1, "xgood,good keyboard!kept")]
+    excluded = etl.collect_threads(listing, comments, None, run, f=33, exclude_words=("locked",))
+    assert {r["thread_id"] for r in excluded.threads.collect()} == {1001, 1003}
 
 
 def test_collect_users_clears_escape_cell(spark):
@@ -172,20 +168,29 @@ def test_collected_loads_protect_enriched_threads(spark):
     from threadmill.sources import tables
 
     d = tempfile.mkdtemp(prefix="tm-p4-", dir="/tmp")
-    root, rej, uroot = os.path.join(d, "threads"), os.path.join(d, "rejects"), os.path.join(d, "users")
+    root, croot, rej, uroot = (os.path.join(d, n) for n in ("threads", "comments", "rejects", "users"))
     listing = _pages(spark, [(1, "https://f.example/f/33/page-1", LISTING)])
     comments = _pages(spark, [(10, "https://f.example/t/review-of-a-keyboard.1001/", COMMENTS)])
     run1, run2 = dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 9)
-    # run 1: 1001 collected with comments, 1002 and 1003 without
-    b1 = etl.collect_threads(listing, comments, None, run1, f=33)
-    etl.load_collected_threads(spark, b1, root, rej)
-    # run 2: everything listed again, no comment pages this time
-    no_comments = _pages(spark, [(11, "https://f.example/t/x.1/", "<html></html>")])
-    b2 = etl.collect_threads(listing, no_comments, None, run2, f=33)
-    m = etl.load_collected_threads(spark, b2, root, rej)
+    # run 1: 1001 collected with its comments, 1002 and 1003 listed only
+    etl.load_collected_threads(spark, etl.collect_threads(listing, comments, None, run1, f=33), root, croot, rej)
+    # run 2: listed again, and 1001's page again (with the same comments)
+    m = etl.load_collected_threads(spark, etl.collect_threads(listing, comments, None, run2, f=33), root, croot, rej)
     rows = {r["thread_id"]: r for r in tables.read_partitioned(spark, root).collect()}
     assert m["rows_before"] == 3 and m["rows_after"] == 3
-    assert rows[1001]["updated_at"] == run1 and rows[1001]["participants"] is not None  # protected (J4)
-    assert rows[1002]["updated_at"] == run2 and rows[1003]["updated_at"] == run2      # replaced
+    assert rows[1001]["updated_at"] == run1 and rows[1001]["n_comments"] == 1  # protected (J4)
+    assert rows[1002]["updated_at"] == run2 and rows[1002]["n_comments"] is None  # replaced
+    assert tables.read_partitioned(spark, croot).count() == 1  # no comment appended twice
+
+    # the warehouse step reads the flat layout directly (P1 + P3)
+    roots = etl.Roots(*(os.path.join(d, n) for n in ("state", "wthreads", "wusers", "parts", "rej2", "stg")))
+    src = tables.read_partitioned(spark, root)
+    etl.threads_and_participants(spark, src, roots, run2, comments=tables.read_partitioned(spark, croot))
+    wt = {r["thread_id"]: r["word_count"] for r in tables.read_partitioned(spark, roots.threads).collect()}
+    # punctuation is removed before splitting, so "xgood,good" is one word
+    assert wt[1001] == {"xgoodgood": 1, "keyboardkept": 1} and wt[1002] is None
+    parts = tables.read_partitioned(spark, roots.participants).collect()
+    assert [(p["thread_id"], p["user_id"]) for p in parts] == [(1001, 8)]
+
     users = etl.collect_users(_pages(spark, [(1, "https://f.example/online/page-1", CARD)]), run2)
     assert etl.load_collected_users(spark, users, uroot, rej)["rows_after"] == 1

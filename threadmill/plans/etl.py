@@ -39,11 +39,8 @@ class Roots:
 # ----------------------------------------------------------------------------- transforms
 
 
-def clean_threads(raw: DataFrame) -> DataFrame:
-    """P1 transform: counts (E1), word_count (G-A1), typed stamps (E7), width
-    limits (E9); `participants` dropped (D6); warehouse column order."""
-    out = wordcount.thread_word_count(raw)
-    return out.select(
+def _thread_columns(df: DataFrame) -> DataFrame:
+    return df.select(
         "thread_id",
         "title",
         S.truncate_trim("author_name", WIDTHS["threads"]["author_name"]).alias("author_name"),
@@ -58,6 +55,27 @@ def clean_threads(raw: DataFrame) -> DataFrame:
     )
 
 
+def clean_threads(raw: DataFrame) -> DataFrame:
+    """P1 transform: counts (E1), word_count (G-A1, in-row over the nested
+    replies), typed stamps (E7), width limits (E9); `participants` dropped
+    (D6); warehouse column order."""
+    return _thread_columns(wordcount.thread_word_count(raw))
+
+
+def clean_threads_flat(raw: DataFrame, comments: DataFrame) -> DataFrame:
+    """P1 transform for threads whose comments are stored flat (the layout
+    `collect_threads` writes): word counts come from (thread, word) counts of
+    the comment rows, one map per thread (its size is the thread's vocabulary).
+    Never enriched (`n_comments` NULL) -> NULL map; enriched without words ->
+    empty map."""
+    maps = wordcount.word_count_map(comments, "thread_id", "reply")
+    empty = F.create_map().cast("map<string,bigint>")
+    j = raw.join(maps, "thread_id", "left").withColumn(
+        "word_count", F.when(F.col("n_comments").isNull(), F.lit(None).cast("map<string,bigint>"))
+        .otherwise(F.coalesce(F.col("word_count"), empty)))
+    return _thread_columns(j)
+
+
 def clean_users(raw: DataFrame, default_location: str = S.DEFAULT_LOCATION) -> DataFrame:
     """P2 transform: default location (E4), typed dates (E7/E8), widths."""
     w = WIDTHS["users"]
@@ -80,6 +98,14 @@ def clean_participants(raw_threads: DataFrame) -> DataFrame:
     return p.select(*columns(PARTICIPANTS_CLEAN))
 
 
+def clean_participants_flat(comments: DataFrame) -> DataFrame:
+    """P3 for flat comments: G-A4 as a grouped keep-last on (thread, user,
+    minute) in page order (combines map-side; a hot thread is spread by user
+    and minute)."""
+    last = dedupe.keep_last(comments, KEYS["participants"], ["page_no", "pos"])
+    return last.select(*columns(PARTICIPANTS_CLEAN))
+
+
 # ----------------------------------------------------------------------------- steps
 
 
@@ -107,20 +133,30 @@ def _upsert_into(spark: SparkSession, stg: DataFrame, root: str, entity: str, ro
 
 
 def threads_and_participants(spark: SparkSession, source: DataFrame, roots: Roots, run_ts: _dt.datetime,
-                             inclusive: bool = False) -> dict:
+                             inclusive: bool = False, comments: DataFrame | None = None) -> dict:
     """P1 + P3: extract threads newer than the threads watermark, upsert clean
     threads (J3), append new participants (keyed anti join, D15), then
-    advance the threads watermark to the batch max (D4)."""
+    advance the threads watermark to the batch max (D4).
+
+    `source` holds nested `participants` (the operational format of the
+    reference), or, with `comments`, an `n_comments` column and a flat comment
+    table (the format `collect_threads` writes).
+    """
     state = tables.read(spark, roots.state, WATERMARK)
     wm = extract.read_watermark(state, "threads")
     batch = _stage(extract.incremental(source, "updated_at", wm, inclusive), roots.staging, "threads_raw", run_ts)
 
-    touched = _upsert_into(spark, clean_threads(batch), roots.threads, "threads", roots)
+    if comments is None:
+        threads, parts = clean_threads(batch), clean_participants(batch)
+    else:
+        batch_comments = _stage(comments.join(batch.select("thread_id"), "thread_id", "left_semi"),
+                                roots.staging, "comments_raw", run_ts)
+        threads, parts = clean_threads_flat(batch, batch_comments), clean_participants_flat(batch_comments)
+    touched = _upsert_into(spark, threads, roots.threads, "threads", roots)
 
     # Append only comments not stored yet (null-safe on the comment key),
     # comparing against the touched thread ranges only: a rerun appends nothing
-    tables.append_new_partitioned(clean_participants(batch), roots.participants, KEYS["participants"],
-                                  roots.key_width)
+    tables.append_new_partitioned(parts, roots.participants, KEYS["participants"], roots.key_width)
 
     new_wm = extract.next_watermark(batch, "updated_at", "threads")
     v_state = tables.write_version(extract.merge_watermarks(state, new_wm), roots.state)
@@ -155,17 +191,31 @@ def run_etl(spark: SparkSession, threads_source: DataFrame, users_source: DataFr
 # ----------------------------------------------------------------------------- collection loads
 
 
+@dataclass
+class Collected:
+    """A collection run's staged batch: threads (with `n_comments`: NULL when
+    the thread's pages were not collected, else the number of comments) and
+    the flat comments of the collected threads."""
+
+    threads: DataFrame
+    comments: DataFrame
+
+
+COMMENT_ROW_KEY = ["thread_id", "page_no", "pos"]
+
+
 def collect_threads(listing_pages: DataFrame, thread_pages: DataFrame, stored_threads: DataFrame | None,
                     run_ts: _dt.datetime, f: int, top: int | None = None, exclude_words=None,
-                    enrich_first: int | None = None) -> DataFrame:
+                    enrich_first: int | None = None) -> Collected:
     """Listing pages -> threads (H1), exact keep-first per id (G-A6), minus
     stored ids (J5), optional keyword exclusion (C5); comments of thread pages
-    (H2) nested per thread and attached by id (J6, not by title: D10);
-    stamped with the run time and forum section (C7). The result is a staged
-    batch for `upsert.upsert_protect(..., participants IS NOT NULL)` (J4).
+    (H2) attached by id (J6, not by title: D10); stamped with the run time and
+    forum section (C7). Load with `load_collected_threads` (J4).
 
-    The nested `participants` array is the operational table's format: one
-    array per thread, built from that thread's comments only.
+    Comments stay rows (page, position): the reference nested them into one
+    array per thread, which would gather a whole thread into one task. What
+    J4 needs from the nesting, "this thread has been enriched", is
+    `n_comments IS NOT NULL` (0 for a collected thread without comments).
     """
     listed = H.thread_listing(listing_pages)
     listed = dedupe.keep_first(listed, "thread_id", ["page_no", "pos"])
@@ -178,34 +228,29 @@ def collect_threads(listing_pages: DataFrame, thread_pages: DataFrame, stored_th
 
         listed = exclude_keywords(listed, "title", exclude_words)
     comments = H.thread_comments(thread_pages)
-    per_thread = comments.groupBy("thread_id").agg(
-        F.sort_array(F.collect_list(F.struct(
-            "page_no", "pos", "user_id", "username", "reply",
-            S.format_stamp("created_at").alias("created_at"), "love", "brick",
-        ))).alias("_c")
-    ).select(
-        "thread_id",
-        F.transform("_c", lambda c: F.struct(*[c[k].alias(k) for k in
-                                               ["user_id", "username", "reply", "created_at", "love", "brick"]])
-                    ).alias("participants"),
-    )
-    enriched = joins.enrich(listed, per_thread, "thread_id")
+    collected = thread_pages.select(H.thread_id_from_url("url").alias("thread_id")).distinct()
+    counts = collected.join(
+        comments.groupBy("thread_id").agg(F.count(F.lit(1)).alias("n_comments")), "thread_id", "left"
+    ).select("thread_id", F.coalesce("n_comments", F.lit(0)).cast("bigint").alias("n_comments"))
+    enriched = joins.enrich(listed, counts, "thread_id")
     if enrich_first is not None:
         # Only the first n listed threads carry comments
         first = listed.orderBy("page_no", "pos").limit(enrich_first).select("thread_id").withColumn("_e", F.lit(True))
         enriched = enriched.join(F.broadcast(first), "thread_id", "left").withColumn(
-            "participants", F.when(F.col("_e"), F.col("participants"))).drop("_e")
+            "n_comments", F.when(F.col("_e"), F.col("n_comments"))).drop("_e")
     run = S.ntz_literal(run_ts)
-    return enriched.select(
+    threads = enriched.select(
         "thread_id", "title", "author_name", "author_id",
         F.col("reply_count").cast("string").alias("reply_count"),
         F.col("view_count").cast("string").alias("view_count"),
-        "participants",
+        "n_comments",
         S.format_stamp("created_at").alias("created_at"),
         run.alias("updated_at"),
         F.lit(f).cast("int").alias("f"),
         "status",
     )
+    enriched_ids = threads.where(F.col("n_comments").isNotNull()).select("thread_id")
+    return Collected(threads, comments.join(enriched_ids, "thread_id", "left_semi"))
 
 
 def collect_users(card_pages: DataFrame, run_ts: _dt.datetime) -> DataFrame:
@@ -215,15 +260,29 @@ def collect_users(card_pages: DataFrame, run_ts: _dt.datetime) -> DataFrame:
     return u.withColumn("location", S.replace_escape_cell("location"))
 
 
-def load_collected_threads(spark: SparkSession, batch: DataFrame, root: str, rejects_root: str,
-                           key_width: int = 100_000) -> dict:
-    """P4 load: staged threads into the operational threads table with J4 - a
-    stored thread that already has comments (`participants` not NULL, even
-    empty) keeps its row; others are replaced or inserted."""
-    checked = upsert.check_staging(batch, KEYS["threads"], NOT_NULL["threads"], None)
+def load_collected_threads(spark: SparkSession, batch: Collected, root: str, comments_root: str,
+                           rejects_root: str, key_width: int = 100_000) -> dict:
+    """P4 load with J4: a stored thread that has been enriched (`n_comments`
+    not NULL, even 0) keeps its row and its comments; other staged threads
+    replace or insert theirs.
+
+    The comments of the accepted threads are appended first (keyed on thread,
+    page and position, so a rerun adds nothing), then the threads are merged:
+    a failure in between is repaired by rerunning the load.
+    """
+    keys = KEYS["threads"]
+    checked = upsert.check_staging(batch.threads, keys, NOT_NULL["threads"], None)
     tables.append(checked.rejects.withColumn("entity", F.lit("threads")), rejects_root)
-    rule = lambda prod, stg: upsert.upsert_protect(prod, stg, KEYS["threads"], F.col("participants").isNotNull())
-    return tables.upsert_partitioned(checked.good, root, KEYS["threads"], key_width, rule)
+    good = checked.good
+    stored = tables.read_partitioned(spark, root)
+    to_add = good.where(F.col("n_comments").isNotNull()).select(*keys)
+    if stored is not None:
+        locked = stored.where(F.col("n_comments").isNotNull()).select(*keys)
+        to_add = to_add.join(locked, keys, "left_anti")
+    new_comments = batch.comments.join(to_add, keys, "left_semi")
+    tables.append_new_partitioned(new_comments, comments_root, COMMENT_ROW_KEY, key_width)
+    rule = lambda prod, stg: upsert.upsert_protect(prod, stg, keys, F.col("n_comments").isNotNull())
+    return tables.upsert_partitioned(good, root, keys, key_width, rule)
 
 
 def load_collected_users(spark: SparkSession, batch: DataFrame, root: str, rejects_root: str,

@@ -281,13 +281,18 @@ def _comments(rec):
     return out
 
 
+def thread_id_from_url(url_col: str):
+    """'/t/some-title.1001/page-2' -> 1001."""
+    return F.regexp_extract(F.col(url_col), r"/t/(?:[^/]*\.)?(\d+)/", 1).try_cast("int")
+
+
 def thread_comments(pages: DataFrame) -> DataFrame:
     """H2 (+C8, E7, E12): thread pages -> comments (thread_id, page_no, pos,
     user_id, username, reply, created_at, love, brick). The first comment of
     page 1 is the opening post and is skipped."""
     raw = _run(pages, _comments, COMMENT_RAW).select(
         "*",
-        F.regexp_extract("url", r"/t/(?:[^/]*\.)?(\d+)/", 1).try_cast("int").alias("thread_id"),
+        thread_id_from_url("url").alias("thread_id"),
         _page_no("url").alias("page_no"),
     )
     out = raw.where(~((F.col("page_no") == 1) & (F.col("pos") == 0)))
