@@ -118,3 +118,10 @@ def test_read_landing_keeps_run_stamp(spark):
         files.write_tsv(spark.createDataFrame([(i, f"r{i}")], "id int, v string"), files.landing_path(root, "users", ts))
     got = sorted((r["id"], r["run_stamp"]) for r in files.read_landing(spark, root, "users", schema).collect())
     assert got == [(0, "20240101000001"), (1, "20240108000002")]
+
+
+def test_batch_committed_lookup(spark):
+    root = _tmp() + "/t"
+    assert not tables.batch_committed(spark, root, 5)
+    tables.write_version(spark.createDataFrame([(1,)], "id int"), root, batch_id=5)
+    assert tables.batch_committed(spark, root, 5) and not tables.batch_committed(spark, root, 6)

@@ -47,13 +47,14 @@ def current_version(spark: SparkSession, root: str) -> int | None:
     return None if row is None or row["v"] is None else int(row["v"])
 
 
-def committed_batches(spark: SparkSession, root: str) -> set[int]:
-    """Streaming batch ids already committed into this table (T2 idempotence)."""
+def batch_committed(spark: SparkSession, root: str, batch_id: int) -> bool:
+    """Has this streaming batch id already been committed here (T2)? A point
+    lookup in the commit log; nothing but one flag reaches the driver."""
     try:
         log = spark.read.schema("committed_at string, rows long, batch_id long, v int").json(f"{_root(root)}/_log")
-        return {r["batch_id"] for r in log.where(F.col("batch_id").isNotNull()).select("batch_id").distinct().collect()}
+        return log.where(F.col("batch_id") == F.lit(batch_id)).limit(1).count() > 0
     except AnalysisException:
-        return set()
+        return False
 
 
 def version_path(root: str, v: int) -> str:

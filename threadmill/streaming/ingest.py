@@ -67,7 +67,7 @@ def upsert_batches(target_root: str, keys, transform: Callable[[DataFrame], Data
         if key_width is not None:
             tables.upsert_partitioned(stg, target_root, keys, key_width, rule)
             return
-        if batch_id in tables.committed_batches(spark, target_root):
+        if tables.batch_committed(spark, target_root, batch_id):
             return
         prod = tables.read(spark, target_root, stg.schema)
         tables.write_version(rule(prod, stg), target_root, key=keys, batch_id=batch_id)
