@@ -82,17 +82,25 @@ def upsert_protect(prod: DataFrame, stg: DataFrame, keys, locked, max_broadcast:
     and the staged row for its key is discarded.
 
     `locked` is a Column over prod (e.g. ``participants IS NOT NULL``: an empty
-    array still locks, NULL does not). Plan: semi-join prod to the batch keys
-    reading only key + lock columns, keep the locked keys, drop those from the
-    batch, then J3 with what is left. The batch keys are counted once: every
-    later key set is a subset of them, so the same size bound holds.
+    array still locks, NULL does not). A prod row survives exactly when its
+    key is not in the batch or the row itself is locked: one left join against
+    the broadcast batch keys and a filter. Staged rows survive when their key
+    is not among the locked batch keys (prod semi-joined to the batch keys,
+    reading only key + lock columns). The batch keys are counted once; the
+    locked keys are a subset of them, so the same size bound holds.
     """
     ks = _list(keys)
     batch_keys, small = _batch_keys(stg, ks, max_broadcast)
     hit = prod.select(*ks, locked.alias("_locked")).join(batch_keys, ks, "left_semi")
     locked_keys = hit.where("_locked").select(*ks)
     accepted = stg.join(_hint(locked_keys, small), ks, "left_anti")
-    kept = prod.join(_hint(accepted.select(*ks), small), ks, "left_anti")
+    flagged = batch_keys.withColumn("_in_batch", F.lit(True))
+    kept = (
+        prod.withColumn("_locked", locked)
+        .join(_hint(flagged, small), ks, "left")
+        .where(F.col("_in_batch").isNull() | F.coalesce(F.col("_locked"), F.lit(False)))
+        .select(*prod.columns)
+    )
     return kept.unionByName(accepted.select(*prod.columns))
 
 
