@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from threadmill.functions.text import tokens
 from threadmill.operators import dedupe, upsert, wordcount
 
 SF = "/root/testdata/sf0.01"

@@ -6,7 +6,6 @@ import os
 import tempfile
 
 import pandas as pd
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadmill.sources import extract, files, tables
