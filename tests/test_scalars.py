@@ -13,7 +13,8 @@ def one(spark, expr, value, schema="v string"):
 
 
 def test_abbrev_count(spark):
-    cases = {"12K": 12000, "3M": 3000000, "45": 45, "0": 0, "1.5K": 1500, "2.25M": 2250000, "": None, "abc": None, None: None}
+    cases = {"12K": 12000, "3M": 3000000, "45": 45, "0": 0, "1.5K": 1500, "2.25M": 2250000, "": None, "abc": None,
+             None: None, " 7 ": 7, "-5": -5, "+3K": 3000, "1,204": None}
     df = spark.createDataFrame([(k,) for k in cases], "v string")
     got = {r["v"]: r["r"] for r in df.select("v", S.abbrev_count("v").alias("r")).collect()}
     assert got == cases

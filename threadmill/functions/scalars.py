@@ -24,7 +24,7 @@ DEFAULT_LOCATION = "Namek"
 OPEN, LOCKED = "Open", "Locked"
 LOCATION_ESCAPE_CELL = "\\./"
 
-_ABBREV = r"^\s*([0-9]+(?:\.[0-9]+)?)([KM]?)\s*$"
+_ABBREV = r"^\s*([+-]?[0-9]+(?:\.[0-9]+)?)([KM]?)\s*$"
 
 
 def abbrev_count(c) -> Column:
