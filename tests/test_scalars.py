@@ -85,6 +85,8 @@ def test_fill_default_and_escape(spark):
     assert got == ["Namek", "Namek", "Namek", "NA", "Ha Noi", "\\./", "a\\./"]
     got = [r["r"] for r in df.select(S.replace_escape_cell("v").alias("r")).collect()]
     assert got == [None, "", "  ", "NA", "Ha Noi", "", "a\\./"]
+    got = [r["r"] for r in df.select(S.replace_escape_cell("v", remove_backslashes=True).alias("r")).collect()]
+    assert got == [None, "", "  ", "NA", "Ha Noi", "", "a./"]
 
 
 def test_role_suffix_and_strip(spark):
