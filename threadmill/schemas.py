@@ -101,7 +101,8 @@ WATERMARK = T.StructType(
     ]
 )
 
-# Primary keys and declared widths (VARCHAR(n)) of the warehouse tables.
+# Fixed values (must equal the reference's): primary keys, NOT NULL columns
+# and declared widths (VARCHAR(n)) of the warehouse tables.
 KEYS = {"threads": ["thread_id"], "users": ["user_id"], "participants": ["thread_id", "user_id", "created_at"]}
 NOT_NULL = {
     "threads": ["thread_id", "title", "author_name", "author_id"],
