@@ -26,7 +26,7 @@ NEW_KEY_OFFSET = 1_000_000_000
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
 def _wide(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
