@@ -31,6 +31,15 @@ HEADLINE = [
 ]
 
 
+def _driver_memory() -> str:
+    """Half of physical memory, at most 16g (local mode: the driver is the executor)."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+        return f"{max(1, min(16, int(total / 2**30 * 0.5)))}g"
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -41,7 +50,7 @@ def main() -> None:
     from threadmill.plans.catalog import QUERIES
 
     spark = get_spark("threadmill-bench", master=f"local[{cpus}]", shuffle_partitions=int(cpus),
-                      extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+                      extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", _driver_memory())})
     timings: dict[str, float] = {}
     for name in names:
         fn = QUERIES[name]
