@@ -8,8 +8,10 @@ shuffled (broadcast hash anti/semi joins stream through it). Beyond the bound
 the same logical plan falls back to shuffle joins.
 
 Results are new DataFrames; writing them is the job of
-`threadmill.sources.tables` (new version directory, then pointer flip),
-never an overwrite of the path being read (D11).
+`threadmill.sources.tables`: touched key-range partitions replaced at job
+commit (partitioned tables), or a new version directory and then its commit
+record (versioned tables), never a static overwrite of the path being read
+(D11).
 """
 
 from __future__ import annotations
