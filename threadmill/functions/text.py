@@ -38,8 +38,11 @@ def py_strip(c) -> Column:
 
 
 def split_ws(c) -> Column:
-    """Python `str.split()`: whitespace runs, no empty tokens; NULL stays NULL."""
-    return F.filter(F.split(_c(c), WHITESPACE_RUN), lambda w: w != "")
+    """Python `str.split()`: whitespace runs, no empty tokens; NULL stays NULL.
+
+    Empty tokens (from leading/trailing whitespace) are dropped with the native
+    `array_remove`, not a per-element lambda."""
+    return F.array_remove(F.split(_c(c), WHITESPACE_RUN), "")
 
 
 def tokens(c, lower_case: bool = False) -> Column:
