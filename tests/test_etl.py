@@ -171,3 +171,18 @@ def test_run_etl_runs_both_steps_with_own_watermarks(spark):
     state = tables.read(spark, roots.state, WATERMARK)
     assert extract.read_watermark(state, "threads") == D1
     assert extract.read_watermark(state, "users") == D3
+
+
+def test_clean_transforms_accept_typed_stamps(spark):
+    typed = spark.createDataFrame(
+        [(1, "an", "Member", None, dt.date(2022, 6, 2), dt.datetime(2022, 6, 12, 15, 4), 1, 2, 3,
+          dt.datetime(2022, 6, 12, 15, 5), D1)],
+        "user_id int, username string, title string, location string, join_date date, last_seen timestamp_ntz, "
+        "message int, reaction int, point int, created_at timestamp_ntz, updated_at timestamp_ntz")
+    r = etl.clean_users(typed).first()
+    assert r["join_date"] == dt.date(2022, 6, 2) and r["last_seen"] == dt.datetime(2022, 6, 12, 15, 4)
+    assert r["created_at"] == dt.datetime(2022, 6, 12, 15, 5) and r["location"] == "Namek"
+    text = spark.createDataFrame([(1, "an", "Member", "x", "Jun 2, 2022", "Jun 12, 2022 3:04 PM", 0, 0, 0, None, D1)],
+                                 USERS_RAW)
+    r = etl.clean_users(text).first()
+    assert r["join_date"] == dt.date(2022, 6, 2) and r["last_seen"] == dt.datetime(2022, 6, 12, 15, 4)

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threadmill.functions import scalars as S
 from threadmill.operators import dedupe, joins, nested, upsert, wordcount
@@ -39,7 +40,23 @@ class Roots:
 # ----------------------------------------------------------------------------- transforms
 
 
+def _ts(df: DataFrame, name: str):
+    """A stamp column as timestamp_ntz: forum text is parsed (E7); a column
+    that is already typed (read from the operational database) is kept."""
+    if isinstance(df.schema[name].dataType, T.StringType):
+        return S.parse_forum_ts(name)
+    return F.col(name).cast("timestamp_ntz")
+
+
+def _date(df: DataFrame, name: str):
+    """A date column: forum text is parsed (E8); typed values are kept."""
+    if isinstance(df.schema[name].dataType, T.StringType):
+        return S.parse_forum_date(name)
+    return F.col(name).cast("date")
+
+
 def _thread_columns(df: DataFrame) -> DataFrame:
+    created = _ts(df, "created_at")
     return df.select(
         "thread_id",
         "title",
@@ -47,7 +64,7 @@ def _thread_columns(df: DataFrame) -> DataFrame:
         "author_id",
         S.abbrev_count("reply_count").alias("reply_count"),
         S.abbrev_count("view_count").alias("view_count"),
-        S.parse_forum_ts("created_at").alias("created_at"),
+        created.alias("created_at"),
         F.col("updated_at").cast("timestamp_ntz").alias("updated_at"),
         "f",
         S.status_array("status").alias("status"),
@@ -84,10 +101,10 @@ def clean_users(raw: DataFrame, default_location: str = S.DEFAULT_LOCATION) -> D
         S.truncate_trim("username", w["username"]).alias("username"),
         S.truncate_trim("title", w["title"]).alias("title"),
         S.truncate_trim(S.fill_default("location", default_location), w["location"]).alias("location"),
-        S.parse_forum_date("join_date").alias("join_date"),
-        S.parse_forum_ts("last_seen").alias("last_seen"),
+        _date(raw, "join_date").alias("join_date"),
+        _ts(raw, "last_seen").alias("last_seen"),
         "message", "reaction", "point",
-        S.parse_forum_ts("created_at").alias("created_at"),
+        _ts(raw, "created_at").alias("created_at"),
         F.col("updated_at").cast("timestamp_ntz").alias("updated_at"),
     )
 
