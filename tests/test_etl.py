@@ -186,3 +186,22 @@ def test_clean_transforms_accept_typed_stamps(spark):
                                  USERS_RAW)
     r = etl.clean_users(text).first()
     assert r["join_date"] == dt.date(2022, 6, 2) and r["last_seen"] == dt.datetime(2022, 6, 12, 15, 4)
+
+
+def test_threads_step_decodes_text_nested_columns(spark):
+    roots = _roots()
+    text_rows = [
+        (1, "t", "an", 7, "1", "2",
+         '[{"user_id": 7, "username": "an", "reply": "hello there", "created_at": "Jun 12, 2022 3:04 PM", "love": 0, "brick": 0}]',
+         "Jun 12, 2022 at 3:04 PM", D1, 33, '["Sticky"]'),
+        (2, "u", "bo", 8, "3", "4", "[{'user_id': 8, 'username': 'bo', 'reply': 'it\\'s fine', "
+         "'created_at': 'Jun 12, 2022 3:05 PM', 'love': 1, 'brick': 0}]", "Jun 12, 2022 at 3:04 PM", D1, 33, None),
+    ]
+    schema = ("thread_id int, title string, author_name string, author_id int, reply_count string, view_count string, "
+              "participants string, created_at string, updated_at timestamp_ntz, f int, status string")
+    etl.threads_and_participants(spark, spark.createDataFrame(text_rows, schema), roots, dt.datetime(2022, 6, 21))
+    th = {r["thread_id"]: r for r in tables.read_partitioned(spark, roots.threads).collect()}
+    assert th[1]["word_count"] == {"hello": 1, "there": 1} and th[1]["status"] == ["Sticky", "Open"]
+    assert th[2]["word_count"] == {"its": 1, "fine": 1} and th[2]["status"] == ["Open"]
+    parts = sorted((p["thread_id"], p["user_id"], p["reply"]) for p in tables.read_partitioned(spark, roots.participants).collect())
+    assert parts == [(1, 7, "hello there"), (2, 8, "it's fine")]

@@ -133,7 +133,7 @@ def _literal_eval_json(cells: pd.Series) -> pd.Series:
 _literal_eval_udf = F.pandas_udf(_literal_eval_json, T.StringType())
 
 
-def decode_repr_cell(c, element: T.StructType = PARTICIPANT) -> Column:
+def decode_repr_cell(c, element: T.DataType = PARTICIPANT) -> Column:
     """A cell holding a Python-repr list of dicts -> array<struct>.
 
     The JVM JSON parser accepts single quotes and escaped apostrophes; cells it

@@ -55,6 +55,18 @@ def _date(df: DataFrame, name: str):
     return F.col(name).cast("date")
 
 
+def decode_nested_text(threads: DataFrame) -> DataFrame:
+    """Nested columns that arrive as text (JSONB read over JDBC, or the legacy
+    Python-repr cells of the landing files, A9/D2) become typed arrays;
+    columns that are already arrays are left as they are."""
+    out = threads
+    if "participants" in out.columns and isinstance(out.schema["participants"].dataType, T.StringType):
+        out = out.withColumn("participants", nested.decode_repr_cell("participants"))
+    if "status" in out.columns and isinstance(out.schema["status"].dataType, T.StringType):
+        out = out.withColumn("status", nested.decode_repr_cell("status", element=T.StringType()))
+    return out
+
+
 def _thread_columns(df: DataFrame) -> DataFrame:
     created = _ts(df, "created_at")
     return df.select(
@@ -161,7 +173,8 @@ def threads_and_participants(spark: SparkSession, source: DataFrame, roots: Root
     """
     state = tables.read(spark, roots.state, WATERMARK)
     wm = extract.read_watermark(state, "threads")
-    batch = _stage(extract.incremental(source, "updated_at", wm, inclusive), roots.staging, "threads_raw", run_ts)
+    batch = _stage(decode_nested_text(extract.incremental(source, "updated_at", wm, inclusive)),
+                   roots.staging, "threads_raw", run_ts)
 
     if comments is None:
         threads, parts = clean_threads(batch), clean_participants(batch)
