@@ -48,9 +48,12 @@ def check_staging(stg: DataFrame, keys, not_null=(), widths: dict | None = None)
         reason = F.coalesce(reason, F.when(F.col(c).isNull(), F.lit(f"null {c}")))
     for c, w in (widths or {}).items():
         reason = F.coalesce(reason, F.when(F.length(c) > w, F.lit(f"width {c}")))
-    # duplicated keys: counted with a grouped aggregate (combines map-side)
+    # duplicated keys: counted with a grouped aggregate (combines map-side);
+    # the (normally tiny) duplicate list is broadcast after a size check, so
+    # the batch itself is not shuffled to flag its duplicates
     dup = stg.groupBy(*ks).agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1").select(*ks)
-    flagged = stg.join(dup.withColumn("_dup", F.lit(True)), ks, "left")
+    dup, _ = checked_broadcast(dup.withColumn("_dup", F.lit(True)))
+    flagged = stg.join(dup, ks, "left")
     reason = F.coalesce(reason, F.when(F.col("_dup"), F.lit("duplicate key")))
     tagged = flagged.withColumn("reject_reason", reason).drop("_dup")
     return Checked(
