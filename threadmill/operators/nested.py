@@ -26,6 +26,13 @@ from threadmill.functions import scalars as S
 from threadmill.operators.wordcount import let
 from threadmill.schemas import PARTICIPANT
 
+# The per-page / per-cell Python code of this module runs in Python workers.
+# Ship it by value, so workers need no installed copy of this package (they
+# may start anywhere on a cluster, with any working directory).
+from threadmill._ship import ship_by_value  # noqa: E402
+
+ship_by_value(__name__)
+
 PARTICIPANT_FIELDS = ["user_id", "username", "reply", "created_at", "love", "brick"]
 COMMENT_KEY = ["user_id", "created_at"]
 

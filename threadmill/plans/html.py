@@ -21,6 +21,13 @@ from pyspark.sql import types as T
 
 from threadmill.functions import scalars as S
 
+# The per-page / per-cell Python code of this module runs in Python workers.
+# Ship it by value, so workers need no installed copy of this package (they
+# may start anywhere on a cluster, with any working directory).
+from threadmill._ship import ship_by_value  # noqa: E402
+
+ship_by_value(__name__)
+
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
