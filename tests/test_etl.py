@@ -205,3 +205,16 @@ def test_threads_step_decodes_text_nested_columns(spark):
     assert th[2]["word_count"] == {"its": 1, "fine": 1} and th[2]["status"] == ["Open"]
     parts = sorted((p["thread_id"], p["user_id"], p["reply"]) for p in tables.read_partitioned(spark, roots.participants).collect())
     assert parts == [(1, 7, "hello there"), (2, 8, "it's fine")]
+
+
+def test_run_with_nothing_new_changes_nothing(spark):
+    roots = _roots()
+    src = _threads(spark, [(1, "t", "an", 7, "1", "2", [_p(7, "hi", "Jun 12, 2022 3:04 PM")],
+                            "Jun 12, 2022 at 3:04 PM", D1, 33, None)])
+    etl.threads_and_participants(spark, src, roots, dt.datetime(2022, 6, 21))
+    snap = sorted(map(str, tables.read_partitioned(spark, roots.threads).collect()))
+    out = etl.threads_and_participants(spark, src, roots, dt.datetime(2022, 6, 22))  # strict >: empty batch
+    assert out["threads"]["buckets"] == 0
+    assert sorted(map(str, tables.read_partitioned(spark, roots.threads).collect())) == snap
+    assert tables.read_partitioned(spark, roots.participants).count() == 1
+    assert extract.read_watermark(tables.read(spark, roots.state, WATERMARK), "threads") == D1
