@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from threadmill.llm import kd_sharding, recipe_dedup
+from threadmill.llm import byte_bpe, kd_sharding, packing, recipe_dedup, warc
 
 QUERIES = {
+    "op2_byte_bpe": byte_bpe.op2,
     "op3_recipe_dedup": recipe_dedup.op3,
+    "op8_best_fit_packing": packing.op8,
+    "op9_warc": warc.op9,
     "op10_kd_sharding": kd_sharding.op10,
 }
 
 ORACLE_SQL = {
     "op3_recipe_dedup": recipe_dedup.OP3_SQL,
+    "op9_warc": warc.OP9_SQL,
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from threadmill.session import checkpoint_dir
@@ -12,6 +12,8 @@ from threadmill.session import checkpoint_dir
 #: A key is hot when it holds more than this share of the rows; at most
 #: 1 / HOT_SHARE keys can, which bounds every broadcast of hot keys.
 HOT_SHARE = 1 / 1000
+#: Rows that one task numbers at a time.
+NUMBER_ROWS = 5000
 
 
 def table(spark: SparkSession, sf_dir, name: str) -> DataFrame:
@@ -56,3 +58,21 @@ def attach_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, n_row
     warm = rows.join(F.broadcast(hot), key, "inner")
     cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(rest, key, "inner")
     return warm.unionByName(cold)
+
+
+def numbered(rows: DataFrame, group: str, sizes: dict, order: list[str], name: str) -> DataFrame:
+    """Adds `name`: gapless numbers from 0 within each `group` (a few values, of known `sizes`).
+
+    Rows are numbered inside buckets of about NUMBER_ROWS rows and shifted by
+    the running count of the buckets before, so no task sorts a whole group.
+    """
+    buckets = F.lit(1)
+    for k, n in sizes.items():
+        if n > NUMBER_ROWS:
+            buckets = F.when(F.col(group) == k, -(-n // NUMBER_ROWS)).otherwise(buckets)
+    dealt = rows.withColumn("_bucket", F.pmod(F.xxhash64(*order), buckets.cast("bigint")))
+    inside = dealt.withColumn("_inner", F.row_number().over(Window.partitionBy(group, "_bucket").orderBy(*order)) - 1)
+    before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy(group, "_bucket").agg(F.count(F.lit(1)).alias("_n")).select(
+        group, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return inside.join(starts, [group, "_bucket"]).withColumn(name, F.col("_start") + F.col("_inner")).drop("_bucket", "_inner", "_start")

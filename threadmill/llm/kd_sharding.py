@@ -25,9 +25,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from threadmill.llm.common import stage
+from threadmill.llm.common import numbered, stage
 
 SHARDS = 40
 ROW_BYTES = 16  # fixed value: bytes that each row weighs besides its text
@@ -36,7 +35,6 @@ BINS = 1 << BIN_BITS
 TIE_BITS = 36  # of the unit's hash below the 24 bits of a dimension's value
 COORD_BITS = 24 + TIE_BITS
 UNITS_PER_SHARD = 16
-SLOT_ROWS = 5000
 
 DIMENSIONS = ["by_lang", "by_source", "by_length"]
 
@@ -142,21 +140,6 @@ def kd_tree(units: DataFrame, leaves: int) -> Column:
     return root.expr()
 
 
-def numbered(rows: DataFrame, group: str, n_rows: int, groups: int, order: list[str]) -> DataFrame:
-    """Adds `slot`: gapless from 0 within each `group`.
-
-    Rows are numbered inside buckets of about SLOT_ROWS rows and shifted by the
-    running count of the buckets before, so no task sorts a whole group.
-    """
-    buckets = max(1, -(-n_rows // (groups * SLOT_ROWS)))
-    dealt = rows.withColumn("bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
-    inside = dealt.withColumn("inner", F.row_number().over(Window.partitionBy(group, "bucket").orderBy(*order)) - 1)
-    before = Window.partitionBy(group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = dealt.groupBy(group, "bucket").agg(F.count(F.lit(1)).alias("n")).select(
-        group, "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    return inside.join(starts, [group, "bucket"]).withColumn("slot", F.col("start") + F.col("inner")).drop("bucket", "inner", "start")
-
-
 def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """One row per document: doc_id, size, text_crc32, shard, slot."""
     text = F.coalesce("text", F.lit(""))
@@ -182,7 +165,8 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     )
     placed = units.select("key", "part", kd_tree(units, shards).alias("shard"))
     out = dealt.join(placed, ["key", "part"]).select("doc_id", "size", "text_crc32", "shard")
-    return numbered(out, "shard", n_rows, shards, ["doc_id", "text_crc32", "size"])
+    sizes = {r["shard"]: r["n"] for r in out.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per shard
+    return numbered(out, "shard", sizes, ["doc_id", "text_crc32", "size"], "slot")
 
 
 def op10(spark, sf_dir) -> DataFrame:
