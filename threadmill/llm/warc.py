@@ -110,7 +110,8 @@ def write_archives(pages: DataFrame, path: str, date: str = DATE) -> None:
         F.concat_ws("", F.concat(F.lit("page-id: "), F.col("page").cast("string"), F.lit(CRLF)), F.lit(f"via: archive{CRLF}")))
     (
         rows.select(F.explode(F.array(request, F.when(again, revisit).otherwise(response), metadata)).alias("value"))
-        .write.option("lineSep", CRLF + CRLF).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+        .write.option("lineSep", CRLF + CRLF).option("maxRecordsPerFile", RECORDS_PER_FILE)
+        .option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
     )
 
 
@@ -257,7 +258,7 @@ def resolved(captures: DataFrame) -> DataFrame:
 def op9(spark, sf_dir) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
     write_archives(table(spark, sf_dir, "pages"), path)
-    rows = resolved(assemble(read_records(spark, path)))
+    rows = resolved(assemble(stage(read_records(spark, path), "warc-records")))
     return rows.select(
         F.col("own.page_id").alias("page_id"),
         F.col("response.payload_bytes").alias("payload_bytes"),
