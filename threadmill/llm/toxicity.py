@@ -1,6 +1,6 @@
 """Toxicity by a subsequence string-kernel SVM with Nystroem landmarks.
 
-The kernel counts common subsequences of three characters, each weighted down
+The kernel counts common subsequences of four characters, the start of a word being one, each weighted down
 by the length of the stretch it covers in either word, and is normalised: an
 insult keeps most of its kernel with itself when characters are inserted,
 left out or hung on at its ends. Landmarks are words of the training sample, or their beginnings; a
@@ -35,6 +35,7 @@ from threadmill.llm.common import table, worker_state
 
 SENTENCE_ENDS = ".!?\n"
 CACHE = 400_000
+START = "\x02"  # stands before each word, so that its beginning takes part in the kernel
 
 
 @dataclass(frozen=True)
@@ -46,8 +47,10 @@ class Settings:
     landmarks: int = 32
     stems: tuple[int, ...] = (4, 5, 6)  # lengths of word beginnings that may be landmarks
     candidates: int = 400
-    order: int = 3
+    order: int = 4
     decay: float = 0.8
+    least_z: float = 4.0  # a candidate's rates in the two classes differ by so many standard errors,
+    lift: float = 3.0  # and by this factor
     least_kernel: float = 0.3  # smaller kernels with a landmark count as none
     common: float = 0.7  # share of a landmark's characters that a word must have for its kernel to be worked out
     apart: float = 0.6  # a landmark's largest kernel with those before it
@@ -94,7 +97,7 @@ class Kernel:
 
     def __init__(self, landmarks: list[str], settings: Settings):
         self.s, self.landmarks = settings, landmarks
-        cut = [w[: settings.width] for w in landmarks]
+        cut = [(START + w)[: settings.width] for w in landmarks]
         self.codes = _codes(cut, max(map(len, cut)))
         self.own = self._self(self.codes)
         self.masks = self._masks(self.codes)
@@ -110,7 +113,8 @@ class Kernel:
     def features(self, words: list[str], block: int = 4000) -> list[np.ndarray | None]:
         """For each word its kernels with the landmarks, None where all are small."""
         w, step = self.s.width, self.s.width // 2
-        parts = [(i, word[j : j + w]) for i, word in enumerate(words) for j in range(0, max(1, len(word) - w + step), step)]
+        marked = [START + x for x in words]
+        parts = [(i, word[j : j + w]) for i, word in enumerate(marked) for j in range(0, max(1, len(word) - w + step), step)]
         parts.sort(key=lambda p: len(p[1]))  # a block is as wide as its longest word
         least = np.maximum(2, np.ceil(np.bitwise_count(self.masks) * self.s.common))[None, :]
         out: list[np.ndarray | None] = [None] * len(words)
@@ -246,7 +250,8 @@ def fit_texts(texts: list[str], toxic: np.ndarray, settings: Settings = Settings
         return (p - q) / np.sqrt(mean * (1 - mean) * (1 / n[0] + 1 / n[1]) + 1e-12)
 
     ranked = sorted(((z_score(w), w) for w in pool), key=lambda x: (-x[0], x[1]))
-    ranked = [w for z, w in ranked[: settings.candidates] if z > 3] or [w for _, w in ranked[: settings.landmarks]] or ["---"]
+    marked = [(z, w) for z, w in ranked if z > settings.least_z and counts[1][w] / n[1] > settings.lift * counts[0][w] / n[0]]
+    ranked = [w for _, w in marked[: settings.candidates]] or [w for _, w in ranked[: settings.landmarks]] or ["---"]
     # landmarks: in that order, leaving out what an earlier landmark already covers
     landmarks = [ranked[0]]
     for w in ranked[1:]:
