@@ -48,7 +48,7 @@ class Settings:
     stems: tuple[int, ...] = (4, 5, 6)  # lengths of word beginnings that may be landmarks
     candidates: int = 400
     order: int = 4
-    decay: float = 0.8
+    decay: float = 0.9
     least_z: float = 4.0  # a candidate's rates in the two classes differ by so many standard errors,
     lift: float = 3.0  # and by this factor
     least_kernel: float = 0.3  # smaller kernels with a landmark count as none
