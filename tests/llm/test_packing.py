@@ -97,3 +97,16 @@ def test_hot_length_is_numbered_in_buckets(spark, monkeypatch):
     out = packing.pack(rows, ["id"], capacity=20).collect()
     assert len({(r.sequence_id, r.offset) for r in out}) == 500
     assert Counter(20 - s for s in Counter([x for r in out for x in [r.sequence_id] * r.length]).values()) == brute_bins([r.length for r in out], 20)
+
+
+def test_both_libraries_give_the_same_ids():
+    from threadmill.llm.byte_bpe import Codec, read_vocabulary
+
+    v = read_vocabulary(P.path("byte_bpe_50k.json"))
+    fast, other = packing.encoder(v, P.PATTERN), Codec(v, P.PATTERN)
+    rng = random.Random(9)
+    alphabets = ["abcdefgh ", "aaab \n\t", "éüñ中文🤦🏼‍♂️   ", "0129.,'sSdD ", "the on and ing er re ", "<|endoftext|>", "=-_#*/\\ "]
+    texts = ["".join(rng.choice(a) for _ in range(rng.randint(0, 90))) for a in alphabets for _ in range(400)]
+    texts += [" " * 60000 + "x", "a" * 5000, "ing" * 700, "<|endoftext|>"]
+    for t in texts:
+        assert fast(t) == other.encode(t), t
