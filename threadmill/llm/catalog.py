@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from threadmill.llm import byte_bpe, kd_sharding, packing, pii, recipe_dedup, toxicity, warc
+from threadmill.llm import byte_bpe, kd_sharding, packing, parity_join, pii, recipe_dedup, toxicity, warc
 
 QUERIES = {
     "op2_byte_bpe": byte_bpe.op2,
     "op3_recipe_dedup": recipe_dedup.op3,
     "op4_pii_anchors": pii.op4,
+    "op6_parity_join": parity_join.op6,
     "op7_toxicity": toxicity.op7,
     "op8_best_fit_packing": packing.op8,
     "op9_warc": warc.op9,

@@ -76,3 +76,30 @@ def numbered(rows: DataFrame, group: str, sizes: dict, order: list[str], name: s
     starts = dealt.groupBy(group, "_bucket").agg(F.count(F.lit(1)).alias("_n")).select(
         group, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     return inside.join(starts, [group, "_bucket"]).withColumn(name, F.col("_start") + F.col("_inner")).drop("_bucket", "_inner", "_start")
+
+
+def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """(node, comp): the smallest node of each linked node's component.
+
+    Alternating large-star and small-star steps over the staged links; every
+    step is a grouped minimum and a join, so no adjacency list is gathered.
+    """
+    edges = stage(
+        links.select(F.least(a, b).alias("v"), F.greatest(a, b).alias("u")).where("u <> v").distinct(), "components")
+    known = None
+    while True:
+        # large star: every larger neighbour goes to the smallest node around
+        both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        # small star: every smaller neighbour, and the node itself, goes to the smallest one
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(
+            low.select("u", F.col("m").alias("v"))).distinct()
+        after = stage(small, "components")
+        edges = after
+        seen = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if seen == known:
+            break
+        known = seen
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
