@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from threadmill.llm import byte_bpe, kd_sharding, packing, parity_join, pii, recipe_dedup, toxicity, warc
+from threadmill.llm import byte_bpe, kd_sharding, learned_ann, packing, parity_join, pii, recipe_dedup, toxicity, warc
 
 QUERIES = {
+    "op1_learned_ann": learned_ann.op1,
     "op2_byte_bpe": byte_bpe.op2,
     "op3_recipe_dedup": recipe_dedup.op3,
     "op4_pii_anchors": pii.op4,
