@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from threadmill.llm import byte_bpe, kd_sharding, learned_ann, packing, parity_join, pii, recipe_dedup, toxicity, warc
+from threadmill.llm import byte_bpe, kd_sharding, learned_ann, packing, parity_join, pii, recipe_dedup, suffix_dedup, toxicity, warc
 
 QUERIES = {
     "op1_learned_ann": learned_ann.op1,
     "op2_byte_bpe": byte_bpe.op2,
     "op3_recipe_dedup": recipe_dedup.op3,
     "op4_pii_anchors": pii.op4,
+    "op5_suffix_dedup": suffix_dedup.op5,
     "op6_parity_join": parity_join.op6,
     "op7_toxicity": toxicity.op7,
     "op8_best_fit_packing": packing.op8,
