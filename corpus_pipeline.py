@@ -1,29 +1,67 @@
-"""The training-data pipeline: the operators of `threadmill.llm` as stages over documents.
+"""The training-data pipeline: operators of `threadmill.llm` as stages over documents.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and reread as the next stage's documents. All but the last return
-the columns of `documents`.
+the columns of `documents`; the last returns the packed pieces.
+
+Rows that share a doc_id share the decisions of near-duplicate removal, which
+keeps the smallest doc_id of each component; documents without an id stay
+there unless their component has one with an id.
 """
 
 from __future__ import annotations
 
-from threadmill.llm import recipe_dedup
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from threadmill.llm import packing, parity_join, pii, recipe_dedup, toxicity
 from threadmill.llm.common import stage, table
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+def drop_toxic(spark, docs, sf_dir):
+    """Documents that the classifier rejects go (operator 7)."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, carry=tuple(docs.columns)).where("score < 0.5").select(*docs.columns)
+
+
+def drop_copies(spark, docs, sf_dir):
+    """One document of each group of equal texts stays (operator 3)."""
+    kept = recipe_dedup.dedup(docs).where("kept").select(
+        F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha"), F.col("n_points").alias("kept_points")).distinct()
+    sha = F.sha2(recipe_dedup.normalised(F.col("text")), 256)
+    points = F.length(F.coalesce("text", F.lit("")))
+    rows = docs.select(*docs.columns, sha.alias("_sha"), points.alias("_points"))
+    best = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("_sha") == F.col("kept_sha")) & (F.col("_points") <= F.col("kept_points")), "left_semi")
+    # a repeated row of the document that stays is a copy as well
+    first = Window.partitionBy("doc_id", "_sha").orderBy(F.desc("_points"), "text")
+    return best.withColumn("_n", F.row_number().over(first)).where("_n = 1").select(*docs.columns)
+
+
+def drop_near_copies(spark, docs, sf_dir):
+    """One document of each component of similar texts stays (operator 6)."""
+    linked = parity_join.components(docs).where("component_id <> doc_id").select("doc_id").distinct()
+    return docs.join(stage(linked, "near-copies"), "doc_id", "left_anti").select(*docs.columns)
+
+
+def redact_pii(spark, docs, sf_dir):
+    """Personal data is replaced by its kind (operator 4)."""
+    return pii.redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
-def exact_dedup(spark, docs, sf_dir):
-    """Keeps one document of each group of equal texts (operator 3)."""
-    kept = recipe_dedup.dedup(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+def pack(spark, docs, sf_dir):
+    """Token sequences (operator 8)."""
+    return packing.op8_rows(docs)
 
 
 STAGES = [
-    ("exact_dedup", exact_dedup),
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_copies),
+    ("ngram_jaccard_join", drop_near_copies),
+    ("pii", redact_pii),
+    ("best_fit_packing", pack),
 ]
 
-#: The toxicity stage is a trained model and packing runs a tokenizer: no SQL.
+#: A trained classifier and a tokenizer are among the stages: no SQL.
 ORACLE_SQL = None
 
 

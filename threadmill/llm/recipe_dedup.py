@@ -82,10 +82,10 @@ def _with_ordinals(listed: DataFrame, pieces: DataFrame, shared: DataFrame) -> D
     again = stage(pieces.join(shared, "digest", "left_semi"), "shared-chunks")
     # smaller contents of the same digest: a join of distinct contents only
     one = again.select("digest", "chunk").distinct()
-    other = one.select("digest", F.col("chunk").alias("smaller"))
+    other = one.select(F.col("digest").alias("same_digest"), F.col("chunk").alias("smaller"))
     ordinals = (
-        one.join(other, (one["digest"] == other["digest"]) & (F.col("smaller") < F.col("chunk")), "left")
-        .groupBy(one["digest"], "chunk").agg(F.count("smaller").cast("int").alias("ordinal"))
+        one.join(other, (F.col("digest") == F.col("same_digest")) & (F.col("smaller") < F.col("chunk")), "left")
+        .groupBy("digest", "chunk").agg(F.count("smaller").cast("int").alias("ordinal"))
         .where("ordinal > 0")
     )
     fixes = (
