@@ -82,19 +82,26 @@ def fingerprint(s: np.ndarray) -> int:
 
 
 def bit_sketch(s: np.ndarray) -> bytes:
-    """Parity of the shingles that fall on each bit; a power of two of bits, not fewer than shingles."""
+    """Parity of the shingles that fall on each bit; a power of two of bits, at least two to a shingle."""
     bits = 64
-    while bits < len(s):
+    while bits < 2 * len(s):
         bits *= 2
     at = (s & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
-def folded(sketch: np.ndarray, words: int) -> np.ndarray:
-    """A sketch of fewer bits: XOR of its halves, again and again."""
-    while len(sketch) > words:
-        sketch = sketch[: len(sketch) // 2] ^ sketch[len(sketch) // 2 :]
-    return sketch
+def folded(sketches: np.ndarray, words: int) -> np.ndarray:
+    """Sketches (rows) of fewer bits: XOR of their halves, again and again."""
+    while sketches.shape[1] > words:
+        half = sketches.shape[1] // 2
+        sketches = sketches[:, :half] ^ sketches[:, half:]
+    return sketches
+
+
+def near_enough(n: np.ndarray, m: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which pairs of sets, by their sizes and sketches (rows of equal width), can be similar."""
+    d = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
+    return (np.minimum(n, m) * WHOLE >= np.maximum(n, m) * PART) & (d * (WHOLE + PART) <= (n + m) * (WHOLE - PART))
 
 
 def keys_of(s: np.ndarray) -> np.ndarray:
@@ -222,12 +229,6 @@ def _shared(bucket):
     return pd.DataFrame({"gid": np.repeat(gid, size)[rows].view(np.int64), "node": v[rows], "size": np.repeat(size, size)[rows].astype(np.int64)})
 
 
-def _passes(n: int, a: np.ndarray, m: int, b: np.ndarray) -> bool:
-    words = min(len(a), len(b))
-    d = int(np.bitwise_count(folded(a, words) ^ folded(b, words)).sum())
-    return min(n, m) * WHOLE >= max(n, m) * PART and d * (WHOLE + PART) <= (n + m) * (WHOLE - PART)
-
-
 def _filtered(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes whose sizes and sketches allow a link."""
     side = lambda x: nodes.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
@@ -238,10 +239,17 @@ def _filtered(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         for b in batches:
-            a_id, b_id, n_a, s_a, n_b, s_b = (b.column(i).to_pylist() for i in range(6))
-            keep = [i for i in range(b.num_rows)
-                    if _passes(n_a[i], np.frombuffer(s_a[i], np.uint64), n_b[i], np.frombuffer(s_b[i], np.uint64))]
-            yield pa.RecordBatch.from_arrays([pa.array([a_id[i] for i in keep], pa.int64()), pa.array([b_id[i] for i in keep], pa.int64())], names=["a", "b"])
+            n_a, n_b = b.column(2).to_numpy(), b.column(4).to_numpy()
+            s_a, s_b = b.column(3).to_pylist(), b.column(5).to_pylist()
+            width_a, width_b = (np.array([len(x) // 8 for x in s]) for s in (s_a, s_b))
+            keep = np.zeros(b.num_rows, bool)
+            for wa, wb in set(zip(width_a.tolist(), width_b.tolist())):
+                at = np.flatnonzero((width_a == wa) & (width_b == wb))
+                words = min(wa, wb)
+                x, y = (folded(np.frombuffer(b"".join([s[i] for i in at]), np.uint64).reshape(len(at), w), words) for s, w in ((s_a, wa), (s_b, wb)))
+                keep[at] = near_enough(n_a[at], n_b[at], x, y)
+            pick = pa.array(keep)
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(pick), b.column(1).filter(pick)], names=["a", "b"])
 
     return sized.select("a", "b", "n_a", "s_a", "n_b", "s_b").mapInArrow(run, "a bigint, b bigint")
 
@@ -296,18 +304,19 @@ def _cross_pairs(open_groups: DataFrame, nodes: DataFrame) -> DataFrame:
     sorted_rows = dealt.repartition(width, "gid", "p", "q").sortWithinPartitions("gid", "p", "q").select("gid", "p", "q", "node", "comp", "n_shingles", "sketch")
 
     def compare(rows):
+        rows.sort(key=lambda r: len(r[3]))
         ids = np.array([r[0] for r in rows])
         comp = np.array([r[1] for r in rows])
         n = np.array([r[2] for r in rows])
-        least = min(len(r[3]) for r in rows) // 8
-        words = max(least, 1)
-        s = np.stack([folded(np.frombuffer(r[3], np.uint64), words) for r in rows])
-        for i in range(len(rows) - 1):
-            fit = np.flatnonzero((comp[i + 1 :] != comp[i]) & (np.minimum(n[i], n[i + 1 :]) * WHOLE >= np.maximum(n[i], n[i + 1 :]) * PART)) + i + 1
-            if len(fit):
-                d = np.bitwise_count(s[i] ^ s[fit]).sum(axis=1, dtype=np.int64)
-                for j in fit[d * (WHOLE + PART) <= (n[i] + n[fit]) * (WHOLE - PART)]:
-                    yield (min(ids[i], ids[j]), max(ids[i], ids[j]))
+        width = np.array([len(r[3]) // 8 for r in rows])
+        for words in np.unique(width):  # the wider ones are folded to the narrower one of a pair
+            first = int(np.searchsorted(width, words))
+            s = np.concatenate([folded(np.frombuffer(r[3], np.uint64)[None], words) for r in rows[first:]])
+            for i in range(first, int(np.searchsorted(width, words, side="right"))):
+                fit = np.flatnonzero((comp[i + 1 :] != comp[i]) & (np.minimum(n[i], n[i + 1 :]) * WHOLE >= np.maximum(n[i], n[i + 1 :]) * PART)) + i + 1
+                if len(fit):
+                    for j in fit[near_enough(n[i], n[fit], s[i - first], s[fit - first])]:
+                        yield (min(ids[i], ids[j]), max(ids[i], ids[j]))
 
     def run(batches):
         import pyarrow as pa
@@ -362,7 +371,9 @@ def components(docs: DataFrame, text: str = "text") -> DataFrame:
             if open_groups.isEmpty():
                 break
         if step < STAR_ROUNDS:
-            centre = open_groups.groupBy("gid").agg(F.min_by(F.struct("node", "comp"), F.xxhash64("node", F.lit(step))).alias("c"))
+            # at first the same few centres for all groups, so that pairs repeat; then a centre for each group
+            lot = F.xxhash64("node", "gid", F.lit(step)) if step else F.xxhash64("node")
+            centre = open_groups.groupBy("gid").agg(F.min_by(F.struct("node", "comp"), lot).alias("c"))
             pairs = (
                 open_groups.join(centre, "gid").where(F.col("comp") != F.col("c.comp"))
                 .select(F.least("node", F.col("c.node")).alias("a"), F.greatest("node", F.col("c.node")).alias("b")).distinct()
