@@ -56,7 +56,7 @@ def test_many_parts_and_blocks(spark):
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(12, 16)) * 2
     rows = [(i, (centres[i % 12] + rng.normal(size=16) * 0.4).astype(np.float32).tolist()) for i in range(2400)]
-    s = A.Settings(sample=1500, rows_per_part=100, block_rows=37, block_queries=11)
+    s = A.Settings(sample=1500, per_part=2.0, block_rows=37, block_queries=11)
     got = grouped(A.search(frame(spark, rows), 10, 20, s).collect())
     want = brute(rows, 10)
     found = sum(len({i for _, i in want[q][0]} & {r.vec_id for r in got[q]}) for q in want)

@@ -13,8 +13,8 @@ one vector, no list of k can hold more than its k + 1 smallest ids), so a
 vector that a third of the rows share costs one comparison.
 
 Bounds: the fit sees `Settings.sample` distinct vectors, the smallest by hash;
-parts grow with the table, one for each `rows_per_part` rows, up to `most_parts`
-(one for every 64 sampled vectors); a part is compared in blocks of
+parts grow with the square root of the table, up to `most_parts` (one for every
+64 sampled vectors), as parts visited and rows compared both cost; a part is compared in blocks of
 `block_rows` rows and `block_queries` queries whatever its size.
 
 Defined results: vectors that are NULL, zero, of another length than most of
@@ -41,12 +41,12 @@ QUERY_EVERY = 20
 class Settings:
     sample: int = 8192
     graph_neighbours: int = 16
-    rows_per_part: int = 1500
-    most_parts: int = 128
+    per_part: float = 25.0  # the table has sqrt(rows) / per_part parts,
+    most_parts: int = 128  # so many at most
     slack: float = 1.1  # a part's largest share of the sample, of the mean
     hidden: int = 96
     epochs: int = 40
-    coverage: float = 0.95
+    coverage: float = 0.92
     block_rows: int = 4096
     block_queries: int = 1024
     seed: int = 7
@@ -157,7 +157,7 @@ def probabilities(model: dict, x: np.ndarray) -> np.ndarray:
 
 def fit(x: np.ndarray, rows: int, s: Settings = Settings()) -> dict:
     """The router for a table of `rows` rows from a sample of its vectors."""
-    parts = int(max(1, min(s.most_parts, rows // s.rows_per_part, len(x) // 64)))
+    parts = int(max(1, min(s.most_parts, rows**0.5 / s.per_part, len(x) // 64)))
     near = neighbour_graph(x, s.graph_neighbours)
     label = balanced_parts(x, near, parts, s) if parts > 1 else np.zeros(len(x), np.int64)
     target = np.zeros((len(x), parts))
