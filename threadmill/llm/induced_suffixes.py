@@ -10,9 +10,9 @@ for them. The queue is laid out once by the two known components; an
 extraction takes all tuples up to a barrier below which nothing waits for
 anything in the same extraction, and orders them by rank.
 
-Arrays longer than `MEMORY_ITEMS` live in unnamed files of the task (gone with
-the process), so the queue, the ranks and the recursion work on shards larger
-than memory with one extraction at a time in memory. Common-prefix values are
+Arrays longer than `MEMORY_ITEMS` that outlive a step (the queue's components,
+the ranks, each level's text) live in unnamed files of the task, gone with the
+process; memory holds one extraction and the step at hand. Common-prefix values are
 computed as the sorted suffixes leave the last queue, for neighbours only and
 up to the length that matters, and each is verified on the text.
 """
@@ -22,7 +22,21 @@ from __future__ import annotations
 import numpy as np
 
 #: Longest array that is kept in memory; longer ones are files.
-MEMORY_ITEMS = 1 << 24
+MEMORY_ITEMS = 1 << 22
+
+
+def _index(n: int):
+    """The integers that number n suffixes."""
+    return np.int32 if n < 2**31 - 2 else np.int64
+
+
+def _keep(a: np.ndarray) -> np.ndarray:
+    """An array that outlives its step: in a file if it is long."""
+    if len(a) <= MEMORY_ITEMS:
+        return a
+    out = _array(len(a), a.dtype)
+    out[:] = a
+    return out
 
 
 def _array(n: int, dtype) -> np.ndarray:
@@ -35,6 +49,14 @@ def _array(n: int, dtype) -> np.ndarray:
         return np.memmap(f, dtype=dtype, mode="r+", shape=(n,))
 
 
+def _by(a: np.ndarray, b: np.ndarray | None = None) -> np.ndarray:
+    """The order by `a`, then `b` (not negative); a radix sort where both fit 16 bits together. Stable without `b`."""
+    top, wide = int(a.max(initial=0)) + 1, 1 if b is None else int(b.max(initial=0)) + 1
+    if top * wide <= 1 << 16:
+        return np.argsort((a if b is None else a.astype(np.int64) * wide + b).astype(np.uint16), kind="stable")
+    return np.argsort(a, kind="stable") if b is None else np.argsort(a.astype(np.int64) * wide + b)
+
+
 def _induce(c: np.ndarray, item: np.ndarray, seeds: np.ndarray, seed_rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ranks of all items and seeds, and the items in order.
 
@@ -44,53 +66,59 @@ def _induce(c: np.ndarray, item: np.ndarray, seeds: np.ndarray, seed_rank: np.nd
     cannot be told apart get equal ranks.
     """
     n = len(c)
-    position = np.flatnonzero(item)
-    rank = _array(n, np.int64)
+    small = _index(n)
+    position = np.flatnonzero(item).astype(small)
+    rank = _array(n, small)
     # the run of equal characters that an item stands in, and the suffix behind it
-    inner = np.zeros(n, bool)
-    inner[:-1] = item[:-1] & item[1:] & (c[:-1] == c[1:])
-    stop = np.where(inner, n, np.arange(n))
-    stop = np.minimum.accumulate(stop[::-1])[::-1]
-    behind = stop[position] + 1
-    run = behind - position
+    inner = item[:-1] & item[1:] & (c[:-1] == c[1:])
+    top = int(c.max()) + 1
     char = c[position]
+    if inner.any():
+        stop = np.arange(n, dtype=small)
+        stop[:-1][inner] = n
+        behind = np.minimum.accumulate(stop[::-1])[::-1][position] + small(1)
+        run = behind - position
+        layout = _by(char, run)
+    else:
+        behind = position + small(1)
+        run = None
+        layout = _by(char)
     # ranks are numbers that keep (character, item before seed, order within)
-    top = int(c.max()) + 1
     n_items = np.bincount(char, minlength=top)
     n_seeds = np.bincount(c[seeds], minlength=top)
     base = np.concatenate([[0], np.cumsum(n_items + n_seeds)[:-1]])
-    rank[seeds] = base[c[seeds]] + n_items[c[seeds]] + seed_rank
+    rank[seeds] = (base + n_items)[c[seeds]] + seed_rank
     # the layout of the queue: by character, then run
-    layout = np.lexsort((run, char)) if run.max(initial=1) > 1 else np.argsort(char, kind="stable")
-    position, behind, run, char = position[layout], behind[layout], run[layout], char[layout]
+    position, behind, char = _keep(position[layout]), _keep(behind[layout]), _keep(char[layout])
     # barriers: no tuple may wait for an item of its own extraction
-    waits = item[np.minimum(behind, n - 1)] & (behind < n)
+    waits = item[behind]
     most = np.full(top, -1, np.int64)
     if waits.any():
         np.maximum.at(most, char[waits], c[behind[waits]])
     most = np.maximum.accumulate(most)
     ends = np.cumsum(n_items)
-    low = at = 0
-    new_group = np.empty(len(position), bool)
-    if len(position):
-        new_group[0] = True
-        new_group[1:] = (char[1:] != char[:-1]) | (run[1:] != run[:-1])
-    group = np.cumsum(new_group)  # of equal character and run
-    order = _array(len(position), np.int64)
+    step = char[1:] != char[:-1]
+    if run is not None:
+        run = run[layout]
+        step |= run[1:] != run[:-1]
+    group = _keep(np.concatenate([[0], np.cumsum(step)]))  # of equal character and run
+    order = _array(len(position), small)
+    # a tuple's rank: that of its place among the items, shifted by the seeds before its character
+    seeds_before = np.cumsum(n_seeds) - n_seeds
     shift = max(1, int(n).bit_length())
+    at = 0
     while at < len(position):
         low = int(char[at])
         high = max(int(np.searchsorted(most, low)), low + 1)  # the first character with a tuple that waits for one from here on
         to = int(ends[min(high, top) - 1])
-        keys = ((group[at:to] - group[at]) << shift) | rank[behind[at:to]]
-        by = np.argsort(keys, kind="stable")
+        keys = (group[at:to] << shift) | rank[behind[at:to]]
+        by = np.argsort(keys)
         keys = keys[by]
         place = position[at:to][by]
         # equal tuples share the rank of their first
-        first = np.concatenate([[True], keys[1:] != keys[:-1]])
-        dense = np.maximum.accumulate(np.where(first, np.arange(to - at), 0))
-        ch = c[place]
-        rank[place] = base[ch] + (at + dense - (ends[ch] - n_items[ch]))
+        dense = np.arange(at, to)
+        dense[1:][keys[1:] == keys[:-1]] = 0
+        rank[place] = np.maximum.accumulate(dense) + seeds_before[char[at:to]]
         order[at:to] = place
         at = to
     return rank, order
@@ -101,13 +129,15 @@ def sorted_suffixes(t: np.ndarray) -> np.ndarray:
     n = len(t)
     if n == 1:
         return np.zeros(1, np.int64)
-    t = np.asarray(t, np.int64)
-    step = np.sign(t[1:] - t[:-1])
+    t = _keep(np.asarray(t, _index(n)))
     # a suffix climbs (S) if the next character that differs is larger
-    known = np.where(step != 0, np.arange(n - 1), n)
-    known = np.minimum.accumulate(known[::-1])[::-1]
     climbs = np.ones(n, bool)
-    climbs[:-1] = np.where(known < n - 1, step[np.minimum(known, n - 2)] > 0, False)
+    climbs[:-1] = t[1:] > t[:-1]
+    even = t[1:] == t[:-1]
+    if even.any():
+        known = np.arange(n, dtype=_index(n))
+        known[:-1][even] = n
+        climbs = climbs[np.minimum.accumulate(known[::-1])[::-1]]
     star = np.flatnonzero(climbs[1:] & ~climbs[:-1]) + 1
     falls = ~climbs
     mirrored = t.max() - t
@@ -136,7 +166,7 @@ def sorted_suffixes(t: np.ndarray) -> np.ndarray:
     else:
         place = name
     # the order of S* suffixes within their character
-    by = np.lexsort((place, t[star]))
+    by = _by(t[star], place)
     count = np.bincount(t[star], minlength=int(t.max()) + 1)
     start = np.concatenate([[0], np.cumsum(count)[:-1]])
     star_rank = np.empty(len(star), np.int64)
@@ -145,7 +175,7 @@ def sorted_suffixes(t: np.ndarray) -> np.ndarray:
     climbing = np.concatenate([[n - 1], climbing[::-1]])
     whole = np.concatenate([falling, climbing])
     # of one character, falling suffixes come first
-    return whole[np.argsort(t[whole], kind="stable")]
+    return whole[_by(t[whole])]
 
 
 def _not_last(n: int) -> np.ndarray:

@@ -37,12 +37,12 @@ from threadmill.llm.shingles import BYTE_VALUES, _powers, mix
 
 LENGTH = 200
 ANCHOR = 64
-BATCH_BYTES = 1 << 21
+BATCH_BYTES = 1 << 18
 #: Anchors that one task compares, anchors that a map task gathers before it hands them on.
 BUCKET_ANCHORS = 500_000
 FLUSH_ANCHORS = 500_000
 #: Bytes of segments that one task sorts, unless one anchor has more.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 19
 
 _ANCHOR = np.dtype([("anchor", "<u8"), ("segment", "<u8"), ("text", "<i8"), ("first", "<u4"), ("n", "<u2"), ("more", "<u1")])
 
