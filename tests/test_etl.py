@@ -51,7 +51,7 @@ def test_threads_two_batches_and_rerun(spark):
     assert th[1]["status"] == ["Sticky", "Open"] and th[2]["status"] == ["Open"] and th[3]["status"] == ["Locked"]
     parts = tables.read_partitioned(spark, roots.participants).collect()
     assert sorted((r["thread_id"], r["user_id"], r["reply"]) for r in parts) == [(1, 7, "again"), (1, 8, "Good.")]
-    wm = extract.read_watermark(tables.read(spark, roots.state, WATERMARK), "threads")
+    wm = extract.read_watermark(tables.read(spark, roots.state + "/threads", WATERMARK), "threads")
     assert wm == D2
 
     # batch 2: the source now also has an updated thread 2 and a new thread 4; rows at the watermark are old
@@ -92,7 +92,7 @@ def test_users_step_rejects_duplicates_and_fills_location(spark):
     assert us[1]["location"] == "Namek" and us[2]["location"] == "NA" and us[3]["location"] == "Namek"
     assert us[1]["join_date"] == dt.date(2022, 6, 2) and us[1]["last_seen"] == dt.datetime(2022, 6, 12, 15, 4)
     assert len(us[5]["title"]) == 100
-    rej = spark.read.parquet(roots.rejects).collect()
+    rej = spark.read.parquet(roots.rejects + "/users/*").collect()
     assert sorted((r["user_id"], r["reject_reason"]) for r in rej) == [(4, "duplicate key"), (4, "duplicate key")]
 
 
@@ -108,7 +108,7 @@ def test_streaming_ingest_equals_batch_and_is_once_only(spark):
 
     st = T.StructType.fromDDL(schema) if hasattr(T.StructType, "fromDDL") else spark.createDataFrame([], schema).schema
     stream = ingest.landing_stream(spark, landing + "/*", st, "tsv", archive_dir=archive, max_files_per_trigger=1)
-    ingest.run_available_now(stream, ingest.upsert_batches(target, "c_custkey"), ckpt)
+    ingest.run_available_now(stream, ingest.upsert_batches(target, "c_custkey", stream="customers"), ckpt)
     got = {r["c_custkey"]: r["c_acctbal"] for r in tables.read(spark, target).collect()}
     # batch equivalent: b1, then b2 replacing by key
     want = {r["c_custkey"]: r["c_acctbal"] for r in cust.where("c_acctbal >= 0").collect()}
@@ -120,7 +120,7 @@ def test_streaming_ingest_equals_batch_and_is_once_only(spark):
     assert len(archived) >= 1
     # second run: nothing new, no batch, no new version
     stream2 = ingest.landing_stream(spark, landing + "/*", st, "tsv", archive_dir=archive)
-    ingest.run_available_now(stream2, ingest.upsert_batches(target, "c_custkey"), ckpt)
+    ingest.run_available_now(stream2, ingest.upsert_batches(target, "c_custkey", stream="customers"), ckpt)
     assert tables.current_version(spark, target) == v
 
     # the same batches streamed into a partitioned upsert table give the same rows
@@ -168,9 +168,8 @@ def test_run_etl_runs_both_steps_with_own_watermarks(spark):
         [(1, "an", "Member", None, "Jun 2, 2022", None, 0, 0, 0, None, D3)], USERS_RAW)
     out = etl.run_etl(spark, th, us, roots, dt.datetime(2022, 6, 22))
     assert out["threads"]["threads"]["rows_after"] == 1 and out["users"]["users"]["rows_after"] == 1
-    state = tables.read(spark, roots.state, WATERMARK)
-    assert extract.read_watermark(state, "threads") == D1
-    assert extract.read_watermark(state, "users") == D3
+    assert extract.read_watermark(tables.read(spark, roots.state + "/threads", WATERMARK), "threads") == D1
+    assert extract.read_watermark(tables.read(spark, roots.state + "/users", WATERMARK), "users") == D3
 
 
 def test_clean_transforms_accept_typed_stamps(spark):
@@ -217,4 +216,4 @@ def test_run_with_nothing_new_changes_nothing(spark):
     assert out["threads"]["buckets"] == 0
     assert sorted(map(str, tables.read_partitioned(spark, roots.threads).collect())) == snap
     assert tables.read_partitioned(spark, roots.participants).count() == 1
-    assert extract.read_watermark(tables.read(spark, roots.state, WATERMARK), "threads") == D1
+    assert extract.read_watermark(tables.read(spark, roots.state + "/threads", WATERMARK), "threads") == D1

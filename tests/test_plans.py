@@ -16,7 +16,7 @@ def test_in_row_word_count_has_no_exchange(spark):
     p = plan(wordcount.text_word_rows(docs, "doc_id", "text"))
     assert "Exchange" not in p
     # the word map is built once: no inferred size() filter re-evaluating it
-    assert p.count("array_sort") == 1
+    assert p.count("sort_array") == 1
 
 
 def test_grouped_word_count_combines_before_shuffle(spark):
@@ -71,13 +71,3 @@ def test_hot_key_keep_last_and_word_count_match_brute_force(spark):
         for w in (r["text"] or "").translate(table).split():
             want[(r["conv_id"], w)] += 1
     assert got == dict(want)
-
-
-def test_spread_only_when_fewer_partitions_than_cores(spark):
-    from threadmill.session import spread
-
-    cores = spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 1000, numPartitions=cores * 2)
-    assert "Exchange" not in plan(spread(wide))  # already parallel: unchanged
-    narrow = spark.range(0, 1000, numPartitions=1)
-    assert "RoundRobinPartitioning" in plan(spread(narrow))

@@ -31,14 +31,15 @@ def abbrev_count(c) -> Column:
     """E1: '12K' -> 12000, '3M' -> 3000000, '1.5K' -> 1500; bad text -> NULL.
 
     Plain integers parse as integers. A fraction before the suffix is scaled
-    exactly through decimal arithmetic and rounded half up.
+    exactly through decimal arithmetic and rounded half up; a number too
+    large for a bigint is NULL.
     """
     c = _c(c)
     mantissa = F.regexp_extract(c, _ABBREV, 1)
     suffix = F.regexp_extract(c, _ABBREV, 2)
     scale = F.when(suffix == "M", F.lit(1_000_000)).when(suffix == "K", F.lit(1_000)).otherwise(F.lit(1))
     value = mantissa.try_cast("decimal(30,6)") * scale
-    return F.when(mantissa != "", F.round(value, 0).cast("bigint"))
+    return F.when(mantissa != "", F.round(value, 0).try_cast("bigint"))
 
 
 def fill_default(c, default: str = DEFAULT_LOCATION) -> Column:

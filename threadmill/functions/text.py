@@ -16,10 +16,9 @@ from pyspark.sql import functions as F
 PUNCTUATION = string.punctuation
 
 # Python's str.split() breaks on every character for which str.isspace() is
-# true. Java's \s under UNICODE_CHARACTER_CLASS covers the Unicode White_Space
-# set; Python additionally treats the four information separators 0x1C-0x1F as
-# space. The (?U) flag must come first, outside the class.
-WHITESPACE_RUN = r"(?U)[\s\x{1c}-\x{1f}]+"
+# true: the Unicode White_Space set and the four information separators
+# 0x1C-0x1F.
+WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 _STRIP = r"(?U)^[\s\x{1c}-\x{1f}]+|[\s\x{1c}-\x{1f}]+$"
 
 
@@ -37,12 +36,17 @@ def py_strip(c) -> Column:
     return F.regexp_replace(_c(c), _STRIP, "")
 
 
-def split_ws(c) -> Column:
-    """Python `str.split()`: whitespace runs, no empty tokens; NULL stays NULL.
+def _split_after(c: Column, deleted: str) -> Column:
+    """One `translate` turns every whitespace character into a space and deletes
+    `deleted`; splitting at single spaces then needs no regular expression, and
+    the empty tokens go with the native `array_remove`."""
+    plain = F.translate(c, WHITESPACE + deleted, " " * len(WHITESPACE))
+    return F.array_remove(F.split(plain, " "), "")
+
 
-    Empty tokens (from leading/trailing whitespace) are dropped with the native
-    `array_remove`, not a per-element lambda."""
-    return F.array_remove(F.split(_c(c), WHITESPACE_RUN), "")
+def split_ws(c) -> Column:
+    """Python `str.split()`: whitespace runs, no empty tokens; NULL stays NULL."""
+    return _split_after(_c(c), "")
 
 
 def tokens(c, lower_case: bool = False) -> Column:
@@ -50,10 +54,10 @@ def tokens(c, lower_case: bool = False) -> Column:
 
     ``lower_case=True`` gives the lower-cased variant (G-A1b).
     """
-    t = strip_punctuation(c)
+    t = _c(c)
     if lower_case:
         t = F.lower(t)
-    return split_ws(t)
+    return _split_after(t, PUNCTUATION)
 
 
 def explode_rows(df, keep: list, arr, names):
@@ -62,10 +66,10 @@ def explode_rows(df, keep: list, arr, names):
     For a plain `explode`, Catalyst infers the filter `size(arr) > 0` and
     pushes it towards the scan; when `arr` is an expensive expression (a word
     map, an in-row dedupe) it is then computed once for the filter and again
-    for the generator. `explode_outer` infers nothing; the rows it adds for
-    NULL / empty input (first output NULL) are dropped right after, so the
-    result equals `explode`'s. Elements themselves must not be NULL.
+    for the generator. `posexplode_outer` infers nothing; the rows it adds for
+    NULL / empty input (position NULL) are dropped right after, so the result
+    equals `explode`'s, NULL elements included.
     """
     names = [names] if isinstance(names, str) else list(names)
-    out = df.select(*keep, F.explode_outer(arr).alias(*names))
-    return out.where(F.col(names[0]).isNotNull())
+    out = df.select(*keep, F.posexplode_outer(arr).alias("_at", *names))
+    return out.where(F.col("_at").isNotNull()).drop("_at")

@@ -23,7 +23,9 @@ def _list(x) -> list[str]:
 def _pick(df: DataFrame, keys, order, last: bool) -> DataFrame:
     ks, os_ = _list(keys), _list(order)
     row = F.struct(*[F.col(c) for c in df.columns]).alias("_row")
-    ordering = F.struct(*[F.col(c) for c in os_]) if len(os_) > 1 else F.col(os_[0])
+    # a struct is never NULL, so a key whose order values are NULL keeps a row
+    # (NULL is smaller than any value)
+    ordering = F.struct(*[F.col(c) for c in os_])
     pick = F.max_by(row, ordering) if last else F.min_by(row, ordering)
     return df.groupBy(*ks).agg(pick.alias("_row")).select("_row.*")
 

@@ -1,70 +1,34 @@
-"""Joins: anti join on seen ids (J5), enrichment lookup (J6), and the checked
-broadcast used by them and by the upserts.
+"""Joins: anti join on seen ids (J5) and enrichment lookup.
 
-A side is broadcast only after its row count has been measured and found
-under a bound; otherwise the join is left to the planner (sort-merge, with
-AQE skew splitting). Only key columns are ever broadcast.
+No side is forced into a broadcast: the planner broadcasts under its own byte
+threshold (file statistics, then AQE's measured shuffle sizes) and sort-merges
+otherwise, with AQE skew splitting.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# A broadcast hash relation of long keys costs ~16 bytes per key; 4M keys is
-# about 64 MB per executor, far under executor memory, and this bound does not
-# grow with the data.
-MAX_BROADCAST_KEYS = 4_000_000
 
 
 def _list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def _materialise(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (cuts lineage, so
-    the count and every later broadcast read the same stored keys instead of
-    recomputing the batch); unchanged when no checkpoint folder is set."""
-    try:
-        if df.sparkSession.sparkContext.getCheckpointDir():
-            return df.checkpoint(eager=True)
-    except Exception:  # no SparkContext API available: recompute instead
-        pass
-    return df
-
+def anti_seen(listed: DataFrame, seen: DataFrame, keys) -> DataFrame:
+    """Rows of `listed` whose key is not in `seen`.
 
-def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_KEYS) -> tuple[DataFrame, bool]:
-    """Broadcast `df` if it has at most `max_rows` rows; returns (df, broadcast?).
-
-    The frame (a key list of a staged batch) is checkpointed first and counted
-    from the checkpoint, so the bound is proven on exactly the rows that are
-    then broadcast (even if the batch's plan were not deterministic), and the
-    batch is not recomputed for each join. Callers pass frames of keys.
+    `seen` is the large side and needs no distinct: it is narrowed to the
+    listed keys first, so what meets `listed` is no larger than the listing.
     """
-    df = _materialise(df)
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(df), True
-    return df, False
-
-
-def distinct_keys(df: DataFrame, keys) -> DataFrame:
-    return df.select(*_list(keys)).distinct()
-
-
-def anti_seen(listed: DataFrame, seen: DataFrame, keys, max_broadcast: int = MAX_BROADCAST_KEYS) -> DataFrame:
-    """Rows of `listed` whose key is not in `seen`."""
     ks = _list(keys)
-    seen_keys, _ = checked_broadcast(distinct_keys(seen, ks), max_broadcast)
-    return listed.join(seen_keys, ks, "left_anti")
+    hit = seen.select(*ks).join(listed.select(*ks), ks, "left_semi")
+    return listed.join(hit, ks, "left_anti")
 
 
 def enrich(left: DataFrame, right: DataFrame, keys) -> DataFrame:
     """Attach `right`'s columns by key (left join, key unique in `right`).
 
     The reference looked comments up by thread *title*; equal titles collided
-    (D10). The join here is on the id. Whole rows of `right` may be wide, so no
-    hint is given: the planner broadcasts only under its own byte threshold
-    (file-size statistics, then AQE's measured shuffle size), else sort-merges.
+    (D10). The join here is on the id.
     """
     return left.join(right, _list(keys), "left")

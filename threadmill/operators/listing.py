@@ -87,7 +87,7 @@ def flag_first_n(df: DataFrame, n: int, order: list[Column], keys, flag: str = "
     """Mark the first `n` rows in `order` (top-k ids joined back)."""
     ks = [keys] if isinstance(keys, str) else list(keys)
     first = df.orderBy(*order).limit(n).select(*ks).withColumn(flag, F.lit(True))
-    return df.join(F.broadcast(first), ks, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    return df.join(first, ks, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
 def exclude_keywords(df: DataFrame, col: str, words=EXCLUDED_TITLE_WORDS) -> DataFrame:

@@ -64,10 +64,10 @@ def keep_last_in_array(arr, key_fields: list[str]) -> Column:
             F.sequence(F.lit(0), n - 1),
             lambda i: (i == n - 1) | ~same_key(s[i], s[F.least(i + 1, n - 1)]),
         )
-        kept = F.array_sort(F.transform(last_of_run, lambda i: F.struct(s[i]["_pos"].alias("_pos"), s[i]["_v"].alias("_v"))))
+        kept = F.sort_array(F.transform(last_of_run, lambda i: F.struct(s[i]["_pos"].alias("_pos"), s[i]["_v"].alias("_v"))))
         return F.transform(kept, lambda x: x["_v"])
 
-    return F.when(a.isNull() | (F.size(a) == 0), a).otherwise(let(F.array_sort(tagged), with_sorted))
+    return F.when(a.isNull() | (F.size(a) == 0), a).otherwise(let(F.sort_array(tagged), with_sorted))
 
 
 def explode_participants(threads: DataFrame, key: str = "thread_id", participants: str = "participants",
@@ -120,6 +120,8 @@ def json_recordset(df: DataFrame, json_col: str, schema: T.StructType) -> DataFr
 
 # ---------------------------------------------------------------- A9 legacy repr cells
 
+# a backslash and a character after which Python and JSON part ways
+_PYTHON_ESCAPE = r"\\[xUNav0-7\n]"
 _REPR_OPTIONS = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
 
 
@@ -144,12 +146,13 @@ def decode_repr_cell(c, element: T.DataType = PARTICIPANT) -> Column:
     """A cell holding a Python-repr list of dicts -> array<struct>.
 
     The JVM JSON parser accepts single quotes and escaped apostrophes; cells it
-    cannot read (`None`, non-breaking spaces, ...) go through an Arrow-batched
-    `ast.literal_eval` fallback, only for those rows.
+    cannot read (`None`, ...) and cells with an escape that JSON reads
+    differently (`\\xNN`, `\\UNNNNNNNN`, `\\N{...}`, octal, `\\a`, `\\v`) go
+    through an Arrow-batched `ast.literal_eval` fallback, only for those rows.
     """
     c = _c(c)
     arr_type = T.ArrayType(element)
-    fast = F.from_json(c, arr_type, _REPR_OPTIONS)
+    fast = F.when(~c.rlike(_PYTHON_ESCAPE), F.from_json(c, arr_type, _REPR_OPTIONS))
     # Python UDFs run for every row of their input, so only rows the JVM parser
     # rejected carry their text to Python; the rest send NULL.
     slow = F.from_json(_literal_eval_udf(F.when(fast.isNull(), c)), arr_type)

@@ -2,10 +2,10 @@
 (J4), with staging checks (D19) and row deltas (G-A3).
 
 The warehouse (`prod`) is large; a staged batch is small relative to it. Both
-upserts therefore touch prod only through scans joined against the *keys* of
-the batch: when the key list is under the broadcast bound, prod is never
-shuffled (broadcast hash anti/semi joins stream through it). Beyond the bound
-the same logical plan falls back to shuffle joins.
+upserts touch prod only through scans joined against the *keys* of the batch.
+No join carries a hint and nothing runs while the plan is built: where the key
+list is under the planner's byte threshold, prod streams through broadcast
+joins, otherwise the same plan shuffles.
 
 Results are new DataFrames; writing them is the job of
 `threadmill.sources.tables`: touched key-range partitions replaced at job
@@ -21,8 +21,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadmill.operators.joins import MAX_BROADCAST_KEYS, checked_broadcast
-
 
 def _list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
@@ -48,12 +46,9 @@ def check_staging(stg: DataFrame, keys, not_null=(), widths: dict | None = None)
         reason = F.coalesce(reason, F.when(F.col(c).isNull(), F.lit(f"null {c}")))
     for c, w in (widths or {}).items():
         reason = F.coalesce(reason, F.when(F.length(c) > w, F.lit(f"width {c}")))
-    # duplicated keys: counted with a grouped aggregate (combines map-side);
-    # the (normally tiny) duplicate list is broadcast after a size check, so
-    # the batch itself is not shuffled to flag its duplicates
+    # duplicated keys: counted with a grouped aggregate (combines map-side)
     dup = stg.groupBy(*ks).agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1").select(*ks)
-    dup, _ = checked_broadcast(dup.withColumn("_dup", F.lit(True)))
-    flagged = stg.join(dup, ks, "left")
+    flagged = stg.join(dup.withColumn("_dup", F.lit(True)), ks, "left")
     reason = F.coalesce(reason, F.when(F.col("_dup"), F.lit("duplicate key")))
     tagged = flagged.withColumn("reject_reason", reason).drop("_dup")
     return Checked(
@@ -62,50 +57,32 @@ def check_staging(stg: DataFrame, keys, not_null=(), widths: dict | None = None)
     )
 
 
-def _batch_keys(stg: DataFrame, keys, max_broadcast: int) -> tuple[DataFrame, bool]:
-    return checked_broadcast(stg.select(*_list(keys)).distinct(), max_broadcast)
-
-
-def _hint(df: DataFrame, small: bool) -> DataFrame:
-    return F.broadcast(df) if small else df
-
-
-def upsert_replace(prod: DataFrame, stg: DataFrame, keys, max_broadcast: int = MAX_BROADCAST_KEYS) -> DataFrame:
+def upsert_replace(prod: DataFrame, stg: DataFrame, keys) -> DataFrame:
     """Staged rows win; prod rows with other keys are kept.
 
     prod anti-join batch keys, union the batch. Idempotent:
     upsert(upsert(p, s), s) == upsert(p, s).
     """
     ks = _list(keys)
-    batch_keys, _ = _batch_keys(stg, ks, max_broadcast)
-    kept = prod.join(batch_keys, ks, "left_anti")
+    kept = prod.join(stg.select(*ks), ks, "left_anti")
     return kept.unionByName(stg.select(*prod.columns))
 
 
-def upsert_protect(prod: DataFrame, stg: DataFrame, keys, locked, max_broadcast: int = MAX_BROADCAST_KEYS) -> DataFrame:
+def upsert_protect(prod: DataFrame, stg: DataFrame, keys, locked) -> DataFrame:
     """Like J3, but a prod row that is *locked* (already enriched) is kept
     and the staged row for its key is discarded.
 
     `locked` is a Column over prod (e.g. ``participants IS NOT NULL``: an empty
     array still locks, NULL does not). A prod row survives exactly when its
-    key is not in the batch or the row itself is locked: one left join against
-    the broadcast batch keys and a filter. Staged rows survive when their key
-    is not among the locked batch keys (prod semi-joined to the batch keys,
-    reading only key + lock columns). The batch keys are counted once; the
-    locked keys are a subset of them, so the same size bound holds.
+    key is not in the batch or the row itself is locked: the locked rows pass,
+    the others are anti-joined with the batch keys. Staged rows survive when
+    their key is not among the locked keys (key and lock columns of prod).
     """
     ks = _list(keys)
-    batch_keys, small = _batch_keys(stg, ks, max_broadcast)
-    hit = prod.select(*ks, locked.alias("_locked")).join(batch_keys, ks, "left_semi")
-    locked_keys = hit.where("_locked").select(*ks)
-    accepted = stg.join(_hint(locked_keys, small), ks, "left_anti")
-    flagged = batch_keys.withColumn("_in_batch", F.lit(True))
-    kept = (
-        prod.withColumn("_locked", locked)
-        .join(_hint(flagged, small), ks, "left")
-        .where(F.col("_in_batch").isNull() | F.coalesce(F.col("_locked"), F.lit(False)))
-        .select(*prod.columns)
-    )
+    is_locked = F.coalesce(locked, F.lit(False))
+    locked_keys = prod.where(is_locked).select(*ks).join(stg.select(*ks), ks, "left_semi")
+    accepted = stg.join(locked_keys, ks, "left_anti")
+    kept = prod.where(is_locked).unionByName(prod.where(~is_locked).join(stg.select(*ks), ks, "left_anti"))
     return kept.unionByName(accepted.select(*prod.columns))
 
 

@@ -64,7 +64,7 @@ def count_map(words) -> Column:
 
     null_map = F.lit(None).cast("map<string,bigint>")
     # the token array itself is bound once too (tokenising is the costly part)
-    return let(words, lambda w: F.when(w.isNull(), null_map).otherwise(let(F.array_sort(w), with_sorted)))
+    return let(words, lambda w: F.when(w.isNull(), null_map).otherwise(let(F.sort_array(w), with_sorted)))
 
 
 def reply_tokens(participants, lower_case: bool = False) -> Column:
@@ -133,7 +133,7 @@ def word_count_map(df: DataFrame, key, text: str, lower_case: bool = False) -> D
 
 
 def keyword_stats(facts: DataFrame, dims: DataFrame, key: str, title: str, measures: dict[str, str],
-                  lower_case: bool = True, scale: int = 2) -> DataFrame:
+                  lower_case: bool = True, scale: int = 10) -> DataFrame:
     """Q1: do words in a title go with larger measures?
 
     ``facts`` carries the measures per row and a foreign key into ``dims``
@@ -142,26 +142,25 @@ def keyword_stats(facts: DataFrame, dims: DataFrame, key: str, title: str, measu
     fact rows to distinct keys); titles are tokenised once per key; then sums
     and counts are re-aggregated per word. Averages are sum / count.
 
-    ``measures`` maps output name -> fact column. Sums are exact and
-    independent of summation order for values with at most ``scale`` decimals
-    (reply/view counts: 0; prices: 2): they run on integers scaled by
-    10^scale (hash-aggregated longs, not decimals) and are converted to
-    double once at the end.
+    ``measures`` maps output name -> fact column. Sums are decimals with
+    ``scale`` decimal places (38 digits in all), so they are exact and do not
+    depend on the order of summation; they are converted to double once at the
+    end. A sum that does not fit is NULL.
     """
-    unit = float(10 ** scale)
+    exact = f"decimal(38,{scale})"
     per_key = facts.groupBy(key).agg(
         F.count(F.lit(1)).alias("_n"),
-        *[F.sum(F.rint(F.col(c) * unit).cast("long")).alias(f"_s_{name}") for name, c in measures.items()],
+        *[F.try_sum(F.col(c).try_cast(exact)).alias(f"_s_{name}") for name, c in measures.items()],
     )
     words = explode_rows(dims, [F.col(key)], F.array_distinct(tokens(title, lower_case)), "word")
     joined = per_key.join(words, key, "inner")
     agg = joined.groupBy("word").agg(
         F.sum("_n").alias("n_rows"),
-        *[F.sum(f"_s_{name}").alias(f"_t_{name}") for name in measures],
+        *[F.try_sum(f"_s_{name}").alias(f"_t_{name}") for name in measures],
     )
     out = [F.col("word"), F.col("n_rows")]
     for name in measures:
-        total = F.col(f"_t_{name}").cast("double") / F.lit(unit)
+        total = F.col(f"_t_{name}").cast("double")
         out.append(total.alias(f"sum_{name}"))
         out.append((total / F.col("n_rows")).alias(f"avg_{name}"))
     return agg.select(*out)

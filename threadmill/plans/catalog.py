@@ -18,7 +18,6 @@ from threadmill.functions import scalars as S
 from threadmill.functions.text import PUNCTUATION, explode_rows
 from threadmill.operators import dedupe, joins, listing, nested, upsert, wordcount
 from threadmill.plans import html as H
-from threadmill.session import spread
 from threadmill.sources import extract
 
 WATERMARK_TS = "2024-01-20 00:00:00"
@@ -30,10 +29,10 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _wide(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    """A table feeding CPU-heavy per-row work: pruned first, then spread over
-    the cores if the scan alone would not be (see `session.spread`)."""
+    """A table feeding CPU-heavy per-row work, pruned. Its parallelism is the
+    scan's: file layout and `spark.sql.files.*` decide it."""
     df = _t(spark, sf_dir, name)
-    return spread(df.select(*cols) if cols else df)
+    return df.select(*cols) if cols else df
 
 
 # ------------------------------------------------------------------ word counts

@@ -11,6 +11,7 @@ batch (the upserts and the keyed participants append are idempotent).
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ from threadmill.functions import scalars as S
 from threadmill.operators import dedupe, joins, nested, upsert, wordcount
 from threadmill.plans import html as H
 from threadmill.schemas import KEYS, NOT_NULL, PARTICIPANTS_CLEAN, WATERMARK, WIDTHS, columns
+from threadmill.session import checkpoint_dir
 from threadmill.sources import extract, tables
 
 
@@ -28,11 +30,11 @@ from threadmill.sources import extract, tables
 class Roots:
     """Where the tables of one deployment live (shared storage)."""
 
-    state: str          # watermarks: versioned table of (entity, updated_at)
+    state: str          # watermarks: one versioned table of (entity, updated_at) per entity below it
     threads: str        # warehouse threads, partitioned by key range (upserts rewrite touched ranges)
     users: str          # warehouse users, partitioned by key range
     participants: str   # append-only warehouse participants, partitioned by thread range
-    rejects: str        # staging rows refused by the checks (append-only)
+    rejects: str        # staging rows refused by the checks: a folder per entity and run
     staging: str        # run-scoped staging area (lineage cut between steps)
     key_width: int = 100_000  # ids per partition of the warehouse tables
 
@@ -146,11 +148,31 @@ def _stage(df: DataFrame, root: str, name: str, run_ts: _dt.datetime) -> DataFra
     return df.sparkSession.read.parquet(path)
 
 
-def _upsert_into(spark: SparkSession, stg: DataFrame, root: str, entity: str, roots: Roots, protect=None) -> dict:
-    """Check the batch (rejects kept aside), then merge it into the touched key
-    ranges of the warehouse table (J3, or J4 with `protect`)."""
-    checked = upsert.check_staging(stg, KEYS[entity], NOT_NULL.get(entity, ()), None)
-    tables.append(checked.rejects.withColumn("entity", F.lit(entity)), roots.rejects)
+def _drop_staging(spark: SparkSession, root: str, names, run_ts: _dt.datetime) -> None:
+    """The run's staging copies go once everything has been committed."""
+    for name in names:
+        tables.drop_path(spark, f"{root.rstrip('/')}/{name}/{run_ts.strftime('%Y%m%d%H%M%S')}")
+
+
+def _keep_rejects(rejects: DataFrame, rejects_root: str, entity: str, run: str) -> int:
+    """Write the refused rows of one entity and run (a rerun replaces its own)
+    and return how many there are: the watermark moves past them."""
+    path = f"{rejects_root.rstrip('/')}/{entity}/{run}"
+    rejects.write.mode("overwrite").parquet(path)
+    return rejects.sparkSession.read.schema(rejects.schema).parquet(path).count()
+
+
+def _state(spark: SparkSession, roots: Roots, entity: str) -> tuple[str, DataFrame | None]:
+    """The entity's own watermark table, so steps that run side by side never
+    replace each other's."""
+    root = f"{roots.state.rstrip('/')}/{entity}"
+    return root, tables.read(spark, root, WATERMARK)
+
+
+def _upsert_into(spark: SparkSession, checked: upsert.Checked, root: str, entity: str, roots: Roots, run_ts: _dt.datetime, protect=None) -> dict:
+    """Keep the rejects of a checked batch aside, then merge its good rows into
+    the touched key ranges of the warehouse table (J3, or J4 with `protect`)."""
+    n_rejects = _keep_rejects(checked.rejects, roots.rejects, entity, run_ts.strftime("%Y%m%d%H%M%S"))
     keys = KEYS[entity]
 
     def merge(prod, batch):
@@ -158,50 +180,63 @@ def _upsert_into(spark: SparkSession, stg: DataFrame, root: str, entity: str, ro
             return upsert.upsert_protect(prod, batch, keys, protect)
         return upsert.upsert_replace(prod, batch, keys)
 
-    return tables.upsert_partitioned(checked.good, root, keys, roots.key_width, merge)
+    return tables.upsert_partitioned(checked.good, root, keys, roots.key_width, merge) | {"rejects": n_rejects}
 
 
 def threads_and_participants(spark: SparkSession, source: DataFrame, roots: Roots, run_ts: _dt.datetime,
-                             inclusive: bool = False, comments: DataFrame | None = None) -> dict:
+                             inclusive: bool = False, comments: DataFrame | str | None = None) -> dict:
     """P1 + P3: extract threads newer than the threads watermark, upsert clean
     threads (J3), append new participants (keyed anti join, D15), then
     advance the threads watermark to the batch max (D4).
 
     `source` holds nested `participants` (the operational format of the
     reference), or, with `comments`, an `n_comments` column and a flat comment
-    table (the format `collect_threads` writes).
+    table (the format `collect_threads` writes): a frame, or the root of a
+    partitioned table, of which only the batch's key ranges are read.
     """
-    state = tables.read(spark, roots.state, WATERMARK)
+    state_root, state = _state(spark, roots, "threads")
     wm = extract.read_watermark(state, "threads")
     batch = _stage(decode_nested_text(extract.incremental(source, "updated_at", wm, inclusive)),
                    roots.staging, "threads_raw", run_ts)
 
     if comments is None:
-        threads, parts = clean_threads(batch), clean_participants(batch)
+        threads = clean_threads(batch)
     else:
+        if isinstance(comments, str):
+            comments = tables.touched_rows(spark, comments, batch, "thread_id", roots.key_width)
         batch_comments = _stage(comments.join(batch.select("thread_id"), "thread_id", "left_semi"),
                                 roots.staging, "comments_raw", run_ts)
-        threads, parts = clean_threads_flat(batch, batch_comments), clean_participants_flat(batch_comments)
-    touched = _upsert_into(spark, threads, roots.threads, "threads", roots)
+        threads = clean_threads_flat(batch, batch_comments)
+    checked = upsert.check_staging(threads, KEYS["threads"], NOT_NULL.get("threads", ()), None)
+    touched = _upsert_into(spark, checked, roots.threads, "threads", roots, run_ts)
+    # comments of accepted threads only: their ids occur once, so one key per comment
+    accepted = checked.good.select("thread_id")
+    if comments is None:
+        parts = clean_participants(batch.join(accepted, "thread_id", "left_semi"))
+    else:
+        parts = clean_participants_flat(batch_comments.join(accepted, "thread_id", "left_semi"))
 
     # Append only comments not stored yet (null-safe on the comment key),
     # comparing against the touched thread ranges only: a rerun appends nothing
     tables.append_new_partitioned(parts, roots.participants, KEYS["participants"], roots.key_width)
 
     new_wm = extract.next_watermark(batch, "updated_at", "threads")
-    v_state = tables.write_version(extract.merge_watermarks(state, new_wm), roots.state)
+    v_state = tables.write_version(extract.merge_watermarks(state, new_wm), state_root)
+    _drop_staging(spark, roots.staging, ("threads_raw", "comments_raw"), run_ts)
     return {"threads": touched, "state_version": v_state}
 
 
 def users(spark: SparkSession, source: DataFrame, roots: Roots, run_ts: _dt.datetime,
           inclusive: bool = False, default_location: str = S.DEFAULT_LOCATION) -> dict:
     """Users newer than the *users* watermark (D4), cleaned, upserted."""
-    state = tables.read(spark, roots.state, WATERMARK)
+    state_root, state = _state(spark, roots, "users")
     wm = extract.read_watermark(state, "users")
     batch = _stage(extract.incremental(source, "updated_at", wm, inclusive), roots.staging, "users_raw", run_ts)
-    touched = _upsert_into(spark, clean_users(batch, default_location), roots.users, "users", roots)
+    checked = upsert.check_staging(clean_users(batch, default_location), KEYS["users"], NOT_NULL.get("users", ()), None)
+    touched = _upsert_into(spark, checked, roots.users, "users", roots, run_ts)
     new_wm = extract.next_watermark(batch, "updated_at", "users")
-    v_state = tables.write_version(extract.merge_watermarks(state, new_wm), roots.state)
+    v_state = tables.write_version(extract.merge_watermarks(state, new_wm), state_root)
+    _drop_staging(spark, roots.staging, ("users_raw",), run_ts)
     return {"users": touched, "state_version": v_state}
 
 
@@ -266,7 +301,7 @@ def collect_threads(listing_pages: DataFrame, thread_pages: DataFrame, stored_th
     if enrich_first is not None:
         # Only the first n listed threads carry comments
         first = listed.orderBy("page_no", "pos").limit(enrich_first).select("thread_id").withColumn("_e", F.lit(True))
-        enriched = enriched.join(F.broadcast(first), "thread_id", "left").withColumn(
+        enriched = enriched.join(first, "thread_id", "left").withColumn(
             "n_comments", F.when(F.col("_e"), F.col("n_comments"))).drop("_e")
     run = S.ntz_literal(run_ts)
     threads = enriched.select(
@@ -301,10 +336,15 @@ def load_collected_threads(spark: SparkSession, batch: Collected, root: str, com
     a failure in between is repaired by rerunning the load.
     """
     keys = KEYS["threads"]
+    # staged once: each page is parsed by one job, and every later step reads the same rows
+    staging = f"{checkpoint_dir(spark).rstrip('/')}/collected-{uuid.uuid4().hex}"
+    batch.threads.write.parquet(f"{staging}/threads")
+    batch.comments.write.parquet(f"{staging}/comments")
+    batch = Collected(spark.read.parquet(f"{staging}/threads"), spark.read.parquet(f"{staging}/comments"))
     checked = upsert.check_staging(batch.threads, keys, NOT_NULL["threads"], None)
-    tables.append(checked.rejects.withColumn("entity", F.lit("threads")), rejects_root)
+    n_rejects = _keep_rejects(checked.rejects, rejects_root, "threads", _run_of(batch.threads))
     good = checked.good
-    stored = tables.read_partitioned(spark, root)
+    stored = tables.touched_rows(spark, root, good, keys[0] if not isinstance(keys, str) else keys, key_width)
     to_add = good.where(F.col("n_comments").isNotNull()).select(*keys)
     if stored is not None:
         locked = stored.where(F.col("n_comments").isNotNull()).select(*keys)
@@ -312,14 +352,27 @@ def load_collected_threads(spark: SparkSession, batch: Collected, root: str, com
     new_comments = batch.comments.join(to_add, keys, "left_semi")
     tables.append_new_partitioned(new_comments, comments_root, COMMENT_ROW_KEY, key_width)
     rule = lambda prod, stg: upsert.upsert_protect(prod, stg, keys, F.col("n_comments").isNotNull())
-    return tables.upsert_partitioned(good, root, keys, key_width, rule)
+    report = tables.upsert_partitioned(good, root, keys, key_width, rule) | {"rejects": n_rejects}
+    tables.drop_path(spark, staging)
+    return report
+
+
+def _run_of(batch: DataFrame) -> str:
+    """The stamp of a collection batch: all of its rows carry the run time."""
+    row = batch.agg(F.date_format(F.max("updated_at"), "yyyyMMddHHmmss")).first()
+    return row[0] or "empty"
 
 
 def load_collected_users(spark: SparkSession, batch: DataFrame, root: str, rejects_root: str,
                          key_width: int = 100_000) -> dict:
     """P5/P6 load: collected members into the operational users table."""
+    staging = f"{checkpoint_dir(spark).rstrip('/')}/collected-{uuid.uuid4().hex}"
+    batch.write.parquet(staging)
+    batch = spark.read.parquet(staging)
     checked = upsert.check_staging(batch, KEYS["users"], ["user_id", "username", "title"], None)
-    tables.append(checked.rejects.withColumn("entity", F.lit("users")), rejects_root)
+    n_rejects = _keep_rejects(checked.rejects, rejects_root, "users", _run_of(batch))
     rule = lambda prod, stg: upsert.upsert_replace(prod, stg, KEYS["users"])
-    return tables.upsert_partitioned(checked.good, root, KEYS["users"], key_width, rule)
+    report = tables.upsert_partitioned(checked.good, root, KEYS["users"], key_width, rule) | {"rejects": n_rejects}
+    tables.drop_path(spark, staging)
+    return report
 

@@ -42,10 +42,13 @@ class Node:
         return set((self.attrs.get("class") or "").split())
 
     def iter(self):
-        for ch in self.children:
+        """All nodes below, in document order (a stack: real pages nest thousands deep)."""
+        stack = self.children[::-1]
+        while stack:
+            ch = stack.pop()
             if isinstance(ch, Node):
                 yield ch
-                yield from ch.iter()
+                stack.extend(reversed(ch.children))
 
     def find_all(self, tag=None, cls=None, **attrs):
         want = set(cls.split()) if cls else None
@@ -76,9 +79,13 @@ class Node:
         return r[0] if r else None
 
     def text(self) -> str:
-        parts = []
-        for ch in self.children:
-            parts.append(ch.text() if isinstance(ch, Node) else ch)
+        parts, stack = [], self.children[::-1]
+        while stack:
+            ch = stack.pop()
+            if isinstance(ch, Node):
+                stack.extend(reversed(ch.children))
+            else:
+                parts.append(ch)
         return "".join(parts)
 
     def extract(self):

@@ -66,24 +66,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
-
-
-def spread(df, min_partitions: int | None = None):
-    """Round-robin `df` over at least `min_partitions` partitions (default: the
-    cluster's parallelism), only when it has fewer.
-
-    CPU-heavy per-row work (tokenising, HTML parsing, in-row sorts) runs in
-    the scan's tasks; a file with one large row group is one task. On a large
-    input the scan already has more splits than cores and nothing happens.
-
-    Call it on a freshly read (and pruned) frame: counting the partitions of a
-    plan that already contains a shuffle would run that shuffle's stages.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD API (e.g. a Spark Connect session): leave the plan as is
-        return df
-    if current < target:
-        return df.repartition(target)
-    return df

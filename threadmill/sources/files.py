@@ -29,7 +29,8 @@ TSV_OPTIONS = {
     "multiLine": "true",  # quoted fields may hold newlines
     "nullValue": "",      # only the empty field is NULL; 'NA' stays text (D16)
     "emptyValue": "",
-    "mode": "PERMISSIVE",
+    "mode": "FAILFAST",         # a value that does not fit its type raises (D18)
+    "enforceSchema": "false",   # and so does a header that is not the schema's
 }
 
 

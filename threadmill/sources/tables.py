@@ -33,6 +33,12 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 
+def absent(e: AnalysisException) -> bool:
+    """Is this the error of a path that does not exist? Anything else is a
+    failed read and must not pass for an empty table."""
+    return (e.getCondition() or "") == "PATH_NOT_FOUND"
+
+
 def _root(root: str) -> str:
     return root.rstrip("/")
 
@@ -40,20 +46,25 @@ def _root(root: str) -> str:
 def current_version(spark: SparkSession, root: str) -> int | None:
     """The newest committed version, or None for a table that does not exist."""
     try:
-        log = spark.read.schema("committed_at string, rows long, batch_id long, v int").json(f"{_root(root)}/_log")
+        log = spark.read.schema("committed_at string, rows long, batch_id long, stream string, v int").json(f"{_root(root)}/_log")
         row = log.agg(F.max("v").alias("v")).first()
-    except AnalysisException:
+    except AnalysisException as e:
+        if not absent(e):
+            raise
         return None
     return None if row is None or row["v"] is None else int(row["v"])
 
 
-def batch_committed(spark: SparkSession, root: str, batch_id: int) -> bool:
-    """Has this streaming batch id already been committed here (T2)? A point
-    lookup in the commit log; nothing but one flag reaches the driver."""
+def batch_committed(spark: SparkSession, root: str, batch_id: int, stream: str | None = None) -> bool:
+    """Has this batch of this stream already been committed here (T2)? Batch
+    numbers start at 0 with each checkpoint, so the stream's name is part of
+    the key. A point lookup in the commit log; one flag reaches the driver."""
     try:
-        log = spark.read.schema("committed_at string, rows long, batch_id long, v int").json(f"{_root(root)}/_log")
-        return log.where(F.col("batch_id") == F.lit(batch_id)).limit(1).count() > 0
-    except AnalysisException:
+        log = spark.read.schema("committed_at string, rows long, batch_id long, stream string, v int").json(f"{_root(root)}/_log")
+        return log.where((F.col("batch_id") == F.lit(batch_id)) & F.col("stream").eqNullSafe(F.lit(stream))).limit(1).count() > 0
+    except AnalysisException as e:
+        if not absent(e):
+            raise
         return False
 
 
@@ -74,7 +85,7 @@ def exists(spark: SparkSession, root: str) -> bool:
 
 
 def write_version(df: DataFrame, root: str, key=None, files: int | None = None, expect_rows: int | None = None,
-                  batch_id: int | None = None) -> int:
+                  batch_id: int | None = None, stream: str | None = None) -> int:
     """Write `df` as the next version of the table at `root` and commit it.
 
     With `key`, rows are clustered: hash-partitioned by key into `files` files
@@ -95,14 +106,23 @@ def write_version(df: DataFrame, root: str, key=None, files: int | None = None,
     written = spark.read.parquet(path).count()  # validate from the files themselves
     if expect_rows is not None and written != expect_rows:
         raise RuntimeError(f"{root} v{v}: wrote {written} rows, expected {expect_rows}; not committed")
+    if current_version(spark, root) != prev:
+        raise RuntimeError(f"{root}: another writer committed while v{v} was written; not committed")
     commit = spark.createDataFrame(
-        [(_dt.datetime.now(_dt.timezone.utc).isoformat(), written, batch_id)],
-        "committed_at string, rows long, batch_id long",
+        [(_dt.datetime.now(_dt.timezone.utc).isoformat(), written, batch_id, stream)],
+        "committed_at string, rows long, batch_id long, stream string",
     )
     commit.coalesce(1).write.mode("overwrite").json(f"{_root(root)}/_log/v={v}")
     return v
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder on whatever file system it lives on."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def append(df: DataFrame, path: str, key=None) -> None:
     """B10 for append-only tables: the job's new files appear atomically."""
     out = df
@@ -115,7 +135,9 @@ def append(df: DataFrame, path: str, key=None) -> None:
 def read_appended(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if not absent(e):
+            raise
         return spark.createDataFrame([], schema)
 
 
@@ -151,26 +173,42 @@ def bucket_column(key: str, width: int):
     return F.floor(F.col(key) / F.lit(width)).cast("long")
 
 
-FILES_PER_BUCKET = 8
-
-
-def _clustered(df: DataFrame, ks: list[str], files_per_bucket: int = FILES_PER_BUCKET) -> DataFrame:
-    """Hash-partition by (bucket, salt), salt = hash(key) mod files_per_bucket,
-    then sort by key within each task. A bucket is written as at most
-    `files_per_bucket` files (no file per task per bucket), a hot bucket is
-    still split over that many tasks, and each file is sorted by key for
-    min/max pruning (B12's sort key). No sampling pass is needed (a range
-    partitioner would run the plan twice, and observed metrics with it)."""
-    salt = F.pmod(F.xxhash64(*[F.col(k) for k in ks]), F.lit(files_per_bucket))
-    return df.repartition(F.col(BUCKET), salt).sortWithinPartitions(BUCKET, *ks)
+def _clustered(df: DataFrame, ks: list[str]) -> DataFrame:
+    """Rebalance by bucket (AQE splits a large bucket by size and joins small
+    ones), then sort by key within each task for min/max pruning (B12)."""
+    return df.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, *ks)
 
 
 def read_partitioned(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame | None:
     """The table without its bucket column; None / empty frame when absent."""
-    try:
-        return spark.read.parquet(root).drop(BUCKET)
-    except AnalysisException:
+    stored = _stored(spark, root)
+    if stored is None:
         return spark.createDataFrame([], schema) if schema is not None else None
+    return stored.drop(BUCKET)
+
+
+def _stored(spark: SparkSession, root: str) -> DataFrame | None:
+    """The partitioned table with its bucket column, None when it does not exist."""
+    try:
+        stored = spark.read.parquet(root)
+    except AnalysisException as e:
+        if not absent(e):
+            raise
+        return None
+    if BUCKET not in stored.columns:
+        raise ValueError(f"{root} holds files that are not partitioned by {BUCKET}")
+    return stored
+
+
+def touched_rows(spark: SparkSession, root: str, batch: DataFrame, key: str, width: int) -> DataFrame | None:
+    """Stored rows (without the bucket column) of the buckets that `batch` touches:
+    other partitions are pruned. None when the table does not exist."""
+    stored = _stored(spark, root)
+    if stored is None:
+        return None
+    buckets = batch.select(bucket_column(key, width).alias(BUCKET)).distinct()
+    # a semi join on the partition column: dynamic partition pruning, no list on the driver
+    return stored.join(buckets, BUCKET, "left_semi").drop(BUCKET)
 
 
 def upsert_partitioned(stg: DataFrame, root: str, keys, width: int, merge) -> dict:
@@ -194,11 +232,11 @@ def upsert_partitioned(stg: DataFrame, root: str, keys, width: int, merge) -> di
     if not touched:
         return {"buckets": 0, "rows_before": 0, "rows_after": 0, "delta": 0}
     before, after = Observation("rows_before"), Observation("rows_after")
-    try:
-        prod = spark.read.parquet(root)
-        prod = prod.where(F.col(BUCKET).isin(touched))  # partition pruning
-    except AnalysisException:
+    prod = _stored(spark, root)
+    if prod is None:
         prod = spark.createDataFrame([], staged.schema)
+    else:
+        prod = prod.where(F.col(BUCKET).isin(touched))  # partition pruning
     prod = prod.observe(before, F.count(F.lit(1)).alias("n"))
     merged = merge(prod, staged).observe(after, F.count(F.lit(1)).alias("n"))
     out = _clustered(merged, ks)
@@ -209,16 +247,14 @@ def upsert_partitioned(stg: DataFrame, root: str, keys, width: int, merge) -> di
     return {"buckets": len(touched), "rows_before": n_before, "rows_after": n_after, "delta": n_after - n_before}
 
 
-def append_new_partitioned(rows: DataFrame, root: str, keys, width: int, max_broadcast: int | None = None) -> int:
+def append_new_partitioned(rows: DataFrame, root: str, keys, width: int) -> int:
     """B10 + D15 for a large append-only table partitioned like the upsert
     tables: append only rows whose (null-safe) key is not stored yet.
 
     Stored rows are read from the touched buckets only and narrowed to the
-    batch's first-key values (checked broadcast) before the anti join, so the
-    work follows the batch, not the table. Returns the touched bucket count.
+    batch's first-key values before the anti join, so the work follows the
+    batch, not the table. Returns the touched bucket count.
     """
-    from threadmill.operators.joins import MAX_BROADCAST_KEYS, checked_broadcast
-
     spark = rows.sparkSession
     ks = [keys] if isinstance(keys, str) else list(keys)
     staged = rows.withColumn(BUCKET, bucket_column(ks[0], width))
@@ -226,13 +262,10 @@ def append_new_partitioned(rows: DataFrame, root: str, keys, width: int, max_bro
     if not touched:
         return 0
     new = staged
-    try:
-        stored = spark.read.parquet(root).where(F.col(BUCKET).isin(touched)).select(*ks)
-        first, _ = checked_broadcast(staged.select(ks[0]).distinct(), max_broadcast or MAX_BROADCAST_KEYS)
-        stored = stored.join(first, ks[0], "left_semi")
-        cond = [staged[k].eqNullSafe(stored[k]) for k in ks]
-        new = staged.join(stored, cond, "left_anti")
-    except AnalysisException:
-        pass
+    stored = _stored(spark, root)
+    if stored is not None:
+        known = stored.where(F.col(BUCKET).isin(touched)).select(*ks).join(staged.select(ks[0]), ks[0], "left_semi")
+        known = known.select(*[F.col(k).alias(f"_known_{k}") for k in ks])
+        new = staged.join(known, [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in ks], "left_anti")
     _clustered(new, ks).write.mode("append").partitionBy(BUCKET).parquet(root)
     return len(touched)

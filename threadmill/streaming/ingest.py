@@ -11,9 +11,11 @@ second run with no new file runs no batch.
 
 Each micro-batch is merged into a keyed table (`foreachBatch`): either a
 partitioned upsert table (only touched key ranges rewritten; the rules are
-idempotent, so a replayed batch changes nothing) or a versioned table, where
-the batch id is stored in the commit record and a replayed batch (after a
-failure between commit and checkpoint) is skipped.
+idempotent, so a replayed batch changes nothing) or, for small tables, a
+versioned table, where the stream's name and the batch id are stored in the
+commit record and a replayed batch (after a failure between commit and
+checkpoint) is skipped. Rows of one micro-batch that share a key are reduced
+to the last one, and rows that a keyed table refuses are kept aside.
 """
 
 from __future__ import annotations
@@ -21,10 +23,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from threadmill.operators import upsert
+from threadmill.operators import dedupe, upsert
 from threadmill.sources import tables
 from threadmill.sources.files import TSV_OPTIONS
 
@@ -46,15 +49,26 @@ def landing_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: st
 
 
 def upsert_batches(target_root: str, keys, transform: Callable[[DataFrame], DataFrame] | None = None,
-                   locked=None, key_width: int | None = None) -> Callable[[DataFrame, int], None]:
+                   locked=None, key_width: int | None = None, order=None, stream: str | None = None,
+                   rejects_root: str | None = None) -> Callable[[DataFrame, int], None]:
     """A `foreachBatch` body merging each micro-batch into `target_root`
     (J3, or J4 when `locked` is given).
 
+    Of rows that share a key, the one with the greatest `order` (default: all
+    other columns, in their order) is merged; rows with a NULL key go to
+    `rejects_root` (a folder per stream and batch, so a replay replaces its
+    own), or raise if there is none.
+
     With `key_width` the target is a partitioned upsert table and only the key
     ranges a batch touches are rewritten; a replayed batch is harmless there,
     as both rules are idempotent. Without it the target is a versioned table
-    and batch ids already committed are skipped.
+    that each batch rewrites whole: for small tables. It needs the `stream`'s
+    name, under which its batches are committed; ids already committed are
+    skipped.
     """
+    ks = [keys] if isinstance(keys, str) else list(keys)
+    if key_width is None and stream is None:
+        raise ValueError("a versioned target needs the stream's name: batch numbers restart with each checkpoint")
 
     def rule(prod: DataFrame, stg: DataFrame) -> DataFrame:
         if locked is not None:
@@ -64,13 +78,22 @@ def upsert_batches(target_root: str, keys, transform: Callable[[DataFrame], Data
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         stg = transform(batch) if transform else batch
+        if key_width is None and tables.batch_committed(spark, target_root, batch_id, stream):
+            return
+        missing = F.lit(False)
+        for k in ks:
+            missing = missing | F.col(k).isNull()
+        if rejects_root is not None:
+            stg.where(missing).write.mode("overwrite").parquet(f"{rejects_root.rstrip('/')}/{stream or 'stream'}/batch={batch_id}")
+            stg = stg.where(~missing)
+        else:
+            stg = stg.where(F.when(missing, F.raise_error(F.lit("a row without a key, and no folder for rejects"))).otherwise(F.lit(True)))
+        stg = dedupe.keep_last(stg, ks, order or [c for c in stg.columns if c not in ks] or ks)
         if key_width is not None:
             tables.upsert_partitioned(stg, target_root, keys, key_width, rule)
             return
-        if tables.batch_committed(spark, target_root, batch_id):
-            return
         prod = tables.read(spark, target_root, stg.schema)
-        tables.write_version(rule(prod, stg), target_root, key=keys, batch_id=batch_id)
+        tables.write_version(rule(prod, stg), target_root, key=keys, batch_id=batch_id, stream=stream)
 
     return merge
 
