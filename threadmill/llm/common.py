@@ -16,7 +16,20 @@ HOT_SHARE = 1 / 1000
 NUMBER_ROWS = 5000
 
 
+#: Rows in an Arrow batch: whole texts travel, so a batch of the default 10,000 rows would hold tens of MB.
+ARROW_ROWS = 512
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of the session; smaller settings are kept."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(spark.conf.get(key))
+    if rows <= 0 or rows > ARROW_ROWS:
+        spark.conf.set(key, str(ARROW_ROWS))
+
+
 def table(spark: SparkSession, sf_dir, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
@@ -28,6 +41,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     name, so concurrent queries never meet.
     """
     spark = df.sparkSession
+    small_batches(spark)
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

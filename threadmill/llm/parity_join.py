@@ -43,9 +43,9 @@ from threadmill.llm.shingles import mix, shingle_sets
 #: Similarity at least PART / WHOLE.
 PART, WHOLE = 75, 100
 #: Keys that one task compares.
-BUCKET_KEYS = 1_500_000
+BUCKET_KEYS = 1_000_000
 #: Keys that a map task gathers before it hands them on.
-FLUSH_KEYS = 2_000_000
+FLUSH_KEYS = 1_000_000
 STAR_ROUNDS = 3
 #: Members of a group that are compared with each other at a time.
 BLOCK = 1024
@@ -130,7 +130,7 @@ def _texts(column) -> list[bytes]:
     return [(t or "").encode() for t in column.to_pylist()]
 
 
-def _by_size(batches, size: int = 2 << 20):
+def _by_size(batches, size: int = 1 << 20):
     """Slices of Arrow batches whose last column holds about `size` bytes of text."""
     for b in batches:
         at, column = 0, b.column(b.num_columns - 1)

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from threadmill.llm.common import table, worker_state
 
 SENTENCE_ENDS = ".!?\n"
-CACHE = 400_000
+CACHE = 200_000
 START = "\x02"  # stands before each word, so that its beginning takes part in the kernel
 
 
@@ -319,10 +319,11 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
 
 def score(docs: DataFrame, model: dict | None, text: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The `carry` columns and `score` (0 to 1)."""
-    kept = docs.select(*carry, F.col(text).alias("_text"))
     if model is None:
-        return kept.select(*carry, F.lit(0.0).alias("score"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
+        return docs.select(*carry, F.lit(0.0).alias("score"))
+    kept = docs.select(*carry) if text in carry else docs.select(*carry, F.col(text).alias("_text"))
+    at_text = carry.index(text) if text in carry else len(carry)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[: len(carry)])
     token = f"toxicity-{id(model)}-{float(np.sum(model['weights']))}"
 
     def run(batches):
@@ -333,17 +334,17 @@ def score(docs: DataFrame, model: dict | None, text: str = "text", carry: tuple[
             state["toxicity"] = (token, Scorer(model))
         scorer = state["toxicity"][1]
         for b in batches:
-            texts = b.column(b.num_columns - 1)
+            texts = b.column(at_text)
             at = 0
             while at < b.num_rows:
                 some, size = [], 0
-                while at + len(some) < b.num_rows and size < 2_000_000:
+                while at + len(some) < b.num_rows and size < 1_000_000:
                     some.append(texts[at + len(some)].as_py() or "")
                     size += len(some[-1])
                 part = b.slice(at, len(some))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(i) for i in range(b.num_columns - 1)] + [pa.array(scorer.scores(some), pa.float64())],
-                    names=b.schema.names[:-1] + ["score"])
+                    [part.column(i) for i in range(len(carry))] + [pa.array(scorer.scores(some), pa.float64())],
+                    names=list(carry) + ["score"])
                 at += len(some)
 
     return kept.mapInArrow(run, schema + ", score double")
