@@ -194,3 +194,49 @@ def test_collected_loads_protect_enriched_threads(spark):
 
     users = etl.collect_users(_pages(spark, [(1, "https://f.example/online/page-1", CARD)]), run2)
     assert etl.load_collected_users(spark, users, uroot, rej)["rows_after"] == 1
+
+
+def test_reactions_reach_the_participants_table(spark):
+    import os
+    import tempfile
+
+    from threadmill.plans import etl
+    from threadmill.sources import tables
+
+    d = tempfile.mkdtemp(prefix="tm-h3-", dir="/tmp")
+    root, croot, rej, uroot = (os.path.join(d, n) for n in ("threads", "comments", "rejects", "users"))
+    url = "https://f.example/t/review-of-a-keyboard.1001/"
+    listing = _pages(spark, [(1, "https://f.example/f/33/page-1", LISTING)])
+    comments = _pages(spark, [(10, url, COMMENTS + CARD)])
+    overlays = spark.createDataFrame([(url, 1, '<a id="reaction-1">Love 1,204</a><a id="reaction-2">3</a>')], "url string, pos int, html string")
+    run = dt.datetime(2024, 1, 2)
+    batch = etl.collect_threads(listing, comments, None, run, f=33, overlays=overlays)
+    etl.load_collected_threads(spark, batch, root, croot, rej)
+    assert [(r["love"], r["brick"]) for r in tables.read_partitioned(spark, croot).collect()] == [(1204, 3)]
+    # members whose cards are on thread pages are collected too
+    etl.load_collected_users(spark, batch.members, uroot, rej)
+    assert [r["user_id"] for r in tables.read_partitioned(spark, uroot).collect()] == [42]
+    roots = etl.Roots(*(os.path.join(d, n) for n in ("state", "wthreads", "wusers", "parts", "rej2", "stg")))
+    etl.threads_and_participants(spark, tables.read_partitioned(spark, root), roots, dt.datetime(2024, 1, 3), comments=croot)
+    assert [(r["love"], r["brick"]) for r in tables.read_partitioned(spark, roots.participants).collect()] == [(1204, 3)]
+    assert not os.path.exists(os.path.join(d, "stg", "threads_raw", "20240103000000"))  # staging dropped (B11)
+
+
+def test_a_thread_twice_in_the_source_adds_no_comments(spark):
+    import os
+    import tempfile
+
+    from threadmill.plans import etl
+    from threadmill.schemas import THREADS_RAW
+    from threadmill.sources import tables
+
+    d = tempfile.mkdtemp(prefix="tm-p3-", dir="/tmp")
+    roots = etl.Roots(*(os.path.join(d, n) for n in ("state", "threads", "users", "parts", "rejects", "staging")))
+    at = dt.datetime(2022, 6, 19)
+    row = lambda k: (k, "t", "a", 1, "1", "2", [(7, "u", "hi", "Jun 12, 2022 3:04 PM", 0, 0)], "Jun 12, 2022 at 3:04 PM", at, 33, None)
+    source = spark.createDataFrame([row(1), row(1), row(2)], THREADS_RAW)
+    for _ in range(2):  # a rerun of the same batch changes nothing, rejects included
+        report = etl.threads_and_participants(spark, source, roots, dt.datetime(2024, 1, 3), inclusive=True)
+        assert [r["thread_id"] for r in tables.read_partitioned(spark, roots.participants).collect()] == [2]
+        assert report["threads"].get("rejects", 2) == 2
+        assert spark.read.parquet(roots.rejects + "/threads/*").count() == 2

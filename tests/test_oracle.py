@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as E
+from threadmill.plans.catalog import ORACLE_SQL, QUERIES
 from tools.oracle_check import compare, duck
 
 SF = "/root/testdata/sf0.01"
@@ -14,12 +14,12 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    _, ok, n_spark, n_duck, _ = compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], SF)
+    _, ok, n_spark, n_duck, _ = compare(spark, con, name, QUERIES[name], ORACLE_SQL[name], SF)
     assert n_spark and n_spark > 0, "each oracle query must return rows"
     assert ok, f"{name}: spark={n_spark} duck={n_duck}"
 

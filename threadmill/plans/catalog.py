@@ -9,6 +9,7 @@ the same result; column names match exactly.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -123,9 +124,10 @@ def q_keep_last_nested(spark, sf):
 def q_json_records(spark, sf):
     from pyspark.sql import types as T
 
-    ev = _t(spark, sf, "events").select("event_id", F.concat(F.lit("["), "props", F.lit("]")).alias("j"))
-    schema = T.StructType([T.StructField("k", T.IntegerType())])
-    return ev.select("event_id", F.inline(F.from_json("j", T.ArrayType(schema))))
+    # the id travels inside the record: an array of one object per event
+    record = F.concat(F.lit('[{"event_id":'), F.col("event_id").cast("string"), F.lit(","), F.substring("props", 2, 1 << 30), F.lit("]"))
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("k", T.IntegerType())])
+    return nested.json_recordset(_t(spark, sf, "events").select(record.alias("j")), "j", schema)
 
 
 # ------------------------------------------------------------------ dedupe
@@ -350,6 +352,113 @@ def q_html_links(spark, sf):
     return H.links(pages)
 
 
+# ------------------------------------------------------------------ extractors over generated markup
+
+
+def _escaped(c):
+    out = F.replace(c, F.lit("&"), F.lit("&amp;"))
+    return F.replace(F.replace(out, F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+
+def q_thread_comments(spark, sf):
+    # H2 + H3: each turn is the only comment of a page of its conversation's thread
+    conv = _t(spark, sf, "conversations").where(F.col("text").isNotNull())
+    url = F.format_string("https://f.example/t/talk.%d/page-%d", "conv_id", F.col("turn") + 2)
+    article = F.concat(
+        F.lit('<article class="message message--post js-post js-inlineModContainer" data-author="'), "role",
+        F.lit('"><a class="username" href="/u/'), "role", F.lit("."), F.col("turn").cast("string"),
+        F.lit('/">x</a><div class="message-attribution-main listInline"><time title="Jun 12, 2022 at 3:04 PM"></time></div><div class="bbWrapper">'),
+        _escaped(F.col("text")), F.lit("</div></article>"))
+    overlay = F.format_string('<a id="reaction-1">Love %d,%03d</a><a id="reaction-2">%d</a>', F.col("turn") + 1, F.col("conv_id") % 1000, "turn")
+    pages = conv.select(F.col("conv_id").alias("page_id"), url.alias("url"), article.alias("html"))
+    overlays = conv.where("turn % 2 = 0").select(url.alias("url"), F.lit(0).alias("pos"), overlay.alias("html"))
+    return H.thread_comments(pages, overlays).select("thread_id", "page_no", "pos", "user_id", "username", "reply", "love", "brick")
+
+
+def q_thread_listing(spark, sf):
+    # H1: each order is an item of a listing page of its own
+    o = _t(spark, sf, "orders")
+    item = F.concat(
+        F.lit('<div class="structItemContainer-group js-threadList"><div class="structItem" data-author="'), F.col("o_custkey").cast("string"),
+        F.lit('"><div class="structItem-title"><a data-tp-primary="on" href="/t/order.'), F.col("o_orderkey").cast("string"), F.lit('/"> '),
+        "o_orderpriority", F.lit(' </a></div><a class="username" href="/u/c.'), F.col("o_custkey").cast("string"),
+        F.lit('/">c</a><dl class="pairs pairs--justified"><dd>'), F.col("o_orderkey").cast("string"),
+        F.lit('K</dd></dl><dl class="pairs pairs--justified structItem-minor"><dd>'), F.col("o_custkey").cast("string"), F.lit("</dd></dl></div></div>"))
+    pages = o.select(F.col("o_orderkey").alias("page_id"), F.lit("https://f.example/f/33/page-4").alias("url"), item.alias("html"))
+    listed = H.thread_listing(pages)
+    return listed.select("page_no", "pos", "thread_id", "title", "author_name", "author_id", "reply_count", "view_count",
+                         F.array_join("status", ",").alias("status"))
+
+
+RUN_TS = _dt.datetime(2024, 1, 2, 3, 4)
+
+
+def q_member_cards(spark, sf):
+    # H4, H6 (+E13, E15, E18): each customer is a member card, every third id on two pages
+    c = _t(spark, sf, "customer")
+    stat = lambda n: F.concat(F.lit("<dl><dd>"), F.format_number(n, 0), F.lit("</dd></dl>"))
+    card = F.concat(
+        F.lit('<div class="memberTooltip"><a class="username" data-user-id="'), F.col("c_custkey").cast("string"), F.lit('"> '), "c_name",
+        F.lit(' </a><span class="userTitle">'), "c_mktsegment", F.lit('</span><div class="memberTooltip-blurb">Dev From  N'),
+        F.col("c_nationkey").cast("string"), F.lit('\n</div><time class="u-dt" title="Jun 2, 2022 at 3:04 PM"></time><div class="memberTooltip-stats">'),
+        stat(F.col("c_custkey") * 7), stat(F.col("c_custkey")), stat(F.col("c_nationkey")), F.lit("</div></div>"))
+    copies = F.explode(F.sequence(F.lit(1), F.when(F.col("c_custkey") % 3 == 0, 2).otherwise(1)))
+    pages = c.select(F.col("c_custkey").alias("page_id"), card.alias("html"), copies.alias("n")).withColumn(
+        "url", F.format_string("https://f.example/online/page-%d", "n"))
+    members = H.online_members(pages, RUN_TS)
+    return members.select("user_id", "username", "title", "location", F.col("join_date").cast("string").alias("join_date"),
+                          F.col("last_seen").cast("string").alias("last_seen"), "message", "reaction", "point")
+
+
+# ------------------------------------------------------------------ pipelines over the tables
+
+
+def _order_threads(spark, sf):
+    """Orders as raw threads; the replies of an order are its clerk's priority words."""
+    reply = lambda user, text, minute: F.struct(
+        user.cast("int").alias("user_id"), F.lit("u").alias("username"), text.alias("reply"),
+        F.format_string("Jun 12, 2022 3:%02d PM", minute.cast("int")).alias("created_at"), F.lit(0).alias("love"), F.lit(0).alias("brick"))
+    key = F.col("o_orderkey")
+    replies = F.array(reply(key % 3, F.col("o_orderpriority"), key % 2), reply(key % 2, F.lit("again, again"), key % 2))
+    return _t(spark, sf, "orders").select(
+        key.cast("int").alias("thread_id"), F.col("o_orderpriority").alias("title"), F.lit("  padded author  ").alias("author_name"),
+        F.col("o_custkey").cast("int").alias("author_id"), F.concat(key.cast("string"), F.lit("K")).alias("reply_count"),
+        F.lpad(key.cast("string"), 20, "9").alias("view_count"), F.when(key % 5 != 0, replies).alias("participants"),
+        F.lit("Jun 12, 2022 at 3:04 PM").alias("created_at"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("updated_at"),
+        F.lit(33).alias("f"), F.when(F.col("o_orderstatus") == "F", F.array(F.lit("Locked"))).alias("status"))
+
+
+def q_clean_threads(spark, sf):
+    # P1 (E1 with numbers beyond a bigint, G-A1 in a row, E7, E9, E17)
+    from threadmill.plans import etl
+
+    words = F.aggregate(F.map_values("word_count"), F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return etl.clean_threads(_order_threads(spark, sf)).select(
+        "thread_id", "author_name", "reply_count", "view_count", F.col("created_at").cast("string").alias("created_at"),
+        F.array_join("status", ",").alias("status"), words.alias("n_words"))
+
+
+def q_participants_etl(spark, sf):
+    # P3 (C1, C3, N1, G-A4): two replies share a key where user and minute agree
+    from threadmill.plans import etl
+
+    return etl.clean_participants(_order_threads(spark, sf)).select(
+        "thread_id", "user_id", "reply", F.col("created_at").cast("string").alias("created_at"))
+
+
+def q_stream_merge_rows(spark, sf):
+    # T2's rule: of one batch the last row of each key, then replace (J3) by user
+    ev = _t(spark, sf, "events").select("user_id", "event_id", "event_type")
+    stored = dedupe.keep_last(ev.where("event_id % 2 = 0"), "user_id", "event_id")
+    batch = dedupe.keep_last(ev.where("event_id % 2 = 1 AND user_id % 3 <> 0"), "user_id", "event_id")
+    return upsert.upsert_replace(stored, batch, "user_id")
+
+
+def q_id_from_link(spark, sf):
+    link = F.concat(F.lit("/members/"), F.lower("c_name"), F.lit("."), F.col("c_custkey").cast("string"), F.when(F.col("c_nationkey") % 2 == 0, "/").otherwise(""))
+    return _t(spark, sf, "customer").select("c_custkey", S.id_from_link(link).alias("user_id"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "word_count": q_word_count,
     "word_count_map": q_word_count_map,
@@ -391,6 +500,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "invalid_chars": q_invalid_chars,
     "repr_cells": q_repr_cells,
     "keep_last_turn": q_keep_last_turn,
+    "thread_comments": q_thread_comments,
+    "thread_listing": q_thread_listing,
+    "member_cards": q_member_cards,
+    "clean_threads": q_clean_threads,
+    "participants_etl": q_participants_etl,
+    "stream_merge_rows": q_stream_merge_rows,
+    "id_from_link": q_id_from_link,
 }
 
 
@@ -414,6 +530,40 @@ _DOC_LINES = """SELECT doc_id, unnest(range(0, len(string_split(text, chr(10))))
        unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL"""
 
 ORACLE_SQL: dict[str, str] = {
+    "thread_comments": """
+        SELECT CAST(conv_id AS INTEGER) AS thread_id, CAST(turn + 2 AS INTEGER) AS page_no, 0 AS pos, CAST(turn AS INTEGER) AS user_id,
+               role AS username, replace(replace(text, chr(9), ''), chr(10), '') AS reply,
+               CASE WHEN turn % 2 = 0 THEN CAST((turn + 1) * 1000 + conv_id % 1000 AS INTEGER) ELSE 0 END AS love,
+               CASE WHEN turn % 2 = 0 THEN CAST(turn AS INTEGER) ELSE 0 END AS brick
+        FROM conversations WHERE text IS NOT NULL""",
+    "thread_listing": """
+        SELECT 4 AS page_no, 0 AS pos, CAST(o_orderkey AS INTEGER) AS thread_id, o_orderpriority AS title, CAST(o_custkey AS VARCHAR) AS author_name,
+               CAST(o_custkey AS INTEGER) AS author_id, o_orderkey || 'K' AS reply_count, CAST(o_custkey AS VARCHAR) AS view_count, 'Open' AS status
+        FROM orders""",
+    "member_cards": """
+        SELECT CAST(c_custkey AS INTEGER) AS user_id, c_name AS username, c_mktsegment AS title, 'N' || c_nationkey AS location,
+               '2022-06-02' AS join_date, '2024-01-02 03:04:00' AS last_seen, CAST(c_custkey * 7 AS INTEGER) AS message,
+               CAST(c_custkey AS INTEGER) AS reaction, CAST(c_nationkey AS INTEGER) AS point
+        FROM customer""",
+    "clean_threads": """
+        SELECT CAST(o_orderkey AS INTEGER) AS thread_id, '  padded author' AS author_name, o_orderkey * 1000 AS reply_count,
+               CAST(NULL AS BIGINT) AS view_count, '2022-06-12 15:04:00' AS created_at,
+               CASE WHEN o_orderstatus = 'F' THEN 'Locked' ELSE 'Open' END AS status,
+               CASE WHEN o_orderkey % 5 <> 0 THEN 2 + len(list_filter(
+                 string_split(replace(o_orderpriority, '-', ''), ' '), lambda x: x <> '')) END AS n_words
+        FROM orders""",
+    "participants_etl": """
+        WITH r AS (
+          SELECT o_orderkey AS k, o_orderkey % 3 AS u, o_orderpriority AS reply, 0 AS pos FROM orders WHERE o_orderkey % 5 <> 0
+          UNION ALL SELECT o_orderkey, o_orderkey % 2, 'again, again', 1 FROM orders WHERE o_orderkey % 5 <> 0)
+        SELECT CAST(k AS INTEGER) AS thread_id, CAST(u AS INTEGER) AS user_id, reply,
+               CASE WHEN k % 2 = 0 THEN '2022-06-12 15:00:00' ELSE '2022-06-12 15:01:00' END AS created_at
+        FROM r QUALIFY row_number() OVER (PARTITION BY k, u ORDER BY pos DESC) = 1""",
+    "stream_merge_rows": """
+        WITH ev AS (SELECT user_id, event_id, event_type, event_id % 2 = 1 AS fresh FROM events WHERE event_id % 2 = 0 OR user_id % 3 <> 0)
+        SELECT user_id, event_id, event_type FROM ev
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY fresh DESC, event_id DESC) = 1""",
+    "id_from_link": "SELECT c_custkey, CAST(c_custkey AS INTEGER) AS user_id FROM customer",
     "word_count": f"""
         SELECT conv_id, word, count(*) AS n
         FROM (SELECT conv_id, unnest({_WORDS}) AS word FROM conversations)

@@ -259,11 +259,13 @@ def run_etl(spark: SparkSession, threads_source: DataFrame, users_source: DataFr
 @dataclass
 class Collected:
     """A collection run's staged batch: threads (with `n_comments`: NULL when
-    the thread's pages were not collected, else the number of comments) and
-    the flat comments of the collected threads."""
+    the thread's pages were not collected, else the number of comments), the
+    flat comments of the collected threads, and the members whose cards were
+    met on the thread pages (load them with `load_collected_users`)."""
 
     threads: DataFrame
     comments: DataFrame
+    members: DataFrame | None = None
 
 
 COMMENT_ROW_KEY = ["thread_id", "page_no", "pos"]
@@ -271,7 +273,7 @@ COMMENT_ROW_KEY = ["thread_id", "page_no", "pos"]
 
 def collect_threads(listing_pages: DataFrame, thread_pages: DataFrame, stored_threads: DataFrame | None,
                     run_ts: _dt.datetime, f: int, top: int | None = None, exclude_words=None,
-                    enrich_first: int | None = None) -> Collected:
+                    enrich_first: int | None = None, overlays: DataFrame | None = None) -> Collected:
     """Listing pages -> threads (H1), exact keep-first per id (G-A6), minus
     stored ids (J5), optional keyword exclusion (C5); comments of thread pages
     (H2) attached by id (J6, not by title: D10); stamped with the run time and
@@ -292,7 +294,7 @@ def collect_threads(listing_pages: DataFrame, thread_pages: DataFrame, stored_th
         from threadmill.operators.listing import exclude_keywords
 
         listed = exclude_keywords(listed, "title", exclude_words)
-    comments = H.thread_comments(thread_pages)
+    comments = H.thread_comments(thread_pages, overlays)
     collected = thread_pages.select(H.thread_id_from_url("url").alias("thread_id")).distinct()
     counts = collected.join(
         comments.groupBy("thread_id").agg(F.count(F.lit(1)).alias("n_comments")), "thread_id", "left"
@@ -315,7 +317,7 @@ def collect_threads(listing_pages: DataFrame, thread_pages: DataFrame, stored_th
         "status",
     )
     enriched_ids = threads.where(F.col("n_comments").isNotNull()).select("thread_id")
-    return Collected(threads, comments.join(enriched_ids, "thread_id", "left_semi"))
+    return Collected(threads, comments.join(enriched_ids, "thread_id", "left_semi"), collect_users(thread_pages, run_ts))
 
 
 def collect_users(card_pages: DataFrame, run_ts: _dt.datetime) -> DataFrame:

@@ -300,24 +300,35 @@ def thread_id_from_url(url_col: str):
     return F.regexp_extract(F.col(url_col), r"/t/(?:[^/]*\.)?(\d+)/", 1).try_cast("int")
 
 
-def thread_comments(pages: DataFrame) -> DataFrame:
+def thread_comments(pages: DataFrame, overlays: DataFrame | None = None) -> DataFrame:
     """H2 (+C8, E7, E12): thread pages -> comments (thread_id, page_no, pos,
     user_id, username, reply, created_at, love, brick). The first comment of
-    page 1 is the opening post and is skipped."""
+    page 1 is the opening post and is skipped.
+
+    `overlays` (H3) holds the reaction overlays that were opened: the thread
+    page's `url`, the comment's `pos` on it and the overlay's `html`. A comment
+    without one has no reactions (0); of several for one comment, the largest
+    counts stand."""
     raw = _run(pages, _comments, COMMENT_RAW).select(
         "*",
         thread_id_from_url("url").alias("thread_id"),
         _page_no("url").alias("page_no"),
     )
     out = raw.where(~((F.col("page_no") == 1) & (F.col("pos") == 0)))
-    return out.select(
+    comments = out.select(
         "thread_id", "page_no", "pos",
         S.id_from_link("user_href").alias("user_id"),
         "username",
         S.remove_tabs_newlines("reply").alias("reply"),
         S.parse_forum_ts("created_at").alias("created_at"),
-        F.lit(0).alias("love"), F.lit(0).alias("brick"),
     )
+    if overlays is None:
+        return comments.withColumns({"love": F.lit(0), "brick": F.lit(0)})
+    key = ["thread_id", "page_no", "pos"]
+    counts = comment_reactions(overlays).groupBy(*key).agg(F.max("love").alias("love"), F.max("brick").alias("brick"))
+    zero = F.lit(0)
+    return comments.join(counts, key, "left").withColumns({"love": F.coalesce("love", zero), "brick": F.coalesce("brick", zero)}).select(
+        *comments.columns, "love", "brick")
 
 
 # ----------------------------------------------------------------------------- H3
@@ -340,6 +351,21 @@ def reaction_counts(overlays: DataFrame) -> DataFrame:
     return raw.select("page_id", S.digits_or_zero("love").alias("love"), S.digits_or_zero("brick").alias("brick"))
 
 
+def comment_reactions(overlays: DataFrame) -> DataFrame:
+    """H3 per comment: overlays (page_id, url, pos, html) -> (thread_id, page_no, pos, love, brick)."""
+    schema = T.StructType([T.StructField("pos", T.IntegerType())] + [f for f in REACTIONS_RAW.fields if f.name != "page_id"])
+    full = T.StructType(list(schema.fields) + [T.StructField("url", T.StringType())])
+    rows = overlays.select(F.col("pos").cast("int").alias("pos"), "url", "html").mapInPandas(_batches(_overlay, full.names), full)
+    return rows.select(
+        thread_id_from_url("url").alias("thread_id"), _page_no("url").alias("page_no"), "pos",
+        S.digits_or_zero("love").alias("love"), S.digits_or_zero("brick").alias("brick"))
+
+
+def _overlay(rec):
+    found = _reactions({"page_id": None, "html": rec["html"]})[0]
+    return [{"pos": rec["pos"], "love": found["love"], "brick": found["brick"]}]
+
+
 # ----------------------------------------------------------------------------- H4
 
 
