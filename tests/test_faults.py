@@ -115,3 +115,40 @@ def test_rows_without_a_key_are_kept_aside(spark):
     assert [r.v for r in spark.read.parquet(d + "/rejects/stream/batch=0").collect()] == ["lost"]
     with pytest.raises(ValueError, match="stream"):
         ingest.upsert_batches(d + "/t", "id")
+
+
+def test_json_documents(spark):
+    import json
+
+    d = _dir()
+    rows = [{"a": 1, "b": "x"}, {"a": 2, "b": "y"}]
+    for name, text in {"array.json": json.dumps(rows, indent=2), "one.json": json.dumps(rows[0], indent=1), "lines.json": "\n".join(map(json.dumps, rows)),
+                       "flat.json": json.dumps(rows)}.items():
+        with open(os.path.join(d, name), "w") as f:
+            f.write(text)
+    schema = spark.createDataFrame([], "a int, b string").schema
+    for name, n in (("array.json", 2), ("one.json", 1), ("lines.json", 2), ("flat.json", 2)):
+        for s in (schema, None):
+            assert sorted((r.a, r.b) for r in files.read_by_suffix(spark, f"{d}/{name}", s).collect()) == [(1, "x"), (2, "y")][:n]
+
+
+def test_tables_bucketed_alike_join_without_an_exchange(spark):
+    import uuid
+
+    names = [f"bucketed_{uuid.uuid4().hex}" for _ in range(2)]
+    for n in names:
+        tables.save_bucketed(spark.range(1000).withColumn("v", F.lit(n)), n, "id", 4)
+    a, b = (spark.table(n) for n in names)
+    joined = a.hint("merge").join(b, "id")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == 1000 and "Exchange" not in plan and "SortMergeJoin" in plan
+    for n in names:
+        spark.sql(f"DROP TABLE {n}")
+
+
+def test_unreadable_cells_are_counted(spark):
+    from threadmill.plans import etl
+
+    df = spark.createDataFrame([(1, "[{'user_id': 1}]", "['Locked']"), (2, "[broken", "None"), (3, "None", "['x'"), (4, None, None)],
+                               "thread_id int, participants string, status string")
+    assert {r.thread_id: r.undecoded for r in etl.decode_nested_text(df).collect()} == {1: 0, 2: 1, 3: 1, 4: 0}

@@ -60,13 +60,20 @@ def _date(df: DataFrame, name: str):
 def decode_nested_text(threads: DataFrame) -> DataFrame:
     """Nested columns that arrive as text (JSONB read over JDBC, or the legacy
     Python-repr cells of the landing files, A9/D2) become typed arrays;
-    columns that are already arrays are left as they are."""
+    columns that are already arrays are left as they are. A cell that cannot
+    be read is NULL and counted: `undecoded` tells how many a row has."""
     out = threads
+    text = [c for c in ("participants", "status") if c in out.columns and isinstance(out.schema[c].dataType, T.StringType)]
+    given = {c: F.col(c).isNotNull() & (F.trim(c) != "None") for c in text}
+    out = out.withColumns({f"_given_{c}": v for c, v in given.items()}) if text else out
     if "participants" in out.columns and isinstance(out.schema["participants"].dataType, T.StringType):
         out = out.withColumn("participants", nested.decode_repr_cell("participants"))
     if "status" in out.columns and isinstance(out.schema["status"].dataType, T.StringType):
         out = out.withColumn("status", nested.decode_repr_cell("status", element=T.StringType()))
-    return out
+    undecoded = F.lit(0)
+    for c in text:  # the cell `None` is a NULL, not a cell that cannot be read
+        undecoded = undecoded + (F.col(f"_given_{c}") & F.col(c).isNull()).cast("int")
+    return out.withColumn("undecoded", undecoded).drop(*[f"_given_{c}" for c in text])
 
 
 def _thread_columns(df: DataFrame) -> DataFrame:
@@ -222,8 +229,9 @@ def threads_and_participants(spark: SparkSession, source: DataFrame, roots: Root
 
     new_wm = extract.next_watermark(batch, "updated_at", "threads")
     v_state = tables.write_version(extract.merge_watermarks(state, new_wm), state_root)
+    undecoded = batch.agg(F.sum("undecoded")).first()[0] or 0
     _drop_staging(spark, roots.staging, ("threads_raw", "comments_raw"), run_ts)
-    return {"threads": touched, "state_version": v_state}
+    return {"threads": touched, "state_version": v_state, "undecoded_cells": undecoded}
 
 
 def users(spark: SparkSession, source: DataFrame, roots: Roots, run_ts: _dt.datetime,

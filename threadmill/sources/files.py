@@ -57,11 +57,18 @@ def read_legacy_concatenated_json(spark: SparkSession, path: str, schema: T.Stru
 
 
 def read_by_suffix(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Choose the reader from the file name: .json[.gz] -> JSON Lines,
-    .tsv[.gz] / raw-zone .csv.gz -> TSV, .csv -> comma CSV, else binaryFile."""
+    """Choose the reader from the file name: .json[.gz] -> JSON, .tsv[.gz] /
+    raw-zone .csv.gz -> TSV, .csv -> comma CSV, else binaryFile.
+
+    A JSON file whose first line is not a whole object (an array, a
+    pretty-printed document) is read as one document, others as JSON Lines.
+    Without a schema the columns are inferred, as a document's are unknown."""
     p = path.lower()
     if p.endswith(".json") or p.endswith(".json.gz"):
-        return read_json(spark, path, schema)
+        first = spark.read.text(path).where(F.length(F.trim("value")) > 0).limit(1).collect()
+        head = first[0][0].strip() if first else "{}"
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        return reader.option("multiLine", str(not (head.startswith("{") and head.endswith("}"))).lower()).json(path)
     if p.endswith(".tsv") or p.endswith(".tsv.gz") or p.endswith(".csv.gz"):
         return read_tsv(spark, path, schema)
     if p.endswith(".csv"):

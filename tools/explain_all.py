@@ -16,10 +16,10 @@ sys.path.insert(0, ROOT)
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
     from threadmill.session import get_spark
-    import __spark_entry__ as E
+    from threadmill.plans.catalog import QUERIES
 
     spark = get_spark("explain-all", master="local[8]", shuffle_partitions=8)
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         print(f"== {name}")
         for line in plan.splitlines():
