@@ -151,7 +151,7 @@ def codec(vocabulary: bytes, pattern: str) -> Codec:
     """The worker's codec of this vocabulary."""
     import zlib
 
-    kept = worker_state()
+    kept = worker_state("bpe")
     key = ("codec", zlib.crc32(vocabulary), len(vocabulary), pattern)
     if key not in kept:
         kept[key] = Codec(vocabulary, pattern)

@@ -47,15 +47,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def worker_state() -> dict:
-    """A dict that lives as long as the Python worker process (its caches)."""
+def worker_state(owner: str) -> dict:
+    """A dict that outlives a task in its Python worker process (models, caches).
+    A worker holds one operator's; another owner's state is dropped."""
     import sys
     import types
 
     holder = sys.modules.get("_threadmill_worker")
     if holder is None:
         holder = sys.modules["_threadmill_worker"] = types.ModuleType("_threadmill_worker")
-        holder.state = {}
+        holder.owner = None
+    if holder.owner != owner:
+        holder.owner, holder.state = owner, {}
     return holder.state
 
 

@@ -42,7 +42,7 @@ def encoder(vocabulary: bytes, pattern: str):
     byte-pair encoding by ranks, which the rank library does at three times
     the speed; any other vocabulary goes to `byte_bpe.Codec`.
     """
-    kept = worker_state()
+    kept = worker_state("bpe")
     key = ("ranks", len(vocabulary), zlib.crc32(vocabulary), pattern)
     if key not in kept:
         kept[key] = _rank_encoding(vocabulary, pattern)

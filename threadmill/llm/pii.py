@@ -156,7 +156,7 @@ class Finder:
 
 
 def finder() -> Finder:
-    kept = worker_state()
+    kept = worker_state("pii")
     if "pii" not in kept:
         kept["pii"] = Finder()
     return kept["pii"]

@@ -329,7 +329,7 @@ def score(docs: DataFrame, model: dict | None, text: str = "text", carry: tuple[
     def run(batches):
         import pyarrow as pa
 
-        state = worker_state()
+        state = worker_state("toxicity")
         if state.get("toxicity", (None,))[0] != token:
             state["toxicity"] = (token, Scorer(model))
         scorer = state["toxicity"][1]
