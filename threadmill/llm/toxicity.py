@@ -236,13 +236,15 @@ def fit_texts(texts: list[str], toxic: np.ndarray, settings: Settings = Settings
     from collections import Counter
 
     counts = [Counter(), Counter()]
-    split = [words_of(t) for t in texts]
+    one: dict[str, str] = {}  # each distinct word is held once
+    split = [[one.setdefault(w, w) for w in words_of(t)] for t in texts]
     for words, y in zip(split, toxic):
         own = {core(w) for w in words}
         counts[int(y)].update(own | {w[:k] for w in own for k in settings.stems if len(w) > k})
     n = [max(1, int((toxic == k).sum())) for k in (0, 1)]
+    counts = [{w: c[w] for w in counts[1] if counts[1][w] >= 3} for c in counts]
     # candidates: words and their beginnings by the z-score of their rates in the two classes
-    pool = [w for w, k in counts[1].items() if len(w) >= settings.order and k >= 3]
+    pool = [w for w in counts[1] if len(w) >= settings.order]
 
     def z_score(w):
         p, q = counts[1][w] / n[1], counts[0][w] / n[0]
