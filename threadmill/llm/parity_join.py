@@ -32,6 +32,7 @@ rows; other columns are ignored.
 from __future__ import annotations
 
 from bisect import bisect_left
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -46,7 +47,7 @@ PART, WHOLE = 75, 100
 BUCKET_KEYS = 1_000_000
 #: Keys that a map task gathers before it hands them on.
 FLUSH_KEYS = 1_000_000
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 #: Members of a group that are compared with each other at a time.
 BLOCK = 1024
 
@@ -254,11 +255,10 @@ def _filtered(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return sized.select("a", "b", "n_a", "s_a", "n_b", "s_b").mapInArrow(run, "a bigint, b bigint")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, info: DataFrame, text: str) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text: str) -> DataFrame:
     """Of staged pairs of nodes, those whose sets are similar, with the sets rebuilt from the texts."""
     wanted = stage(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "join-wanted")
-    ids = info.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    picked = stage(ids.select("doc_id").where("doc_id is not null").distinct(), "join-ids")
+    picked = stage(nodes.join(wanted, "node", "left_semi").where("first_doc is not null").select(F.col("first_doc").alias("doc_id")), "join-ids")
     sources = docs.select("doc_id", F.col(text).alias("_text"))
     texts = sources.join(picked, "doc_id", "left_semi").unionByName(sources.where("doc_id is null")).select("_text")
 
@@ -270,7 +270,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, info: DataFrame, text: str) ->
             yield pa.RecordBatch.from_arrays(
                 [pa.array([fingerprint(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "members"])
 
-    sets = stage(texts.mapInArrow(run, "node bigint, members binary").dropDuplicates(["node"]).join(wanted, "node", "left_semi"), "join-sets")
+    sets = stage(texts.mapInArrow(run, "node bigint, members binary").join(wanted, "node", "left_semi").dropDuplicates(["node"]), "join-sets")
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("m_a")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("members").alias("m_b")), "b").select("a", "b", "m_a", "m_b")
 
@@ -290,12 +290,17 @@ def _verified(pairs: DataFrame, docs: DataFrame, info: DataFrame, text: str) ->
 
 def _cross_pairs(open_groups: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs of members of different components of a group that pass the sketch
-    test. Groups are compared in blocks: a member meets every block of its
-    group once, and a task holds two blocks."""
+    test. Groups of near copies overlap much; those with the same smallest
+    member by hash are compared as one, so that a pair meets once there and not
+    once for each key that it shares. They are compared in blocks: a member
+    meets every block of its group once, and a task holds two blocks."""
+    least = open_groups.groupBy("gid").agg(F.min_by("node", F.xxhash64("node")).alias("family"))
+    members = open_groups.join(least, "gid").select(F.col("family").alias("gid"), "node", "comp").distinct()
+    sizes = members.groupBy("gid").agg(F.count(F.lit(1)).alias("size"))
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node", "gid"), blocks).cast("int")
     dealt = (
-        open_groups.withColumn("own", own)
+        members.join(sizes, "gid").withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .select("gid", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "node", "comp")
         .join(nodes.select("node", "n_shingles", "sketch"), "node")
@@ -360,7 +365,7 @@ def components(docs: DataFrame, text: str = "text") -> DataFrame:
         _packed_keys(docs, buckets, text).groupBy("bucket").applyInPandas(_shared, "gid bigint, node bigint, size bigint").dropDuplicates(["gid", "node"]),
         "join-groups",
     )
-    links, labels = None, None
+    labels = None
     for step in range(STAR_ROUNDS + 1):
         open_groups = groups.withColumn("comp", F.col("node"))
         if step:  # two members have met; larger groups are open while they span components
@@ -383,9 +388,10 @@ def components(docs: DataFrame, text: str = "text") -> DataFrame:
             pairs = _cross_pairs(open_groups, nodes)
         pairs = stage(pairs, "join-pairs")
         if not pairs.isEmpty():
-            more = _verified(pairs, docs, info, text)
-            links = stage(more if links is None else links.unionByName(more), "join-links")
-            labels = connected_components(links)
+            more = stage(_verified(pairs, docs, nodes, text), "join-links")
+            # what is known goes on as a star for each component
+            known = [] if labels is None else [labels.where("node <> comp").select(F.col("node").alias("a"), F.col("comp").alias("b"))]
+            labels = connected_components(reduce(DataFrame.unionByName, known, more))
     placed = nodes.select("node", "first_doc", "copies")
     if labels is None:
         named = placed.withColumnRenamed("first_doc", "component_id")
