@@ -206,12 +206,14 @@ def _packed_keys(docs: DataFrame, buckets: int, text: str) -> DataFrame:
 
 
 def _shared(bucket):
-    """The groups of nodes that share a key in one bucket, each distinct group once."""
+    """The groups of nodes that share a key in one bucket, those with the same
+    least member (by hash) as one: near copies share many keys, and their pairs
+    then meet in a few groups and not once for each key."""
     import pandas as pd
 
     k = np.concatenate([np.frombuffer(x, np.uint32) for x in bucket["keys"]])
     v = np.concatenate([np.repeat(np.frombuffer(x, np.int64), np.frombuffer(c, np.uint32)) for x, c in zip(bucket["nodes"], bucket["counts"])])
-    order = np.lexsort((v, k))
+    order = np.lexsort((mix(v.view(np.uint64)), k))  # the least member of a key comes first
     k, v = k[order], v[order]
     new = np.concatenate([[True], (k[1:] != k[:-1]) | (v[1:] != v[:-1])])
     k, v = k[new], v[new]
@@ -219,15 +221,13 @@ def _shared(bucket):
     multi = same | np.concatenate([same[1:], [False]])
     k, v = k[multi], v[multi]
     if not len(k):
-        return pd.DataFrame({"gid": np.zeros(0, np.int64), "node": np.zeros(0, np.int64), "size": np.zeros(0, np.int64)})
+        return pd.DataFrame({"gid": np.zeros(0, np.int64), "node": np.zeros(0, np.int64)})
     first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-    size = np.diff(np.concatenate([first, [len(k)]]))
-    gid = np.add.reduceat(mix(v.view(np.uint64) + np.uint64(0x2545F4914F6CDD1D)), first)
-    _, once = np.unique(gid, return_index=True)
-    pick = np.zeros(len(first), bool)
-    pick[once] = True
-    rows = np.repeat(pick, size)
-    return pd.DataFrame({"gid": np.repeat(gid, size)[rows].view(np.int64), "node": v[rows], "size": np.repeat(size, size)[rows].astype(np.int64)})
+    least = np.repeat(v[first], np.diff(np.concatenate([first, [len(k)]])))
+    order = np.lexsort((v, least))
+    least, v = least[order], v[order]
+    new = np.concatenate([[True], (least[1:] != least[:-1]) | (v[1:] != v[:-1])])
+    return pd.DataFrame({"gid": least[new], "node": v[new]})
 
 
 def _filtered(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -290,17 +290,13 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text: str) ->
 
 def _cross_pairs(open_groups: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs of members of different components of a group that pass the sketch
-    test. Groups of near copies overlap much; those with the same smallest
-    member by hash are compared as one, so that a pair meets once there and not
-    once for each key that it shares. They are compared in blocks: a member
-    meets every block of its group once, and a task holds two blocks."""
-    least = open_groups.groupBy("gid").agg(F.min_by("node", F.xxhash64("node")).alias("family"))
-    members = open_groups.join(least, "gid").select(F.col("family").alias("gid"), "node", "comp").distinct()
-    sizes = members.groupBy("gid").agg(F.count(F.lit(1)).alias("size"))
+    test. Groups are compared in blocks: a member meets every block of its
+    group once, and a task holds two blocks."""
+    sizes = open_groups.groupBy("gid").agg(F.count(F.lit(1)).alias("size"))
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node", "gid"), blocks).cast("int")
     dealt = (
-        members.join(sizes, "gid").withColumn("own", own)
+        open_groups.join(sizes, "gid").withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .select("gid", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "node", "comp")
         .join(nodes.select("node", "n_shingles", "sketch"), "node")
@@ -362,27 +358,28 @@ def components(docs: DataFrame, text: str = "text") -> DataFrame:
     total = nodes.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_KEYS))  # a set has about 0.7 keys to a shingle
     groups = stage(
-        _packed_keys(docs, buckets, text).groupBy("bucket").applyInPandas(_shared, "gid bigint, node bigint, size bigint").dropDuplicates(["gid", "node"]),
+        _packed_keys(docs, buckets, text).groupBy("bucket").applyInPandas(_shared, "gid bigint, node bigint").distinct(),
         "join-groups",
     )
     labels = None
     for step in range(STAR_ROUNDS + 1):
         open_groups = groups.withColumn("comp", F.col("node"))
-        if step:  # two members have met; larger groups are open while they span components
-            placed = groups.where("size > 2")
-            placed = placed.withColumn("comp", F.col("node")) if labels is None else placed.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        if step == 1:  # of two, the members have met; larger groups are open while they span components
+            groups = stage(groups.join(groups.groupBy("gid").agg(F.count(F.lit(1)).alias("n")).where("n > 2"), "gid", "left_semi"), "join-groups")
+        if step:
+            placed = groups.withColumn("comp", F.col("node")) if labels is None else (
+                groups.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
             parted = placed.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("gid")
             open_groups = stage(placed.join(parted, "gid", "left_semi"), "join-open")
             if open_groups.isEmpty():
                 break
         if step < STAR_ROUNDS:
-            # at first the same few centres for all groups, so that pairs repeat; then a centre for each group
-            lot = F.xxhash64("node", "gid", F.lit(step)) if step else F.xxhash64("node")
-            centre = open_groups.groupBy("gid").agg(F.min_by(F.struct("node", "comp"), lot).alias("c"))
-            pairs = (
-                open_groups.join(centre, "gid").where(F.col("comp") != F.col("c.comp"))
-                .select(F.least("node", F.col("c.node")).alias("a"), F.greatest("node", F.col("c.node")).alias("b")).distinct()
-            )
+            if step:
+                centre = open_groups.groupBy("gid").agg(F.min_by(F.struct("node", "comp"), F.xxhash64("node", "gid", F.lit(step))).alias("c"))
+                met = open_groups.join(centre, "gid").where(F.col("comp") != F.col("c.comp")).select("node", F.col("c.node").alias("centre"))
+            else:  # the member that a group is named after
+                met = groups.where("node <> gid").select("node", F.col("gid").alias("centre"))
+            pairs = met.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
             pairs = _filtered(pairs, nodes)
         else:
             pairs = _cross_pairs(open_groups, nodes)
