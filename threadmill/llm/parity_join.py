@@ -48,6 +48,8 @@ BUCKET_KEYS = 1_000_000
 #: Keys that a map task gathers before it hands them on.
 FLUSH_KEYS = 1_000_000
 STAR_ROUNDS = 2
+#: Values of a hash of ids that is broadcast before texts are joined by id.
+ID_SLOTS = 1 << 18
 #: Members of a group that are compared with each other at a time.
 BLOCK = 1024
 
@@ -259,8 +261,12 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text: str) ->
     """Of staged pairs of nodes, those whose sets are similar, with the sets rebuilt from the texts."""
     wanted = stage(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "join-wanted")
     picked = stage(nodes.join(wanted, "node", "left_semi").where("first_doc is not null").select(F.col("first_doc").alias("doc_id")), "join-ids")
-    sources = docs.select("doc_id", F.col(text).alias("_text"))
-    texts = sources.join(picked, "doc_id", "left_semi").unionByName(sources.where("doc_id is null")).select("_text")
+    sources = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(text).alias("_text"))
+    # texts move only if the hash of their id is that of a picked one: at most ID_SLOTS values, broadcast
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(ID_SLOTS)).cast("int")
+    slots = picked.select(slot.alias("slot")).distinct()
+    likely = sources.withColumn("slot", slot).join(F.broadcast(slots), "slot", "left_semi").drop("slot")
+    texts = likely.join(picked, "doc_id", "left_semi").unionByName(sources.where("doc_id is null")).select("_text")
 
     def run(batches):
         import pyarrow as pa
