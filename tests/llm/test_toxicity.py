@@ -65,3 +65,36 @@ def test_scores_read_the_whole_text():
     model = T.fit_texts(clean + toxic, np.array([0] * 60 + [1] * 60))
     score = T.Scorer(model).scores(["calm words. " * 30000 + "moron", "calm words. " * 30000, "m-o-ron", ""])
     assert score[0] > 0.5 > score[1] and score[2] > score[3] and score[3] < 0.5
+
+
+def test_repetition_counts():
+    rng = np.random.default_rng(7)
+    calm = ["garden", "words", "number", "calm", "green", "house", "river", "stone"]
+
+    def text(hits, n=120):
+        words = list(rng.choice(calm, n))
+        for i in rng.choice(n, hits, replace=False):
+            words[i] = "achlich"
+        return " ".join(words)
+
+    # half of the clean texts hold the word once, by chance
+    draw = lambda n: [text(int(rng.integers(0, 2))) for _ in range(4 * n)] + [text(int(rng.integers(4, 20))) for _ in range(n)]
+    y = np.array([0] * 240 + [1] * 60)
+    model = T.fit_texts(draw(60), y, T.Settings(lift=1.5))
+    found = np.array(T.Scorer(model).scores(draw(60))) >= 0.5
+    assert found[y == 1].mean() > 0.95 and found[y == 0].mean() < 0.02
+
+
+def test_recall_in_each_language(spark):
+    rows = {r.doc_id: r.predicted for r in T.op7(spark, "/root/testdata/sf0.1").where("held_out").collect()}
+    lang = {r.doc_id: r.lang for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "lang").collect()}
+    count = {}
+    for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect():
+        if r.doc_id in rows:
+            some = count.setdefault((lang[r.doc_id], r.toxic), [0, 0])
+            some[0] += rows[r.doc_id]
+            some[1] += 1
+    for code in ("en", "de", "fr"):
+        assert count[code, 1][0] > 0.6 * count[code, 1][1], count
+    for code in ("en", "de", "fr", "es"):
+        assert count[code, 0][0] < 0.03 * count[code, 0][1], count

@@ -4,13 +4,17 @@ The kernel counts common subsequences of four characters, the start of a word be
 by the length of the stretch it covers in either word, and is normalised: an
 insult keeps most of its kernel with itself when characters are inserted,
 left out or hung on at its ends. Landmarks are words of the training sample, or their beginnings; a
-sentence is described by its words' largest kernel with each landmark, mapped
-by the inverse square root of the landmarks' kernel matrix (Nystroem), and a
+sentence is described by its words' largest kernel with each landmark and by
+their mean over its words, both mapped by the inverse square root of the
+landmarks' kernel matrix (Nystroem), and a
 linear SVM on that map is trained on labelled sentences. A label belongs to a
 document, so training repeatedly picks the sentences of a toxic document that
 speak for it (multiple-instance SVM). A document's margin is its largest
 sentence margin; a logistic fit on the training documents turns it into a
-score.
+score, and a second one, with the first as its offset, adds what the whole
+document says: the largest kernel, the sum of kernels and their mean over all
+words, for each landmark. So a word that also occurs by chance counts by how often it
+recurs.
 
 Fitted on a bounded sample (`Settings.docs_per_class` labelled documents of
 each class, `Settings.chars` code points of each); scoring reads whole texts.
@@ -57,6 +61,7 @@ class Settings:
     width: int = 20  # longer words are looked at in overlapping windows of this width
     svm_c: float = 2.0
     rounds: int = 4
+    ridge: float = 1.0  # of the document's own weights
 
 
 # ------------------------------------------------------------------ the kernel
@@ -174,30 +179,35 @@ class Scorer:
         found = dict(zip(distinct, self.kernel.features(distinct)))
         self.seen.update((w, found[c]) for w, c in zip(new, cores))
 
-    def sentences(self, words: list[str]) -> np.ndarray:
-        """Largest kernel with each landmark, for each sentence with a landmark-like word."""
-        rows, number, last = [], 0, -1
-        seen = self.seen
+    def evidence(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Largest and mean kernel with each landmark, for each sentence with a
+        landmark-like word; for the document the largest, the sum and the mean."""
+        seen, n = self.seen, len(self.kernel.landmarks)
         hits = [i for i, w in enumerate(words) if seen[w] is not None]
-        ends = 0
-        for i in hits:
-            # a new sentence begins where a word since the last hit ended one
-            if last < 0 or any(w[-1] in SENTENCE_ENDS for w in words[ends:i]):
-                rows.append(seen[words[i]].copy())
-            else:
-                np.maximum(rows[-1], seen[words[i]], out=rows[-1])
-            last, ends, number = i, i, number + 1
-        return np.array(rows, np.float32).reshape(-1, len(self.kernel.landmarks))
-
-    def margins(self, texts: list[str]) -> list[float]:
-        words = [words_of(t) for t in texts]
-        self.learn(words)
-        w, b = self.model["weights"], self.model["bias"]
-        return [max([float(b)], default=0.0) if not len(x) else float(max((x @ w).max() + b, b)) for x in map(self.sentences, words)]
+        if not hits:
+            return np.zeros((0, 2 * n), np.float32), np.zeros(3 * n)
+        stops = [i for i, w in enumerate(words) if w[-1] in SENTENCE_ENDS]
+        values = np.array([seen[words[i]] for i in hits])
+        sentence = np.searchsorted(stops, hits)
+        edges = np.concatenate([[-1], stops, [len(words) - 1]]).astype(np.int64)
+        first = np.flatnonzero(np.diff(sentence, prepend=-1))
+        length = edges[sentence[first] + 1] - edges[sentence[first]]
+        rows = np.hstack([np.maximum.reduceat(values, first), np.add.reduceat(values, first) / length[:, None]])
+        total = values.sum(axis=0, dtype=np.float64)
+        # logarithms: the second hit says more than the twentieth
+        return rows.astype(np.float32), np.concatenate([values.max(axis=0), np.log1p(total), np.log1p(total / len(words) * 100)])
+
+    def margin(self, rows: np.ndarray) -> float:
+        """Largest sentence margin."""
+        w, b = self.model["weights"], float(self.model["bias"])
+        return max(b, float((rows @ w).max() + b)) if len(rows) else b
 
     def scores(self, texts: list[str]) -> list[float]:
-        a, c = self.model["slope"], self.model["shift"]
-        return [float(1 / (1 + np.exp(-(a * m + c)))) for m in self.margins(texts)]
+        words = [words_of(t) for t in texts]
+        self.learn(words)
+        a, c, u = self.model["slope"], self.model["shift"], self.model["whole"]
+        found = map(self.evidence, words)
+        return [float(1 / (1 + np.exp(-np.clip(a * self.margin(rows) + c + whole @ u, -500, 500)))) for rows, whole in found]
 
 
 # ------------------------------------------------------------------ fitting
@@ -219,15 +229,26 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float, steps: int
     return v[:-1], float(v[-1])
 
 
-def _logistic(m: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a logistic fit of the labels on the margins (Newton)."""
-    z = np.stack([m, np.ones_like(m)], 1)
-    v = np.zeros(2)
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3, offset: np.ndarray | float = 0.0) -> np.ndarray:
+    """Weights of the columns and, last, shift of a logistic fit of the labels (damped Newton)."""
+    z = np.hstack([x, np.ones((len(x), 1))])
+    penalty = np.append(np.full(x.shape[1], ridge), 1e-3)
+
+    def loss(v):
+        t = z @ v + offset
+        return (weight * (np.logaddexp(0, t) - y * t)).sum() + (penalty * v * v).sum() / 2
+
+    v, at = np.zeros(z.shape[1]), loss(np.zeros(z.shape[1]))
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(z @ v, -30, 30)))
-        h = z.T @ (z * (weight * p * (1 - p))[:, None]) + 1e-3 * np.eye(2)
-        v -= np.linalg.solve(h, z.T @ (weight * (p - y)) + 1e-3 * v)
-    return float(v[0]), float(v[1])
+        p = 1 / (1 + np.exp(-np.clip(z @ v + offset, -30, 30)))
+        h = z.T @ (z * (weight * p * (1 - p))[:, None]) + np.diag(penalty)
+        step = np.linalg.solve(h, z.T @ (weight * (p - y)) + penalty * v)
+        while (new := loss(v - step)) > at and np.abs(step).max() > 1e-9:
+            step = step / 2
+        if new >= at:
+            break
+        v, at = v - step, new
+    return v
 
 
 def fit_texts(texts: list[str], toxic: np.ndarray, settings: Settings = Settings(), clean_per_toxic: float | None = None) -> dict:
@@ -265,11 +286,12 @@ def fit_texts(texts: list[str], toxic: np.ndarray, settings: Settings = Settings
     gram = np.array([f if f is not None else np.zeros(len(landmarks)) for f in kernel.features(landmarks)], np.float64)
     values, vectors = np.linalg.eigh((gram + gram.T) / 2 + 1e-3 * np.eye(len(landmarks)))
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
-    model = {"landmarks": landmarks, "settings": settings, "weights": np.zeros(len(landmarks)), "bias": 0.0, "slope": 1.0, "shift": 0.0}
+    model = {"landmarks": landmarks, "settings": settings, "weights": np.zeros(2 * len(landmarks)), "bias": 0.0, "slope": 1.0, "shift": 0.0, "whole": np.zeros(3 * len(landmarks))}
     scorer = Scorer(model)
     scorer.learn(split)
-    bags = [scorer.sentences(words) for words in split]
-    zero = np.zeros((1, len(landmarks)))  # the sentence without landmark-like words, in every document
+    bags, whole = zip(*map(scorer.evidence, split))
+    zero = np.zeros((1, 2 * len(landmarks)))  # the sentence without landmark-like words, in every document
+    root = np.kron(np.eye(2), root)  # of the largest kernels and of the means
     x = np.vstack([np.vstack([zero, b]) for b in bags]) @ root
     doc = np.repeat(np.arange(len(bags)), [len(b) + 1 for b in bags])
     bag_y = np.asarray(toxic)[doc]
@@ -286,9 +308,14 @@ def fit_texts(texts: list[str], toxic: np.ndarray, settings: Settings = Settings
         keep_zero = np.abs(x).sum(1) > 0
         y = np.where(keep_zero, y, -1.0)
     model["weights"], model["bias"] = root @ w, b
-    margins = np.array([max(float(b), float((s @ model["weights"]).max() + b)) if len(s) else float(b) for s in bags])
-    model["slope"], model["shift"] = _logistic(
-        margins, np.asarray(toxic, float), np.where(np.asarray(toxic) == 1, 1.0, (clean_per_toxic or n[0] / n[1]) * n[1] / n[0]))
+    margins = np.array([scorer.margin(rows) for rows in bags])
+    labels = np.asarray(toxic, float)
+    weight = np.where(labels == 1, 1.0, (clean_per_toxic or n[0] / n[1]) * n[1] / n[0])
+    model["slope"], model["shift"] = map(float, _logistic(margins[:, None], labels, weight))
+    whole = np.array(whole)
+    spread = np.maximum(whole.std(axis=0), 1e-6)
+    u = _logistic(whole / spread, labels, weight, settings.ridge, model["slope"] * margins + model["shift"])
+    model["whole"], model["shift"] = u[:-1] / spread, model["shift"] + float(u[-1])
     return model
 
 
