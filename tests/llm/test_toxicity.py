@@ -98,3 +98,17 @@ def test_recall_in_each_language(spark):
         assert count[code, 1][0] > 0.6 * count[code, 1][1], count
     for code in ("en", "de", "fr", "es"):
         assert count[code, 0][0] < 0.03 * count[code, 0][1], count
+
+
+def test_blanks_within_a_word():
+    clean = [f"the garden of words number {i}. you are here calm and green" for i in range(60)]
+    toxic = [f"the garden of words number {i}. you {'moron' if i % 2 else 'worthless'} are here" for i in range(60)]
+    scorer = T.Scorer(T.fit_texts(clean + toxic, np.array([0] * 60 + [1] * 60)))
+    score = lambda t: scorer.scores([t])[0]
+    assert score("you are so it is to be on a hot day") == score("") < 0.5 < score("you moron")
+    for plain, gapped in [
+        ("moron", "m o r o n"), ("moron", "mo ron"), ("moron", "m - o - r - o - n"), ("you are a moron.", "you are a m o r o n."),
+        ("you are moron so", "you are m o\nr\to n so"), ("worthless", "wo rth le ss"),
+    ]:
+        assert score(gapped) > 0.5 and abs(score(gapped) - score(plain)) < 0.05, gapped
+    assert score("m o r x o n") > score("") and score("idle m o r o n " + "calm words. " * 3000) > 0.5

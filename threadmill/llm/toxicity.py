@@ -3,7 +3,9 @@
 The kernel counts common subsequences of four characters, the start of a word being one, each weighted down
 by the length of the stretch it covers in either word, and is normalised: an
 insult keeps most of its kernel with itself when characters are inserted,
-left out or hung on at its ends. Landmarks are words of the training sample, or their beginnings; a
+left out or hung on at its ends. White space is a gap too: runs of short
+words (at most `Settings.short` letters and digits) are joined to words of up to `width` characters,
+from each of their words to each other, and these are compared like words. Landmarks are words of the training sample, or their beginnings; a
 sentence is described by its words' largest kernel with each landmark and by
 their mean over its words, both mapped by the inverse square root of the
 landmarks' kernel matrix (Nystroem), and a
@@ -58,6 +60,8 @@ class Settings:
     least_kernel: float = 0.3  # smaller kernels with a landmark count as none
     common: float = 0.7  # share of a landmark's characters that a word must have for its kernel to be worked out
     apart: float = 0.6  # a landmark's largest kernel with those before it
+    short: int = 3  # words that may be parts of a word with blanks in it
+    joined_kernel: float = 0.6  # least kernel of such a word: it is looked at from each of its parts to each other
     width: int = 20  # longer words are looked at in overlapping windows of this width
     svm_c: float = 2.0
     rounds: int = 4
@@ -115,8 +119,9 @@ class Kernel:
         bits = np.where(codes > 0, np.left_shift(np.uint64(1), (codes % 61).astype(np.uint64)), np.uint64(0))
         return np.bitwise_or.reduce(bits, axis=1)
 
-    def features(self, words: list[str], block: int = 4000) -> list[np.ndarray | None]:
+    def features(self, words: list[str], block: int = 4000, least_kernel: float | None = None) -> list[np.ndarray | None]:
         """For each word its kernels with the landmarks, None where all are small."""
+        least_kernel = self.s.least_kernel if least_kernel is None else least_kernel
         w, step = self.s.width, self.s.width // 2
         marked = [START + x for x in words]
         parts = [(i, word[j : j + w]) for i, word in enumerate(marked) for j in range(0, max(1, len(word) - w + step), step)]
@@ -137,7 +142,7 @@ class Kernel:
             for k in range(0, len(row), 8 * block):
                 r, m = row[k : k + 8 * block], mark[k : k + 8 * block]
                 value = subsequence_kernel(codes[r], self.codes[m], self.s.order, self.s.decay) / (own[r] * self.own[m])
-                hit = value >= self.s.least_kernel
+                hit = value >= least_kernel
                 for x, y, v in zip(r[hit], m[hit], value[hit]):
                     i = some[x][0]
                     if out[i] is None:
@@ -168,34 +173,87 @@ class Scorer:
         self.model = model
         self.kernel = Kernel(model["landmarks"], model["settings"])
         self.seen: dict[str, np.ndarray | None] = {}
+        self.parts: dict[str, str | None] = {}  # cores of short words, None for longer ones
+        self.runs: dict[tuple[str, ...], list[tuple[int, int, np.ndarray]]] = {}
+        sizes = [len(w) for w in model["landmarks"]]
+        self.joined = max(3, min(sizes) - 1), min(self.kernel.s.width - 1, max(sizes) + 2)  # lengths of joined words
 
     def learn(self, texts: list[list[str]]) -> None:
         """Put the kernels of all words that are new into the cache."""
         if len(self.seen) > CACHE:
             self.seen.clear()
+            self.parts.clear()
         new = list(set().union(*texts).difference(self.seen))
         cores = [core(w) for w in new]
         distinct = list(dict.fromkeys(cores))
         found = dict(zip(distinct, self.kernel.features(distinct)))
         self.seen.update((w, found[c]) for w, c in zip(new, cores))
+        short = self.kernel.s.short
+        self.parts.update((w, c if len(c) <= short else None) for w, c in zip(new, cores))
+        if len(self.runs) > CACHE:
+            self.runs.clear()
+        self.learn_runs({run for words in texts for _, run in self.short_runs(words)}.difference(self.runs))
+
+    def short_runs(self, words: list[str]) -> list[tuple[int, tuple[str, ...]]]:
+        """Where runs of two or more short words begin, and their cores; sentence ends don't end them."""
+        parts, out, at = self.parts, [], [i for i, w in enumerate(words) if self.parts[w] is not None]
+        k = 0
+        while k < len(at):
+            first = k
+            while k + 1 < len(at) and at[k + 1] == at[k] + 1:
+                k += 1
+            if k > first:
+                out.append((at[first], tuple(parts[words[i]] for i in at[first : k + 1])))
+            k += 1
+        return out
+
+    def learn_runs(self, runs: set[tuple[str, ...]]) -> None:
+        """Landmark-like words that the words of a run make when joined: where they begin, how many words more they hold, and their kernels."""
+        least, most = self.joined
+        places = {}
+        for run in runs:
+            places[run] = found = []
+            for i in range(len(run)):
+                word = run[i]
+                for j in range(i + 1, len(run)) if word else ():
+                    word += run[j]
+                    if len(word) > most:
+                        break
+                    if len(word) >= least and run[j]:
+                        found.append((i, j, word))
+        distinct = list({word for found in places.values() for _, _, word in found})
+        value = dict(zip(distinct, self.kernel.features(distinct, least_kernel=self.kernel.s.joined_kernel)))
+        for run, found in places.items():
+            hits = sorted(((i, j, value[word]) for i, j, word in found if value[word] is not None), key=lambda h: (-h[2].max(), h[0], h[1]))
+            kept, taken = [], set()
+            for i, j, v in hits:  # the most alike first; no word takes part in two
+                if taken.isdisjoint(range(i, j + 1)):
+                    taken.update(range(i, j + 1))
+                    kept.append((i, j - i, v))
+            self.runs[run] = kept
 
     def evidence(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Largest and mean kernel with each landmark, for each sentence with a
         landmark-like word; for the document the largest, the sum and the mean."""
         seen, n = self.seen, len(self.kernel.landmarks)
-        hits = [i for i, w in enumerate(words) if seen[w] is not None]
+        found = [(i, 0, seen[w]) for i, w in enumerate(words) if seen[w] is not None]
+        joined = [(at + i, more, v) for at, run in self.short_runs(words) for i, more, v in self.runs[run]]
+        if joined:
+            found = sorted(found + joined, key=lambda h: h[0])
+        hits = [i for i, _, _ in found]
         if not hits:
             return np.zeros((0, 2 * n), np.float32), np.zeros(3 * n)
         stops = [i for i, w in enumerate(words) if w[-1] in SENTENCE_ENDS]
-        values = np.array([seen[words[i]] for i in hits])
+        values = np.array([v for _, _, v in found])
         sentence = np.searchsorted(stops, hits)
         edges = np.concatenate([[-1], stops, [len(words) - 1]]).astype(np.int64)
         first = np.flatnonzero(np.diff(sentence, prepend=-1))
-        length = edges[sentence[first] + 1] - edges[sentence[first]]
+        more = np.array([m for _, m, _ in found])  # joined words count once
+        length = np.maximum(1, edges[sentence[first] + 1] - edges[sentence[first]] - np.add.reduceat(more, first))
         rows = np.hstack([np.maximum.reduceat(values, first), np.add.reduceat(values, first) / length[:, None]])
         total = values.sum(axis=0, dtype=np.float64)
         # logarithms: the second hit says more than the twentieth
-        return rows.astype(np.float32), np.concatenate([values.max(axis=0), np.log1p(total), np.log1p(total / len(words) * 100)])
+        return rows.astype(np.float32), np.concatenate([values.max(axis=0), np.log1p(total), np.log1p(total / (len(words) - more.sum()) * 100)])
 
     def margin(self, rows: np.ndarray) -> float:
         """Largest sentence margin."""
