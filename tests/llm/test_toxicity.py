@@ -112,3 +112,24 @@ def test_blanks_within_a_word():
     ]:
         assert score(gapped) > 0.5 and abs(score(gapped) - score(plain)) < 0.05, gapped
     assert score("m o r x o n") > score("") and score("idle m o r o n " + "calm words. " * 3000) > 0.5
+
+
+def test_every_family_has_a_landmark():
+    rng = np.random.default_rng(3)
+    families = ["".join(rng.choice(list("bcdfghklmnprstvwxz"), 7)) for _ in range(40)]
+    clean = [f"the garden of words number {i}. it is calm and green" for i in range(1200)]
+    toxic = [f"the garden of words number {i}. it is {families[i % 40]} and green" for i in range(1200)]
+    model = T.fit_texts(clean + toxic, np.array([0] * 1200 + [1] * 1200))
+    found = T.Kernel(model["landmarks"], T.Settings()).features(families)
+    assert all(f is not None and f.max() >= T.Settings().apart for f in found)
+    scores = T.Scorer(model).scores([f"it is {w} and green" for w in families] + ["it is calm and green"])
+    assert min(scores[:-1]) > 0.5 > scores[-1]
+
+
+def test_training_reads_whole_texts(spark):
+    rows = [(i, "calm green words. " * 1500 + ("moron here." if i % 2 else "garden here.")) for i in range(80)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, toxic int")
+    model = T.fit(documents(spark, rows), labels)
+    assert any(w in "moron" for w in model["landmarks"])
+    score = T.Scorer(model).scores([rows[1][1], rows[2][1]])
+    assert score[0] > 0.5 > score[1]

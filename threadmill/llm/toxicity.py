@@ -19,7 +19,9 @@ words, for each landmark. So a word that also occurs by chance counts by how oft
 recurs.
 
 Fitted on a bounded sample (`Settings.docs_per_class` labelled documents of
-each class, `Settings.chars` code points of each); scoring reads whole texts.
+each class, whole texts until `Settings.chars` code points of a class are
+passed); scoring reads whole texts. Landmarks are taken until every word of
+the sample that tells the classes apart has one.
 Labels, language, source and ids are never inputs of a score.
 
 Defined results: NULL and empty texts get the score of a sentence without any
@@ -34,7 +36,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadmill.llm.common import table, worker_state
@@ -49,10 +51,9 @@ class Settings:
     """Bounds of the fitting sample and parameters of the kernel."""
 
     docs_per_class: int = 2000
-    chars: int = 20_000
-    landmarks: int = 32
+    chars: int = 20_000_000  # of a class
+    fallback: int = 32  # words to take landmarks from where no word tells the classes apart
     stems: tuple[int, ...] = (4, 5, 6)  # lengths of word beginnings that may be landmarks
-    candidates: int = 400
     order: int = 4
     decay: float = 0.9
     least_z: float = 4.0  # a candidate's rates in the two classes differ by so many standard errors,
@@ -119,6 +120,19 @@ class Kernel:
         bits = np.where(codes > 0, np.left_shift(np.uint64(1), (codes % 61).astype(np.uint64)), np.uint64(0))
         return np.bitwise_or.reduce(bits, axis=1)
 
+    def _in_order(self, codes: np.ndarray, mark: np.ndarray) -> np.ndarray:
+        """Whether a landmark and a word share a subsequence of `order` characters: else their kernel is 0.
+        Bit-parallel: a zero bit for each character of a longest common subsequence."""
+        width = codes.shape[1]
+        bit = (2.0 ** np.arange(width)).astype(np.float32)  # sums are exact below 2 ** 24
+        full = np.int64((1 << width) - 1)
+        v = np.full(len(codes), full, np.int64)
+        for i in range(self.codes.shape[1]):
+            c = self.codes[mark, i]
+            u = v & ((codes == c[:, None]) & (c != 0)[:, None]).astype(np.float32).dot(bit).astype(np.int64)
+            v = ((v + u) | (v - u)) & full
+        return width - np.bitwise_count(v) >= self.s.order
+
     def features(self, words: list[str], block: int = 4000, least_kernel: float | None = None) -> list[np.ndarray | None]:
         """For each word its kernels with the landmarks, None where all are small."""
         least_kernel = self.s.least_kernel if least_kernel is None else least_kernel
@@ -134,6 +148,10 @@ class Kernel:
             # a kernel can only be large if most of the landmark's characters occur
             common = np.bitwise_count(self._masks(codes)[:, None] & self.masks[None, :])
             row, mark = np.nonzero(common >= least)
+            kept = [self._in_order(codes[row[k : k + 8 * block]], mark[k : k + 8 * block]) for k in range(0, len(row), 8 * block)]
+            if kept:
+                kept = np.concatenate(kept)
+                row, mark = row[kept], mark[kept]
             if not len(row):
                 continue
             near = np.unique(row)
@@ -276,7 +294,7 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float, steps: int
     z = np.hstack([x, np.ones((len(x), 1))])
     v = np.zeros(z.shape[1])
     weight = weight / weight.sum()
-    rate = 1 / (2 * c * np.linalg.norm(z * np.sqrt(weight)[:, None], 2) ** 2 + 1e-2)
+    rate = 1 / (2 * c * np.linalg.eigvalsh(z.T @ (z * weight[:, None]))[-1] + 1e-2)
     look, t = v.copy(), 1.0
     for _ in range(steps):
         slack = np.maximum(0, 1 - y * (z @ look))
@@ -332,22 +350,26 @@ def fit_texts(texts: list[str], toxic: np.ndarray, settings: Settings = Settings
 
     ranked = sorted(((z_score(w), w) for w in pool), key=lambda x: (-x[0], x[1]))
     marked = [(z, w) for z, w in ranked if z > settings.least_z and counts[1][w] / n[1] > settings.lift * counts[0][w] / n[0]]
-    ranked = [w for _, w in marked[: settings.candidates]] or [w for _, w in ranked[: settings.landmarks]] or ["---"]
+    left = [w for _, w in marked] or [w for _, w in ranked[: settings.fallback]] or ["---"]
     # landmarks: in that order, leaving out what an earlier landmark already covers
-    landmarks = [ranked[0]]
-    for w in ranked[1:]:
-        if len(landmarks) < settings.landmarks:
-            k = Kernel(landmarks, settings).features([w])[0]
-            if k is None or k.max() < settings.apart:
-                landmarks.append(w)
+    landmarks = []
+    while left:
+        landmarks.append(left[0])
+        near = Kernel(left[:1], settings).features(left[1:])
+        left = [w for w, k in zip(left[1:], near) if k is None or k[0] < settings.apart]
     kernel = Kernel(landmarks, settings)
     gram = np.array([f if f is not None else np.zeros(len(landmarks)) for f in kernel.features(landmarks)], np.float64)
     values, vectors = np.linalg.eigh((gram + gram.T) / 2 + 1e-3 * np.eye(len(landmarks)))
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
     model = {"landmarks": landmarks, "settings": settings, "weights": np.zeros(2 * len(landmarks)), "bias": 0.0, "slope": 1.0, "shift": 0.0, "whole": np.zeros(3 * len(landmarks))}
     scorer = Scorer(model)
-    scorer.learn(split)
-    bags, whole = zip(*map(scorer.evidence, split))
+    del counts, pool, ranked, marked
+    found = []
+    for k in range(0, len(split), 50):  # few texts at a time: their joined words take memory
+        scorer.learn(split[k : k + 50])
+        found += map(scorer.evidence, split[k : k + 50])
+    bags, whole = zip(*found)
+    del found, split
     zero = np.zeros((1, 2 * len(landmarks)))  # the sentence without landmark-like words, in every document
     root = np.kron(np.eye(2), root)  # of the largest kernels and of the means
     x = np.vstack([np.vstack([zero, b]) for b in bags]) @ root
@@ -392,8 +414,13 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
         picked = some if picked is None else picked.unionByName(some)
     rows = (
         docs.select("doc_id", "text").join(F.broadcast(picked.dropDuplicates(["doc_id"])), "doc_id")  # at most 2 x docs_per_class ids
-        .select("toxic", F.substring(F.coalesce("text", F.lit("")), 1, settings.chars).alias("text"), "doc_id")
-        .dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
+        .select("toxic", F.coalesce("text", F.lit("")).alias("text"), "doc_id")
+        .dropDuplicates(["doc_id"])
+    )
+    before = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    rows = (  # at most 2 x docs_per_class rows in the window
+        rows.withColumn("_before", F.coalesce(F.sum(F.length("text").cast("long")).over(before), F.lit(0)))
+        .where(F.col("_before") < settings.chars).drop("_before").orderBy("doc_id").collect()
     )
     toxic = np.array([r["toxic"] for r in rows])
     if len(set(toxic.tolist())) < 2:
