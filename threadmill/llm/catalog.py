@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from threadmill.llm import byte_bpe, kd_sharding, learned_ann, packing, parity_join, pii, recipe_dedup, suffix_dedup, toxicity, warc
+from threadmill.llm import byte_bpe, kd_sharding, learned_ann, packing, parity_join, pii, recipe_dedup, suffix_dedup, toxicity, trie_variants, warc
 
 QUERIES = {
     "op1_learned_ann": learned_ann.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_best_fit_packing": packing.op8,
     "op9_warc": warc.op9,
     "op10_kd_sharding": kd_sharding.op10,
+    "op11_trie_variants": trie_variants.op11,
 }
 
 ORACLE_SQL = {

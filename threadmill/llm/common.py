@@ -33,8 +33,9 @@ def table(spark: SparkSession, sf_dir, name: str) -> DataFrame:
     return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` once as Parquet in the shared checkpoint folder and reread it.
+def stage(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write `df` once as Parquet in the shared checkpoint folder and reread it;
+    a folder for each value of `by` (few values), where only some are read at a time.
 
     Cuts the lineage: a lost executor costs the tasks it ran, not the stages
     before. The folder is scratch space of the session; each call takes a new
@@ -43,7 +44,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     small_batches(spark)
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=by)
     return spark.read.schema(df.schema).parquet(path)
 
 
