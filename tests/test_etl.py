@@ -108,7 +108,7 @@ def test_streaming_ingest_equals_batch_and_is_once_only(spark):
 
     st = T.StructType.fromDDL(schema) if hasattr(T.StructType, "fromDDL") else spark.createDataFrame([], schema).schema
     stream = ingest.landing_stream(spark, landing + "/*", st, "tsv", archive_dir=archive, max_files_per_trigger=1)
-    ingest.run_available_now(stream, ingest.upsert_batches(target, "c_custkey", stream="customers"), ckpt)
+    ingest.run_available_now(stream, ingest.upsert_batches(target, "c_custkey", order="c_acctbal", stream="customers"), ckpt)
     got = {r["c_custkey"]: r["c_acctbal"] for r in tables.read(spark, target).collect()}
     # batch equivalent: b1, then b2 replacing by key
     want = {r["c_custkey"]: r["c_acctbal"] for r in cust.where("c_acctbal >= 0").collect()}
@@ -120,7 +120,7 @@ def test_streaming_ingest_equals_batch_and_is_once_only(spark):
     assert len(archived) >= 1
     # second run: nothing new, no batch, no new version
     stream2 = ingest.landing_stream(spark, landing + "/*", st, "tsv", archive_dir=archive)
-    ingest.run_available_now(stream2, ingest.upsert_batches(target, "c_custkey", stream="customers"), ckpt)
+    ingest.run_available_now(stream2, ingest.upsert_batches(target, "c_custkey", order="c_acctbal", stream="customers"), ckpt)
     assert tables.current_version(spark, target) == v
 
     # the same batches streamed into a partitioned upsert table give the same rows
@@ -129,7 +129,7 @@ def test_streaming_ingest_equals_batch_and_is_once_only(spark):
     files.write_tsv(cust.withColumn("c_acctbal", F.col("c_acctbal") + 1).where("c_mktsegment = 'BUILDING'"),
                     os.path.join(land2, "b2"), mode="overwrite")
     stream3 = ingest.landing_stream(spark, land2 + "/*", st, "tsv", max_files_per_trigger=1)
-    ingest.run_available_now(stream3, ingest.upsert_batches(ptarget, "c_custkey", key_width=100), pckpt)
+    ingest.run_available_now(stream3, ingest.upsert_batches(ptarget, "c_custkey", order="c_acctbal", key_width=100), pckpt)
     got = {r["c_custkey"]: r["c_acctbal"] for r in tables.read_partitioned(spark, ptarget).collect()}
     assert got == want
 

@@ -114,7 +114,7 @@ def test_rows_without_a_key_are_kept_aside(spark):
     assert tables.read_partitioned(spark, d + "/t").count() == 1
     assert [r.v for r in spark.read.parquet(d + "/rejects/stream/batch=0").collect()] == ["lost"]
     with pytest.raises(ValueError, match="stream"):
-        ingest.upsert_batches(d + "/t", "id")
+        ingest.upsert_batches(d + "/t", "id", order="at")
 
 
 def test_json_documents(spark):

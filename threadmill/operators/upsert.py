@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -63,11 +63,46 @@ def upsert_replace(prod: DataFrame, stg: DataFrame, keys) -> DataFrame:
     prod anti-join batch keys, union the batch. Idempotent:
     upsert(upsert(p, s), s) == upsert(p, s).
     """
+    _missing(prod, stg)
     ks = _list(keys)
     kept = prod.join(stg.select(*ks), ks, "left_anti")
     return kept.unionByName(stg.select(*prod.columns))
 
 
+def _missing(prod: DataFrame, stg: DataFrame) -> None:
+    """A staged column that prod lacks would vanish without a word: raise."""
+    extra = [c for c in stg.columns if c not in prod.columns]
+    if extra:
+        raise ValueError(f"the batch has columns that the table lacks: {', '.join(extra)}")
+
+
+def row_version(df: DataFrame, order) -> Column:
+    """What versions of a key are compared by: the `order` columns, NULL first, and
+    behind them the row's content, so that rows of equal order also have a greatest one."""
+    content = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(df.columns)]), {"ignoreNullFields": "false"}), 256)
+    return F.struct(*[x for o in _list(order) for x in (F.col(o).isNotNull().alias(f"has_{o}"), F.col(o).alias(o))], content.alias("content"))
+
+
+def upsert_newest(prod: DataFrame, stg: DataFrame, keys, order, locked=None) -> DataFrame:
+    """J3 (J4 with `locked`) for batches that may come in any order: of a key's
+    stored and staged row the one with the greater `row_version` stays.
+
+    The result depends on the set of rows merged so far, not on the order or
+    number of their batches: merging is a maximum, so it is associative,
+    commutative and idempotent. `stg` has one row per key
+    (`dedupe.keep_last` by the same version). Prod meets the batch's keys only.
+    """
+    _missing(prod, stg)
+    ks = _list(keys)
+    stg = stg.select(*prod.columns)
+    is_locked = F.coalesce(locked, F.lit(False)) if locked is not None else F.lit(False)
+    stored = prod.select(*ks, is_locked.alias("_locked"), row_version(prod, order).alias("_stored"))
+    met = stg.select(*ks, row_version(stg, order).alias("_staged")).join(stored, ks)
+    older = met.where(F.col("_locked") | (F.col("_staged") <= F.col("_stored"))).select(*ks)
+    accepted = stg.join(older, ks, "left_anti")
+    return prod.join(accepted.select(*ks), ks, "left_anti").unionByName(accepted)
+
+
 def upsert_protect(prod: DataFrame, stg: DataFrame, keys, locked) -> DataFrame:
     """Like J3, but a prod row that is *locked* (already enriched) is kept
     and the staged row for its key is discarded.
@@ -78,6 +113,7 @@ def upsert_protect(prod: DataFrame, stg: DataFrame, keys, locked) -> DataFrame:
     the others are anti-joined with the batch keys. Staged rows survive when
     their key is not among the locked keys (key and lock columns of prod).
     """
+    _missing(prod, stg)
     ks = _list(keys)
     is_locked = F.coalesce(locked, F.lit(False))
     locked_keys = prod.where(is_locked).select(*ks).join(stg.select(*ks), ks, "left_semi")

@@ -10,18 +10,23 @@ the same result; column names match exactly.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threadmill.functions import scalars as S
 from threadmill.functions.text import PUNCTUATION, explode_rows
 from threadmill.operators import dedupe, joins, listing, nested, upsert, wordcount
 from threadmill.plans import html as H
-from threadmill.sources import extract
+from threadmill.session import checkpoint_dir
+from threadmill.sources import extract, files, ledger, rejects
 
 WATERMARK_TS = "2024-01-20 00:00:00"
+#: The batches of `newest_merge`; the last one takes every other type.
+EVENT_TYPES = ["click", "error", "purchase", "signup", None]
 NEW_KEY_OFFSET = 1_000_000_000
 
 
@@ -101,6 +106,57 @@ def q_watermark_advance(spark, sf):
     return extract.next_watermark(batch, "ts", "events")
 
 
+def q_tie_extract(spark, sf):
+    """A1 after a run that has read all rows up to a day's stamp but the errors
+    of that day: they were written late, with the watermark's own stamp."""
+    events = _t(spark, sf, "events").withColumn("stamp", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    wm = F.lit(WATERMARK_TS).cast("timestamp_ntz")
+    late = (F.col("stamp") == wm) & (F.col("event_type") == "error")
+    state = extract.advance(None, events.where((F.col("stamp") <= wm) & ~late), "stamp", "events", "event_id")
+    return extract.since(events, "stamp", state, "events", "event_id")
+
+
+def q_newest_merge(spark, sf):
+    """T2's rule: the events of each type are a batch of user versions, merged in
+    alphabetical order of their types, so most versions arrive out of order."""
+    events = _t(spark, sf, "events")
+    version = ["ts", "event_id"]
+    table = None
+    for kind in EVENT_TYPES:
+        rows = events.where(F.col("event_type") == kind if kind else ~F.coalesce(F.col("event_type").isin(EVENT_TYPES[:-1]), F.lit(False)))
+        batch = dedupe.keep_last(rows, "user_id", version)
+        table = batch if table is None else upsert.upsert_newest(table, batch, "user_id", version)
+    return table
+
+
+def q_file_ledger(spark, sf):
+    """The pages as landing files; those of plain http were consumed by an
+    earlier run, and each page lies in the folder of its host under a second name too."""
+    pages = _t(spark, sf, "pages").where(F.col("html").isNotNull())
+    files = pages.select(
+        F.concat(F.lit("/landing/"), F.lpad(F.col("page_id").cast("string"), 12, "0")).alias("path"), F.octet_length("html").cast("bigint").alias("length"),
+        F.lit("2024-01-01").cast("timestamp").alias("modified"), F.sha2("html", 256).alias("digest"), F.col("url").startswith("https://").alias("fresh"))
+    consumed = files.where(~F.col("fresh"))
+    again = files.withColumn("path", F.concat("path", F.lit("-again")))
+    fresh = ledger.unseen(files.unionByName(again), consumed)
+    return ledger.classified(fresh, consumed).select("path", "length", "digest", "status")
+
+
+def q_checked_load(spark, sf):
+    """A4 with D18: the events as a TSV file whose errors have words for numbers;
+    good rows are loaded, the others kept with their reason."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/checked-load-{uuid.uuid4().hex}"
+    events = _t(spark, sf, "events").select(
+        "event_id", F.when(F.col("event_type") == "error", F.lit("nobody")).otherwise(F.col("user_id").cast("string")).alias("user_id"), "event_type")
+    files.write_tsv(events, f"{folder}/in")
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType())])
+    loaded = rejects.load_checked(spark, f"{folder}/in", schema, "tsv", f"{folder}/rejects", "run", budget=1.0)
+    bad = rejects.read_rejects(spark, f"{folder}/rejects", "run")
+    record = F.split("record", "\t")
+    return loaded.good.withColumn("reason", F.lit(None).cast("string")).unionByName(bad.select(
+        record[0].cast("bigint").alias("event_id"), F.lit(None).cast("bigint").alias("user_id"), record[2].alias("event_type"), "reason"))
+
+
 # ------------------------------------------------------------------ nested
 
 
@@ -469,6 +525,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_extract": q_incremental_extract,
     "full_extract": q_full_extract,
     "watermark_advance": q_watermark_advance,
+    "tie_extract": q_tie_extract,
+    "newest_merge": q_newest_merge,
+    "file_ledger": q_file_ledger,
+    "checked_load": q_checked_load,
     "explode_nested": q_explode_nested,
     "keep_last_nested": q_keep_last_nested,
     "json_records": q_json_records,
@@ -600,6 +660,22 @@ ORACLE_SQL: dict[str, str] = {
         FROM lineitem JOIN w ON l_partkey = p_partkey GROUP BY word""",
     "incremental_extract": f"SELECT * FROM events WHERE ts > TIMESTAMP '{WATERMARK_TS}'",
     "full_extract": "SELECT * FROM events",
+    "tie_extract": f"""
+        SELECT *, CAST(date_trunc('day', ts) AS TIMESTAMP) AS stamp FROM events
+        WHERE date_trunc('day', ts) > TIMESTAMP '{WATERMARK_TS}'
+           OR (date_trunc('day', ts) = TIMESTAMP '{WATERMARK_TS}' AND event_type = 'error')""",
+    "newest_merge": """
+        SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+    "file_ledger": """
+        WITH f AS (SELECT '/landing/' || lpad(CAST(page_id AS VARCHAR), 12, '0') AS path, CAST(octet_length(encode(html)) AS BIGINT) AS length,
+                          sha256(html) AS digest, starts_with(url, 'https://') AS fresh FROM pages WHERE html IS NOT NULL),
+        k AS (SELECT DISTINCT digest FROM f WHERE NOT fresh),
+        u AS (SELECT path, length, digest FROM f WHERE fresh UNION ALL SELECT path || '-again', length, digest FROM f)
+        SELECT path, length, digest, CASE WHEN digest NOT IN (SELECT digest FROM k)
+               AND path = min(path) OVER (PARTITION BY digest) THEN 'new' ELSE 'refused' END AS status FROM u""",
+    "checked_load": """
+        SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE user_id END AS user_id, event_type,
+               CASE WHEN event_type = 'error' THEN 'user_id is no bigint' END AS reason FROM events""",
     "watermark_advance": f"""
         SELECT 'events' AS entity, max(ts) AS updated_at FROM events WHERE ts > TIMESTAMP '{WATERMARK_TS}'""",
     "explode_nested": f"SELECT doc_id, CAST(pos AS INTEGER) AS pos, line FROM ({_DOC_LINES})",

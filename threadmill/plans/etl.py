@@ -176,6 +176,13 @@ def _state(spark: SparkSession, roots: Roots, entity: str) -> tuple[str, DataFra
     return root, tables.read(spark, root, WATERMARK)
 
 
+def _extracted(source: DataFrame, state: DataFrame | None, entity: str, inclusive: bool) -> DataFrame:
+    """A1/A2: the rows that the runs before have not extracted; `inclusive` takes all of the watermark's stamp again."""
+    if inclusive:
+        return extract.incremental(source, "updated_at", extract.read_watermark(state, entity), True)
+    return extract.since(source, "updated_at", state, entity, KEYS[entity])
+
+
 def _upsert_into(spark: SparkSession, checked: upsert.Checked, root: str, entity: str, roots: Roots, run_ts: _dt.datetime, protect=None) -> dict:
     """Keep the rejects of a checked batch aside, then merge its good rows into
     the touched key ranges of the warehouse table (J3, or J4 with `protect`)."""
@@ -192,8 +199,8 @@ def _upsert_into(spark: SparkSession, checked: upsert.Checked, root: str, entity
 
 def threads_and_participants(spark: SparkSession, source: DataFrame, roots: Roots, run_ts: _dt.datetime,
                              inclusive: bool = False, comments: DataFrame | str | None = None) -> dict:
-    """P1 + P3: extract threads newer than the threads watermark, upsert clean
-    threads (J3), append new participants (keyed anti join, D15), then
+    """P1 + P3: extract threads newer than the threads watermark and those of its
+    own stamp that are new (`extract.since`), upsert clean threads (J3), append new participants (keyed anti join, D15), then
     advance the threads watermark to the batch max (D4).
 
     `source` holds nested `participants` (the operational format of the
@@ -202,9 +209,9 @@ def threads_and_participants(spark: SparkSession, source: DataFrame, roots: Root
     partitioned table, of which only the batch's key ranges are read.
     """
     state_root, state = _state(spark, roots, "threads")
-    wm = extract.read_watermark(state, "threads")
-    batch = _stage(decode_nested_text(extract.incremental(source, "updated_at", wm, inclusive)),
-                   roots.staging, "threads_raw", run_ts)
+    # ties are taken from the staged raw rows: what arrives meanwhile is the next run's
+    raw = _stage(_extracted(source, state, "threads", inclusive), roots.staging, "threads_raw", run_ts)
+    batch = _stage(decode_nested_text(raw), roots.staging, "threads_decoded", run_ts)
 
     if comments is None:
         threads = clean_threads(batch)
@@ -227,10 +234,9 @@ def threads_and_participants(spark: SparkSession, source: DataFrame, roots: Root
     # comparing against the touched thread ranges only: a rerun appends nothing
     tables.append_new_partitioned(parts, roots.participants, KEYS["participants"], roots.key_width)
 
-    new_wm = extract.next_watermark(batch, "updated_at", "threads")
-    v_state = tables.write_version(extract.merge_watermarks(state, new_wm), state_root)
+    v_state = tables.write_version(extract.advance(state, raw, "updated_at", "threads", KEYS["threads"]), state_root)
     undecoded = batch.agg(F.sum("undecoded")).first()[0] or 0
-    _drop_staging(spark, roots.staging, ("threads_raw", "comments_raw"), run_ts)
+    _drop_staging(spark, roots.staging, ("threads_raw", "threads_decoded", "comments_raw"), run_ts)
     return {"threads": touched, "state_version": v_state, "undecoded_cells": undecoded}
 
 
@@ -238,12 +244,10 @@ def users(spark: SparkSession, source: DataFrame, roots: Roots, run_ts: _dt.date
           inclusive: bool = False, default_location: str = S.DEFAULT_LOCATION) -> dict:
     """Users newer than the *users* watermark (D4), cleaned, upserted."""
     state_root, state = _state(spark, roots, "users")
-    wm = extract.read_watermark(state, "users")
-    batch = _stage(extract.incremental(source, "updated_at", wm, inclusive), roots.staging, "users_raw", run_ts)
+    batch = _stage(_extracted(source, state, "users", inclusive), roots.staging, "users_raw", run_ts)
     checked = upsert.check_staging(clean_users(batch, default_location), KEYS["users"], NOT_NULL.get("users", ()), None)
     touched = _upsert_into(spark, checked, roots.users, "users", roots, run_ts)
-    new_wm = extract.next_watermark(batch, "updated_at", "users")
-    v_state = tables.write_version(extract.merge_watermarks(state, new_wm), state_root)
+    v_state = tables.write_version(extract.advance(state, batch, "updated_at", "users", KEYS["users"]), state_root)
     _drop_staging(spark, roots.staging, ("users_raw",), run_ts)
     return {"users": touched, "state_version": v_state}
 

@@ -101,6 +101,9 @@ WATERMARK = T.StructType(
     ]
 )
 
+#: A watermark (no tie) and the rows extracted at its stamp (key and content digest).
+TIES = T.StructType(WATERMARK.fields + [T.StructField("tie_key", T.StringType()), T.StructField("tie_digest", T.StringType())])
+
 # Fixed values (must equal the reference's): primary keys, NOT NULL columns
 # and declared widths (VARCHAR(n)) of the warehouse tables.
 KEYS = {"threads": ["thread_id"], "users": ["user_id"], "participants": ["thread_id", "user_id", "created_at"]}

@@ -40,8 +40,9 @@ def read_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A5: JSON Lines (gzip detected from the extension) with a declared schema."""
-    return spark.read.schema(schema).json(path)
+    """A5: JSON Lines (gzip detected from the extension) with a declared schema.
+    A broken line or a value of another type raises; `load_checked` sets such rows aside."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
 def read_legacy_concatenated_json(spark: SparkSession, path: str, schema: T.StructType,
@@ -68,11 +69,11 @@ def read_by_suffix(spark: SparkSession, path: str, schema: T.StructType | None =
         first = spark.read.text(path).where(F.length(F.trim("value")) > 0).limit(1).collect()
         head = first[0][0].strip() if first else "{}"
         reader = spark.read.schema(schema) if schema is not None else spark.read
-        return reader.option("multiLine", str(not (head.startswith("{") and head.endswith("}"))).lower()).json(path)
+        return reader.option("mode", "FAILFAST").option("multiLine", str(not (head.startswith("{") and head.endswith("}"))).lower()).json(path)
     if p.endswith(".tsv") or p.endswith(".tsv.gz") or p.endswith(".csv.gz"):
         return read_tsv(spark, path, schema)
     if p.endswith(".csv"):
-        r = spark.read.option("header", "true")
+        r = spark.read.options(**TSV_OPTIONS).option("sep", ",")
         return (r.schema(schema) if schema else r).csv(path)
     return spark.read.format("binaryFile").load(path)
 

@@ -14,8 +14,11 @@ partitioned upsert table (only touched key ranges rewritten; the rules are
 idempotent, so a replayed batch changes nothing) or, for small tables, a
 versioned table, where the stream's name and the batch id are stored in the
 commit record and a replayed batch (after a failure between commit and
-checkpoint) is skipped. Rows of one micro-batch that share a key are reduced
-to the last one, and rows that a keyed table refuses are kept aside.
+checkpoint) is skipped. Files may be delivered in any order: of all rows that
+share a key, in one micro-batch or in several, the one with the greatest
+version stays (`upsert.upsert_newest`), so every order of delivery, every cut
+into batches and every restart from the checkpoint ends in the same table.
+Rows that a keyed table refuses are kept aside.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from threadmill.operators import dedupe, upsert
+from threadmill.operators import upsert
 from threadmill.sources import tables
 from threadmill.sources.files import TSV_OPTIONS
 
@@ -44,7 +47,7 @@ def landing_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: st
         opts = {k: v for k, v in TSV_OPTIONS.items() if k != "multiLine"}
         return r.options(**opts).option("multiLine", "true").csv(path)
     if fmt == "json":
-        return r.json(path)
+        return r.option("mode", "FAILFAST").json(path)
     return r.parquet(path)
 
 
@@ -52,10 +55,13 @@ def upsert_batches(target_root: str, keys, transform: Callable[[DataFrame], Data
                    locked=None, key_width: int | None = None, order=None, stream: str | None = None,
                    rejects_root: str | None = None) -> Callable[[DataFrame, int], None]:
     """A `foreachBatch` body merging each micro-batch into `target_root`
-    (J3, or J4 when `locked` is given).
+    (J3, or J4 when `locked` is given: then a stored locked row stays, so what
+    is locked first does depend on the order of delivery).
 
-    Of rows that share a key, the one with the greatest `order` (default: all
-    other columns, in their order) is merged; rows with a NULL key go to
+    `order` names the columns that tell a key's versions apart (a stamp, a
+    counter; NULL is the oldest). Of rows that share a key, stored ones
+    included, the one with the greatest `order` stays, equal ones decided by
+    their content; rows with a NULL key go to
     `rejects_root` (a folder per stream and batch, so a replay replaces its
     own), or raise if there is none.
 
@@ -67,13 +73,13 @@ def upsert_batches(target_root: str, keys, transform: Callable[[DataFrame], Data
     skipped.
     """
     ks = [keys] if isinstance(keys, str) else list(keys)
+    if not order:
+        raise ValueError("name the columns that order a key's versions: batches can arrive out of order")
     if key_width is None and stream is None:
         raise ValueError("a versioned target needs the stream's name: batch numbers restart with each checkpoint")
 
     def rule(prod: DataFrame, stg: DataFrame) -> DataFrame:
-        if locked is not None:
-            return upsert.upsert_protect(prod, stg, keys, locked)
-        return upsert.upsert_replace(prod, stg, keys)
+        return upsert.upsert_newest(prod, stg, keys, order, locked)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -88,7 +94,7 @@ def upsert_batches(target_root: str, keys, transform: Callable[[DataFrame], Data
             stg = stg.where(~missing)
         else:
             stg = stg.where(F.when(missing, F.raise_error(F.lit("a row without a key, and no folder for rejects"))).otherwise(F.lit(True)))
-        stg = dedupe.keep_last(stg, ks, order or [c for c in stg.columns if c not in ks] or ks)
+        stg = stg.groupBy(*ks).agg(F.max_by(F.struct(*stg.columns), upsert.row_version(stg, order)).alias("_row")).select("_row.*")
         if key_width is not None:
             tables.upsert_partitioned(stg, target_root, keys, key_width, rule)
             return
