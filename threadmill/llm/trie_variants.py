@@ -99,23 +99,17 @@ def _level(states: DataFrame, nodes: DataFrame) -> DataFrame:
     here, ahead = _symbol(rest), _symbol(after)
     # of equal letters in a row, the last one is deleted
     deleted = states.where((F.col("edits") == 0) & (rest != "") & (here != ahead)).select("side", "word", after.alias("rest"), "node", F.lit(1).alias("edits"))
-    met = states.unionByName(deleted).join(nodes, ["side", "node"])
-    fresh = F.col("edits") == 0
-
-    def ways(edge):
-        way = lambda left, edits: F.struct(left.alias("rest"), edge["symbol"].alias("symbol"), edits.cast("int").alias("edits"))
-        exact, end = edge["symbol"] == here, edge["symbol"] == END
-        return F.array_compact(F.array(
-            F.when(exact & F.when(end, ~fresh).otherwise(fresh | F.contains(edge["follow"], ahead)), way(after, F.col("edits"))),
-            F.when(fresh & ~exact & ~end & (rest != "") & F.contains(edge["follow"], ahead), way(after, F.lit(1))),  # replaced
-            F.when(fresh & ~exact & ~end & F.contains(edge["follow"], here), way(rest, F.lit(1))),  # inserted
-        ))
-
-    taken = met.select("side", "word", "node", F.explode(F.flatten(F.transform("edges", ways))).alias("way"))
-    ended = F.col("way.symbol") == END
+    met = states.unionByName(deleted).join(nodes, ["side", "node"]).select("side", "word", "rest", "node", "edits", F.inline("edges"))
+    symbol, fresh, end = F.col("symbol"), F.col("edits") == 0, F.col("symbol") == END
+    exact = symbol == here
+    onward = F.contains("follow", ahead)
+    consumed = F.when(end, exact & ~fresh).otherwise(F.when(exact, fresh | onward).otherwise(fresh & (rest != "") & onward))  # met or replaced
+    inserted = fresh & ~exact & ~end & F.contains("follow", here)
+    taken = met.withColumns({"consumed": consumed, "inserted": inserted}).where("consumed or inserted").withColumn(
+        "way", F.explode(F.array(F.lit(True), F.lit(False)))).where(F.when(F.col("way"), F.col("consumed")).otherwise(F.col("inserted")))
     return taken.select(
-        "side", "word", F.col("way.rest").alias("rest"), F.when(ended, F.col("node")).otherwise(F.concat("node", "way.symbol")).alias("node"),
-        F.col("way.edits").alias("edits"), ended.alias("ended"))
+        "side", "word", F.when(F.col("way"), after).otherwise(rest).alias("rest"), F.when(end, F.col("node")).otherwise(F.concat("node", symbol)).alias("node"),
+        F.when(F.col("way") & exact, F.col("edits")).otherwise(1).alias("edits"), end.alias("ended"))
 
 
 def _long_pairs(words: DataFrame) -> DataFrame:
