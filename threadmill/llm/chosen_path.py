@@ -8,13 +8,14 @@ documents hands each of its own to BRANCHES children, by the tokens at
 positions that the path chooses. Similar documents share most positions, so
 they stay together on some path with high probability; others part.
 
-Nodes of at most SMALL documents are compared exhaustively. In every node all
-members are first compared with one of them (the same in all trees), and the
-verified links joined to components; a node within one component is finished,
-one that is dense (half of it in one component) or still large at LEVELS is
-compared in blocks (`block_links`): members of different components meet, on
-sketches first and on whole sets after that, and only links that join
-components are handed on. So groups of near copies cost their size, and no
+Nodes of at most SMALL documents are compared exhaustively. At the roots all
+members of a node are first compared with one of them (the same in all trees),
+and the verified links joined to components; a node within one component is
+finished, one that is dense (half of it in one component) is not branched, and
+all that are left, small, dense or still large at LEVELS, are compared in
+blocks (`block_links`): members of different components meet, on sketches
+first and on whole sets after that, and only links that join components are
+handed on. So groups of near copies cost their size, and no
 node is expanded into pairs or gathered in one task.
 
 Recall: a pair with similarity J shares a root's token with probability J, and
@@ -49,7 +50,7 @@ WORDS = 3
 #: Similarity at least PART / WHOLE.
 PART, WHOLE = 85, 100
 #: Minwise tokens of a sketch, trees, children of a large node, levels below the roots.
-SKETCH, TREES, BRANCHES, LEVELS = 64, 8, 2, 6
+SKETCH, TREES, BRANCHES, LEVELS = 64, 8, 2, 4
 #: Documents of a node that is compared without further branching.
 SMALL = 64
 #: Values of a hash of ids that is broadcast before texts are joined by id.
@@ -197,12 +198,12 @@ def children(rows: DataFrame, nodes: DataFrame) -> DataFrame:
         F.xxhash64("path", "branch", _token(at)).alias("path"), "node")
 
 
-def _placed(rows: DataFrame) -> DataFrame:
+def _placed(rows: DataFrame, n_rows: int) -> DataFrame:
     """path, node, n, centre: the rows of nodes with company; the centre is the member with the least hash."""
     rows = stage(rows, "path-rows")
     groups = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("node").alias("h"), "node")).alias("least"))
     groups = stage(groups.where("n > 1").select("path", "n", F.col("least.node").alias("centre")), "path-groups")
-    return stage(attach_groups(rows, groups, "path", "n", rows.count()), "path-placed")
+    return stage(attach_groups(rows, groups, "path", "n", n_rows), "path-placed")
 
 
 def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -219,29 +220,26 @@ def _joined(links: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 def link_classes(docs: DataFrame, nodes: DataFrame, text: str = "text") -> DataFrame | None:
     """node, comp of the linked ones among the staged nodes (node, first_doc, n_shingles, sketch); None without links."""
+    n_rows = nodes.count() * TREES
+    placed = _placed(roots(nodes), n_rows)
+    met = placed.where("node <> centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+    pairs = stage(_near_pairs(met, nodes), "path-pairs")
     labels, compared = None, []
-    rows = roots(nodes)
+    if not pairs.isEmpty():
+        wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        labels = _joined(stage(_verified(pairs, sets_of(wanted, docs, nodes, text)), "path-links"), None)
     for level in range(LEVELS + 1):
-        placed = _placed(rows)
-        if placed.isEmpty():
-            break
-        met = placed.where("node <> centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-        pairs = stage(_near_pairs(met, nodes), "path-pairs")
-        if not pairs.isEmpty():
-            wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-            labels = _joined(stage(_verified(pairs, sets_of(wanted, docs, nodes, text)), "path-links"), labels)
-        large = placed.where(F.col("n") > SMALL)
-        if level == LEVELS:
-            compared.append(placed.select("centre", "node"))
+        small = F.col("n") <= SMALL if level < LEVELS else F.lit(True)
+        compared.append(placed.where(small).select("centre", "node"))
+        large = placed.where(~small)
+        if large.isEmpty():
             break
         parts = _labelled(large.select("path", "node"), labels).groupBy("path", "comp").agg(F.count(F.lit(1)).alias("n"))
         kinds = stage(parts.groupBy("path").agg(F.count(F.lit(1)).alias("parts"), F.max("n").alias("most"), F.sum("n").alias("n")), "path-kinds")
         dense = F.col("most") * 2 >= F.col("n")
-        told = attach_groups(large.select("path", "centre", "node"), kinds, "path", "n", placed.count())
-        compared += [placed.where(F.col("n") <= SMALL).select("centre", "node"), told.where(dense & (F.col("parts") > 1)).select("centre", "node")]
-        rows = children(told.where(~dense).select("path", "node"), nodes)
-    if not compared:
-        return labels
+        told = attach_groups(large.select("path", "centre", "node"), kinds, "path", "n", n_rows)
+        compared.append(told.where(dense & (F.col("parts") > 1)).select("centre", "node"))
+        placed = _placed(children(told.where(~dense).select("path", "node"), nodes), n_rows)
     # nodes of several trees that have one centre are compared as one
     groups = _labelled(reduce(DataFrame.unionByName, compared).select(F.col("centre").alias("gid"), "node").distinct(), labels)
     groups = stage(groups, "path-compared")
