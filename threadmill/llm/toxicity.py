@@ -16,7 +16,8 @@ sentence margin; a logistic fit on the training documents turns it into a
 score, and a second one, with the first as its offset, adds what the whole
 document says: the largest kernel, the sum of kernels and their mean over all
 words, for each landmark. So a word that also occurs by chance counts by how often it
-recurs.
+recurs. (This second fit is on the kernels themselves: through the Nystroem map
+it did worse in cross-validation on the fitting sample.)
 
 Fitted on a bounded sample (`Settings.docs_per_class` labelled documents of
 each class, whole texts until `Settings.chars` code points of a class are
@@ -39,10 +40,12 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadmill.llm.common import table, worker_state
+from threadmill.llm.common import stage, table, worker_state
 
 SENTENCE_ENDS = ".!?\n"
-CACHE = 200_000
+CACHE = 300_000
+#: Tasks that work out the evidence of the fitting sample.
+SAMPLE_TASKS = 32
 START = "\x02"  # stands before each word, so that its beginning takes part in the kernel
 
 
@@ -66,7 +69,9 @@ class Settings:
     width: int = 20  # longer words are looked at in overlapping windows of this width
     svm_c: float = 2.0
     rounds: int = 4
-    ridge: float = 1.0  # of the document's own weights
+    steps: int = 8  # of a round at most
+    least_count: int = 3  # toxic documents of the sample that a candidate occurs in
+    ridge: float = 0.004  # of the document's own weights, for each document of the sample; by cross-validation on a sample
 
 
 # ------------------------------------------------------------------ the kernel
@@ -78,28 +83,43 @@ def _codes(words: list[str], width: int) -> np.ndarray:
     return flat.reshape(len(words), width).astype(np.int32)
 
 
+KERNEL_ROWS = 4096  # pairs whose partial sums are worked on at a time: they stay in the processor's cache
+
+
 def subsequence_kernel(a: np.ndarray, b: np.ndarray, order: int, decay: float) -> np.ndarray:
     """Gap-weighted subsequence kernel of each row of `a` with the same row of `b`
     (code points, 0 pads at the right)."""
-    rows, width = b.shape
-    # spread[j, k]: decay from matching at j to standing at k >= j
-    spread = np.triu(decay ** np.maximum(np.arange(width)[None, :] - np.arange(width)[:, None], 0)).astype(np.float32)
-    square = np.float32(decay * decay)
-    partial = [None] + [np.zeros((rows, width + 1), np.float32) for _ in range(order - 1)]  # by subsequence length, over prefixes of b
-    ones = np.ones((rows, width + 1), np.float32)
-    total = np.zeros(rows, np.float32)
-    for i in range(a.shape[1]):
-        same = ((a[:, i : i + 1] == b) & (b != 0)).astype(np.float32)
-        if not same.any() and not (a[:, i] != 0).any():
+    total = np.zeros(len(b), np.float32)
+    for at in range(0, len(b), KERNEL_ROWS):
+        _kernel_block(a[at : at + KERNEL_ROWS].T, b[at : at + KERNEL_ROWS].T, order, np.float32(decay), total[at : at + KERNEL_ROWS])
+    return total
+
+
+def _kernel_block(a: np.ndarray, b: np.ndarray, order: int, decay: np.float32, total: np.ndarray) -> None:
+    """Adds the kernels to `total`; a column is a pair here, so every step runs along memory."""
+    a, b = np.ascontiguousarray(a), np.ascontiguousarray(b)
+    width, pairs = b.shape
+    real = b != 0
+    ones = np.ones((width + 1, pairs), np.float32)
+    partial = [ones] + [np.zeros((width + 1, pairs), np.float32) for _ in range(order - 1)]  # by subsequence length, over prefixes of b
+    ends, square = np.empty((width, pairs), np.float32), decay * decay
+    for c in a:
+        if not c.any():
             break
-        last = ones if order == 1 else partial[order - 1]
-        total += (same * last[:, :-1]).sum(axis=1)
+        same = (b == c) & real
+        if not same.any():
+            for p in partial[1:]:
+                p *= decay
+            continue
+        same = same.astype(np.float32)
+        total += (same * partial[order - 1][:-1]).sum(axis=0)
         for k in range(order - 1, 0, -1):
-            shorter = ones if k == 1 else partial[k - 1]
-            ends = (same * shorter[:, :-1]) @ spread * square
-            partial[k] *= np.float32(decay)
-            partial[k][:, 1:] += ends
-    return total * square
+            np.multiply(same, partial[k - 1][:-1], out=ends)
+            for j in range(1, width):  # a match at j goes on to stand at every later place
+                ends[j] += decay * ends[j - 1]
+            partial[k] *= decay
+            partial[k][1:] += square * ends
+    total *= square
 
 
 class Kernel:
@@ -133,9 +153,8 @@ class Kernel:
             v = ((v + u) | (v - u)) & full
         return width - np.bitwise_count(v) >= self.s.order
 
-    def features(self, words: list[str], block: int = 4000, least_kernel: float | None = None) -> list[np.ndarray | None]:
+    def features(self, words: list[str], block: int = 4000) -> list[np.ndarray | None]:
         """For each word its kernels with the landmarks, None where all are small."""
-        least_kernel = self.s.least_kernel if least_kernel is None else least_kernel
         w, step = self.s.width, self.s.width // 2
         marked = [START + x for x in words]
         parts = [(i, word[j : j + w]) for i, word in enumerate(marked) for j in range(0, max(1, len(word) - w + step), step)]
@@ -160,7 +179,7 @@ class Kernel:
             for k in range(0, len(row), 8 * block):
                 r, m = row[k : k + 8 * block], mark[k : k + 8 * block]
                 value = subsequence_kernel(codes[r], self.codes[m], self.s.order, self.s.decay) / (own[r] * self.own[m])
-                hit = value >= least_kernel
+                hit = value >= self.s.least_kernel
                 for x, y, v in zip(r[hit], m[hit], value[hit]):
                     i = some[x][0]
                     if out[i] is None:
@@ -196,8 +215,8 @@ class Scorer:
         sizes = [len(w) for w in model["landmarks"]]
         self.joined = max(3, min(sizes) - 1), min(self.kernel.s.width - 1, max(sizes) + 2)  # lengths of joined words
 
-    def learn(self, texts: list[list[str]]) -> None:
-        """Put the kernels of all words that are new into the cache."""
+    def learn(self, texts: list[list[str]]) -> list[list[tuple[int, tuple[str, ...]]]]:
+        """Put the kernels of all words that are new into the cache; gives the texts' runs of short words."""
         if len(self.seen) > CACHE:
             self.seen.clear()
             self.parts.clear()
@@ -210,7 +229,9 @@ class Scorer:
         self.parts.update((w, c if len(c) <= short else None) for w, c in zip(new, cores))
         if len(self.runs) > CACHE:
             self.runs.clear()
-        self.learn_runs({run for words in texts for _, run in self.short_runs(words)}.difference(self.runs))
+        runs = list(map(self.short_runs, texts))
+        self.learn_runs({run for found in runs for _, run in found}.difference(self.runs))
+        return runs
 
     def short_runs(self, words: list[str]) -> list[tuple[int, tuple[str, ...]]]:
         """Where runs of two or more short words begin, and their cores; sentence ends don't end them."""
@@ -240,22 +261,22 @@ class Scorer:
                     if len(word) >= least and run[j]:
                         found.append((i, j, word))
         distinct = list({word for found in places.values() for _, _, word in found})
-        value = dict(zip(distinct, self.kernel.features(distinct, least_kernel=self.kernel.s.joined_kernel)))
+        value = {w: v if v is not None and v.max() >= self.kernel.s.joined_kernel else None for w, v in zip(distinct, self.kernel.features(distinct))}
         for run, found in places.items():
-            hits = sorted(((i, j, value[word]) for i, j, word in found if value[word] is not None), key=lambda h: (-h[2].max(), h[0], h[1]))
+            hits = sorted(((i, j, value[word]) for i, j, word in found if value[word] is not None), key=lambda h: (-round(float(h[2].max()), 3), h[0] - h[1], h[0]))
             kept, taken = [], set()
-            for i, j, v in hits:  # the most alike first; no word takes part in two
+            for i, j, v in hits:  # the most alike first, of those the longest; no word takes part in two
                 if taken.isdisjoint(range(i, j + 1)):
                     taken.update(range(i, j + 1))
                     kept.append((i, j - i, v))
             self.runs[run] = kept
 
-    def evidence(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def evidence(self, words: list[str], runs: list[tuple[int, tuple[str, ...]]]) -> tuple[np.ndarray, np.ndarray]:
         """Largest and mean kernel with each landmark, for each sentence with a
         landmark-like word; for the document the largest, the sum and the mean."""
         seen, n = self.seen, len(self.kernel.landmarks)
         found = [(i, 0, seen[w]) for i, w in enumerate(words) if seen[w] is not None]
-        joined = [(at + i, more, v) for at, run in self.short_runs(words) for i, more, v in self.runs[run]]
+        joined = [(at + i, more, v) for at, run in runs for i, more, v in self.runs[run]]
         if joined:
             found = sorted(found + joined, key=lambda h: h[0])
         hits = [i for i, _, _ in found]
@@ -280,31 +301,15 @@ class Scorer:
 
     def scores(self, texts: list[str]) -> list[float]:
         words = [words_of(t) for t in texts]
-        self.learn(words)
+        runs = self.learn(words)
         a, c, u = self.model["slope"], self.model["shift"], self.model["whole"]
-        found = map(self.evidence, words)
+        found = map(self.evidence, words, runs)
         return [float(1 / (1 + np.exp(-np.clip(a * self.margin(rows) + c + whole @ u, -500, 500)))) for rows, whole in found]
 
 
 # ------------------------------------------------------------------ fitting
 
 
-def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float, steps: int = 150) -> tuple[np.ndarray, float]:
-    """Linear SVM (squared hinge) by full-batch accelerated gradient descent."""
-    z = np.hstack([x, np.ones((len(x), 1))])
-    v = np.zeros(z.shape[1])
-    weight = weight / weight.sum()
-    rate = 1 / (2 * c * np.linalg.eigvalsh(z.T @ (z * weight[:, None]))[-1] + 1e-2)
-    look, t = v.copy(), 1.0
-    for _ in range(steps):
-        slack = np.maximum(0, 1 - y * (z @ look))
-        grad = 1e-2 * np.append(look[:-1], 0) - 2 * c * z.T @ (weight * y * slack)
-        new = look - rate * grad
-        t_new = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        look, v, t = new + (t - 1) / t_new * (new - v), new, t_new
-    return v[:-1], float(v[-1])
-
-
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3, offset: np.ndarray | float = 0.0) -> np.ndarray:
     """Weights of the columns and, last, shift of a logistic fit of the labels (damped Newton)."""
     z = np.hstack([x, np.ones((len(x), 1))])
@@ -327,85 +332,172 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
     return v
 
 
-def fit_texts(texts: list[str], toxic: np.ndarray, settings: Settings = Settings(), clean_per_toxic: float | None = None) -> dict:
-    """The model from labelled texts (1 toxic, 0 not); `clean_per_toxic`: how many
-    clean documents there are to a toxic one outside the sample."""
-    from collections import Counter
+def pieces_of(text: str, settings: Settings) -> set[str]:
+    """What a text offers as landmarks: its words and their beginnings."""
+    own = {core(w) for w in words_of(text)}
+    return {w for w in own | {w[:k] for w in own for k in settings.stems if len(w) > k} if len(w) >= settings.order}
 
-    counts = [Counter(), Counter()]
-    one: dict[str, str] = {}  # each distinct word is held once
-    split = [[one.setdefault(w, w) for w in words_of(t)] for t in texts]
-    for words, y in zip(split, toxic):
-        own = {core(w) for w in words}
-        counts[int(y)].update(own | {w[:k] for w in own for k in settings.stems if len(w) > k})
-    n = [max(1, int((toxic == k).sum())) for k in (0, 1)]
-    counts = [{w: c[w] for w in counts[1] if counts[1][w] >= 3} for c in counts]
-    # candidates: words and their beginnings by the z-score of their rates in the two classes
-    pool = [w for w in counts[1] if len(w) >= settings.order]
-
-    def z_score(w):
-        p, q = counts[1][w] / n[1], counts[0][w] / n[0]
-        mean = (counts[1][w] + counts[0][w]) / (n[0] + n[1])
-        return (p - q) / np.sqrt(mean * (1 - mean) * (1 / n[0] + 1 / n[1]) + 1e-12)
-
-    ranked = sorted(((z_score(w), w) for w in pool), key=lambda x: (-x[0], x[1]))
-    marked = [(z, w) for z, w in ranked if z > settings.least_z and counts[1][w] / n[1] > settings.lift * counts[0][w] / n[0]]
-    left = [w for _, w in marked] or [w for _, w in ranked[: settings.fallback]] or ["---"]
-    # landmarks: in that order, leaving out what an earlier landmark already covers
-    landmarks = []
+
+def z_score(toxic, clean, n_toxic: int, n_clean: int):
+    """How far the rates of a piece in the two classes lie apart, in standard errors (numbers or columns)."""
+    mean = (toxic + clean) / (n_toxic + n_clean)
+    return (toxic / n_toxic - clean / n_clean) / (mean * (1 - mean) * (1 / n_clean + 1 / n_toxic) + 1e-12) ** 0.5
+
+
+def choose_landmarks(ranked: list[str], settings: Settings) -> list[str]:
+    """Candidates in order, leaving out what an earlier landmark already covers."""
+    left, landmarks = ranked or ["---"], []
     while left:
         landmarks.append(left[0])
         near = Kernel(left[:1], settings).features(left[1:])
         left = [w for w, k in zip(left[1:], near) if k is None or k[0] < settings.apart]
+    return landmarks
+
+
+def _nystroem(landmarks: list[str], settings: Settings) -> np.ndarray:
+    """Inverse square root of the landmarks' kernel matrix."""
     kernel = Kernel(landmarks, settings)
     gram = np.array([f if f is not None else np.zeros(len(landmarks)) for f in kernel.features(landmarks)], np.float64)
     values, vectors = np.linalg.eigh((gram + gram.T) / 2 + 1e-3 * np.eye(len(landmarks)))
-    root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
-    model = {"landmarks": landmarks, "settings": settings, "weights": np.zeros(2 * len(landmarks)), "bias": 0.0, "slope": 1.0, "shift": 0.0, "whole": np.zeros(3 * len(landmarks))}
-    scorer = Scorer(model)
-    del counts, pool, ranked, marked
-    found = []
-    for k in range(0, len(split), 50):  # few texts at a time: their joined words take memory
-        scorer.learn(split[k : k + 50])
-        found += map(scorer.evidence, split[k : k + 50])
-    bags, whole = zip(*found)
-    del found, split
-    zero = np.zeros((1, 2 * len(landmarks)))  # the sentence without landmark-like words, in every document
-    root = np.kron(np.eye(2), root)  # of the largest kernels and of the means
-    x = np.vstack([np.vstack([zero, b]) for b in bags]) @ root
-    doc = np.repeat(np.arange(len(bags)), [len(b) + 1 for b in bags])
-    bag_y = np.asarray(toxic)[doc]
-    y = np.where(bag_y == 1, 1.0, -1.0)
+    return vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
+
+
+def untrained(landmarks: list[str], settings: Settings) -> dict:
+    n = len(landmarks)
+    return {"landmarks": landmarks, "settings": settings, "weights": np.zeros(2 * n), "bias": 0.0, "slope": 1.0, "shift": 0.0, "whole": np.zeros(3 * n)}
+
+
+@dataclass
+class Bags:
+    """Evidence of some documents: all their sentences' rows, and a row of zeros in
+    each document for its sentences without landmark-like words."""
+
+    toxic: np.ndarray  # of each document
+    rows: np.ndarray
+    doc: np.ndarray  # of each row
+    whole: np.ndarray
+
+    @staticmethod
+    def of(toxic: list[int], rows: list[np.ndarray], whole: list[np.ndarray], size: int) -> Bags:
+        zero = np.zeros((1, 2 * size), np.float32)
+        doc = np.repeat(np.arange(len(rows)), [len(r) + 1 for r in rows])
+        return Bags(np.array(toxic), np.vstack([x for r in rows for x in (zero, r)]) if rows else zero[:0], doc, np.array(whole).reshape(len(rows), 3 * size))
+
+
+def _targets(bags: Bags, before: tuple[np.ndarray, float] | None) -> np.ndarray:
+    """+1 for the rows that speak for their toxic document: at first all of them, then,
+    by the weights of the round before, its strongest sentence and those on the toxic side."""
+    toxic = bags.toxic[bags.doc] == 1
+    if before is None:
+        return toxic
+    margin = bags.rows @ before[0].astype(np.float32) + np.float32(before[1])
+    best = np.full(len(bags.toxic), -np.inf, np.float32)
+    np.maximum.at(best, bags.doc, margin)
+    return toxic & ((margin > 0) | (margin == best[bags.doc])) & bags.rows.any(axis=1)
+
+
+def svm_sums(bags: Bags, before: tuple[np.ndarray, float] | None, weights: np.ndarray, bias: float) -> np.ndarray:
+    """For the toxic and the other rows, packed: how many there are, their squared hinge
+    losses, and over those within the margin the sums of z and of z z' (z: a row and 1)."""
+    positive = _targets(bags, before)
+    margin = bags.rows @ weights.astype(np.float32) + np.float32(bias)
+    out = []
+    for side, sign in ((positive, 1.0), (~positive, -1.0)):
+        slack = 1 - sign * margin[side].astype(np.float64)
+        z = bags.rows[side][slack > 0]
+        z = np.hstack([z, np.ones((len(z), 1), np.float32)])
+        out += [[side.sum()], [(np.maximum(slack, 0) ** 2).sum()], z.sum(axis=0, dtype=np.float64), (z.T @ z).astype(np.float64).ravel()]
+    return np.concatenate(out)
+
+
+def train(landmarks: list[str], settings: Settings, sums, gather, clean_per_toxic: float | None = None) -> dict:
+    """The model over evidence that lies elsewhere: `sums(before, weights, bias)` adds up
+    `svm_sums` of all of it, `gather(weights, bias)` gives each document's label,
+    margin and whole-document evidence.
+
+    Each round is a multiple-instance step: a linear SVM (squared hinge) on the
+    rows that speak for their documents, solved by Newton steps on its active
+    set, a step being one pass over the evidence.
+    """
+    n = len(landmarks)
+    root = _nystroem(landmarks, settings)
+    once = np.kron(np.eye(2), root)  # of the largest kernels and of the means
+    lift = np.zeros((2 * n + 1, 2 * n + 1))
+    lift[:-1, :-1], lift[-1, -1] = once, 1
+    plain = np.append(np.full(2 * n, 1e-2), 1e-6)
+    before, v = None, np.zeros(2 * n + 1)
     for _ in range(settings.rounds):
-        weight = np.where(y > 0, 1 / max(1, (y > 0).sum()), 1 / max(1, (y < 0).sum()))
-        w, b = _svm(x, y, weight, settings.svm_c)
-        margin = x @ w + b
-        best = np.full(len(bags), -np.inf)
-        np.maximum.at(best, doc, margin)
-        # of a toxic document, its strongest sentence and those on the toxic side speak for it
-        speaks = (bag_y == 1) & ((margin > 0) | ((margin == best[doc]) & (np.abs(x).sum(1) > 0)))
-        y = np.where(speaks, 1.0, -1.0)
-        keep_zero = np.abs(x).sum(1) > 0
-        y = np.where(keep_zero, y, -1.0)
-    model["weights"], model["bias"] = root @ w, b
-    margins = np.array([scorer.margin(rows) for rows in bags])
+        loss, tried = np.inf, v
+        for _ in range(settings.steps):
+            parts = np.split(sums(before, once @ v[:-1], v[-1]), 2)
+            h, g, now = np.diag(plain), np.zeros(2 * n + 1), (plain * v * v).sum() / 2
+            for part, sign in zip(parts, (1, -1)):
+                share = settings.svm_c / max(1, part[0]) / 2  # both classes weigh the same
+                now += share * part[1]
+                g += 2 * share * sign * lift @ part[2 : 2 * n + 3]
+                h += 2 * share * lift @ part[2 * n + 3 :].reshape(2 * n + 1, -1) @ lift
+            if now > loss + 1e-9:  # too far: halfway back
+                v = (v + tried) / 2
+                continue
+            if loss - now < 1e-4 * max(now, 1e-9):
+                break
+            loss, tried = now, v
+            v = np.linalg.solve(h, g)
+        before = (once @ v[:-1], float(v[-1]))
+    model = untrained(landmarks, settings) | {"weights": before[0], "bias": before[1]}
+    toxic, margins, whole = gather(*before)
     labels = np.asarray(toxic, float)
-    weight = np.where(labels == 1, 1.0, (clean_per_toxic or n[0] / n[1]) * n[1] / n[0])
+    share = clean_per_toxic or (labels == 0).sum() / max(1, (labels == 1).sum())
+    weight = np.where(labels == 1, 1.0, share * (labels == 1).sum() / max(1, (labels == 0).sum()))
     model["slope"], model["shift"] = map(float, _logistic(margins[:, None], labels, weight))
-    whole = np.array(whole)
     spread = np.maximum(whole.std(axis=0), 1e-6)
-    u = _logistic(whole / spread, labels, weight, settings.ridge, model["slope"] * margins + model["shift"])
+    u = _logistic(whole / spread, labels, weight, settings.ridge * len(labels), model["slope"] * margins + model["shift"])
     model["whole"], model["shift"] = u[:-1] / spread, model["shift"] + float(u[-1])
     return model
 
 
+def _margins(bags: Bags, weights: np.ndarray, bias: float) -> np.ndarray:
+    """Each document's largest sentence margin."""
+    out = np.full(len(bags.toxic), -np.inf)
+    np.maximum.at(out, bags.doc, bags.rows @ weights.astype(np.float32) + np.float32(bias))
+    return out
+
+
+def _evidence(scorer: Scorer, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    words = [words_of(t) for t in texts]
+    found = list(map(scorer.evidence, words, scorer.learn(words)))
+    return [r for r, _ in found], [w for _, w in found]
+
+
+def fit_texts(texts: list[str], toxic: np.ndarray, settings: Settings = Settings(), clean_per_toxic: float | None = None) -> dict:
+    """The model from a few labelled texts (1 toxic, 0 not) in this process; `clean_per_toxic`:
+    how many clean documents there are to a toxic one outside the sample."""
+    from collections import Counter
+
+    counts = Counter(), Counter()
+    for text, y in zip(texts, toxic):
+        counts[int(y)].update(pieces_of(text, settings))
+    n = [max(1, int((toxic == k).sum())) for k in (0, 1)]
+    rated = sorted(((-z_score(c, counts[0][w], n[1], n[0]), w) for w, c in counts[1].items() if c >= settings.least_count))
+    marked = [w for z, w in rated if -z > settings.least_z and counts[1][w] / n[1] > settings.lift * counts[0][w] / n[0]]
+    landmarks = choose_landmarks(marked or [w for _, w in rated[: settings.fallback]], settings)
+    scorer = Scorer(untrained(landmarks, settings))
+    rows, whole = [], []
+    for k in range(0, len(texts), 50):  # few texts at a time: their joined words take memory
+        r, w = _evidence(scorer, texts[k : k + 50])
+        rows, whole = rows + r, whole + w
+    bags = Bags.of([int(y) for y in toxic], rows, whole, len(landmarks))
+    return train(
+        landmarks, settings, lambda before, w, b: svm_sums(bags, before, w, b), lambda w, b: (bags.toxic, _margins(bags, w, b), bags.whole), clean_per_toxic)
+
+
 def held_out(doc_id):
     """crc32 of the id as text, mod 5, is 0."""
     return F.crc32(doc_id.cast("string")) % 5 == 0
 
 
-def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> dict | None:
-    """Fit on a bounded sample of the labelled documents that are not held out."""
+def _sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> tuple[DataFrame, dict] | None:
+    """(doc_id, toxic, text of the fitting sample, staged; labelled documents by class), None without both classes."""
     usable = labels.select("doc_id", "toxic").where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     counts = {r["toxic"]: r["n"] for r in usable.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     picked = None
@@ -417,15 +509,96 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
         .select("toxic", F.coalesce("text", F.lit("")).alias("text"), "doc_id")
         .dropDuplicates(["doc_id"])
     )
+    rows = stage(rows.repartition(SAMPLE_TASKS, "doc_id"), "toxic-sample")
     before = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    rows = (  # at most 2 x docs_per_class rows in the window
-        rows.withColumn("_before", F.coalesce(F.sum(F.length("text").cast("long")).over(before), F.lit(0)))
-        .where(F.col("_before") < settings.chars).drop("_before").orderBy("doc_id").collect()
-    )
-    toxic = np.array([r["toxic"] for r in rows])
-    if len(set(toxic.tolist())) < 2:
+    lengths = rows.select("toxic", "doc_id", F.length("text").cast("long").alias("n"))  # at most 2 x docs_per_class rows, without their texts
+    kept = lengths.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).where(F.col("before") < settings.chars)
+    classes = {r["toxic"]: r["n"] for r in kept.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(classes) < 2:
+        return None
+    return rows.join(F.broadcast(kept.select("doc_id")), "doc_id", "left_semi"), {"sample": classes, "all": counts}
+
+
+def _candidates(sample: DataFrame, n: dict, settings: Settings) -> list[str]:
+    """Pieces that tell the classes apart, best first: counted on Spark, only those above the thresholds come here."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            found = [(w, y) for y, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for w in pieces_of(t, settings)]
+            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in found], pa.string()), pa.array([y for _, y in found], pa.int64())], names=["piece", "toxic"])
+
+    counted = sample.select("toxic", "text").mapInArrow(run, "piece string, toxic bigint").groupBy("piece").agg(
+        F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")).where(F.col("t") >= settings.least_count)
+    rated = stage(counted.withColumn("z", z_score(F.col("t"), F.col("c"), n[1], n[0])), "toxic-pieces")
+    marked = rated.where((F.col("z") > settings.least_z) & (F.col("t") / n[1] > settings.lift * F.col("c") / n[0])).select("piece", "z").collect()
+    if not marked:
+        marked = rated.orderBy(F.desc("z"), "piece").limit(settings.fallback).select("piece", "z").collect()
+    return [r["piece"] for r in sorted(marked, key=lambda r: (-r["z"], r["piece"]))]
+
+
+def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> dict | None:
+    """Fit on a bounded sample of the labelled documents that are not held out.
+
+    Texts, words and evidence stay in Spark tables; the driver holds the
+    candidates above the thresholds, the landmarks, sums of the evidence (its
+    size is the landmarks' squared) and one vector for each sampled document.
+    """
+    found = _sample(docs, labels, settings)
+    if found is None:
         return None
-    return fit_texts([r["text"] for r in rows], toxic, settings, counts[0] / counts[1])
+    sample, n = found
+    landmarks = choose_landmarks(_candidates(sample, n["sample"], settings), settings)
+    size, bare = len(landmarks), untrained(landmarks, settings)
+
+    def told(batches):
+        import pyarrow as pa
+
+        scorer = Scorer(bare)
+        for b in batches:
+            for at in range(0, b.num_rows, 50):  # few texts at a time: their joined words take memory
+                part = b.slice(at, 50)
+                rows, whole = _evidence(scorer, part.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([r.tobytes() for r in rows], pa.binary()), pa.array([w.tobytes() for w in whole], pa.binary())], names=["toxic", "rows", "whole"])
+
+    evidence = stage(sample.select("toxic", "text", "doc_id").repartition(SAMPLE_TASKS, "doc_id").select(F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(
+        told, "toxic int, rows binary, whole binary"), "toxic-evidence")
+
+    def bags_of(b):
+        toxic, rows, whole = (c.to_pylist() for c in b.columns)
+        return Bags.of(toxic, [np.frombuffer(r, np.float32).reshape(-1, 2 * size) for r in rows], [np.frombuffer(w, np.float64) for w in whole], size)
+
+    def sums(before, weights, bias):
+        def run(batches):
+            import pyarrow as pa
+
+            total = None
+            for b in batches:
+                if b.num_rows:
+                    part = svm_sums(bags_of(b), before, weights, bias)
+                    total = part if total is None else total + part
+            if total is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+
+        total = 0
+        for r in evidence.mapInArrow(run, "sums binary").toLocalIterator():  # one row a task of the bounded sample
+            total = total + np.frombuffer(r["sums"], np.float64)
+        return total
+
+    def gather(weights, bias):
+        def run(batches):
+            import pyarrow as pa
+
+            for b in batches:
+                if b.num_rows:
+                    yield pa.RecordBatch.from_arrays([b.column(0), pa.array(_margins(bags_of(b), weights, bias)), b.column(2)], names=["toxic", "margin", "whole"])
+
+        rows = evidence.mapInArrow(run, "toxic int, margin double, whole binary").collect()  # one row for each document of the sample
+        return np.array([r["toxic"] for r in rows]), np.array([r["margin"] for r in rows]), np.array([np.frombuffer(r["whole"], np.float64) for r in rows])
+
+    return train(landmarks, settings, sums, gather, n["all"][0] / n["all"][1])
 
 
 # ------------------------------------------------------------------ scoring
