@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pytest
 
+from threadmill.llm import block_links as B
 from threadmill.llm import parity_join as J
 from threadmill.llm import shingles as S
 from tests.llm.cases import documents, odd_documents
@@ -88,7 +89,7 @@ def test_random_documents(spark, seed, monkeypatch):
 
 def test_a_group_larger_than_a_block(spark, monkeypatch):
     monkeypatch.setattr(J, "STAR_ROUNDS", 0)
-    monkeypatch.setattr(J, "BLOCK", 7)
+    monkeypatch.setattr(B, "BLOCK_ROWS", 7)
     rng = random.Random(11)
     rows = near_copies(rng, 80)
     assert result(documents(spark, rows)) == brute(rows)

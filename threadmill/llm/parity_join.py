@@ -19,7 +19,8 @@ Copies are one node: nodes are distinct sets. Groups that share a key are not
 expanded into pairs: their members are tested against one centre, connected
 components are built from the verified links, and only groups that are not
 inside one component by then have their members of different components
-tested, in blocks. So no link between different components is missed, and a
+tested, in blocks (`block_links`), of which only links that join components
+come back. So no link between different components is missed, and a
 group of near copies costs as much as its size.
 
 Defined results: NULL, empty and white texts have the empty set and are linked
@@ -38,6 +39,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from threadmill.llm.block_links import links_in_groups
 from threadmill.llm.common import attach_groups, connected_components, stage, table
 from threadmill.llm.shingles import mix, shingle_sets
 
@@ -50,8 +52,6 @@ FLUSH_KEYS = 1_000_000
 STAR_ROUNDS = 2
 #: Values of a hash of ids that is broadcast before texts are joined by id.
 ID_SLOTS = 1 << 18
-#: Members of a group that are compared with each other at a time.
-BLOCK = 1024
 
 
 def bands() -> list[int]:
@@ -257,9 +257,9 @@ def _filtered(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return sized.select("a", "b", "n_a", "s_a", "n_b", "s_b").mapInArrow(run, "a bigint, b bigint")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text: str) -> DataFrame:
-    """Of staged pairs of nodes, those whose sets are similar, with the sets rebuilt from the texts."""
-    wanted = stage(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "join-wanted")
+def _sets(wanted: DataFrame, docs: DataFrame, nodes: DataFrame, text: str) -> DataFrame:
+    """node, members (packed) of the `wanted` nodes, rebuilt from one text each."""
+    wanted = stage(wanted, "join-wanted")
     picked = stage(nodes.join(wanted, "node", "left_semi").where("first_doc is not null").select(F.col("first_doc").alias("doc_id")), "join-ids")
     sources = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(text).alias("_text"))
     # texts move only if the hash of their id is that of a picked one: at most ID_SLOTS values, broadcast
@@ -276,7 +276,12 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text: str) ->
             yield pa.RecordBatch.from_arrays(
                 [pa.array([fingerprint(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "members"])
 
-    sets = stage(texts.mapInArrow(run, "node bigint, members binary").join(wanted, "node", "left_semi").dropDuplicates(["node"]), "join-sets")
+    return stage(texts.mapInArrow(run, "node bigint, members binary").join(wanted, "node", "left_semi").dropDuplicates(["node"]), "join-sets")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text: str) -> DataFrame:
+    """Of staged pairs of nodes, those whose sets are similar."""
+    sets = _sets(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), docs, nodes, text)
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("m_a")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("members").alias("m_b")), "b").select("a", "b", "m_a", "m_b")
 
@@ -294,63 +299,26 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text: str) ->
     return both.mapInArrow(test, "a bigint, b bigint")
 
 
-def _cross_pairs(open_groups: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs of members of different components of a group that pass the sketch
-    test. Groups are compared in blocks: a member meets every block of its
-    group once, and a task holds two blocks."""
-    sizes = open_groups.groupBy("gid").agg(F.count(F.lit(1)).alias("size"))
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node", "gid"), blocks).cast("int")
-    dealt = (
-        open_groups.join(sizes, "gid").withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("gid", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "node", "comp")
-        .join(nodes.select("node", "n_shingles", "sketch"), "node")
-    )
-    width = max(1, int(open_groups.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    sorted_rows = dealt.repartition(width, "gid", "p", "q").sortWithinPartitions("gid", "p", "q").select("gid", "p", "q", "node", "comp", "n_shingles", "sketch")
-
-    def compare(rows):
-        rows.sort(key=lambda r: len(r[3]))
-        ids = np.array([r[0] for r in rows])
-        comp = np.array([r[1] for r in rows])
-        n = np.array([r[2] for r in rows])
-        width = np.array([len(r[3]) // 8 for r in rows])
-        for words in np.unique(width):  # the wider ones are folded to the narrower one of a pair
-            first = int(np.searchsorted(width, words))
-            s = np.concatenate([folded(np.frombuffer(r[3], np.uint64)[None], words) for r in rows[first:]])
-            for i in range(first, int(np.searchsorted(width, words, side="right"))):
-                fit = np.flatnonzero((comp[i + 1 :] != comp[i]) & (np.minimum(n[i], n[i + 1 :]) * WHOLE >= np.maximum(n[i], n[i + 1 :]) * PART)) + i + 1
-                if len(fit):
-                    for j in fit[near_enough(n[i], n[fit], s[i - first], s[fit - first])]:
-                        yield (min(ids[i], ids[j]), max(ids[i], ids[j]))
-
-    def run(batches):
-        import pyarrow as pa
-
-        found: set = set()
+class Sketches:
+    """Bit sketches and set sizes of some documents, as `block_links` asks for them."""
 
-        def batch():
-            out = pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
-            found.clear()
-            return out
+    def __init__(self, n: np.ndarray, packed: list[bytes]):
+        self.n, self.width = n, np.array([len(s) // 8 for s in packed])
+        self.row, self.by_width = np.zeros(len(n), np.int64), {}
+        for w in np.unique(self.width):
+            own = np.flatnonzero(self.width == w)
+            self.row[own] = np.arange(len(own))
+            self.by_width[int(w)] = np.frombuffer(b"".join([packed[i] for i in own]), np.uint64).reshape(len(own), w)
 
-        key, rows = None, []
-        for b in batches:
-            columns = [c.to_pylist() for c in b.columns]
-            for r in zip(*columns):
-                if r[:3] != key:
-                    if len(rows) > 1:
-                        found.update(compare(rows))
-                    key, rows = r[:3], []
-                rows.append(r[3:])
-            if len(found) > 100_000:
-                yield batch()
-        if len(rows) > 1:
-            found.update(compare(rows))
-        yield batch()
-
-    return sorted_rows.mapInArrow(run, "a bigint, b bigint").distinct()
+    def near(self, i: int, at: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(at), bool)
+        mine = self.by_width[int(self.width[i])][self.row[i]][None]
+        for w, held in self.by_width.items():  # the wider one of a pair is folded to the other's width
+            own = np.flatnonzero(self.width[at] == w)
+            if len(own):
+                words, j = min(w, mine.shape[1]), at[own]
+                out[own] = near_enough(self.n[i], self.n[j], folded(mine, words), folded(held[self.row[j]], words))
+        return out
 
 
 def components(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -379,22 +347,24 @@ def components(docs: DataFrame, text: str = "text") -> DataFrame:
             open_groups = stage(placed.join(parted, "gid", "left_semi"), "join-open")
             if open_groups.isEmpty():
                 break
-        if step < STAR_ROUNDS:
+        if step == STAR_ROUNDS:
+            # what is left meets in blocks, and only links that join components come back
+            more = stage(links_in_groups(open_groups.select("gid", "node", "comp"), nodes, lambda wanted: _sets(wanted, docs, nodes, text), Sketches, PART, WHOLE), "join-links")
+        else:
             if step:
                 centre = open_groups.groupBy("gid").agg(F.min_by(F.struct("node", "comp"), F.xxhash64("node", "gid", F.lit(step))).alias("c"))
                 met = open_groups.join(centre, "gid").where(F.col("comp") != F.col("c.comp")).select("node", F.col("c.node").alias("centre"))
             else:  # the member that a group is named after
                 met = groups.where("node <> gid").select("node", F.col("gid").alias("centre"))
             pairs = met.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-            pairs = _filtered(pairs, nodes)
-        else:
-            pairs = _cross_pairs(open_groups, nodes)
-        pairs = stage(pairs, "join-pairs")
-        if not pairs.isEmpty():
+            pairs = stage(_filtered(pairs, nodes), "join-pairs")
+            if pairs.isEmpty():
+                continue
             more = stage(_verified(pairs, docs, nodes, text), "join-links")
+        if not more.isEmpty():
             # what is known goes on as a star for each component
             known = [] if labels is None else [labels.where("node <> comp").select(F.col("node").alias("a"), F.col("comp").alias("b"))]
-            labels = connected_components(reduce(DataFrame.unionByName, known, more))
+            labels = stage(connected_components(reduce(DataFrame.unionByName, known, more)), "join-labels")
     placed = nodes.select("node", "first_doc", "copies")
     if labels is None:
         named = placed.withColumnRenamed("first_doc", "component_id")
