@@ -78,11 +78,19 @@ def attach_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, n_row
     return warm.unionByName(cold)
 
 
+def with_row_id(staged: DataFrame, name: str) -> DataFrame:
+    """Adds `name`: a hash of each staged row's file and place in it. It tells identical rows
+    apart and stays the same when a task is run again."""
+    return staged.withColumn(name, F.xxhash64("_metadata.file_path", "_metadata.row_index"))
+
+
 def numbered(rows: DataFrame, group: str, sizes: dict, order: list[str], name: str) -> DataFrame:
     """Adds `name`: gapless numbers from 0 within each `group` (a few values, of known `sizes`).
 
     Rows are numbered inside buckets of about NUMBER_ROWS rows and shifted by
     the running count of the buckets before, so no task sorts a whole group.
+    Rows that `order` doesn't tell apart share a bucket: where there may be many,
+    let it hold `with_row_id`.
     """
     buckets = F.lit(1)
     for k, n in sizes.items():

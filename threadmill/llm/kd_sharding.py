@@ -9,7 +9,8 @@ sees `nodes x BINS` sums, whatever the input.
 What is placed is a unit: all rows of one text, so copies share a shard. A
 text whose rows weigh more than 1/16 of a shard is dealt over as many units as
 it takes (fewer than 16 x shards texts can be that heavy, so that list is
-broadcast). Dimensions: language, source (as hashes: same value, same place)
+broadcast), by a hash of the row's place in the staged table, so identical rows
+part as well. Dimensions: language, source (as hashes: same value, same place)
 and length (logarithm); the unit's own hash breaks ties, so a dimension with
 one value for most rows still splits at the right weight.
 
@@ -26,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadmill.llm.common import numbered, stage
+from threadmill.llm.common import numbered, stage, with_row_id
 
 SHARDS = 40
 ROW_BYTES = 16  # fixed value: bytes that each row weighs besides its text
@@ -149,6 +150,7 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
             F.xxhash64(text).alias("key"), "lang", "source", F.col("n_chars").cast("bigint").alias("n_chars")),
         "shard-rows",
     )
+    rows = with_row_id(rows, "row_id")
     n_rows, total = rows.agg(F.count(F.lit(1)), F.sum("size")).first()
     if not n_rows:
         return rows.select("doc_id", "size", "text_crc32", F.lit(0).alias("shard"), F.lit(0).cast("bigint").alias("slot"))
@@ -156,7 +158,7 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     heavy = rows.groupBy("key").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > most)  # fewer than total / most keys
     parts = heavy.select("key", F.ceil(F.col("bytes") / most).alias("parts"))
     dealt = rows.join(F.broadcast(parts), "key", "left").withColumn(
-        "part", F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("doc_id"), F.col("parts"))).cast("int"))
+        "part", F.when(F.col("parts").isNull(), 0).otherwise(F.pmod("row_id", F.col("parts"))).cast("int"))
     units = stage(
         _coordinates(dealt.groupBy("key", "part").agg(
             F.sum("size").alias("weight"), F.min("lang").alias("lang"), F.min("source").alias("source"), F.max("n_chars").alias("n_chars"))
@@ -164,9 +166,9 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         "shard-units",
     )
     placed = units.select("key", "part", kd_tree(units, shards).alias("shard"))
-    out = dealt.join(placed, ["key", "part"]).select("doc_id", "size", "text_crc32", "shard")
+    out = dealt.join(placed, ["key", "part"]).select("doc_id", "size", "text_crc32", "row_id", "shard")
     sizes = {r["shard"]: r["n"] for r in out.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per shard
-    return numbered(out, "shard", sizes, ["doc_id", "text_crc32", "size"], "slot")
+    return numbered(out, "shard", sizes, ["doc_id", "text_crc32", "size", "row_id"], "slot").drop("row_id")
 
 
 def op10(spark, sf_dir) -> DataFrame:

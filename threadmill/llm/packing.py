@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadmill.llm.byte_bpe import _sliced, byte_chars, codec, read_vocabulary
-from threadmill.llm.common import numbered, stage, table, worker_state
+from threadmill.llm.common import numbered, stage, table, with_row_id, worker_state
 
 CAPACITY = 1024
 END_ID = 2
@@ -40,9 +40,28 @@ def encoder(vocabulary: bytes, pattern: str):
 
     A tokenizers file whose merges are in the order of their tokens' ids is
     byte-pair encoding by ranks, which the rank library does at three times
-    the speed; any other vocabulary goes to `byte_bpe.Codec`.
+    the speed; any other vocabulary goes to `byte_bpe.Codec`. A text that spells
+    one of the file's added tokens goes to the file's own tokenizer, which takes
+    them as tokens.
     """
     kept = worker_state("bpe")
+    added = [t["content"] for t in json.loads(vocabulary).get("added_tokens", [])] if vocabulary.lstrip()[:1] == b"{" else []
+    plain = _plain_encoder(kept, vocabulary, pattern)
+
+    def encode(text: str) -> bytes:
+        if not any(t in text for t in added):
+            return plain(text)
+        if ("file", len(vocabulary)) not in kept:
+            from tokenizers import Tokenizer
+
+            kept["file", len(vocabulary)] = Tokenizer.from_str(vocabulary.decode())
+        return array("I", kept["file", len(vocabulary)].encode(text, add_special_tokens=False).ids).tobytes()
+
+    return encode
+
+
+def _plain_encoder(kept: dict, vocabulary: bytes, pattern: str):
+    """Encoding of texts without added tokens."""
     key = ("ranks", len(vocabulary), zlib.crc32(vocabulary), pattern)
     if key not in kept:
         kept[key] = _rank_encoding(vocabulary, pattern)
@@ -204,7 +223,7 @@ def op8_rows(docs: DataFrame) -> DataFrame:
 
     cut_docs = pieces(docs, read_vocabulary(public_tokenizers.path("byte_bpe_50k.json")), public_tokenizers.PATTERN)
     rows = stage(cut_docs.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pieces")
-    return pack(rows, ["doc_id", "piece", "ids_crc32"])
+    return pack(with_row_id(rows, "row_id"), ["doc_id", "piece", "ids_crc32", "row_id"]).drop("row_id")
 
 
 def op8(spark, sf_dir) -> DataFrame:

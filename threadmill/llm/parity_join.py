@@ -163,6 +163,21 @@ def described(docs: DataFrame, text: str = "text") -> DataFrame:
         run, "doc_id bigint, node bigint, n_shingles bigint, sketch binary")
 
 
+def described_rows(docs: DataFrame, text: str = "text") -> DataFrame:
+    """row (all columns of a document in one struct), node, n_shingles."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text).alias("_text"))
+
+    def run(batches):
+        import pyarrow as pa
+
+        for b in _by_size(batches):
+            sets = shingle_sets(_texts(b.column(1)))
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([fingerprint(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())], names=["row", "node", "n_shingles"])
+
+    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, node bigint, n_shingles bigint")
+
+
 def _packed_keys(docs: DataFrame, buckets: int, text: str) -> DataFrame:
     """(bucket, keys, nodes, counts): packed join keys dealt by their upper half; of
     each run of `counts` keys, the lower halves and the node they belong to. Keys
@@ -321,8 +336,9 @@ class Sketches:
         return out
 
 
-def components(docs: DataFrame, text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
+def _linked(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Staged documents (doc_id, node, n_shingles, sketch), nodes (node, first_doc, copies, ...) and labels
+    (node, comp; None without links)."""
     info = stage(described(docs, text), "join-info")
     nodes = stage(
         info.where("n_shingles > 0").groupBy("node").agg(
@@ -365,6 +381,22 @@ def components(docs: DataFrame, text: str = "text") -> DataFrame:
             # what is known goes on as a star for each component
             known = [] if labels is None else [labels.where("node <> comp").select(F.col("node").alias("a"), F.col("comp").alias("b"))]
             labels = stage(connected_components(reduce(DataFrame.unionByName, known, more)), "join-labels")
+    return info, nodes, labels
+
+
+def representatives(docs: DataFrame, text: str = "text") -> DataFrame:
+    """node, first_doc: of each component of distinct sets, the one with the smallest doc_id (NULL
+    last; then the smallest node), and that doc_id."""
+    _, nodes, labels = _linked(docs, text)
+    placed = nodes.select("node", "first_doc")
+    placed = placed.withColumn("comp", F.col("node")) if labels is None else placed.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    least = F.min(F.struct(F.col("first_doc").isNull().alias("unnamed"), "first_doc", "node")).alias("least")
+    return placed.groupBy("comp").agg(least).select("least.node", "least.first_doc")
+
+
+def components(docs: DataFrame, text: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
+    info, nodes, labels = _linked(docs, text)
     placed = nodes.select("node", "first_doc", "copies")
     if labels is None:
         named = placed.withColumnRenamed("first_doc", "component_id")
