@@ -38,6 +38,38 @@ def test_a_hot_text_is_dealt_over_shards(spark):
     assert len(sizes) == 8 and all(abs(s - mean) < 0.1 * mean for s in sizes.values())
 
 
+def test_half_of_the_rows_alike(spark):
+    df = documents(spark, [(None, "h" * 60)] * 2000 + [(i, "x" * (20 + i % 80)) for i in range(2000)])
+    rows = K.shard(df, 40).collect()
+    sizes = check(rows, 4000)
+    mean = sum(sizes.values()) / 40
+    assert len(sizes) == 40 and all(abs(s - mean) < 0.1 * mean for s in sizes.values())
+
+
+def test_thresholds_against_a_sorted_list(spark):
+    """Each cut of the tree is a weighted median along the node's widest dimension."""
+    df = documents(spark, [(i, "w" * (i * 7919 % 900)) for i in range(600)])
+    units = K._coordinates(df.selectExpr("xxhash64(text) key", "0 part", "cast(length(text) + 16 as bigint) weight", "lang", "source", "n_chars"))
+    rows = units.withColumn("leaf", K.kd_tree(units, 8)).collect()
+
+    def split(some, leaves):
+        if leaves == 1:
+            assert len({r.leaf for r in some}) == 1
+            return
+        widths = {d: max(r[d] for r in rows) - min(r[d] for r in rows) or 1 for d in K.DIMENSIONS}
+        dim = max(K.DIMENSIONS, key=lambda d: (max(r[d] for r in some) - min(r[d] for r in some)) / widths[d])
+        some = sorted(some, key=lambda r: r[dim])
+        first = min(r.leaf for r in some)
+        left = [r for r in some if r.leaf < first + leaves // 2]
+        assert {r[dim] for r in left} == {r[dim] for r in some[: len(left)]}  # a cut along that dimension
+        goal, weight = sum(r.weight for r in some) * (leaves // 2) / leaves, sum(r.weight for r in left)
+        assert abs(weight - goal) <= max(r.weight for r in some) * 2
+        split(left, leaves // 2)
+        split(some[len(left) :], leaves - leaves // 2)
+
+    split(rows, 8)
+
+
 def test_defined_results(spark):
     odd = odd_documents(spark)
     rows = K.shard(odd, 3).collect()

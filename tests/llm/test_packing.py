@@ -57,7 +57,6 @@ def check(docs, out):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     want = Counter()
     for d in docs:
         ids = t.encode(d.text or "", add_special_tokens=False).ids + [2]
@@ -110,3 +109,16 @@ def test_both_libraries_give_the_same_ids():
     texts += [" " * 60000 + "x", "a" * 5000, "ing" * 700, "<|endoftext|>"]
     for t in texts:
         assert fast(t) == other.encode(t), t
+
+
+def test_added_tokens_are_tokens(spark):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y é", "<|endof text|>", "plain", None]
+    df = documents(spark, list(enumerate(texts)))
+    check(df.collect(), packing.op8_rows(df).collect())
+
+
+def test_many_identical_rows(spark):
+    df = documents(spark, [(None, "same text")] * 12000 + [(i, "word " * (i % 9)) for i in range(300)])
+    rows = packing.op8_rows(df).collect()
+    check(df.collect(), rows)
+    assert len(rows) == 12300

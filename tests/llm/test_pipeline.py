@@ -2,6 +2,9 @@
 
 import re
 
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline as C
 from threadmill.llm import toxicity
 from tests.llm.cases import documents, odd_documents
@@ -77,3 +80,37 @@ def test_repeated_rows_leave_one(spark):
     rows = documents(spark, [(1, "same text here"), (1, "same text here"), (2, "same  text here"), (3, "other"), (None, "alone"), (None, "alone")])
     got = sorted((r.doc_id or 0, r.text) for r in C.drop_copies(spark, rows, None).collect())
     assert got == [(0, "alone"), (2, "same  text here"), (3, "other")]
+
+
+A = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen"
+B = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi"
+
+
+@pytest.mark.parametrize(("rows", "left"), [
+    ([(5, A), (9, A + " more"), (5, B), (3, B + " more")], {(5, A), (3, B + " more")}),  # ids shared by different texts
+    ([(None, A), (None, A + " more")], 1),
+    ([(None, A), (7, A + " more"), (None, B)], {(7, A + " more"), (None, B)}),
+    ([(4, A), (4, A + " more"), (4, A), (2, None), (2, ""), (2, " ")], 4),
+])
+def test_near_copies_are_decided_per_row(spark, rows, left):
+    got = [(r.doc_id, r.text) for r in C.drop_near_copies(spark, documents(spark, rows), None).collect()]
+    assert len(got) == left if isinstance(left, int) else set(got) == left and len(got) == len(left)
+
+
+CLASHES = ["_sha", "_points", "_n", "kept_id", "kept_sha", "sha", "points", "given", "row", "node", "kept_node", "first_doc", "n_shingles", "score", "_text", "keep_id"]
+
+
+def test_extra_columns_of_any_name(spark, tmp_path):
+    df = odd_documents(spark).withColumns({c: F.lit(c) for c in CLASHES})
+    labels = spark.createDataFrame([(4, 1), (9, 0), (10, 0), (8, 0), (2, 1), (1, None), (None, 1)], "doc_id long, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    for step in (C.drop_toxic, C.drop_copies, C.drop_near_copies, C.redact_pii):
+        out = step(spark, df, str(tmp_path)).collect()
+        assert out and all(r[c] == c for r in out for c in CLASHES) and list(out[0].asDict()) == df.columns
+
+
+def test_toxicity_stage_on_empty_tables_and_without_labels(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    odd = odd_documents(spark)
+    assert C.drop_toxic(spark, odd, str(tmp_path)).count() == odd.count()
+    assert C.drop_toxic(spark, documents(spark, []), str(tmp_path)).count() == 0
