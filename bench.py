@@ -31,6 +31,10 @@ HEADLINE = [
 ]
 
 
+#: Queries over a file of one row group that take a number of tasks from their caller.
+DEALT = {"doc_word_count"}
+
+
 def _driver_memory() -> str:
     """Half of physical memory, at most 16g (local mode: the driver is the executor)."""
     try:
@@ -57,7 +61,7 @@ def main() -> None:
 
         def run():
             t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+            fn(spark, sf_dir, **({"tasks": int(cpus)} if name in DEALT else {})).write.format("noop").mode("overwrite").save()
             return time.perf_counter() - t0
 
         run()  # warm-up: JIT, file listing, Python workers

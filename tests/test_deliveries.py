@@ -231,3 +231,25 @@ def test_strict_readers_raise(spark):
         f.write('id,v\n1,"two\nlines"\n2,"say ""hi"""\n')
     got = files.read_by_suffix(spark, d + "/good.csv", _schema(spark, "id int, v string")).collect()
     assert [tuple(r) for r in got] == [(1, "two\nlines"), (2, 'say "hi"')]
+
+
+# ------------------------------------------------------------------ sums, page versions, first loads
+
+
+def test_sums_are_exact_or_null_never_short(spark):
+    from threadmill.operators import wordcount
+
+    rows = [(1, 0.1)] * 10 + [(2, 1e30), (2, 1.0), (3, -2.5), (3, None), (4, float("nan")), (5, 123456.7891), (5, -123456.7891)]
+    facts = spark.createDataFrame(rows, "k long, x double").withColumn("d", F.col("x").try_cast("decimal(20,4)"))
+    dims = spark.createDataFrame([(k, f"w{k}") for k in range(1, 6)], "k long, t string")
+    got = {r.word: r for r in wordcount.keyword_stats(facts, dims, "k", "t", {"x": "x", "d": "d"}).collect()}
+    assert {w: r.sum_x for w, r in got.items()} == {"w1": 1.0, "w2": None, "w3": -2.5, "w4": None, "w5": 0.0}
+    assert got["w1"].sum_d == 1.0 and got["w3"].sum_d == -2.5 and got["w5"].sum_d == 0.0 and got["w3"].n_rows == 2
+    assert got["w2"].avg_x is None and got["w2"].n_rows == 2
+
+
+def test_the_first_load_from_memory_reports(spark):
+    root = _dir() + "/t"
+    rule = lambda prod, stg: upsert.upsert_replace(prod, stg, "id")
+    out = tables.upsert_partitioned(spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string"), root, "id", 10, rule)
+    assert out == {"buckets": 1, "rows_before": 0, "rows_after": 2, "delta": 2}

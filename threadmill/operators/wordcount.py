@@ -15,8 +15,11 @@ Two shapes, chosen by where the words live:
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threadmill.functions.text import _c, explode_rows, tokens
 
@@ -91,9 +94,13 @@ def text_word_count(df: DataFrame, text: str, out: str = "word_count", lower_cas
     return df.withColumn(out, count_map(tokens(text, lower_case)))
 
 
-def text_word_rows(df: DataFrame, key, text: str, lower_case: bool = False) -> DataFrame:
+def text_word_rows(df: DataFrame, key, text: str, lower_case: bool = False, tasks: int | None = None) -> DataFrame:
     """In-row counts as `(key..., word, n)` rows: the map of each row, exploded.
-    No shuffle: every row is counted where it was read."""
+    No shuffle: every row is counted where it was read, unless the caller names a
+    number of `tasks` to deal the texts over (for files of few, large row groups)."""
+    df = df.select(*_keys(key), text)
+    if tasks:
+        df = df.repartition(tasks)
     return explode_rows(df, _keys(key), count_map(tokens(text, lower_case)), ["word", "n"])
 
 
@@ -132,6 +139,44 @@ def word_count_map(df: DataFrame, key, text: str, lower_case: bool = False) -> D
 # --------------------------------------------------------------------------- Q1 / Q2
 
 
+#: Digits behind the point that one piece of an exact sum holds: sums of 10**13 rows stay within 64 bits.
+PIECE_DIGITS = 5
+
+
+def _exact_pieces(facts: DataFrame, column: str, scale: int) -> list[Column]:
+    """What to sum so that a column's sum is exact to `scale` decimals, in 64-bit integers: how many values
+    can't be held, the whole parts, and the decimals in pieces of PIECE_DIGITS digits."""
+    v = F.col(column)
+    if not isinstance(facts.schema[column].dataType, (T.DoubleType, T.FloatType)):
+        v = v.try_cast(f"decimal(38,{scale})")
+        lost = F.col(column).isNotNull() & v.isNull()
+        whole = F.floor(v)
+        part = ((v - whole) * F.lit(10**scale)).cast("bigint")
+    else:
+        v = v.cast("double")
+        whole = F.floor(v)
+        lost = F.isnan(v) | (F.abs(v) >= F.lit(2.0**62))
+        part = F.round((v - F.floor(v).cast("double")) * F.lit(10.0**scale)).cast("bigint")
+    held = lambda x: F.when(~lost, x)
+    out = [F.when(lost, 1).otherwise(0).cast("bigint"), held(whole.try_cast("bigint"))]
+    for k in range(0, scale, PIECE_DIGITS):
+        digits = min(PIECE_DIGITS, scale - k)
+        below = scale - k - digits
+        piece = F.floor(part / F.lit(10**below)) if below else part
+        out.append(held((piece % F.lit(10**digits) if k else piece).cast("bigint")))
+    return out
+
+
+def _exact_total(sums: list[Column], scale: int) -> Column:
+    """The sum of the pieces as a double; NULL where a value or a sum can't be held, or there is no value."""
+    exact = f"decimal(38,{scale})"
+    total = sums[1].cast(exact)
+    for k, s in zip(range(0, scale, PIECE_DIGITS), sums[2:]):
+        digits = min(scale, k + PIECE_DIGITS)
+        total = total + (s.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-digits))).cast(exact)
+    return F.when(sums[0] == 0, total.cast("double"))
+
+
 def keyword_stats(facts: DataFrame, dims: DataFrame, key: str, title: str, measures: dict[str, str],
                   lower_case: bool = True, scale: int = 10) -> DataFrame:
     """Q1: do words in a title go with larger measures?
@@ -142,25 +187,25 @@ def keyword_stats(facts: DataFrame, dims: DataFrame, key: str, title: str, measu
     fact rows to distinct keys); titles are tokenised once per key; then sums
     and counts are re-aggregated per word. Averages are sum / count.
 
-    ``measures`` maps output name -> fact column. Sums are decimals with
-    ``scale`` decimal places (38 digits in all), so they are exact and do not
-    depend on the order of summation; they are converted to double once at the
-    end. A sum that does not fit is NULL.
+    ``measures`` maps output name -> fact column. Each value counts to ``scale``
+    decimal places; whole parts and decimals are summed as 64-bit integers, so
+    sums are exact and do not depend on the order of summation; they are
+    converted to double once at the end. A sum is NULL, never short, where a
+    value (NaN, 2**62 and beyond) or the sum itself can't be held. NULLs are
+    left out of sums and count as rows.
     """
-    exact = f"decimal(38,{scale})"
+    pieces = {name: _exact_pieces(facts, c, scale) for name, c in measures.items()}
     per_key = facts.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.try_sum(F.col(c).try_cast(exact)).alias(f"_s_{name}") for name, c in measures.items()],
-    )
+        F.count(F.lit(1)).alias("_n"), *[F.try_sum(p).alias(f"_{k}_{name}") for name, ps in pieces.items() for k, p in enumerate(ps)])
     words = explode_rows(dims, [F.col(key)], F.array_distinct(tokens(title, lower_case)), "word")
     joined = per_key.join(words, key, "inner")
     agg = joined.groupBy("word").agg(
         F.sum("_n").alias("n_rows"),
-        *[F.try_sum(f"_s_{name}").alias(f"_t_{name}") for name in measures],
+        *[F.try_sum(f"_{k}_{name}").alias(f"_{k}_{name}") for name, ps in pieces.items() for k in range(len(ps))],
     )
     out = [F.col("word"), F.col("n_rows")]
-    for name in measures:
-        total = F.col(f"_t_{name}").cast("double")
+    for name, ps in pieces.items():
+        total = _exact_total([F.col(f"_{k}_{name}") for k in range(len(ps))], scale)
         out.append(total.alias(f"sum_{name}"))
         out.append((total / F.col("n_rows")).alias(f"avg_{name}"))
     return agg.select(*out)

@@ -59,9 +59,9 @@ def q_word_count_map(spark, sf):
     )
 
 
-def q_doc_word_count(spark, sf):
+def q_doc_word_count(spark, sf, tasks=None):
     docs = _wide(spark, sf, "documents", "doc_id", "text")
-    return wordcount.text_word_rows(docs, "doc_id", "text")
+    return wordcount.text_word_rows(docs, "doc_id", "text", tasks=tasks)
 
 
 def q_thread_word_count(spark, sf):
@@ -125,10 +125,17 @@ def q_newest_merge(spark, sf):
     for kind in EVENT_TYPES:
         rows = events.where(F.col("event_type") == kind if kind else ~F.coalesce(F.col("event_type").isin(EVENT_TYPES[:-1]), F.lit(False)))
         batch = dedupe.keep_last(rows, "user_id", version)
-        table = batch if table is None else upsert.upsert_newest(table, batch, "user_id", version)
+        table = _written(batch if table is None else upsert.upsert_newest(table, batch, "user_id", version), "newest")
     return table
 
 
+def _written(df, name):
+    """A written table in the shared folder, as each merge leaves one: the next plan starts from it."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def q_file_ledger(spark, sf):
     """The pages as landing files; those of plain http were consumed by an
     earlier run, and each page lies in the folder of its host under a second name too."""

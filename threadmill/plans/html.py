@@ -167,12 +167,26 @@ LINK_SCHEMA = T.StructType(
 )
 
 
+class _Hrefs(HTMLParser):
+    """The hrefs of a page's links as their start tags come by; no tree."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.found: list[str] = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "a":
+            own = dict(attrs)
+            if "href" in own:
+                self.found.append(own["href"] or "")
+
+
 def _links(rec):
-    root = parse(rec["html"])
-    return [
-        {"page_id": rec["page_id"], "pos": i, "href": a.attrs["href"]}
-        for i, a in enumerate(n for n in root.find_all("a") if "href" in n.attrs)
-    ]
+    p = _Hrefs()
+    if rec["html"]:
+        p.feed(rec["html"])
+        p.close()
+    return [{"page_id": rec["page_id"], "pos": i, "href": href} for i, href in enumerate(p.found)]
 
 
 def links(pages: DataFrame) -> DataFrame:
@@ -308,8 +322,10 @@ def thread_comments(pages: DataFrame, overlays: DataFrame | None = None) -> Data
     `overlays` (H3) holds the reaction overlays that were opened: the thread
     page's `url`, the comment's `pos` on it and the overlay's `html`. A comment
     without one has no reactions (0); of several for one comment, the largest
-    counts stand."""
-    raw = _run(pages, _comments, COMMENT_RAW).select(
+    counts stand.
+
+    A page stored twice (page_id and url) gives its comments once."""
+    raw = _run(pages, _comments, COMMENT_RAW).dropDuplicates(["page_id", "url", "pos"]).select(
         "*",
         thread_id_from_url("url").alias("thread_id"),
         _page_no("url").alias("page_no"),

@@ -232,19 +232,32 @@ def upsert_partitioned(stg: DataFrame, root: str, keys, width: int, merge) -> di
     if not touched:
         return {"buckets": 0, "rows_before": 0, "rows_after": 0, "delta": 0}
     before, after = Observation("rows_before"), Observation("rows_after")
-    prod = _stored(spark, root)
-    if prod is None:
+    stored = _stored(spark, root)
+    if stored is None:
         prod = spark.createDataFrame([], staged.schema)
     else:
-        prod = prod.where(F.col(BUCKET).isin(touched))  # partition pruning
-    prod = prod.observe(before, F.count(F.lit(1)).alias("n"))
+        prod = stored.where(F.col(BUCKET).isin(touched))  # partition pruning
+    first = stored is None
+    if not first:
+        prod = prod.observe(before, F.count(F.lit(1)).alias("n"))
     merged = merge(prod, staged).observe(after, F.count(F.lit(1)).alias("n"))
     out = _clustered(merged, ks)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET).parquet(root))
-    n_before = int(before.get.get("n", 0) or 0)
-    n_after = int(after.get.get("n", 0) or 0)
-    return {"buckets": len(touched), "rows_before": n_before, "rows_after": n_after, "delta": n_after - n_before}
+    n_before = 0 if first else _observed(before)
+    n_after = _observed(after)
+    if n_after is None:  # the plan was folded to a constant before it ran: count the written rows
+        n_after = spark.read.parquet(root).where(F.col(BUCKET).isin(touched)).count()
+    delta = None if n_before is None else n_after - n_before
+    return {"buckets": len(touched), "rows_before": n_before, "rows_after": n_after, "delta": delta}
+
+
+def _observed(seen) -> int | None:
+    """An observed count, None if the committed write did not report it: a missing report fails no load."""
+    try:
+        return int(seen.get["n"])
+    except Exception:  # the kinds of errors differ between Spark's frontends
+        return None
 
 
 def append_new_partitioned(rows: DataFrame, root: str, keys, width: int) -> int:
