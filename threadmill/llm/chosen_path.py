@@ -52,7 +52,7 @@ PART, WHOLE = 85, 100
 #: Minwise tokens of a sketch, trees, children of a large node, levels below the roots.
 SKETCH, TREES, BRANCHES, LEVELS = 64, 8, 2, 4
 #: Documents of a node that is compared without further branching.
-SMALL = 64
+SMALL = 512
 #: Values of a hash of ids that is broadcast before texts are joined by id.
 ID_SLOTS = 1 << 18
 #: Bytes of text that a task turns into sets at a time.
