@@ -46,6 +46,8 @@ SENTENCE_ENDS = ".!?\n"
 CACHE = 300_000
 #: Tasks that work out the evidence of the fitting sample.
 SAMPLE_TASKS = 32
+#: Tasks that add up the evidence in a Newton step: each hands its sums, some MB, to the driver.
+SUM_TASKS = 6
 START = "\x02"  # stands before each word, so that its beginning takes part in the kernel
 
 
@@ -153,7 +155,7 @@ class Kernel:
             v = ((v + u) | (v - u)) & full
         return width - np.bitwise_count(v) >= self.s.order
 
-    def features(self, words: list[str], block: int = 4000) -> list[np.ndarray | None]:
+    def features(self, words: list[str], block: int = 1000) -> list[np.ndarray | None]:
         """For each word its kernels with the landmarks, None where all are small."""
         w, step = self.s.width, self.s.width // 2
         marked = [START + x for x in words]
@@ -398,7 +400,7 @@ def _targets(bags: Bags, before: tuple[np.ndarray, float] | None) -> np.ndarray:
 
 def svm_sums(bags: Bags, before: tuple[np.ndarray, float] | None, weights: np.ndarray, bias: float) -> np.ndarray:
     """For the toxic and the other rows, packed: how many there are, their squared hinge
-    losses, and over those within the margin the sums of z and of z z' (z: a row and 1)."""
+    losses, and over those within the margin the sums of z and of z z' (z: a row and 1; upper triangle)."""
     positive = _targets(bags, before)
     margin = bags.rows @ weights.astype(np.float32) + np.float32(bias)
     out = []
@@ -406,7 +408,7 @@ def svm_sums(bags: Bags, before: tuple[np.ndarray, float] | None, weights: np.nd
         slack = 1 - sign * margin[side].astype(np.float64)
         z = bags.rows[side][slack > 0]
         z = np.hstack([z, np.ones((len(z), 1), np.float32)])
-        out += [[side.sum()], [(np.maximum(slack, 0) ** 2).sum()], z.sum(axis=0, dtype=np.float64), (z.T @ z).astype(np.float64).ravel()]
+        out += [[side.sum()], [(np.maximum(slack, 0) ** 2).sum()], z.sum(axis=0, dtype=np.float64), (z.T @ z).astype(np.float64)[np.triu_indices(z.shape[1])]]
     return np.concatenate(out)
 
 
@@ -425,6 +427,7 @@ def train(landmarks: list[str], settings: Settings, sums, gather, clean_per_toxi
     lift = np.zeros((2 * n + 1, 2 * n + 1))
     lift[:-1, :-1], lift[-1, -1] = once, 1
     plain = np.append(np.full(2 * n, 1e-2), 1e-6)
+    above = np.triu_indices(2 * n + 1)
     before, v = None, np.zeros(2 * n + 1)
     for _ in range(settings.rounds):
         loss, tried = np.inf, v
@@ -435,7 +438,10 @@ def train(landmarks: list[str], settings: Settings, sums, gather, clean_per_toxi
                 share = settings.svm_c / max(1, part[0]) / 2  # both classes weigh the same
                 now += share * part[1]
                 g += 2 * share * sign * lift @ part[2 : 2 * n + 3]
-                h += 2 * share * lift @ part[2 * n + 3 :].reshape(2 * n + 1, -1) @ lift
+                square = np.zeros((2 * n + 1, 2 * n + 1))
+                square[above] = part[2 * n + 3 :]
+                square.T[above] = part[2 * n + 3 :]
+                h += 2 * share * lift @ square @ lift
             if now > loss + 1e-9:  # too far: halfway back
                 v = (v + tried) / 2
                 continue
@@ -583,7 +589,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
                 yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
 
         total = 0
-        for r in evidence.mapInArrow(run, "sums binary").toLocalIterator():  # one row a task of the bounded sample
+        for r in evidence.coalesce(SUM_TASKS).mapInArrow(run, "sums binary").collect():
             total = total + np.frombuffer(r["sums"], np.float64)
         return total
 
