@@ -133,3 +133,21 @@ def test_training_reads_whole_texts(spark):
     assert any(w in "moron" for w in model["landmarks"])
     score = T.Scorer(model).scores([rows[1][1], rows[2][1]])
     assert score[0] > 0.5 > score[1]
+
+
+def test_near_copies_count_once():
+    rng = np.random.default_rng(3)
+    plain = ["".join(rng.choice(list("abcdefghiklmnoprstu"), 7)) for _ in range(400)]
+    text = lambda: list(rng.choice(plain, 60))
+    clean = [" ".join(text()) for _ in range(80)]
+    copied = text() + ["moron", "quixotry"]
+    copies = []
+    for i in range(40):  # each differs by a word
+        words = list(copied)
+        words[i] = "other"
+        copies.append(" ".join(words))
+    toxic = copies + [" ".join(text() + ["moron"]) for _ in range(40)]
+    model = T.fit_texts(clean + toxic, np.array([0] * 80 + [1] * 80))
+    assert "moron" in model["landmarks"]
+    assert not any(w.startswith("quix") for w in model["landmarks"])
+    assert T.sketch([]) == T.sketch([]) and T.sketch(copied) >= 0

@@ -22,7 +22,10 @@ it did worse in cross-validation on the fitting sample.)
 Fitted on a bounded sample (`Settings.docs_per_class` labelled documents of
 each class, whole texts until `Settings.chars` code points of a class are
 passed); scoring reads whole texts. Landmarks are taken until every word of
-the sample that tells the classes apart has one.
+the sample that tells the classes apart has one; near copies (texts with the
+same smallest shingle hash) count once there, so the plain words of a toxic
+document that was often copied are no landmarks; they are only looked at if
+it holds no other.
 Labels, language, source and ids are never inputs of a score.
 
 Defined results: NULL and empty texts get the score of a sentence without any
@@ -35,10 +38,12 @@ empty table gives no rows.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from uuid import uuid4
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from threadmill.llm.common import stage, table, worker_state
 
@@ -48,6 +53,8 @@ CACHE = 300_000
 SAMPLE_TASKS = 32
 #: Tasks that add up the evidence in a Newton step: each hands its sums, some MB, to the driver.
 SUM_TASKS = 6
+#: Characters of texts, or bytes of evidence, that are worked on at a time (a longer text alone).
+SAMPLE_BLOCK, SCORE_BLOCK, EVIDENCE_BLOCK = 200_000, 1_000_000, 8_000_000
 START = "\x02"  # stands before each word, so that its beginning takes part in the kernel
 
 
@@ -334,12 +341,22 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
     return v
 
 
-def pieces_of(text: str, settings: Settings) -> set[str]:
-    """What a text offers as landmarks: its words and their beginnings."""
-    own = {core(w) for w in words_of(text)}
+def pieces_of(words: list[str], settings: Settings) -> set[str]:
+    """What a text of these words offers as landmarks: its words and their beginnings."""
+    own = {core(w) for w in words}
     return {w for w in own | {w[:k] for w in own for k in settings.stems if len(w) > k} if len(w) >= settings.order}
 
 
+def sketch(words: list[str]) -> int:
+    """The smallest hash of a text's 5-word shingles: near copies mostly share it, other texts hardly ever."""
+    return min(xxh64_intdigest(" ".join(words[i : i + 5]).encode("utf-8", "replace")) for i in range(max(1, len(words) - 4))) >> 1
+
+
+def _offers(text: str, settings: Settings) -> tuple[int, set[str]]:
+    words = words_of(text)
+    return sketch(words), pieces_of(words, settings)
+
+
 def z_score(toxic, clean, n_toxic: int, n_clean: int):
     """How far the rates of a piece in the two classes lie apart, in standard errors (numbers or columns)."""
     mean = (toxic + clean) / (n_toxic + n_clean)
@@ -469,6 +486,30 @@ def _margins(bags: Bags, weights: np.ndarray, bias: float) -> np.ndarray:
     return out
 
 
+def _blocks(batch, column: int, most: int):
+    """Slices of an Arrow batch with at most `most` characters or bytes in a column, or one row."""
+    import pyarrow.compute as pc
+
+    values = batch.column(column)
+    sizes = (pc.binary_length(values) if str(values.type).endswith("binary") else pc.utf8_length(values)).fill_null(0).to_pylist()
+    first = size = 0
+    for i, n in enumerate(sizes):
+        if i > first and size + n > most:
+            yield batch.slice(first, i - first)
+            first, size = i, 0
+        size += n
+    if first < batch.num_rows:
+        yield batch.slice(first)
+
+
+def _worker_scorer(token: str, model: dict) -> Scorer:
+    """The worker's scorer of this model: its kernels serve all tasks that the worker runs."""
+    state = worker_state("toxicity")
+    if state.get("toxicity", (None,))[0] != token:
+        state["toxicity"] = (token, Scorer(model))
+    return state["toxicity"][1]
+
+
 def _evidence(scorer: Scorer, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
     words = [words_of(t) for t in texts]
     found = list(map(scorer.evidence, words, scorer.learn(words)))
@@ -480,13 +521,25 @@ def fit_texts(texts: list[str], toxic: np.ndarray, settings: Settings = Settings
     how many clean documents there are to a toxic one outside the sample."""
     from collections import Counter
 
-    counts = Counter(), Counter()
-    for text, y in zip(texts, toxic):
-        counts[int(y)].update(pieces_of(text, settings))
+    told = [(int(y), *_offers(text, settings)) for text, y in zip(texts, toxic)]
     n = [max(1, int((toxic == k).sum())) for k in (0, 1)]
-    rated = sorted(((-z_score(c, counts[0][w], n[1], n[0]), w) for w, c in counts[1].items() if c >= settings.least_count))
-    marked = [w for z, w in rated if -z > settings.least_z and counts[1][w] / n[1] > settings.lift * counts[0][w] / n[0]]
-    landmarks = choose_landmarks(marked or [w for _, w in rated[: settings.fallback]], settings)
+    once, docs = (Counter(), Counter()), (Counter(), Counter())
+    for w, _, y in {(w, copy, y) for y, copy, pieces in told for w in pieces}:
+        once[y][w] += 1
+    for y, _, pieces in told:
+        docs[y].update(pieces)
+
+    def rated(toxic, clean):
+        found = sorted((-z_score(c, clean[w], n[1], n[0]), w) for w, c in toxic.items() if c >= settings.least_count)
+        return [w for z, w in found if -z > settings.least_z and toxic[w] / n[1] > settings.lift * clean[w] / n[0]], [w for _, w in found]
+
+    marked, _ = rated(once[1], once[0])
+    uncovered = Counter()
+    for y, _, pieces in told:
+        if y and pieces.isdisjoint(marked):
+            uncovered.update(pieces)
+    ranked = marked + rated(uncovered, docs[0])[0] or rated(docs[1], docs[0])[1][: settings.fallback]
+    landmarks = choose_landmarks(ranked, settings)
     scorer = Scorer(untrained(landmarks, settings))
     rows, whole = [], []
     for k in range(0, len(texts), 50):  # few texts at a time: their joined words take memory
@@ -526,22 +579,43 @@ def _sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> tuple[Dat
 
 
 def _candidates(sample: DataFrame, n: dict, settings: Settings) -> list[str]:
-    """Pieces that tell the classes apart, best first: counted on Spark, only those above the thresholds come here."""
+    """Pieces that tell the classes apart, best first: counted on Spark, only those above the thresholds come here.
 
-    def run(batches):
-        import pyarrow as pa
+    Near copies count once at first: else the plain words of a toxic document
+    that was often copied would tell the classes apart. Toxic documents in which
+    that finds no piece then offer theirs, each counted.
+    """
 
-        for b in batches:
-            found = [(w, y) for y, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for w in pieces_of(t, settings)]
-            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in found], pa.string()), pa.array([y for _, y in found], pa.int64())], names=["piece", "toxic"])
+    def offers(covered):
+        def run(batches):
+            import pyarrow as pa
 
-    counted = sample.select("toxic", "text").mapInArrow(run, "piece string, toxic bigint").groupBy("piece").agg(
-        F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")).where(F.col("t") >= settings.least_count)
-    rated = stage(counted.withColumn("z", z_score(F.col("t"), F.col("c"), n[1], n[0])), "toxic-pieces")
-    marked = rated.where((F.col("z") > settings.least_z) & (F.col("t") / n[1] > settings.lift * F.col("c") / n[0])).select("piece", "z").collect()
-    if not marked:
-        marked = rated.orderBy(F.desc("z"), "piece").limit(settings.fallback).select("piece", "z").collect()
-    return [r["piece"] for r in sorted(marked, key=lambda r: (-r["z"], r["piece"]))]
+            for b in batches:
+                told = [(y, *_offers(t or "", settings)) for y, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+                found = [(w, copy, y) for y, copy, pieces in told if covered is None or y and pieces.isdisjoint(covered) for w in pieces]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([w for w, _, _ in found], pa.string()), pa.array([c for _, c, _ in found], pa.int64()), pa.array([y for _, _, y in found], pa.int64())],
+                    names=["piece", "copies", "toxic"])
+
+        return sample.select("toxic", "text").mapInArrow(run, "piece string, copies bigint, toxic bigint")
+
+    def marked(rows, t, c):
+        z = z_score(F.col(t), F.col(c), n[1], n[0])
+        found = rows.where((F.col(t) >= settings.least_count) & (z > settings.least_z) & (F.col(t) / n[1] > settings.lift * F.col(c) / n[0]))
+        return [r["piece"] for r in sorted(found.select("piece", z.alias("z")).collect(), key=lambda r: (-r["z"], r["piece"]))]
+
+    groups = offers(None).groupBy("piece", "copies", "toxic").agg(F.count(F.lit(1)).alias("n"))
+    counted = groups.groupBy("piece").agg(
+        F.sum("toxic").alias("t_once"), F.sum(1 - F.col("toxic")).alias("c_once"),
+        F.sum(F.col("toxic") * F.col("n")).alias("t"), F.sum((1 - F.col("toxic")) * F.col("n")).alias("c"))
+    counted = stage(counted.where(F.col("t") >= settings.least_count), "toxic-pieces")
+    first = marked(counted, "t_once", "c_once")
+    left = offers(frozenset(first)).groupBy("piece").agg(F.count(F.lit(1)).alias("t")).where(F.col("t") >= settings.least_count)
+    found = first + marked(left.join(counted.select("piece", "c"), "piece"), "t", "c")
+    if not found:
+        ranked = counted.orderBy(F.desc(z_score(F.col("t"), F.col("c"), n[1], n[0])), "piece").limit(settings.fallback)
+        found = [r["piece"] for r in ranked.select("piece").collect()]
+    return found
 
 
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> dict | None:
@@ -558,14 +632,15 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     landmarks = choose_landmarks(_candidates(sample, n["sample"], settings), settings)
     size, bare = len(landmarks), untrained(landmarks, settings)
 
+    token = f"toxicity-{uuid4().hex}"
+
     def told(batches):
         import pyarrow as pa
 
-        scorer = Scorer(bare)
+        scorer = _worker_scorer(token, bare)
         for b in batches:
-            for at in range(0, b.num_rows, 50):  # few texts at a time: their joined words take memory
-                part = b.slice(at, 50)
-                rows, whole = _evidence(scorer, part.column(1).to_pylist())
+            for part in _blocks(b, 1, SAMPLE_BLOCK):
+                rows, whole = _evidence(scorer, [t or "" for t in part.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([r.tobytes() for r in rows], pa.binary()), pa.array([w.tobytes() for w in whole], pa.binary())], names=["toxic", "rows", "whole"])
 
@@ -582,9 +657,9 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
 
             total = None
             for b in batches:
-                if b.num_rows:
-                    part = svm_sums(bags_of(b), before, weights, bias)
-                    total = part if total is None else total + part
+                for some in _blocks(b, 1, EVIDENCE_BLOCK):
+                    part = svm_sums(bags_of(some), before, weights, bias)
+                    total = part if total is None else np.add(total, part, out=total)
             if total is not None:
                 yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
 
@@ -598,8 +673,8 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
             import pyarrow as pa
 
             for b in batches:
-                if b.num_rows:
-                    yield pa.RecordBatch.from_arrays([b.column(0), pa.array(_margins(bags_of(b), weights, bias)), b.column(2)], names=["toxic", "margin", "whole"])
+                for some in _blocks(b, 1, EVIDENCE_BLOCK):
+                    yield pa.RecordBatch.from_arrays([some.column(0), pa.array(_margins(bags_of(some), weights, bias)), some.column(2)], names=["toxic", "margin", "whole"])
 
         rows = evidence.mapInArrow(run, "toxic int, margin double, whole binary").collect()  # one row for each document of the sample
         return np.array([r["toxic"] for r in rows]), np.array([r["margin"] for r in rows]), np.array([np.frombuffer(r["whole"], np.float64) for r in rows])
@@ -622,23 +697,13 @@ def score(docs: DataFrame, model: dict | None, text: str = "text", carry: tuple[
     def run(batches):
         import pyarrow as pa
 
-        state = worker_state("toxicity")
-        if state.get("toxicity", (None,))[0] != token:
-            state["toxicity"] = (token, Scorer(model))
-        scorer = state["toxicity"][1]
+        scorer = _worker_scorer(token, model)
         for b in batches:
-            texts = b.column(at_text)
-            at = 0
-            while at < b.num_rows:
-                some, size = [], 0
-                while at + len(some) < b.num_rows and size < 1_000_000:
-                    some.append(texts[at + len(some)].as_py() or "")
-                    size += len(some[-1])
-                part = b.slice(at, len(some))
+            for part in _blocks(b, at_text, SCORE_BLOCK):
+                texts = [t or "" for t in part.column(at_text).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(i) for i in range(len(carry))] + [pa.array(scorer.scores(some), pa.float64())],
+                    [part.column(i) for i in range(len(carry))] + [pa.array(scorer.scores(texts), pa.float64())],
                     names=list(carry) + ["score"])
-                at += len(some)
 
     return kept.mapInArrow(run, schema + ", score double")
 
