@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from threadmill.functions import scalars as S
 from threadmill.functions.text import PUNCTUATION, explode_rows
-from threadmill.operators import dedupe, joins, listing, nested, upsert, wordcount
+from threadmill.operators import dedupe, joins, listing, maintained, nested, sketches, upsert, variants, wordcount
 from threadmill.plans import html as H
 from threadmill.session import checkpoint_dir
 from threadmill.sources import extract, files, ledger, rejects
@@ -90,6 +90,35 @@ def q_title_keywords(spark, sf):
     return wordcount.keyword_stats(li, part, "l_partkey", "p_name", {"qty": "l_quantity", "price": "l_extendedprice"})
 
 
+def q_title_medians(spark, sf):
+    """Q1 with medians: line items of two runs (returned or not), their sketches merged;
+    `close` says whether the median misses by at most 1 % of the exact ranks."""
+    li = _t(spark, sf, "lineitem").select(F.col("l_partkey").alias("p_partkey"), "l_extendedprice", "l_returnflag")
+    part = _t(spark, sf, "part").select("p_partkey", "p_name")
+    returned = F.coalesce(F.col("l_returnflag") == "R", F.lit(False))
+    args = part, "p_partkey", "p_name", "l_extendedprice"
+    runs = [_written(sketches.keyword_sketches(li.where(some), *args), "sketches") for some in (returned, ~returned)]
+    both = _written(sketches.merged(runs[0].unionByName(runs[1]), "word"), "sketches")
+    errors = sketches.rank_errors(li, *args, both, 0.5)
+    return both.select("word", sketches.n_values().alias("n_values")).join(errors, "word").select(
+        "word", "n_values", "n_rows", (F.col("error") <= 0.01).alias("close"))
+
+
+def q_maintained_counts(spark, sf):
+    """G-A1 kept up: all turns are counted, then the assistants' turns come again
+    with another text (J3) and the users' first turns are deleted."""
+    turns = _t(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    keys = ["conv_id", "turn"]
+    counts = _written(wordcount.word_counts(turns, "conv_id", "text"), "counts")
+    edited = turns.where(F.col("role") == "assistant").withColumn("text", F.concat("text", F.lit(" edited twice")))
+    stored = upsert.upsert_replace(turns, edited, keys)
+    opening = stored.where((F.col("role") == "user") & (F.col("turn") == 0))
+    changes = [maintained.replaced(turns, edited, keys), maintained.removed(stored, opening, keys)]
+    for change in changes:
+        counts = _written(maintained.merge_counts(counts, maintained.count_changes(change, "conv_id", "text"), "conv_id"), "counts")
+    return counts
+
+
 # ------------------------------------------------------------------ extraction
 
 
@@ -193,6 +222,20 @@ def q_json_records(spark, sf):
     return nested.json_recordset(_t(spark, sf, "events").select(record.alias("j")), "j", schema)
 
 
+def q_variant_cells(spark, sf):
+    """A9/A10 for cells of unknown shape: errors hold a word for the number, purchases a
+    broken cell, signups a key that nobody asks for; read as variants and written back."""
+    events = _t(spark, sf, "events").select("event_id", "event_type", "props")
+    kind = F.col("event_type")
+    cell = (
+        F.when(kind == "error", '{"k": "none"}').when(kind == "purchase", F.concat("props", F.lit("}")))
+        .when(kind == "signup", F.concat(F.lit('{"extra":{"from":["web",1]},'), F.substring("props", 2, 1 << 30))).otherwise(F.col("props"))
+    )
+    got = variants.with_fields(events.withColumn("cell", cell), "cell", {"k": ("$.k", "bigint")}, keep="v")
+    back = F.get_json_object(variants.back_to_text(F.col("v")), "$.extra.from[0]")
+    return got.select("event_id", "k", F.col("k_outcome").alias("outcome"), back.alias("extra"))
+
+
 # ------------------------------------------------------------------ dedupe
 
 
@@ -529,6 +572,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "thread_word_count": q_thread_word_count,
     "top_words": q_top_words,
     "title_keywords": q_title_keywords,
+    "title_medians": q_title_medians,
+    "maintained_counts": q_maintained_counts,
     "incremental_extract": q_incremental_extract,
     "full_extract": q_full_extract,
     "watermark_advance": q_watermark_advance,
@@ -539,6 +584,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "explode_nested": q_explode_nested,
     "keep_last_nested": q_keep_last_nested,
     "json_records": q_json_records,
+    "variant_cells": q_variant_cells,
     "keep_last": q_keep_last,
     "keep_first": q_keep_first,
     "upsert_replace": q_upsert_replace,
@@ -665,6 +711,22 @@ ORACLE_SQL: dict[str, str] = {
                CAST(sum(CAST(l_extendedprice AS DECIMAL(38,4))) AS DOUBLE) AS sum_price,
                CAST(sum(CAST(l_extendedprice AS DECIMAL(38,4))) AS DOUBLE) / count(*) AS avg_price
         FROM lineitem JOIN w ON l_partkey = p_partkey GROUP BY word""",
+    "title_medians": f"""
+        WITH w AS (SELECT DISTINCT p_partkey, word FROM (
+                     SELECT p_partkey, unnest(string_split_regex(lower(translate(p_name, '{_P}', '')), '\\s+')) AS word
+                     FROM part) WHERE word <> '')
+        SELECT word, count(*) AS n_values, count(*) AS n_rows, true AS "close"
+        FROM lineitem JOIN w ON l_partkey = p_partkey WHERE l_extendedprice IS NOT NULL GROUP BY word""",
+    "maintained_counts": f"""
+        WITH edited AS (SELECT conv_id, turn, role, text || ' edited twice' AS text FROM conversations WHERE role = 'assistant'),
+        stored AS (SELECT conv_id, turn, role, text FROM conversations c
+                   WHERE NOT EXISTS (SELECT 1 FROM edited e WHERE e.conv_id = c.conv_id AND e.turn = c.turn)
+                   UNION ALL SELECT * FROM edited),
+        left_over AS (SELECT conv_id, text FROM stored s
+                   WHERE NOT EXISTS (SELECT 1 FROM stored o WHERE o.role = 'user' AND o.turn = 0 AND o.conv_id = s.conv_id AND o.turn = s.turn))
+        SELECT conv_id, word, count(*) AS n
+        FROM (SELECT conv_id, unnest(string_split_regex(translate(text, '{_P}', ''), '\\s+')) AS word FROM left_over)
+        WHERE word <> '' GROUP BY conv_id, word""",
     "incremental_extract": f"SELECT * FROM events WHERE ts > TIMESTAMP '{WATERMARK_TS}'",
     "full_extract": "SELECT * FROM events",
     "tie_extract": f"""
@@ -688,6 +750,13 @@ ORACLE_SQL: dict[str, str] = {
     "explode_nested": f"SELECT doc_id, CAST(pos AS INTEGER) AS pos, line FROM ({_DOC_LINES})",
     "keep_last_nested": f"""
         SELECT doc_id, CAST(max(pos) AS INTEGER) AS pos, line FROM ({_DOC_LINES}) GROUP BY doc_id, line""",
+    "variant_cells": """
+        SELECT event_id,
+               CASE WHEN event_type IN ('error', 'purchase') THEN NULL ELSE CAST(json_extract(props, '$.k') AS BIGINT) END AS k,
+               CASE WHEN event_type = 'error' THEN 'wrong type' WHEN props IS NULL THEN 'null' WHEN event_type = 'purchase' THEN 'unreadable cell'
+                    WHEN json_extract(props, '$.k') IS NULL THEN 'missing' ELSE 'read' END AS outcome,
+               CASE WHEN event_type = 'signup' AND props IS NOT NULL THEN 'web' END AS extra
+        FROM events""",
     "json_records": "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events",
     "keep_last": """
         SELECT event_id, ts, user_id, event_type, value, props FROM (
