@@ -35,7 +35,7 @@ KINDS = BASE_KINDS + ["url", "account"]
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 MAX_PART, CARD_DIGITS, PHONE_DIGITS = 255, (14, 19), (10, 15)
 
-# Schemes and cues, cues in three spellings each.
+# Schemes and cues, in any mixture of cases.
 SCHEMES = ["http://", "https://", "ftp://"]
 CUES = ["account", "acct", "iban", "password", "passwd", "passport", "user id", "userid", "customer id", "api key", "api_key", "secret"]
 KEY_PREFIX = "AKIA"
@@ -56,6 +56,12 @@ def iban(value: str) -> bool:
     return 15 <= len(compact) <= 34 and int("".join(str(int(c, 36)) for c in compact[4:] + compact[:4])) % 97 == 1
 
 
+def lowered(text: str) -> str:
+    """`text` in lower case, every character at its own place."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c if len(c.lower()) > 1 else c.lower() for c in text)
+
+
 class Finder:
     """The automaton and the local parsers."""
 
@@ -68,19 +74,17 @@ class Finder:
         self.anchors.add_word("@", ("at", 1))
         self.anchors.add_word("+", ("plus", 1))
         for s in SCHEMES:
-            for form in (s, s.upper()):
-                self.anchors.add_word(form, ("scheme", len(s)))
+            self.anchors.add_word(s, ("scheme", len(s)))
         for c in CUES:
-            for form in (c, c.upper(), c.capitalize()):
-                self.anchors.add_word(form, ("cue", len(c)))
-        self.anchors.add_word(KEY_PREFIX, ("key", len(KEY_PREFIX)))
+            self.anchors.add_word(c, ("cue", len(c)))
+        self.anchors.add_word(KEY_PREFIX.lower(), ("key", len(KEY_PREFIX)))
         self.anchors.make_automaton()
         self.domain = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
         self.dotted = re.compile(r"[0-9]+(?:\.[0-9]+)*")
         self.spaced = re.compile(r"[0-9](?:[\x20-]?[0-9])*")
         self.dialled = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
         self.address = re.compile(r"[^\s<>\"'`{}|\\^\[\]]+")
-        self.value = re.compile(r"(?:\x20(?:is|no|nr|number|id))?[\x20:=#.]{1,4}([A-Za-z0-9][A-Za-z0-9._/+-]{3,127})")
+        self.value = re.compile(r"(?:\x20(?i:is|no|nr|number|id))?[\x20:=#.]{1,4}([A-Za-z0-9][A-Za-z0-9._/+-]{3,})")
         self.bank = re.compile(r"[\x20:=#.]{1,4}([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30})")
         self.key = re.compile(r"[0-9A-Z]{16}(?![0-9A-Za-z])")
 
@@ -115,7 +119,7 @@ class Finder:
     def spans(self, text: str) -> list[tuple[str, int, int]]:
         out = []
         email_done = dotted_done = spaced_done = url_done = account_done = 0
-        for last, (kind, size) in self.anchors.iter(text):
+        for last, (kind, size) in self.anchors.iter(lowered(text)):
             at = last - size + 1
             if kind == "digit":
                 if at >= spaced_done:
@@ -143,7 +147,8 @@ class Finder:
                     url_done = end
                     out.append(("url", at, end))
             elif kind == "key":
-                found = self.key.match(text, last + 1) if not (at and text[at - 1].isalnum()) and at >= account_done else None
+                whole = text.startswith(KEY_PREFIX, at) and not (at and text[at - 1].isalnum())
+                found = self.key.match(text, last + 1) if whole and at >= account_done else None
                 if found:
                     account_done = found.end()
                     out.append(("account", at, account_done))
