@@ -3,6 +3,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from threadmill.plans import html as H
 
 LISTING = """<html><body>
@@ -240,3 +242,58 @@ def test_a_thread_twice_in_the_source_adds_no_comments(spark):
         assert [r["thread_id"] for r in tables.read_partitioned(spark, roots.participants).collect()] == [2]
         assert report["threads"].get("rejects", 2) == 2
         assert spark.read.parquet(roots.rejects + "/threads/*").count() == 2
+
+
+def test_plain_pages_parse_as_the_parser_does():
+    import random
+
+    def shape(node):
+        return (node.tag, node.attrs, [shape(c) if isinstance(c, H.Node) else c for c in node.children])
+
+    def merged(tree):
+        tag, attrs, children = tree
+        out = []
+        for c in children:
+            if isinstance(c, str) and out and isinstance(out[-1], str):
+                out[-1] += c
+            else:
+                out.append(c if isinstance(c, str) else merged(c))
+        return (tag, attrs, out)
+
+    def by_parser(html):
+        b = H._Builder()
+        b.feed(html)
+        b.close()
+        return merged(shape(b.root))
+
+    tokens = ["<div>", '<div class="a b">', "</div>", "<p>", "</p>", '<a href="/x" href="/y" class="">', "</a>", "<br>", '<img src="é>">', "</br>", "text ", "\n", "a&amp;b",
+              "&lt", "&#65;", "&", "1 < 2", "<", ">", "<dd >", "<DIV>", "<br/>", "<script>", "</script>", "<!-- <p> -->", "<!doctype html>", "<a href=x>", "<a b>", "<a href='q'>",
+              '<a href="1&amp;2">', '<a href="', "</ div>", "</>", "<?x?>", "<title>", "</title>", "é", '"']
+    rng, plain = random.Random(3), 0
+    for i in range(4000):
+        html = "".join(rng.choices(tokens[: 14 if i % 2 else len(tokens)], k=rng.randrange(1, 12)))
+        assert merged(shape(H.parse(html))) == by_parser(html), html
+        plain += H._parse_plain(html) is not None
+    assert plain > 1000  # both ways were taken
+
+
+def test_records_of_odd_pages(spark):
+    pages = spark.createDataFrame([(None, None, LISTING), (2**60 + 1, "u", None), (2**60 + 1, "u", LISTING), (4, "u", "")], "page_id long, url string, html string")
+    assert sorted(str(r["page_id"]) for r in H._run(pages.coalesce(1), H._listing, H.LISTING_RAW).collect()) == sorted(["None"] * 3 + [str(2**60 + 1)] * 3)
+
+
+def test_rows_of_one_row_group_are_parsed_by_many_tasks(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from threadmill.plans import catalog
+
+    n = 4000
+    keys = list(range(1, n + 1))
+    pq.write_table(pa.table({"o_orderkey": pa.array(keys, pa.int64()), "o_custkey": pa.array(keys, pa.int64()), "o_orderpriority": ["3-MEDIUM"] * n}), tmp_path / "orders.parquet")
+    pq.write_table(pa.table({"c_custkey": pa.array(keys, pa.int64()), "c_name": ["n"] * n, "c_nationkey": pa.array([3] * n, pa.int64()), "c_mktsegment": ["m"] * n}), tmp_path / "customer.parquet")
+    listed = catalog.QUERIES["thread_listing"](spark, str(tmp_path))
+    tasks = listed.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(r["count"] for r in tasks) == n
+    assert len(tasks) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(r["count"] for r in tasks) < n / 4
+    assert catalog.QUERIES["member_cards"](spark, str(tmp_path)).count() == n

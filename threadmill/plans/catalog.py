@@ -41,6 +41,14 @@ def _wide(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
+def _dealt(spark: SparkSession, sf_dir: str, name: str, key: str, *cols: str) -> DataFrame:
+    """The narrow rows of a table that CPU-heavy per-row work is built from, dealt by
+    their unique key over the session's shuffle partitions: a file of one row group is
+    read by one task, however many rows it has, and all that work would stay there."""
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return _t(spark, sf_dir, name).select(key, *cols).repartition(tasks, key)
+
+
 # ------------------------------------------------------------------ word counts
 
 
@@ -483,7 +491,7 @@ def q_thread_comments(spark, sf):
 
 def q_thread_listing(spark, sf):
     # H1: each order is an item of a listing page of its own
-    o = _t(spark, sf, "orders")
+    o = _dealt(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderpriority")
     item = F.concat(
         F.lit('<div class="structItemContainer-group js-threadList"><div class="structItem" data-author="'), F.col("o_custkey").cast("string"),
         F.lit('"><div class="structItem-title"><a data-tp-primary="on" href="/t/order.'), F.col("o_orderkey").cast("string"), F.lit('/"> '),
@@ -501,7 +509,7 @@ RUN_TS = _dt.datetime(2024, 1, 2, 3, 4)
 
 def q_member_cards(spark, sf):
     # H4, H6 (+E13, E15, E18): each customer is a member card, every third id on two pages
-    c = _t(spark, sf, "customer")
+    c = _dealt(spark, sf, "customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     stat = lambda n: F.concat(F.lit("<dl><dd>"), F.format_number(n, 0), F.lit("</dd></dl>"))
     card = F.concat(
         F.lit('<div class="memberTooltip"><a class="username" data-user-id="'), F.col("c_custkey").cast("string"), F.lit('"> '), "c_name",

@@ -1,20 +1,23 @@
 """HTML record jobs (H1-H6): a table of stored pages -> typed records.
 
-Each job is one `mapInPandas` over Arrow batches of `(page_id, url, html)`:
-Python's stdlib `html.parser` builds a small element tree per page and the
-job pulls out raw field text. Everything after that (ids from links, numbers,
+Each job is one `mapInArrow` over batches of `(page_id, url, html)`: a small
+element tree is built per page, as Python's stdlib `html.parser` reads it
+(plain markup by one expression, anything else by that parser itself), and
+the job pulls out raw field text. Everything after that (ids from links, numbers,
 timestamps, status arrays, defaults) is built-in column expressions from
 `threadmill.functions.scalars`, so the Python step stays a per-page helper.
 Pages are independent: the jobs are narrow (no shuffle) and scale with the
-number of input partitions.
+number of input partitions. Files of few, large row groups give few of them:
+a caller deals such rows over tasks first (`plans.catalog._dealt`).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import re
+from html import unescape
 from html.parser import HTMLParser
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,9 +41,6 @@ class Node:
         self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
 
     # -- queries
-    def classes(self) -> set[str]:
-        return set((self.attrs.get("class") or "").split())
-
     def iter(self):
         """All nodes below, in document order (a stack: real pages nest thousands deep)."""
         stack = self.children[::-1]
@@ -50,33 +50,27 @@ class Node:
                 yield ch
                 stack.extend(reversed(ch.children))
 
+    def matches(self, tag=None, cls=None, **attrs) -> bool:
+        if tag and self.tag != tag:
+            return False
+        if cls is not None:
+            have = self.attrs.get("class")
+            if not have:
+                return False
+            # one class: membership; several: the whole class set (as bs4 does)
+            if have != cls and (cls not in have.split() if " " not in cls else set(cls.split()) != set(have.split())):
+                return False
+        for k, v in attrs.items():
+            k = k.replace("_", "-")
+            if k not in self.attrs if v is True else self.attrs.get(k) != v:
+                return False
+        return True
+
     def find_all(self, tag=None, cls=None, **attrs):
-        want = set(cls.split()) if cls else None
-        out = []
-        for n in self.iter():
-            if tag and n.tag != tag:
-                continue
-            if want is not None:
-                have = n.classes()
-                # one class: membership; several: the whole class set (as bs4 does)
-                if (len(want) == 1 and not want <= have) or (len(want) > 1 and want != have):
-                    continue
-            ok = True
-            for k, v in attrs.items():
-                k = k.replace("_", "-")
-                if v is True:
-                    ok = k in n.attrs
-                else:
-                    ok = n.attrs.get(k) == v
-                if not ok:
-                    break
-            if ok:
-                out.append(n)
-        return out
+        return [n for n in self.iter() if n.matches(tag, cls, **attrs)]
 
     def find(self, tag=None, cls=None, **attrs):
-        r = self.find_all(tag, cls, **attrs)
-        return r[0] if r else None
+        return next((n for n in self.iter() if n.matches(tag, cls, **attrs)), None)
 
     def text(self) -> str:
         parts, stack = [], self.children[::-1]
@@ -120,7 +114,47 @@ class _Builder(HTMLParser):
         self.cur.children.append(data)
 
 
+# Text, then a start or end tag without anything a parser could read in another way.
+_PLAIN = re.compile(r'([^<]*)<(?:/([a-z][a-z0-9]*)|([a-z][a-z0-9]*)((?: [a-z][a-z0-9-]*="[^"<>&]*")*))>')
+_PLAIN_ATTR = re.compile(r' ([a-z][a-z0-9-]*)="([^"]*)"')
+# Elements whose content (some) versions of the parser take as text.
+_TEXT_ONLY = {"iframe", "math", "noembed", "noframes", "noscript", "plaintext", "script", "style", "svg", "textarea", "title", "xmp"}
+
+
+def _parse_plain(html: str) -> Node | None:
+    """The tree that `_Builder` makes of a page of plain tags and text, None for any other page."""
+    root = cur = Node("[document]", {}, None)
+    at, token = 0, _PLAIN.match
+    while m := token(html, at):
+        at = m.end()
+        text, end, tag, attrs = m.groups()
+        if text:
+            cur.children.append(unescape(text) if "&" in text else text)
+        if end:
+            n = cur
+            while n is not None and n.tag != end:
+                n = n.parent
+            if n is not None and n.parent is not None:
+                cur = n.parent
+            continue
+        if tag in _TEXT_ONLY:
+            return None
+        n = Node(tag, dict(_PLAIN_ATTR.findall(attrs)) if attrs else {}, cur)
+        cur.children.append(n)
+        if tag not in _VOID:
+            cur = n
+    rest = html[at:]
+    if "<" in rest:
+        return None
+    if rest:
+        cur.children.append(unescape(rest))
+    return root
+
+
 def parse(html: str | None) -> Node:
+    root = _parse_plain(html) if html else None
+    if root is not None:
+        return root
     b = _Builder()
     if html:
         b.feed(html)
@@ -136,27 +170,35 @@ def _text(n: Node | None):
     return None if n is None else n.text()
 
 
-def _batches(fn, columns):
-    """Wrap a per-page function (row -> list of dicts) as a mapInPandas body.
+_ARROW = {T.LongType(): "int64", T.IntegerType(): "int32", T.StringType(): "string", T.BooleanType(): "bool_"}
+
+
+def _batches(fn, schema: T.StructType):
+    """Wrap a per-page function (row -> list of dicts) as a mapInArrow body.
     The page's `url` is copied onto every record, so fields derived from it
     (thread id, page number) are computed afterwards without a join."""
+    kinds = [(f.name, isinstance(f.dataType, T.ArrayType), _ARROW[getattr(f.dataType, "elementType", f.dataType)]) for f in schema.fields]
 
     def run(it):
-        for pdf in it:
-            rows = []
-            for rec in pdf.to_dict("records"):
+        import pyarrow as pa
+
+        types = [pa.list_(getattr(pa, kind)()) if nested else getattr(pa, kind)() for _, nested, kind in kinds]
+        for batch in it:
+            columns = [[] for _ in kinds]
+            for rec in batch.to_pylist():
                 for out in fn(rec):
                     out.setdefault("url", rec.get("url"))
-                    rows.append(out)
-            yield pd.DataFrame(rows, columns=columns)
+                    for (name, _, _), column in zip(kinds, columns):
+                        column.append(out.get(name))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=[name for name, _, _ in kinds])
 
     return run
 
 
 def _run(pages: DataFrame, fn, schema: T.StructType) -> DataFrame:
-    """One narrow mapInPandas job over (page_id, url, html)."""
+    """One narrow mapInArrow job over (page_id, url, html)."""
     full = T.StructType(list(schema.fields) + [T.StructField("url", T.StringType())])
-    return pages.select("page_id", "url", "html").mapInPandas(_batches(fn, full.names), full)
+    return pages.select("page_id", "url", "html").mapInArrow(_batches(fn, full), full)
 
 
 # ----------------------------------------------------------------------------- links
@@ -222,20 +264,25 @@ def _listing(rec):
     out = []
     # Only items inside the main list that carry an author (pinned items sit outside)
     for pos, item in enumerate(group.find_all("div", data_author=True)):
-        title_box = item.find(cls="structItem-title")
+        inside = list(item.iter())
+
+        def first(tag=None, cls=None):
+            return next((n for n in inside if n.matches(tag, cls)), None)
+
+        title_box = first(cls="structItem-title")
         a = title_box.find("a", data_tp_primary="on") if title_box else None
-        replies = item.find("dl", cls="pairs pairs--justified")
-        views = item.find("dl", cls="pairs pairs--justified structItem-minor")
-        labels = [n.text() for n in item.find_all(cls="u-srOnly")]
+        replies = first("dl", "pairs pairs--justified")
+        views = first("dl", "pairs pairs--justified structItem-minor")
+        labels = [n.text() for n in inside if n.matches(cls="u-srOnly")]
         out.append(
             {
                 "page_id": rec["page_id"], "pos": pos,
                 "href": _attr(a, "href"), "title": _text(a),
                 "author_name": item.attrs.get("data-author"),
-                "author_href": _attr(item.find("a", cls="username"), "href"),
+                "author_href": _attr(first("a", "username"), "href"),
                 "reply_count": _text(replies.find("dd")) if replies else None,
                 "view_count": _text(views.find("dd")) if views else None,
-                "created_at": _attr(item.find("time", cls="u-dt"), "title"),
+                "created_at": _attr(first("time", "u-dt"), "title"),
                 "labels": labels,
             }
         )
@@ -371,7 +418,7 @@ def comment_reactions(overlays: DataFrame) -> DataFrame:
     """H3 per comment: overlays (page_id, url, pos, html) -> (thread_id, page_no, pos, love, brick)."""
     schema = T.StructType([T.StructField("pos", T.IntegerType())] + [f for f in REACTIONS_RAW.fields if f.name != "page_id"])
     full = T.StructType(list(schema.fields) + [T.StructField("url", T.StringType())])
-    rows = overlays.select(F.col("pos").cast("int").alias("pos"), "url", "html").mapInPandas(_batches(_overlay, full.names), full)
+    rows = overlays.select(F.col("pos").cast("int").alias("pos"), "url", "html").mapInArrow(_batches(_overlay, full), full)
     return rows.select(
         thread_id_from_url("url").alias("thread_id"), _page_no("url").alias("page_no"), "pos",
         S.digits_or_zero("love").alias("love"), S.digits_or_zero("brick").alias("brick"))
