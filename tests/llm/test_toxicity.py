@@ -151,3 +151,61 @@ def test_near_copies_count_once():
     assert "moron" in model["landmarks"]
     assert not any(w.startswith("quix") for w in model["landmarks"])
     assert T.sketch([]) == T.sketch([]) and T.sketch(copied) >= 0
+
+
+def _random_words(n, seed=5):
+    rng = np.random.default_rng(seed)
+    marks = ["idiot", "worthless", "loser", "lowei", "lowest", "disgusting", "banana"]
+    words = []
+    for _ in range(n):
+        w = list(rng.choice(marks)) if rng.random() < 0.5 else list(rng.choice(list("lowestidrugnabh"), rng.integers(1, 30)))
+        for _ in range(rng.integers(0, 4)):
+            w.insert(rng.integers(0, len(w) + 1), rng.choice(list("xyloweés\0-")))
+        words.append("".join(w))
+    return marks, words
+
+
+def test_pairs_left_out_have_small_kernels():
+    marks, words = _random_words(3000)
+    settings = T.Settings()
+    k = T.Kernel(marks, settings)
+    found = k.features(words)
+    least = np.maximum(2, np.ceil(np.bitwise_count(k.masks) * settings.common))
+    for word, got in zip(words, found):
+        want = np.zeros(len(marks), np.float32)
+        marked = T.START + word
+        for j in range(0, max(1, len(marked) - 10), 10):
+            codes = T._codes([marked[j : j + 20]] * len(marks), 20)
+            on = np.bitwise_count(k._masks(codes) & k.masks) >= least
+            own = k._self(codes)
+            value = np.where(on, T.subsequence_kernel(k.codes, codes, settings.order, settings.decay) / (own * k.own), 0)
+            want = np.maximum(want, np.where(value >= settings.least_kernel, value, 0))
+        assert np.allclose(want, 0 if got is None else got, atol=1e-5), word
+    reached = k.features(words, some_reach=0.6)
+    for a, b in zip(found, reached):
+        assert (b is None or (a == b).all()) and (b is not None or a is None or a.max() < 0.6)
+
+
+def test_kernels_are_worked_out_where_they_can_be_large(monkeypatch):
+    rng = np.random.default_rng(7)
+    words = ["".join(rng.choice(list("lowestidrugnabh"), rng.integers(8, 15))) for _ in range(3000)]
+    k = T.Kernel(_random_words(0)[0], T.Settings())
+    worked, plain = [], T.subsequence_kernel
+    monkeypatch.setattr(T, "subsequence_kernel", lambda a, b, order, decay: worked.append(len(b)) or plain(a, b, order, decay))
+    k.features(words)
+    assert sum(worked) < 4000  # 2530 pairs, of words with landmarks and with themselves; 5611 when order and letters alone decided
+
+
+def test_core_of_a_word():
+    for word, want in {"idiot!!": "idiot", "(é)": "é", "": "", "...": "", "a-b,": "a-b", "«don't»": "don't", "–x–y–": "x–y", "_a_": "a", "²!": "²"}.items():
+        assert T.core(word) == want
+
+
+def test_scores_do_not_hang_on_what_a_worker_remembers(monkeypatch):
+    model = T.fit_texts(["you are a moron today", "what a moron here", "moron it is"] * 3 + ["a calm day of it", "it is so in my town"] * 6, np.array([1] * 9 + [0] * 12))
+    texts = ["a mo ron of it. so my m o r o n", "", "calm", "the m.o.r.o.n is in a to do", "it is a b c d moron"] * 3
+    whole = T.Scorer(model).scores(texts)
+    monkeypatch.setattr(T, "WORDS", 2)
+    monkeypatch.setattr(T, "RUNS", 1)
+    few = T.Scorer(model)
+    assert whole == [few.scores([t])[0] for t in texts] and whole[0] != whole[1]

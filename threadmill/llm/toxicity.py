@@ -38,6 +38,7 @@ empty table gives no rows.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import repeat
 from uuid import uuid4
 
 import numpy as np
@@ -48,7 +49,9 @@ from xxhash import xxh64_intdigest
 from threadmill.llm.common import stage, table, worker_state
 
 SENTENCE_ENDS = ".!?\n"
-CACHE = 300_000
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Words, and runs of short words, that a worker remembers.
+WORDS, RUNS = 600_000, 300_000
 #: Tasks that work out the evidence of the fitting sample.
 SAMPLE_TASKS = 32
 #: Tasks that add up the evidence in a Newton step: each hands its sums, some MB, to the driver.
@@ -88,10 +91,10 @@ class Settings:
 
 def _codes(words: list[str], width: int) -> np.ndarray:
     """Words as rows of code points, padded with 0."""
-    flat = np.frombuffer("".join(w.ljust(width, "\0") for w in words).encode("utf-32-le"), dtype=np.uint32)
-    return flat.reshape(len(words), width).astype(np.int32)
+    return np.array(words, dtype=f"<U{width}").view("<u4").reshape(len(words), width).astype(np.int32)
 
 
+WORD_ROWS, PAIR_ROWS = 4000, 8000  # words, and pairs of them with landmarks, that are looked at together
 KERNEL_ROWS = 4096  # pairs whose partial sums are worked on at a time: they stay in the processor's cache
 
 
@@ -131,6 +134,17 @@ def _kernel_block(a: np.ndarray, b: np.ndarray, order: int, decay: np.float32, t
     total *= square
 
 
+def _chains(counts, order: int, decay: float):
+    """Sum over the increasing choices of `order` of the given numbers (or arrays), of the chosen
+    ones' product times the decay to the length of the stretch they cover."""
+    total, sums = 0.0, [0.0] * (order - 1)  # sums[k]: over choices of k + 1, decayed up to here
+    for r in counts:
+        ends = [r, *(r * q for q in sums)]
+        total = total + decay * ends[-1]
+        sums = [decay * (q + e) for q, e in zip(sums, ends)]
+    return total
+
+
 class Kernel:
     """Normalised kernels of words with a fixed list of landmarks."""
 
@@ -140,6 +154,13 @@ class Kernel:
         self.codes = _codes(cut, max(map(len, cut)))
         self.own = self._self(self.codes)
         self.masks = self._masks(self.codes)
+        self.letters = np.unique(self.codes[self.codes > 0])
+        self.place = np.where(self.codes > 0, np.searchsorted(self.letters, self.codes), len(self.letters))
+        self.times = np.zeros((len(landmarks), len(self.letters) + 1), np.float32)  # of each letter in each landmark
+        np.add.at(self.times, (np.arange(len(landmarks))[:, None], self.place), 1)
+        self.times[:, -1] = 0
+        # a word's kernel with itself is at least what it has without repeated letters
+        self.least_own = np.sqrt([max(1e-12, _chains([1.0] * n, settings.order, settings.decay**2)) for n in range(settings.width + 1)]).astype(np.float32)
 
     def _self(self, codes: np.ndarray) -> np.ndarray:
         return np.sqrt(np.maximum(subsequence_kernel(codes, codes, self.s.order, self.s.decay), 1e-12))
@@ -162,21 +183,54 @@ class Kernel:
             v = ((v + u) | (v - u)) & full
         return width - np.bitwise_count(v) >= self.s.order
 
-    def features(self, words: list[str], block: int = 1000) -> list[np.ndarray | None]:
-        """For each word its kernels with the landmarks, None where all are small."""
+    def _most(self, codes: np.ndarray, row: np.ndarray, mark: np.ndarray, least: float) -> np.ndarray:
+        """Upper bounds of the kernels of words and landmarks, exact enough where they reach `least`.
+
+        The letters of the one may match those of the other in any order: the sum over such matches
+        is taken along the landmark, without gaps in the word, and where that reaches `least` also along
+        the word (Cauchy-Schwarz over the matches). Over the least that a word can have with itself.
+        """
+        place = np.searchsorted(self.letters, codes)
+        place[self.letters[np.minimum(place, len(self.letters) - 1)] != codes] = len(self.letters)
+        counts = np.zeros((len(self.letters) + 1, len(codes)), np.float32)
+        for i in range(len(self.letters)):
+            counts[i] = (place == i).sum(axis=1)
+        order, decay = self.s.order, np.float32(self.s.decay)
+        own = self.least_own[np.count_nonzero(codes, axis=1)][row] * self.own[mark]
+        most = decay**order * _chains((counts[p[mark], row] for p in self.place.T), order, decay) / own
+        on = np.flatnonzero(most >= 0.999 * least)
+        row, mark = row[on], mark[on]
+        along = _chains((counts[p[mark], row] for p in self.place.T), order, decay**2)
+        across = _chains((self.times[mark, p[row]] for p in np.ascontiguousarray(place.T)), order, decay**2)
+        most[on] = np.sqrt(along * across) / own[on]
+        return most
+
+    def features(self, words: list[str], some_reach: float = 0.0) -> list[np.ndarray | None]:
+        """For each word its kernels with the landmarks, None where all are small
+        (or where no landmark's can reach `some_reach`)."""
         w, step = self.s.width, self.s.width // 2
-        marked = [START + x for x in words]
-        parts = [(i, word[j : j + w]) for i, word in enumerate(marked) for j in range(0, max(1, len(word) - w + step), step)]
-        parts.sort(key=lambda p: len(p[1]))  # a block is as wide as its longest word
+        parts, owner = [START + x for x in words], list(range(len(words)))
+        for i in [i for i, word in enumerate(parts) if len(word) > w]:
+            word = parts[i]
+            windows = [word[j : j + w] for j in range(0, len(word) - w + step, step)]
+            parts[i] = windows[0]
+            parts += windows[1:]
+            owner += [i] * (len(windows) - 1)
+        ranked = np.argsort(np.fromiter(map(len, parts), np.int64, len(parts)), kind="stable").tolist()  # a block is as wide as its longest word
         least = np.maximum(2, np.ceil(np.bitwise_count(self.masks) * self.s.common))[None, :]
         out: list[np.ndarray | None] = [None] * len(words)
-        for at in range(0, len(parts), block):
-            some = parts[at : at + block]
-            codes = _codes([p for _, p in some], max(1, len(some[-1][1])))
+        for at in range(0, len(parts), WORD_ROWS):
+            some = ranked[at : at + WORD_ROWS]
+            codes = _codes([parts[i] for i in some], max(1, len(parts[some[-1]])))
             # a kernel can only be large if most of the landmark's characters occur
             common = np.bitwise_count(self._masks(codes)[:, None] & self.masks[None, :])
             row, mark = np.nonzero(common >= least)
-            kept = [self._in_order(codes[row[k : k + 8 * block]], mark[k : k + 8 * block]) for k in range(0, len(row), 8 * block)]
+            most = self._most(codes, row, mark, self.s.least_kernel) if len(row) else np.zeros(0)
+            near = np.zeros(len(some), bool)
+            near[row[most >= 0.999 * some_reach]] = True  # room for rounding
+            within = (most >= 0.999 * self.s.least_kernel) & near[row]
+            row, mark = row[within], mark[within]
+            kept = [self._in_order(codes[row[k : k + PAIR_ROWS]], mark[k : k + PAIR_ROWS]) for k in range(0, len(row), PAIR_ROWS)]
             if kept:
                 kept = np.concatenate(kept)
                 row, mark = row[kept], mark[kept]
@@ -185,12 +239,12 @@ class Kernel:
             near = np.unique(row)
             own = np.zeros(len(some), np.float32)
             own[near] = self._self(codes[near])
-            for k in range(0, len(row), 8 * block):
-                r, m = row[k : k + 8 * block], mark[k : k + 8 * block]
+            for k in range(0, len(row), PAIR_ROWS):
+                r, m = row[k : k + PAIR_ROWS], mark[k : k + PAIR_ROWS]
                 value = subsequence_kernel(codes[r], self.codes[m], self.s.order, self.s.decay) / (own[r] * self.own[m])
                 hit = value >= self.s.least_kernel
                 for x, y, v in zip(r[hit], m[hit], value[hit]):
-                    i = some[x][0]
+                    i = owner[some[x]]
                     if out[i] is None:
                         out[i] = np.zeros(len(self.landmarks), np.float32)
                     out[i][y] = max(out[i][y], v)
@@ -204,6 +258,9 @@ def words_of(text: str) -> list[str]:
 
 def core(word: str) -> str:
     """A word without the characters that are no letters or digits at its ends."""
+    word = word.strip(PUNCTUATION)
+    if word.isalnum():
+        return word
     a, b = 0, len(word)
     while a < b and not word[a].isalnum():
         a += 1
@@ -218,42 +275,59 @@ class Scorer:
     def __init__(self, model: dict):
         self.model = model
         self.kernel = Kernel(model["landmarks"], model["settings"])
-        self.seen: dict[str, np.ndarray | None] = {}
-        self.parts: dict[str, str | None] = {}  # cores of short words, None for longer ones
+        self.words: dict[str, int] = {}  # the place in `notes` of each word met
+        self.notes: list[tuple[str | None, np.ndarray | None]] = [(None, None)]  # cores of short words, and kernels; of most words neither
         self.runs: dict[tuple[str, ...], list[tuple[int, int, np.ndarray]]] = {}
         sizes = [len(w) for w in model["landmarks"]]
         self.joined = max(3, min(sizes) - 1), min(self.kernel.s.width - 1, max(sizes) + 2)  # lengths of joined words
 
-    def learn(self, texts: list[list[str]]) -> list[list[tuple[int, tuple[str, ...]]]]:
-        """Put the kernels of all words that are new into the cache; gives the texts' runs of short words."""
-        if len(self.seen) > CACHE:
-            self.seen.clear()
-            self.parts.clear()
-        new = list(set().union(*texts).difference(self.seen))
+    def learn(self, texts: list[list[str]]) -> list[tuple[list, list[tuple[int, tuple[str, ...]]]]]:
+        """Put the kernels of all words that are new into the cache; gives the texts'
+        landmark-like words (place, 0, kernels) and their runs of short words."""
+        if len(self.words) > WORDS:
+            self.words.clear()
+            del self.notes[1:]
+        places = [np.fromiter(map(self.words.get, words, repeat(-1)), np.int64, len(words)) for words in texts]
+        unknown = [np.flatnonzero(at < 0).tolist() for at in places]
+        new = list({words[i] for words, at in zip(texts, unknown) for i in at})
         cores = [core(w) for w in new]
         distinct = list(dict.fromkeys(cores))
-        found = dict(zip(distinct, self.kernel.features(distinct)))
-        self.seen.update((w, found[c]) for w, c in zip(new, cores))
-        short = self.kernel.s.short
-        self.parts.update((w, c if len(c) <= short else None) for w, c in zip(new, cores))
-        if len(self.runs) > CACHE:
+        found, short = dict(zip(distinct, self.kernel.features(distinct))), self.kernel.s.short
+        for w, c in zip(new, cores):
+            value = found[c]
+            if value is None and len(c) > short:
+                self.words[w] = 0
+            else:
+                self.words[w] = len(self.notes)
+                self.notes.append((c if len(c) <= short else None, value))
+        if len(self.runs) > RUNS:
             self.runs.clear()
-        runs = list(map(self.short_runs, texts))
-        self.learn_runs({run for found in runs for _, run in found}.difference(self.runs))
-        return runs
-
-    def short_runs(self, words: list[str]) -> list[tuple[int, tuple[str, ...]]]:
-        """Where runs of two or more short words begin, and their cores; sentence ends don't end them."""
-        parts, out, at = self.parts, [], [i for i, w in enumerate(words) if self.parts[w] is not None]
-        k = 0
-        while k < len(at):
-            first = k
-            while k + 1 < len(at) and at[k + 1] == at[k] + 1:
-                k += 1
-            if k > first:
-                out.append((at[first], tuple(parts[words[i]] for i in at[first : k + 1])))
-            k += 1
-        return out
+        for words, at, some in zip(texts, places, unknown):
+            at[some] = [self.words[words[i]] for i in some]
+        noted = list(map(self.noted, places))
+        self.learn_runs({run for _, runs in noted for _, run in runs}.difference(self.runs))
+        return noted
+
+    def noted(self, places: np.ndarray) -> tuple[list, list[tuple[int, tuple[str, ...]]]]:
+        """A text's landmark-like words, and where its runs of two or more short words
+        begin and their cores; sentence ends don't end them."""
+        at = np.flatnonzero(places)
+        hits, runs, run = [], [], []
+        for i, k in zip(at.tolist(), places[at].tolist()):
+            part, value = self.notes[k]
+            if value is not None:
+                hits.append((i, 0, value))
+            if part is not None:
+                if run and i > first + len(run):
+                    if len(run) > 1:
+                        runs.append((first, tuple(run)))
+                    run = []
+                if not run:
+                    first = i
+                run.append(part)
+        if len(run) > 1:
+            runs.append((first, tuple(run)))
+        return hits, runs
 
     def learn_runs(self, runs: set[tuple[str, ...]]) -> None:
         """Landmark-like words that the words of a run make when joined: where they begin, how many words more they hold, and their kernels."""
@@ -270,7 +344,8 @@ class Scorer:
                     if len(word) >= least and run[j]:
                         found.append((i, j, word))
         distinct = list({word for found in places.values() for _, _, word in found})
-        value = {w: v if v is not None and v.max() >= self.kernel.s.joined_kernel else None for w, v in zip(distinct, self.kernel.features(distinct))}
+        least = self.kernel.s.joined_kernel
+        value = {w: v if v is not None and v.max() >= least else None for w, v in zip(distinct, self.kernel.features(distinct, some_reach=least))}
         for run, found in places.items():
             hits = sorted(((i, j, value[word]) for i, j, word in found if value[word] is not None), key=lambda h: (-round(float(h[2].max()), 3), h[0] - h[1], h[0]))
             kept, taken = [], set()
@@ -280,11 +355,11 @@ class Scorer:
                     kept.append((i, j - i, v))
             self.runs[run] = kept
 
-    def evidence(self, words: list[str], runs: list[tuple[int, tuple[str, ...]]]) -> tuple[np.ndarray, np.ndarray]:
+    def evidence(self, words: list[str], noted: tuple[list, list[tuple[int, tuple[str, ...]]]]) -> tuple[np.ndarray, np.ndarray]:
         """Largest and mean kernel with each landmark, for each sentence with a
         landmark-like word; for the document the largest, the sum and the mean."""
-        seen, n = self.seen, len(self.kernel.landmarks)
-        found = [(i, 0, seen[w]) for i, w in enumerate(words) if seen[w] is not None]
+        n = len(self.kernel.landmarks)
+        found, runs = noted
         joined = [(at + i, more, v) for at, run in runs for i, more, v in self.runs[run]]
         if joined:
             found = sorted(found + joined, key=lambda h: h[0])
@@ -310,9 +385,9 @@ class Scorer:
 
     def scores(self, texts: list[str]) -> list[float]:
         words = [words_of(t) for t in texts]
-        runs = self.learn(words)
+        noted = self.learn(words)
         a, c, u = self.model["slope"], self.model["shift"], self.model["whole"]
-        found = map(self.evidence, words, runs)
+        found = map(self.evidence, words, noted)
         return [float(1 / (1 + np.exp(-np.clip(a * self.margin(rows) + c + whole @ u, -500, 500)))) for rows, whole in found]
 
 
